@@ -37,16 +37,22 @@ def path_get(value: Column, path: str | Column, type_: str = "string") -> Column
     return F.try_variant_get(value, clean, type_)
 
 
-def parse_column(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Add `out`: the VARIANT of a JSON text, NULL unless the whole text is one value.
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column so that it is evaluated once per row.
 
-    The wrapped array is its own column so that the parse runs once per row.
+    Written as the explode of a one-element array: the optimizer neither copies
+    the expression into the projections above nor into filters it pushes down.
     """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def parse_column(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Add `out`: the VARIANT of a JSON text, NULL unless the whole text is one value."""
     wrapped = F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit(f',"{END_MARK}"]')))
     whole = (F.size("_wrapped") == 2) & (F.try_variant_get(F.get("_wrapped", F.lit(1)), "$", "string") == END_MARK)
-    return (df.withColumn("_wrapped", F.try_variant_get(wrapped, "$", "array<variant>"))
-              .withColumn(out, F.when(whole, F.get("_wrapped", F.lit(0))))
-              .drop("_wrapped"))
+    return (computed_once(df, "_wrapped", F.try_variant_get(wrapped, "$", "array<variant>"))
+            .withColumn(out, F.when(whole, F.get("_wrapped", F.lit(0))))
+            .drop("_wrapped"))
 
 
 def is_truthy(value: Column) -> Column:
@@ -90,16 +96,20 @@ def as_records(value: Column) -> Column:
     return F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.when(value.isNotNull(), F.array(value)))
 
 
+# What Python's float() reads. Spark alone would accept a Java type suffix
+# ('12f') and refuse digit grouping ('1_000').
+_DIGITS = r"\d+(?:_\d+)*"
+FLOAT_TEXT = rf"^\s*[+-]?(?i:nan|inf|infinity|(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?)\s*$"
+
+
 def to_double(text: Column) -> Column:
-    """Number in a text by Python's float() rules, else NULL.
+    """Number in a text, else NULL."""
+    return F.when(text.rlike(FLOAT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
 
-    Spark alone would accept a Java type suffix ('12f') and refuse digit
-    grouping ('1_000').
-    """
-    trimmed = strip(text)
-    grouped = F.when(trimmed.contains("_"), F.regexp_replace(trimmed, r"(?<=\d)_(?=\d)", "")).otherwise(trimmed)
-    suffixed = F.lower(F.right(trimmed, F.lit(1))).isin("d", "f") & ~F.lower(trimmed).endswith("inf")
-    return F.when(~suffixed, grouped.try_cast("double"))
+
+def to_double_sql(text: str) -> str:
+    """`to_double` of a SQL expression, for column lists written as SQL text."""
+    return f"CASE WHEN {text} RLIKE r'{FLOAT_TEXT}' THEN try_cast(replace({text}, '_', '') AS DOUBLE) END"
 
 
 def number_at(value: Column, path: str | Column) -> Column:

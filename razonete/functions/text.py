@@ -10,7 +10,7 @@ WHITESPACE = " \t\n\r\f\v"
 
 # A pt-BR amount closing a line: optional sign, brackets and currency mark,
 # dots between thousands, a comma before the decimals.
-AMOUNT = r"(-?)\s*\(?\s*(?:R\$\s*)?(-?)((?:\d{1,3}(?:\.\d{3})+|\d+)(?:,\d+)?)\)?\s*$"
+AMOUNT = r"-?\s*\(?\s*(?:R\$\s*)?-?(?:\d{1,3}(?:\.\d{3})+|\d+)(?:,\d+)?\)?\s*$"
 
 
 def strip(text: Column) -> Column:
@@ -42,25 +42,26 @@ def preview(text: Column, length: int) -> Column:
 
 
 def normal_label(text: Column) -> Column:
-    """Lower-case, accent-free, single-spaced label without trailing punctuation."""
-    plain = F.translate(F.lower(text), ACCENTED, PLAIN)
-    return strip(F.regexp_replace(F.regexp_replace(plain, r"[\s.:_\-]+$", ""), r"\s+", " "))
+    """Lower-case, accent-free, single-spaced label without punctuation around it."""
+    plain = F.btrim(F.translate(F.lower(text), ACCENTED + WHITESPACE, PLAIN + " " * len(WHITESPACE)), F.lit(" .:_-"))
+    return F.when(plain.contains("  "), F.regexp_replace(plain, " {2,}", " ")).otherwise(plain)
 
 
-def line_label(line: Column) -> Column:
-    """What precedes the closing amount of a statement line."""
-    return normal_label(F.regexp_replace(line, AMOUNT, ""))
+def amount_tail(line: Column) -> Column:
+    """The amount that closes a statement line, as written; '' when there is none."""
+    return F.regexp_extract(line, AMOUNT, 0)
 
 
-def line_amount(line: Column) -> Column:
-    """The closing pt-BR amount of a line as DECIMAL(20,2); NULL when there is none.
+def label_before(line: Column, tail: Column) -> Column:
+    return normal_label(F.left(line, F.length(line) - F.length(tail)))
+
+
+def tail_amount(tail: Column) -> Column:
+    """DECIMAL(20,2) of a closing amount, NULL for ''.
 
     Brackets are decoration; only a minus sign makes the amount negative.
     """
-    digits = F.regexp_extract(line, AMOUNT, 3)
-    number = F.translate(digits, ",.", ".").try_cast("decimal(20,2)")
-    signs = F.concat(F.regexp_extract(line, AMOUNT, 1), F.regexp_extract(line, AMOUNT, 2))
-    return F.when(signs.contains("-"), -number).otherwise(number).cast("decimal(20,2)")
+    return F.translate(tail, ",.()R$" + WHITESPACE, ".").try_cast("decimal(20,2)")
 
 
 # Unit scales a statement may declare for its amounts.

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from razonete.functions.jsonops import number_at, path_get, to_double
+from razonete.functions.jsonops import to_double_sql
 from razonete.schemas import STATEMENT_KEY
 from razonete.sources.dictionary import FIELDS, LAST_SECTION, PATHS, Field, sections_df, with_label
 
@@ -26,12 +26,23 @@ def _with_fixes(statements: DataFrame, corrections: DataFrame) -> DataFrame:
             .join(corrections_by_document(corrections), "document_name", "left"))
 
 
-def _is_fixed(field: Field) -> Column:
-    return F.coalesce(F.map_contains_key("fixes", F.lit(field.path)), F.lit(False))
+# The per-field expressions below are SQL text: one call builds all columns.
 
+def _raw_texts(fields: list[Field]) -> list[str]:
+    return [f"try_variant_get(record, '$.{f.path}', 'string') AS raw_{f.ord}" for f in fields]
 
-def _fix(field: Field) -> Column:
-    return F.try_element_at("fixes", F.lit(field.path))
+
+def _is_fixed(field: Field) -> str:
+    return f"coalesce(map_contains_key(fixes, '{field.path}'), false)"
+
+
+def _fix(field: Field) -> str:
+    return f"try_element_at(fixes, '{field.path}')"
+
+
+def _truth(field: Field) -> str:
+    """JSON true and false count as 1 and 0; the texts 'true' and 'false' do not."""
+    return f"CASE WHEN raw_{field.ord} IN ('true', 'false') THEN try_variant_get(record, '$.{field.path}', 'double') END"
 
 
 def overlay(statements: DataFrame, corrections: DataFrame, fields: list[Field] = FIELDS) -> DataFrame:
@@ -40,18 +51,20 @@ def overlay(statements: DataFrame, corrections: DataFrame, fields: list[Field] =
     The corrected value wins. A number field gives value_num, or value_text
     where the value is no number; other fields give value_text.
     """
-    def cell(field: Field) -> Column:
-        text = F.when(_is_fixed(field), _fix(field)).otherwise(path_get(F.col("record"), field.path))
-        number = F.lit(None).cast("double")
-        if field.is_number:
-            number = F.when(_is_fixed(field), to_double(_fix(field))).otherwise(number_at(F.col("record"), field.path))
-        return F.struct(F.lit(field.ord).alias("ord"), F.lit(field.path).alias("path"), text.alias("text"),
-                        number.alias("value_num"), _is_fixed(field).alias("corrected"))
-
-    cells = _with_fixes(statements, corrections).select(*STATEMENT_KEY, F.inline(F.array(*[cell(f) for f in fields])))
-    return (cells.where(F.col("text").isNotNull() | F.col("corrected"))
-            .select(*STATEMENT_KEY, "ord", "path",
-                    F.when(F.col("value_num").isNull(), F.col("text")).alias("value_text"), "value_num", "corrected"))
+    def cell(f: Field) -> str:
+        truth = _truth(f) if f.is_number else "CAST(NULL AS DOUBLE)"
+        return (f"named_struct('ord', {f.ord}, 'path', '{f.path}', 'is_number', {f.is_number}, 'raw', raw_{f.ord}, "
+                f"'truth', {truth}, 'fix', {_fix(f)}, 'corrected', {_is_fixed(f)})")
+
+    read = _with_fixes(statements, corrections).selectExpr(*STATEMENT_KEY, "record", "fixes", *_raw_texts(fields))
+    cells = (read.selectExpr(*STATEMENT_KEY, f"inline(array({', '.join(cell(f) for f in fields)}))")
+             .where("raw IS NOT NULL OR corrected"))
+    texts = cells.selectExpr(*STATEMENT_KEY, "ord", "path", "is_number", "corrected",
+                             "CASE WHEN corrected THEN fix ELSE raw END AS text",
+                             "CASE WHEN NOT corrected THEN truth END AS truth")
+    numbers = texts.withColumn("value_num", F.expr(f"CASE WHEN is_number THEN coalesce({to_double_sql('text')}, truth) END"))
+    return numbers.selectExpr(*STATEMENT_KEY, "ord", "path", "CASE WHEN value_num IS NULL THEN text END AS value_text",
+                              "value_num", "corrected")
 
 
 def export_wide(statements: DataFrame, corrections: DataFrame, ordered: bool = True) -> DataFrame:
@@ -60,28 +73,27 @@ def export_wide(statements: DataFrame, corrections: DataFrame, ordered: bool = T
     Number columns are DOUBLE; values that are no numbers go, keyed by path, into
     the JSON object `text_cells` instead of being lost.
     """
-    joined = _with_fixes(statements, corrections)
-    raw = [path_get(F.col("record"), f.path).alias(f"_raw_{f.ord}") for f in FIELDS]
-    numbers = [number_at(F.col("record"), f.path).alias(f"_num_{f.ord}") for f in FIELDS if f.is_number]
-    read = joined.select(*STATEMENT_KEY, "corrections", "fixes", *raw, *numbers)
-
-    def text(f: Field) -> Column:
-        return F.when(_is_fixed(f), _fix(f)).otherwise(F.col(f"_raw_{f.ord}"))
+    numbers = [f for f in FIELDS if f.is_number]
 
-    def value(f: Field) -> Column:
+    def value(f: Field) -> str:
         if not f.is_number:
-            return F.when(_is_fixed(f), _fix(f)).otherwise(F.coalesce(f"_raw_{f.ord}", F.lit(""))).alias(f.column)
-        return F.when(_is_fixed(f), to_double(_fix(f))).otherwise(F.col(f"_num_{f.ord}")).alias(f.column)
-
-    valued = read.select(*STATEMENT_KEY, *[value(f) for f in FIELDS], "corrections",
-                         *[text(f).alias(f"_text_{f.ord}") for f in FIELDS if f.is_number])
-    left_over = F.array_compact(F.array(*[
-        F.when(F.col(f.column).isNull() & F.col(f"_text_{f.ord}").isNotNull(),
-               F.struct(F.lit(f.path).alias("key"), F.col(f"_text_{f.ord}").alias("value")))
-        for f in FIELDS if f.is_number]))
-    wide = (valued.withColumn("_left_over", left_over)
-            .select(*STATEMENT_KEY, *[f.column for f in FIELDS], "corrections",
-                    F.when(F.size("_left_over") > 0, F.to_json(F.map_from_entries("_left_over"))).alias("text_cells")))
+            return f"coalesce(text_{f.ord}, CASE WHEN NOT fixed_{f.ord} THEN '' END) AS {f.column}"
+        truth = f"CASE WHEN NOT fixed_{f.ord} THEN {_truth(f)} END"
+        return f"coalesce({to_double_sql(f'text_{f.ord}')}, {truth}) AS {f.column}"
+
+    read = _with_fixes(statements, corrections).selectExpr(
+        *STATEMENT_KEY, "corrections", "fixes", "record", *_raw_texts(FIELDS))
+    texts = read.selectExpr(
+        *STATEMENT_KEY, "corrections", "record", *[f"raw_{f.ord}" for f in numbers],
+        *[f"{_is_fixed(f)} AS fixed_{f.ord}" for f in FIELDS],
+        *[f"CASE WHEN {_is_fixed(f)} THEN {_fix(f)} ELSE raw_{f.ord} END AS text_{f.ord}" for f in FIELDS])
+    valued = texts.selectExpr(*STATEMENT_KEY, *[value(f) for f in FIELDS], "corrections",
+                              *[f"text_{f.ord}" for f in numbers])
+    left_over = ", ".join(f"CASE WHEN {f.column} IS NULL AND text_{f.ord} IS NOT NULL "
+                          f"THEN named_struct('key', '{f.path}', 'value', text_{f.ord}) END" for f in numbers)
+    wide = (valued.withColumn("left_over", F.expr(f"array_compact(array({left_over}))"))
+            .selectExpr(*STATEMENT_KEY, *[f.column for f in FIELDS], "corrections",
+                        "CASE WHEN size(left_over) > 0 THEN to_json(map_from_entries(left_over)) END AS text_cells"))
     return wide.orderBy(*STATEMENT_KEY) if ordered else wide
 
 

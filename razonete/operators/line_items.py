@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from razonete.functions.text import format_amount, line_amount, line_label, scale_factor
+from razonete.functions.jsonops import computed_once
+from razonete.functions.text import amount_tail, format_amount, label_before, scale_factor, tail_amount
 from razonete.schemas import STATEMENT_KEY
 from razonete.sources.dictionary import FIELDS, synonyms_df
 
@@ -22,10 +23,14 @@ def split_lines(documents: DataFrame, text: str = "raw_parsed") -> DataFrame:
 
 
 def read_lines(lines: DataFrame) -> DataFrame:
-    """Add the normalised label and the scaled amount (NULL without an amount)."""
-    scale = scale_factor(F.col("escala_valores")) if "escala_valores" in lines.columns else F.lit(1)
-    return lines.select(*STATEMENT_KEY, line_label(F.col("line")).alias("label"),
-                        (line_amount(F.col("line")) * scale).cast("decimal(28,2)").alias("value"))
+    """Add the normalised label and the scaled amount (NULL without an amount). One pattern match per line."""
+    line, tail = F.col("line"), F.col("_tail")
+    amount = tail_amount(tail)
+    if "escala_valores" in lines.columns:
+        amount = amount * scale_factor(F.col("escala_valores"))
+    read = F.struct(label_before(line, tail).alias("label"), amount.cast("decimal(28,2)").alias("value"))
+    tailed = computed_once(lines, "_tail", amount_tail(line))
+    return computed_once(tailed, "_read", read).select(*STATEMENT_KEY, "_read.label", "_read.value")
 
 
 def match_lines(lines: DataFrame, synonyms: DataFrame | None = None) -> DataFrame:
@@ -48,8 +53,8 @@ def line_items(lines: DataFrame, synonyms: DataFrame | None = None) -> DataFrame
             .agg(F.sum("value").alias("value"), F.count("*").alias("n_lines")))
 
 
-def line_item_provenance(lines: DataFrame, synonyms: DataFrame | None = None) -> DataFrame:
-    """Where each non-zero field came from, as text: its labels, amounts and the operation.
+def line_item_cells(lines: DataFrame, synonyms: DataFrame | None = None) -> DataFrame:
+    """Line items with `fonte`: the labels, amounts and operation a non-zero value came from.
 
     Lines are first summed per label, so the labels joined into one text are at
     most the synonyms of that field, however many lines a document has.
@@ -61,35 +66,31 @@ def line_item_provenance(lines: DataFrame, synonyms: DataFrame | None = None) ->
     summed = (by_label.withColumn("part", part).groupBy(*ITEM_KEY)
               .agg(F.expr("listagg(part, ' + ') WITHIN GROUP (ORDER BY label)").alias("parts"),
                    F.sum("value").alias("value"), F.sum("n").alias("n_lines")))
-    single = F.col("n_lines") == 1
-    text = F.when(single, F.concat("parts", F.lit(": leitura direta"))).otherwise(
+    text = F.when(F.col("n_lines") == 1, F.concat("parts", F.lit(": leitura direta"))).otherwise(
         F.concat("parts", F.lit(" = "), format_amount(F.col("value")), F.lit(": soma")))
-    return summed.where("value <> 0").select(*ITEM_KEY, text.alias("fonte"))
+    return summed.select(*ITEM_KEY, "value", "n_lines", F.when(F.col("value") != 0, text).alias("fonte"))
+
+
+def line_item_provenance(lines: DataFrame, synonyms: DataFrame | None = None) -> DataFrame:
+    """Where each non-zero field came from, as text."""
+    return line_item_cells(lines, synonyms).where("fonte IS NOT NULL").select(*ITEM_KEY, "fonte")
 
 
-def assemble_records(items: DataFrame, provenance: DataFrame | None = None) -> DataFrame:
-    """Field values back to one JSON record per (document, entity type, period).
+def assemble_records(cells: DataFrame) -> DataFrame:
+    """`line_item_cells` back to one JSON record per (document, entity type, period).
 
     Number fields without a line are 0.00. The map per record holds at most the
     paths of the dictionary, because only those can be matched.
     """
-    if provenance is not None:
-        items = items.join(provenance, ITEM_KEY, "left")
-    else:
-        items = items.withColumn("fonte", F.lit(None).cast("string"))
     entry = F.struct("path", F.struct(F.col("value").cast("decimal(28,2)").alias("value"), "fonte"))
-    cells = items.groupBy(*STATEMENT_KEY).agg(F.map_from_entries(F.collect_list(entry)).alias("cells"))
-    sections: dict[str, list] = {}
+    maps = cells.groupBy(*STATEMENT_KEY).agg(F.map_from_entries(F.collect_list(entry)).alias("cells"))
+    sections: dict[str, list[str]] = {}
     for field in FIELDS:
         if field.is_number:
             section, _, name = field.path.rpartition(".")
-            value = F.coalesce(F.try_element_at("cells", F.lit(field.path))["value"],
-                               F.lit(0).cast("decimal(28,2)")).alias(name)
-            sections.setdefault(section, []).append(value)
-    roots = sections.pop("")
-    with_text = F.map_filter("cells", lambda _, cell: cell["fonte"].isNotNull())
-    record = F.struct(
-        F.col("tipo_entidade"), F.struct("periodo").alias("identificacao"), *roots,
-        *[F.struct(*columns).alias(section) for section, columns in sections.items()],
-        F.transform_values(with_text, lambda _, cell: cell["fonte"]).alias("fontes"))
-    return cells.select(*STATEMENT_KEY, F.to_json(record).alias("extracted"))
+            amount = f"coalesce(try_element_at(cells, '{field.path}').value, CAST(0 AS DECIMAL(28,2)))"
+            sections.setdefault(section, []).append(f"'{name}', {amount}")
+    members = ["'tipo_entidade', tipo_entidade", "'identificacao', named_struct('periodo', periodo)", *sections.pop("")]
+    members += [f"'{section}', named_struct({', '.join(inner)})" for section, inner in sections.items()]
+    members.append("'fontes', transform_values(map_filter(cells, (_, c) -> c.fonte IS NOT NULL), (_, c) -> c.fonte)")
+    return maps.select(*STATEMENT_KEY, F.expr(f"to_json(named_struct({', '.join(members)}))").alias("extracted"))

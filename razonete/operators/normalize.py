@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from razonete.functions.jsonops import (
-    as_records, number_at, parse_column, parse_failure, path_get, safe_double, strip_fences, text_at, unwrap_envelope)
+    as_records, computed_once, number_at, parse_column, parse_failure, path_get, safe_double, strip_fences,
+    text_at, unwrap_envelope)
 from razonete.functions.text import basename
 from razonete.schemas import STATEMENT_KEY
 
@@ -30,7 +31,7 @@ def records(extracted: DataFrame) -> DataFrame:
     exploded = (answers(extracted)
                 .select("document_name", "path", F.col("reason").alias("_failed"),
                         F.posexplode_outer(as_records(F.col("answer"))).alias("pos", "record")))
-    tagged = exploded.withColumn("extracted_json", F.to_json("record"))
+    tagged = computed_once(exploded, "extracted_json", F.to_json("record"))
     reason = (F.when(F.col("_failed").isNotNull(), F.col("_failed"))
                .when(F.col("record").isNull(), "no_records")
                .when(path_get(F.col("record"), "error") == "parse_failed", "parse_failed")

@@ -482,8 +482,7 @@ def line_item_provenance(spark, folder):
 @query
 def assemble_records(spark, folder):
     """Line items and provenance back to JSON, read again field by field."""
-    lines = derived.statement_lines(spark, folder)
-    built = items.assemble_records(items.line_items(lines), items.line_item_provenance(lines))
+    built = items.assemble_records(items.line_item_cells(derived.statement_lines(spark, folder)))
     record = F.col("record")
     return built.withColumn("record", F.try_parse_json("extracted")).select(
         "document_name", jsonops.path_get(record, "tipo_entidade").alias("tipo_entidade"),

@@ -22,19 +22,28 @@ RUNTIME_CONF = {
 }
 
 
+# Settings that hold from the start of a session on.
+STATIC_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    # Do not look up the call site of every column expression of a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
 
 
-def build_session(master: str | None = None, app: str = "razonete", **conf: str) -> SparkSession:
+def build_session(master: str | None = None, app: str = "razonete",
+                  conf: dict[str, str] | None = None) -> SparkSession:
     """A session with the settings above; on a cluster leave `master` to spark-submit."""
-    builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC")
+    builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in conf.items():
-        builder = builder.config(key.replace("__", "."), value)
+    for key, value in {**STATIC_CONF, **(conf or {})}.items():
+        builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 
 
