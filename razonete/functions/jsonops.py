@@ -60,6 +60,13 @@ def is_truthy(value: Column) -> Column:
     return value.isNotNull() & ~F.to_json(value).isin(FALSY)
 
 
+def is_string(value: Column) -> Column:
+    """Whether a VARIANT is a text; arrays and objects are told apart without writing them out."""
+    nested = (F.try_variant_get(value, "$", "array<variant>").isNotNull()
+              | F.try_variant_get(value, "$", "map<string, variant>").isNotNull())
+    return F.when(nested, F.lit(False)).otherwise(F.to_json(value).startswith('"'))
+
+
 def unwrap_envelope(df: DataFrame, value: str, out: str, reason: str) -> DataFrame:
     """Take the answer out of a call envelope.
 
@@ -79,7 +86,7 @@ def unwrap_envelope(df: DataFrame, value: str, out: str, reason: str) -> DataFra
                             & is_truthy(F.try_variant_get(value, "$.errorMessage", "variant")), "call_error")
                       .when(F.is_variant_null("_result"), "null_result"))
           .withColumn("_inner", F.coalesce("_result", single))
-          .withColumn("_inner_text", F.when(F.to_json("_inner").startswith('"'),
+          .withColumn("_inner_text", F.when(is_string(F.col("_inner")),
                                             strip_fences(F.try_variant_get("_inner", "$", "string"))))
     )
     step = parse_column(step, "_inner_text", "_parsed")
@@ -118,6 +125,33 @@ def number_at(value: Column, path: str | Column) -> Column:
     return F.coalesce(to_double(text), F.when(text.isin("true", "false"), path_get(value, path, "double")))
 
 
+def fields_ddl(paths: list[str]) -> str:
+    """DDL of a record that holds the given one- or two-step paths as texts."""
+    sections: dict[str, list[str]] = {}
+    for path in paths:
+        section, _, name = path.rpartition(".")
+        sections.setdefault(section, []).append(f"{name}: string")
+    members = sections.pop("", [])
+    members += [f"{section}: struct<{', '.join(inner)}>" for section, inner in sections.items()]
+    return f"struct<{', '.join(members)}>"
+
+
+def read_fields(df: DataFrame, paths: list[str], keep: list[str], text: str = "extracted_json") -> DataFrame:
+    """`keep` columns, then `raw_<i>` (the text at paths[i]) and `truth_<i>` for each path.
+
+    One pass over the JSON text fills a struct with all paths, which costs far
+    less than a search per path. truth_<i> is 1.0 or 0.0 where the value is a
+    JSON boolean, to tell it from the texts 'true' and 'false'; only records
+    that hold a boolean are parsed a second time for it.
+    """
+    parsed = df.selectExpr(*keep, f"from_json({text}, '{fields_ddl(paths)}') AS fields",
+                           f"CASE WHEN {text} RLIKE r':\\s*(true|false)' THEN try_parse_json({text}) END AS booleans")
+    raw = parsed.selectExpr(*keep, "booleans", *[f"fields.{path} AS raw_{i}" for i, path in enumerate(paths)])
+    truths = [f"CASE WHEN booleans IS NOT NULL AND raw_{i} IN ('true', 'false') "
+              f"THEN try_variant_get(booleans, '$.{path}', 'double') END AS truth_{i}" for i, path in enumerate(paths)]
+    return raw.selectExpr(*keep, *[f"raw_{i}" for i in range(len(paths))], *truths)
+
+
 def safe_double(value: Column, path: str | Column) -> Column:
     """Number at a path, 0.0 when missing or not a number."""
     return F.coalesce(number_at(value, path), F.lit(0.0))

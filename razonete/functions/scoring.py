@@ -14,7 +14,7 @@ def _score(name: Column, value: Column, rationale: Column) -> Column:
 
 
 def _plain(number: Column) -> Column:
-    return F.translate(F.format_number(number, 2), ",", "")
+    return F.replace(F.format_number(number, 2), F.lit(","))
 
 
 def score_field(extracted: Column, expected: Column, corrected: Column | None = None, tol: float = 0.01) -> Column:

@@ -43,8 +43,10 @@ def preview(text: Column, length: int) -> Column:
 
 def normal_label(text: Column) -> Column:
     """Lower-case, accent-free, single-spaced label without punctuation around it."""
-    plain = F.btrim(F.translate(F.lower(text), ACCENTED + WHITESPACE, PLAIN + " " * len(WHITESPACE)), F.lit(" .:_-"))
-    return F.when(plain.contains("  "), F.regexp_replace(plain, " {2,}", " ")).otherwise(plain)
+    # translate() looks up every character; plain ASCII labels need no accents removed.
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    plain = F.when(ascii_only, F.lower(text)).otherwise(F.translate(F.lower(text), ACCENTED, PLAIN))
+    return F.btrim(F.regexp_replace(plain, r"\s+", " "), F.lit(" .:_-"))
 
 
 def amount_tail(line: Column) -> Column:
@@ -61,7 +63,8 @@ def tail_amount(tail: Column) -> Column:
 
     Brackets are decoration; only a minus sign makes the amount negative.
     """
-    return F.translate(tail, ",.()R$" + WHITESPACE, ".").try_cast("decimal(20,2)")
+    number = F.replace(F.regexp_replace(tail, r"[.()R$\s]", ""), F.lit(","), F.lit("."))
+    return number.try_cast("decimal(20,2)")
 
 
 # Unit scales a statement may declare for its amounts.
@@ -79,7 +82,13 @@ def scale_factor(scale: Column) -> Column:
 
 def format_amount(value: Column, digits: int = 2) -> Column:
     """1234.5 -> '1.234,50'."""
-    return F.translate(F.format_number(value, digits), ",.", ".,")
+    return swap_marks(F.format_number(value, digits))
+
+
+def swap_marks(number: Column) -> Column:
+    """Exchange the comma and the dot of a formatted number."""
+    swapped = F.replace(F.replace(number, F.lit(","), F.lit("_")), F.lit("."), F.lit(","))
+    return F.replace(swapped, F.lit("_"), F.lit("."))
 
 
 def format_money(value: Column, digits: int = 2) -> Column:
@@ -90,7 +99,7 @@ def format_money(value: Column, digits: int = 2) -> Column:
 
 def fixed_two(value: Column) -> Column:
     """1234.5 -> '1234.50', the plain form shown while editing."""
-    return F.translate(F.format_number(value, 2), ",", "")
+    return F.replace(F.format_number(value, 2), F.lit(","))
 
 
 def format_cell(text: Column, kind: Column) -> Column:

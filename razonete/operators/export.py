@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from razonete.functions.jsonops import to_double_sql
+from razonete.functions.jsonops import computed_once, read_fields, to_double_sql
 from razonete.schemas import STATEMENT_KEY
 from razonete.sources.dictionary import FIELDS, LAST_SECTION, PATHS, Field, sections_df, with_label
 
@@ -21,17 +21,13 @@ def corrections_by_document(corrections: DataFrame) -> DataFrame:
 
 
 def _with_fixes(statements: DataFrame, corrections: DataFrame) -> DataFrame:
-    """Statements with their parsed record and their document's fixes: one join for all fields."""
-    return (statements.select(*STATEMENT_KEY, F.try_parse_json("extracted_json").alias("record"))
-            .join(corrections_by_document(corrections), "document_name", "left"))
+    """Statements with their document's fixes: one join for all fields."""
+    return statements.select(*STATEMENT_KEY, "extracted_json").join(
+        corrections_by_document(corrections), "document_name", "left")
 
 
 # The per-field expressions below are SQL text: one call builds all columns.
 
-def _raw_texts(fields: list[Field]) -> list[str]:
-    return [f"try_variant_get(record, '$.{f.path}', 'string') AS raw_{f.ord}" for f in fields]
-
-
 def _is_fixed(field: Field) -> str:
     return f"coalesce(map_contains_key(fixes, '{field.path}'), false)"
 
@@ -40,25 +36,21 @@ def _fix(field: Field) -> str:
     return f"try_element_at(fixes, '{field.path}')"
 
 
-def _truth(field: Field) -> str:
-    """JSON true and false count as 1 and 0; the texts 'true' and 'false' do not."""
-    return f"CASE WHEN raw_{field.ord} IN ('true', 'false') THEN try_variant_get(record, '$.{field.path}', 'double') END"
-
-
 def overlay(statements: DataFrame, corrections: DataFrame, fields: list[Field] = FIELDS) -> DataFrame:
     """Long form: a row per statement and field that has a value or a correction.
 
     The corrected value wins. A number field gives value_num, or value_text
     where the value is no number; other fields give value_text.
     """
-    def cell(f: Field) -> str:
-        truth = _truth(f) if f.is_number else "CAST(NULL AS DOUBLE)"
-        return (f"named_struct('ord', {f.ord}, 'path', '{f.path}', 'is_number', {f.is_number}, 'raw', raw_{f.ord}, "
-                f"'truth', {truth}, 'fix', {_fix(f)}, 'corrected', {_is_fixed(f)})")
-
-    read = _with_fixes(statements, corrections).selectExpr(*STATEMENT_KEY, "record", "fixes", *_raw_texts(fields))
-    cells = (read.selectExpr(*STATEMENT_KEY, f"inline(array({', '.join(cell(f) for f in fields)}))")
-             .where("raw IS NOT NULL OR corrected"))
+    def cell(i: int, f: Field) -> str:
+        return (f"CASE WHEN raw_{i} IS NOT NULL OR {_is_fixed(f)} THEN named_struct('ord', {f.ord}, 'path', '{f.path}', "
+                f"'is_number', {f.is_number}, 'raw', raw_{i}, 'truth', truth_{i}, 'fix', {_fix(f)}, "
+                f"'corrected', {_is_fixed(f)}) END")
+
+    present = f"array_compact(array({', '.join(cell(i, f) for i, f in enumerate(fields))}))"
+    read = read_fields(_with_fixes(statements, corrections), [f.path for f in fields], [*STATEMENT_KEY, "fixes"])
+    # The outer form: for the plain one Spark would build the array once more in a filter on its size.
+    cells = read.selectExpr(*STATEMENT_KEY, f"inline_outer({present})").where("path IS NOT NULL")
     texts = cells.selectExpr(*STATEMENT_KEY, "ord", "path", "is_number", "corrected",
                              "CASE WHEN corrected THEN fix ELSE raw END AS text",
                              "CASE WHEN NOT corrected THEN truth END AS truth")
@@ -73,28 +65,30 @@ def export_wide(statements: DataFrame, corrections: DataFrame, ordered: bool = T
     Number columns are DOUBLE; values that are no numbers go, keyed by path, into
     the JSON object `text_cells` instead of being lost.
     """
-    numbers = [f for f in FIELDS if f.is_number]
+    numbers = [(i, f) for i, f in enumerate(FIELDS) if f.is_number]
 
-    def value(f: Field) -> str:
+    def value(i: int, f: Field) -> str:
         if not f.is_number:
-            return f"coalesce(text_{f.ord}, CASE WHEN NOT fixed_{f.ord} THEN '' END) AS {f.column}"
-        truth = f"CASE WHEN NOT fixed_{f.ord} THEN {_truth(f)} END"
-        return f"coalesce({to_double_sql(f'text_{f.ord}')}, {truth}) AS {f.column}"
-
-    read = _with_fixes(statements, corrections).selectExpr(
-        *STATEMENT_KEY, "corrections", "fixes", "record", *_raw_texts(FIELDS))
+            return f"coalesce(text_{i}, CASE WHEN NOT fixed_{i} THEN '' END) AS {f.column}"
+        return f"coalesce({to_double_sql(f'text_{i}')}, CASE WHEN NOT fixed_{i} THEN truth_{i} END) AS {f.column}"
+
+    joined = _with_fixes(statements, corrections)
+    if ordered:
+        # Sorted before the columns are made: the sort's sampling pass does not
+        # compute them, and the projections that follow keep the order.
+        joined = joined.orderBy(*STATEMENT_KEY)
+    read = read_fields(joined, [f.path for f in FIELDS], [*STATEMENT_KEY, "corrections", "fixes"])
     texts = read.selectExpr(
-        *STATEMENT_KEY, "corrections", "record", *[f"raw_{f.ord}" for f in numbers],
-        *[f"{_is_fixed(f)} AS fixed_{f.ord}" for f in FIELDS],
-        *[f"CASE WHEN {_is_fixed(f)} THEN {_fix(f)} ELSE raw_{f.ord} END AS text_{f.ord}" for f in FIELDS])
-    valued = texts.selectExpr(*STATEMENT_KEY, *[value(f) for f in FIELDS], "corrections",
-                              *[f"text_{f.ord}" for f in numbers])
-    left_over = ", ".join(f"CASE WHEN {f.column} IS NULL AND text_{f.ord} IS NOT NULL "
-                          f"THEN named_struct('key', '{f.path}', 'value', text_{f.ord}) END" for f in numbers)
-    wide = (valued.withColumn("left_over", F.expr(f"array_compact(array({left_over}))"))
+        *STATEMENT_KEY, "corrections", *[f"truth_{i}" for i, _ in numbers],
+        *[f"{_is_fixed(f)} AS fixed_{i}" for i, f in enumerate(FIELDS)],
+        *[f"CASE WHEN {_is_fixed(f)} THEN {_fix(f)} ELSE raw_{i} END AS text_{i}" for i, f in enumerate(FIELDS)])
+    valued = texts.selectExpr(*STATEMENT_KEY, *[value(i, f) for i, f in enumerate(FIELDS)], "corrections",
+                              *[f"text_{i}" for i, _ in numbers])
+    left_over = ", ".join(f"CASE WHEN {f.column} IS NULL AND text_{i} IS NOT NULL "
+                          f"THEN named_struct('key', '{f.path}', 'value', text_{i}) END" for i, f in numbers)
+    return (valued.withColumn("left_over", F.expr(f"array_compact(array({left_over}))"))
             .selectExpr(*STATEMENT_KEY, *[f.column for f in FIELDS], "corrections",
                         "CASE WHEN size(left_over) > 0 THEN to_json(map_from_entries(left_over)) END AS text_cells"))
-    return wide.orderBy(*STATEMENT_KEY) if ordered else wide
 
 
 def export_corrections(corrections: DataFrame) -> DataFrame:
@@ -102,16 +96,22 @@ def export_corrections(corrections: DataFrame) -> DataFrame:
             .orderBy("document_name", "campo"))
 
 
-def provenance_entries(statements: DataFrame) -> DataFrame:
-    """One row per entry of the `fontes` object of each statement; '' for an empty text."""
+def provenance_entries(statements: DataFrame, ordered: bool = False) -> DataFrame:
+    """One row per entry of the `fontes` object of each statement; '' for an empty text.
+
+    Ordered means by statement and path: the statements are sorted, not their
+    entries, whose order within a statement is that of the sorted array.
+    """
     fontes = F.try_variant_get(F.try_parse_json("extracted_json"), "$.fontes", "map<string, string>")
-    return (statements.select(*STATEMENT_KEY, F.explode(fontes).alias("path", "fonte"))
+    entries = computed_once(statements, "entries", F.sort_array(F.map_entries(fontes))).select(*STATEMENT_KEY, "entries")
+    if ordered:
+        entries = entries.orderBy(*STATEMENT_KEY)
+    return (entries.select(*STATEMENT_KEY, F.inline("entries")).withColumnsRenamed({"key": "path", "value": "fonte"})
             .withColumn("fonte", F.coalesce("fonte", F.lit(""))))
 
 
 def export_provenance(statements: DataFrame, ordered: bool = True) -> DataFrame:
-    entries = with_label(provenance_entries(statements)).select(*STATEMENT_KEY, "label", "fonte", "path")
-    return entries.orderBy(*STATEMENT_KEY, "path") if ordered else entries
+    return with_label(provenance_entries(statements, ordered)).select(*STATEMENT_KEY, "label", "fonte", "path")
 
 
 def provenance_by_section(statements: DataFrame) -> DataFrame:
@@ -131,8 +131,8 @@ def provenance_by_section(statements: DataFrame) -> DataFrame:
 
 def provenance_panel(statements: DataFrame, document_name: str) -> DataFrame:
     """The entries of one document as shown beside its fields."""
-    rows = provenance_entries(statements.where(F.col("document_name") == document_name))
-    return with_label(rows, which="panel_label").orderBy(*STATEMENT_KEY, "path")
+    rows = provenance_entries(statements.where(F.col("document_name") == document_name), ordered=True)
+    return with_label(rows, which="panel_label")
 
 
 def write_export(statements: DataFrame, corrections: DataFrame, folder: str, format_: str = "csv") -> None:

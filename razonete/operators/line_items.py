@@ -19,7 +19,7 @@ ITEM_KEY = [*STATEMENT_KEY, "path"]
 def split_lines(documents: DataFrame, text: str = "raw_parsed") -> DataFrame:
     """One row per line of each document, its other columns kept."""
     rest = [c for c in documents.columns if c != text]
-    return documents.select(*rest, F.explode(F.split(F.col(text), "\n")).alias("line"))
+    return documents.select(*rest, F.explode_outer(F.split(F.col(text), "\n")).alias("line")).where("line IS NOT NULL")
 
 
 def read_lines(lines: DataFrame) -> DataFrame:
@@ -28,9 +28,10 @@ def read_lines(lines: DataFrame) -> DataFrame:
     amount = tail_amount(tail)
     if "escala_valores" in lines.columns:
         amount = amount * scale_factor(F.col("escala_valores"))
-    read = F.struct(label_before(line, tail).alias("label"), amount.cast("decimal(28,2)").alias("value"))
-    tailed = computed_once(lines, "_tail", amount_tail(line))
-    return computed_once(tailed, "_read", read).select(*STATEMENT_KEY, "_read.label", "_read.value")
+    # The label is never NULL, so the join on it adds no filter that would compute it again.
+    return computed_once(lines, "_tail", amount_tail(line)).select(
+        *STATEMENT_KEY, F.coalesce(label_before(line, tail), F.lit("")).alias("label"),
+        amount.cast("decimal(28,2)").alias("value"))
 
 
 def match_lines(lines: DataFrame, synonyms: DataFrame | None = None) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from razonete.functions.jsonops import (
-    as_records, computed_once, number_at, parse_column, parse_failure, path_get, safe_double, strip_fences,
-    text_at, unwrap_envelope)
+    as_records, computed_once, parse_column, parse_failure, path_get, read_fields, safe_double, strip_fences,
+    text_at, to_double_sql, unwrap_envelope)
 from razonete.functions.text import basename
 from razonete.schemas import STATEMENT_KEY
 
@@ -109,13 +109,13 @@ FLAT_NUMBERS = {
 
 
 def flatten_statement(statements: DataFrame) -> DataFrame:
-    """Main fields of each record as typed columns; the text is parsed once for all of them."""
-    record = F.col("_record")
-    parsed = statements.select("document_name", "extracted_json", F.try_parse_json("extracted_json").alias("_record"))
-    return parsed.select(
-        "document_name", "extracted_json",
-        *[path_get(record, path).alias(name) for name, path in FLAT_TEXTS.items()],
-        *[number_at(record, path).alias(name) for name, path in FLAT_NUMBERS.items()])
+    """Main fields of each record as typed columns, read in one pass over its text."""
+    paths = [*FLAT_TEXTS.values(), *FLAT_NUMBERS.values()]
+    read = read_fields(statements, paths, ["document_name", "extracted_json"])
+    texts = [f"raw_{i} AS {name}" for i, name in enumerate(FLAT_TEXTS)]
+    numbers = [f"coalesce({to_double_sql(f'raw_{i}')}, truth_{i}) AS {name}"
+               for i, name in enumerate(FLAT_NUMBERS, len(FLAT_TEXTS))]
+    return read.selectExpr("document_name", "extracted_json", *texts, *numbers)
 
 
 def tag_parse_failures(extracted: DataFrame) -> DataFrame:

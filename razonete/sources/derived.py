@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from razonete.functions.jsonops import computed_once
+from razonete.functions.text import format_amount
+
 MONEY = "decimal(18,2)"
 
 
@@ -75,7 +78,7 @@ def extracted_content(spark: SparkSession, folder: str) -> DataFrame:
                .when(kind == 6, F.to_json(F.get("records", F.lit(0))))
                .when(kind == 7, "5")
                .otherwise(array))
-    return documents.select("path", answer.alias("extracted"))
+    return computed_once(documents, "extracted", answer).select("path", "extracted")
 
 
 def correction_log_of(orders: DataFrame) -> DataFrame:
@@ -114,7 +117,7 @@ def statement_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "A", "Disponibilidades")
          .when(F.col("l_returnflag") == "N", "Caixa e Equivalentes").otherwise("Estoques"),
         F.when(F.col("l_linestatus") == "F", "").otherwise(" Líquidos"))
-    amount = F.translate(F.format_number("l_extendedprice", 2), ",.", ".,")
+    amount = format_amount(F.col("l_extendedprice"))
     return (table(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .select(numbered("c", "o_custkey").alias("document_name"), F.col("o_orderstatus").alias("tipo_entidade"),
                     year_end("o_orderdate").alias("periodo"), F.concat(label, F.lit(": "), amount).alias("line")))
