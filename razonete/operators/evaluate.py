@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from razonete.functions.jsonops import path_get
 from razonete.functions.scoring import score_balance, score_field, score_structure
 from razonete.functions.text import preview
+from razonete.operators.joins import join_unique
 from razonete.operators.review import default_record
 from razonete.sources.dictionary import PATHS
 
@@ -70,8 +71,8 @@ def evaluation_metrics(scores: DataFrame) -> DataFrame:
 def score_corrections(statements: DataFrame, corrections: DataFrame) -> DataFrame:
     """Every correction scored against its document's first record."""
     outputs = default_record(statements.select("document_name", "tipo_entidade", "periodo", "extracted_json"))
-    joined = corrections.select("document_name", "campo", "valor_correto").join(
-        outputs.select("document_name", "extracted_json"), "document_name", "left")
+    joined = join_unique(corrections.select("document_name", "campo", "valor_correto"),
+                         outputs.select("document_name", "extracted_json"), "document_name", "left")
     extracted = path_get(F.try_parse_json("extracted_json"), F.col("campo"))
     return (joined.withColumn("_score", score_field(extracted, F.col("valor_correto")))
             .select("document_name", "campo", F.col("_score.name").alias("metric"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from razonete.functions.jsonops import computed_once, read_fields, to_double_sql
+from razonete.operators.joins import join_unique
 from razonete.schemas import STATEMENT_KEY
 from razonete.sources.dictionary import FIELDS, LAST_SECTION, PATHS, Field, sections_df, with_label
 
@@ -22,8 +23,8 @@ def corrections_by_document(corrections: DataFrame) -> DataFrame:
 
 def _with_fixes(statements: DataFrame, corrections: DataFrame) -> DataFrame:
     """Statements with their document's fixes: one join for all fields."""
-    return statements.select(*STATEMENT_KEY, "extracted_json").join(
-        corrections_by_document(corrections), "document_name", "left")
+    return join_unique(statements.select(*STATEMENT_KEY, "extracted_json"), corrections_by_document(corrections),
+                       "document_name", "left")
 
 
 # The per-field expressions below are SQL text: one call builds all columns.

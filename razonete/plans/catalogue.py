@@ -442,17 +442,16 @@ def prompt_rows(spark, folder):
     return elements.prompt_rows(derived.table(spark, folder, "documents"), elements.PROMPT, "text").select("doc_id", "prompt")
 
 
-def _stub_model(text: str) -> str:
-    if len(text) % 7 == 0:
-        raise ValueError("no answer")
-    return text[:5]
-
-
 @query
 def batch_score(spark, folder):
     """A stub that fails for some texts and else answers with their first letters."""
+    def stub(text: str) -> str:
+        if len(text) % 7 == 0:
+            raise ValueError("no answer")
+        return text[:5]
+
     documents = derived.table(spark, folder, "documents").select("doc_id", "text")
-    scored = calls.batch_score(documents, _stub_model, "text")
+    scored = calls.batch_score(documents, stub, "text")
     return scored.select("doc_id", "response.result", F.col("response.errorMessage").alias("error_message"),
                          F.col("response.attempts").alias("attempts"))
 
@@ -543,8 +542,9 @@ def stream_upsert(spark, folder):
     keys = ["document_name", "campo"]
     log = derived.correction_log_of(_order_stream(spark, folder)).select(*keys, "valor_correto", "criado_em", "seq")
     jobs.stream_upsert(log, f"{path}/store", f"{path}/checkpoint", keys, ("criado_em", "seq")).awaitTermination()
-    stored = tables.read_batches(spark, f"{path}/store", "document_name string, campo string, valor_correto string")
-    return tables.current_rows(stored, keys).select(*keys, "valor_correto")
+    stored = tables.read_batches(spark, f"{path}/store", "document_name string, campo string, valor_correto string, "
+                                 "criado_em timestamp_ntz, seq bigint")
+    return tables.current_rows(stored, keys, ("criado_em", "seq")).select(*keys, "valor_correto")
 
 
 @query

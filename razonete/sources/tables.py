@@ -55,8 +55,9 @@ def read_batches(spark: SparkSession, root: str, schema: str) -> DataFrame:
     return files_or_empty(spark, root, f"{schema}, batch_id bigint")
 
 
-def current_rows(batches: DataFrame, keys: list[str]) -> DataFrame:
-    return latest(batches, keys, ["batch_id"])
+def current_rows(batches: DataFrame, keys: list[str], order: tuple[str, ...] = ()) -> DataFrame:
+    """Newest row per key: by the rows' own order where they have one, then by batch."""
+    return latest(batches, keys, [*order, "batch_id"])
 
 
 def compact(spark: SparkSession, root: str, new_root: str, schema: str, keys: list[str], batch_id: int) -> None:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from razonete.operators.normalize import dedupe_batch, records, rejects_of, statements_of
+from razonete.operators.upsert import latest
 from razonete.schemas import STATEMENT_KEY
 from razonete.sources.files import PDF, file_stream
 from razonete.sources.tables import commit_batch
@@ -28,10 +29,13 @@ def stream_upsert(source: DataFrame, store: str, checkpoint: str, keys: list[str
                   order: tuple[str, ...] = ()) -> StreamingQuery:
     """Commit the last row per key of every micro-batch to a batch folder.
 
-    A batch that is run again after a failure replaces its own folder.
+    The order columns are stored too, so that `tables.current_rows` finds the
+    newest row even if batches arrive out of order; without them a source holds
+    a key once per batch and the later batch wins. A batch that is run again
+    after a failure replaces its own folder.
     """
     def commit(batch: DataFrame, batch_id: int) -> None:
-        commit_batch(dedupe_batch(batch, keys, order) if order else batch, store, batch_id)
+        commit_batch(latest(batch, keys, list(order)) if order else batch, store, batch_id)
 
     return (source.writeStream.foreachBatch(commit)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -1,0 +1,176 @@
+"""The three jobs and the streams on files of their own, run again and again."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from razonete import schemas
+from razonete.operators.batch_score import batch_score, retrying
+from razonete.operators.normalize import dedupe_batch
+from razonete.operators.runs import HardErrors, fail_on_hard_errors
+from razonete.plans import stages
+from razonete.sources import derived, files, tables
+from razonete.streaming import jobs
+
+
+def write_document(folder, name, elements, error=None):
+    folder.mkdir(parents=True, exist_ok=True)
+    content = {"document": {"elements": [{"content": e} for e in elements]}}
+    if error:
+        content["error_status"] = error
+    (folder / name).write_text(json.dumps(content), encoding="utf-8")
+
+
+def parser(df):
+    """The test files hold parser output already."""
+    return df.select("path", F.try_parse_json(F.decode("content", "utf-8")).alias("result"))
+
+
+def model():
+    def answer(prompt):
+        text = prompt.split("STATEMENT:\n")[1]
+        if "timeout" in text:
+            raise TimeoutError("slow")
+        if "garbage" in text:
+            return "no json"
+        return [{"tipo_entidade": kind, "identificacao": {"periodo": "2024"}, "ativo_total": len(text)}
+                for kind in ("A", "B")]
+
+    return answer
+
+
+def test_scan_files(spark, tmp_path):
+    for path in ("a.pdf", "sub/b.PDF", "sub/deep/c.Pdf", "d.txt"):
+        (tmp_path / path).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / path).write_bytes(b"x")
+    found = {r.path for r in files.scan_files(spark, str(tmp_path)).select("path").collect()}
+    assert found == {str(tmp_path / p) for p in ("a.pdf", "sub/b.PDF", "sub/deep/c.Pdf")}
+    assert files.scan_files(spark, str(tmp_path), "*.pdf").count() == 1
+
+
+def test_jobs_take_only_what_is_new(spark, tmp_path):
+    inbox, folders = tmp_path / "in", stages.Folders(str(tmp_path / "tables"))
+
+    def run(number, force=False):
+        parsed = stages.parse_stage(spark, str(inbox), folders, parser, number, 4).first()
+        stages.extract_stage(spark, folders, model(), 4, tries=2, backoff=0.0)
+        summary, errors = stages.process_stage(spark, folders, number, force)
+        return parsed, summary.first(), errors
+
+    write_document(inbox, "one.pdf", ["first", "second"])
+    write_document(inbox / "sub", "two.pdf", ["timeout"])
+    write_document(inbox, "three.pdf", [], "broken")
+    write_document(inbox, "four.pdf", [" "])
+    write_document(inbox, "five.pdf", ["garbage"])
+    parsed, summary, errors = run(0)
+    assert (parsed.succeeded, parsed.failed) == (3, 2)
+    assert summary.asDict() == {"total_rows": 2, "distinct_documents": 1, "new_rows": 2}
+    with pytest.raises(HardErrors):
+        fail_on_hard_errors(errors)
+    reasons = {r.reason for r in spark.read.parquet(folders.parse_errors).collect()}
+    assert reasons == {"parse_error", "empty_text"}
+    answers = {r.path.split("/")[-1]: r.error_message for r in spark.read.parquet(folders.extracted).collect()}
+    assert answers == {"one.pdf": None, "two.pdf": "TimeoutError: slow (2 tries)", "five.pdf": None}
+
+    # The same batch again, then one with a new document.
+    summary, _ = stages.process_stage(spark, folders, 0)
+    assert summary.first().asDict() == {"total_rows": 2, "distinct_documents": 1, "new_rows": 2}
+    write_document(inbox, "six.pdf", ["third"])
+    parsed, summary, _ = run(1)
+    assert (parsed.succeeded, parsed.failed) == (1, 2)
+    assert summary.asDict() == {"total_rows": 4, "distinct_documents": 2, "new_rows": 2}
+
+    # Forced: every document's newest answer replaces its rows.
+    summary, _ = stages.process_stage(spark, folders, 2, force=True)
+    assert summary.first().asDict() == {"total_rows": 4, "distinct_documents": 2, "new_rows": 4}
+    current = tables.current_rows(tables.read_batches(spark, folders.statements, schemas.STATEMENTS), schemas.STATEMENT_KEY)
+    assert {r.ativo_total for r in current.collect()} == {float(len("first\n\nsecond")), 5.0}
+
+
+def test_retries():
+    seen = []
+
+    def flaky(text):
+        seen.append(text)
+        if len(seen) < 3:
+            raise TimeoutError("slow")
+        return {"ok": True}
+
+    assert retrying(flaky, 3, 0.0, (TimeoutError,))("x") == ('{"ok": true}', None, 3)
+    seen.clear()
+    assert retrying(flaky, 2, 0.0, (TimeoutError,))("x") == (None, "TimeoutError: slow (2 tries)", 2)
+    seen.clear()
+    assert retrying(flaky, 3, 0.0, (ConnectionError,))("x") == (None, "TimeoutError: slow", 1)
+
+
+def test_each_row_is_called_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def count(text):
+        calls.add(1)
+        return text
+
+    df = batch_score(spark.range(100).selectExpr("CAST(id AS STRING) AS prompt"), count)
+    kept = df.where("response.errorMessage IS NULL").select("response.result", "response.attempts", F.col("response").alias("r"))
+    assert kept.count() == 100 and calls.value in (0, 100)
+    calls.value = 0
+    assert len(kept.where("result >= '5'").collect()) == len([i for i in range(100) if str(i) >= "5"])
+    assert calls.value == 100
+
+
+def test_ingest_stream_reads_each_file_once(spark, tmp_path):
+    inbox, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+    def run():
+        jobs.stream_ingest(spark, str(inbox), out, checkpoint, max_files=1).awaitTermination()
+        return sorted(r.path.split("/")[-1] for r in spark.read.parquet(out).collect())
+
+    write_document(inbox, "a.pdf", ["1"])
+    write_document(inbox / "sub", "b.PDF", ["2"])
+    assert run() == ["a.pdf", "b.PDF"]
+    assert run() == ["a.pdf", "b.PDF"]
+    write_document(inbox, "c.pdf", ["3"])
+    assert run() == ["a.pdf", "b.PDF", "c.pdf"]
+
+
+def batches_of_orders(spark, folder, path, n):
+    """The orders table as a folder of n files, written in key order."""
+    orders = derived.table(spark, folder, "orders")
+    orders.repartitionByRange(n, "o_orderkey").write.parquet(path)
+    return spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def test_counts_over_many_batches(spark, folder, tmp_path):
+    stream = batches_of_orders(spark, folder, str(tmp_path / "orders"), 3)
+    jobs.stream_counts(derived.correction_log_of(stream), str(tmp_path / "counts"), str(tmp_path / "cp")).awaitTermination()
+    stored = tables.read_batches(spark, str(tmp_path / "counts"), "campo string, total bigint")
+    assert stored.select("batch_id").distinct().count() >= 3
+    found = {r.campo: r.total for r in tables.current_rows(stored, ["campo"]).collect()}
+    expected = derived.correction_log(spark, folder).groupBy("campo").count().collect()
+    assert found == {r.campo: r["count"] for r in expected}
+
+
+def test_upsert_stream_equals_one_batch(spark, folder, tmp_path):
+    stream = batches_of_orders(spark, folder, str(tmp_path / "orders"), 3)
+    keys = ["document_name", "campo"]
+    log = derived.correction_log_of(stream).select(*keys, "valor_correto", "seq")
+    jobs.stream_upsert(log, str(tmp_path / "store"), str(tmp_path / "cp"), keys, ("seq",)).awaitTermination()
+    stored = tables.read_batches(spark, str(tmp_path / "store"), "document_name string, campo string, valor_correto string, seq bigint")
+    found = {tuple(r) for r in tables.current_rows(stored, keys, ("seq",)).select(*keys, "valor_correto").collect()}
+    whole = dedupe_batch(derived.correction_log(spark, folder).select(*keys, "valor_correto", "seq"), keys, ("seq",))
+    assert found == {tuple(r) for r in whole.select(*keys, "valor_correto").collect()}
+
+
+def test_normalize_stream_over_many_batches(spark, folder, tmp_path):
+    extracted = derived.extracted_content(spark, folder)
+    extracted.repartition(3, "path").write.parquet(str(tmp_path / "extracted"))
+    stream = spark.readStream.schema("path string, extracted string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "extracted"))
+    store, rejects = str(tmp_path / "store"), str(tmp_path / "rejects")
+    jobs.stream_normalize(stream, store, rejects, str(tmp_path / "cp")).awaitTermination()
+    from razonete.operators.normalize import normalize
+    statements, rejected = normalize(extracted)
+    stored = tables.read_batches(spark, store, "document_name string, tipo_entidade string, periodo string, ativo_total double")
+    assert {tuple(r) for r in stored.drop("batch_id").collect()} == {
+        tuple(r) for r in statements.select(*schemas.STATEMENT_KEY, "ativo_total").collect()}
+    assert spark.read.parquet(rejects).count() == rejected.count()
