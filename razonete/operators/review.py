@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from razonete.functions.jsonops import path_get
+from razonete.functions.text import format_money
 from razonete.operators.upsert import latest
 
 DEFAULT_ENTITY = "INDIVIDUAL"
-NO_PERIOD = "—"
+MISSING = "—"
 
 
 def document_list(statements: DataFrame, ordered: bool = True) -> DataFrame:
@@ -22,6 +23,14 @@ def document_list(statements: DataFrame, ordered: bool = True) -> DataFrame:
     return summary.orderBy("document_name") if ordered else summary
 
 
+def document_cards(summary: DataFrame) -> DataFrame:
+    """What the list shows of each document: title, period, total assets in whole currency units."""
+    return summary.select(
+        "document_name", F.coalesce("razao_social", "document_name").alias("title"),
+        F.when(F.col("periodo") != "", F.substring("periodo", 1, 10)).alias("period"),
+        F.coalesce(format_money(F.col("ativo_total"), 0), F.lit(MISSING)).alias("assets"))
+
+
 def document_detail(statements: DataFrame, document_name: str | None = None) -> DataFrame:
     """Records of one document (of all when none is named), entity type first, newest period first.
 
@@ -49,7 +58,7 @@ def default_record(statements: DataFrame) -> DataFrame:
 
 
 def record_label(tipo_entidade: Column, periodo: Column) -> Column:
-    period = F.when(periodo.isNull() | (periodo == ""), NO_PERIOD).otherwise(F.substring(periodo, 1, 10))
+    period = F.when(periodo.isNull() | (periodo == ""), MISSING).otherwise(F.substring(periodo, 1, 10))
     return F.concat(F.coalesce(tipo_entidade, F.lit(DEFAULT_ENTITY)), F.lit(" · "), period)
 
 

@@ -118,6 +118,11 @@ def document_list(spark, folder):
     return review.document_list(_statements(spark, folder))
 
 
+@query
+def document_cards(spark, folder):
+    return review.document_cards(review.document_list(_statements(spark, folder), ordered=False))
+
+
 @query
 def document_detail(spark, folder):
     detail = review.document_detail(_statements(spark, folder))

@@ -217,6 +217,18 @@ def _sections() -> str:
       LEFT JOIN (VALUES ('', 0, 'Geral'), {rows}) t(section, section_ord, section_label) USING (section)""")
 
 
+# CRC-32 byte by byte with the usual table of 256 remainders.
+_CRC_BUCKETS = """
+  WITH crc_table AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]),
+      lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) remainders),
+  crc AS (
+    SELECT xor(list_reduce(
+      list_concat([4294967295], list_transform(string_split('/in/d' || doc_id || '.pdf', ''), lambda x: CAST(ord(x) AS BIGINT))),
+      lambda c, b: xor(c >> 8, remainders[(xor(c, b) & 255) + 1])), 4294967295) v
+    FROM documents, crc_table)
+  SELECT CAST(v % 8 AS INTEGER) AS bucket, count(*) AS n FROM crc GROUP BY 1"""
+
 _ALL_METRIC, _ALL_VALUE = _field_score("found", "valor_correto")
 
 ORACLE: dict[str, str] = {
@@ -248,6 +260,10 @@ ORACLE: dict[str, str] = {
     "document_list": with_(STM, select="""
       SELECT document_name, max(razao_social) AS razao_social, '' AS cnpj, max(periodo) AS periodo,
         max(ativo) AS ativo_total, max(lucro) AS lucro_liquido FROM stm GROUP BY document_name"""),
+    "document_cards": with_(STM, select="""
+      SELECT document_name, razao_social AS title, substr(max(periodo), 1, 10) AS period,
+        'R$' || chr(160) || replace(format('{:,.0f}', max(ativo)), ',', '.') AS assets
+      FROM stm GROUP BY document_name, razao_social"""),
     "document_detail": with_(STM, select=" SELECT document_name, tipo_entidade, periodo, ativo AS ativo_total FROM stm"),
     "default_record": with_(STM, FIRST, select="""
       SELECT document_name, tipo_entidade, periodo, razao_social, ativo AS ativo_total FROM first_stm"""),
@@ -405,6 +421,8 @@ ORACLE: dict[str, str] = {
         printf('%.2f', x) AS plain
       FROM (SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) - 250000 AS DOUBLE) x FROM orders)""",
 
+    "hash_buckets": _CRC_BUCKETS,
+
     "stream_counts": with_(LOG, select=" SELECT campo, count(*) AS total FROM log GROUP BY 1"),
     "stream_upsert": with_(LOG, select=" SELECT document_name, campo, valor_correto FROM corr"),
     "stream_normalize": with_(STM, select="""

@@ -11,7 +11,7 @@ import __spark_entry__ as entry_points
 
 QUERIES = entry_points.queries()
 ORACLE = entry_points.oracle_sql()
-ROWS_ONLY = {"hash_buckets", "scan_files", "stream_ingest"}
+ROWS_ONLY = {"scan_files", "stream_ingest"}
 
 
 @pytest.fixture(scope="module")

@@ -52,10 +52,10 @@ def test_scan_files(spark, tmp_path):
 def test_jobs_take_only_what_is_new(spark, tmp_path):
     inbox, folders = tmp_path / "in", stages.Folders(str(tmp_path / "tables"))
 
-    def run(number, force=False):
+    def run(number):
         parsed = stages.parse_stage(spark, str(inbox), folders, parser, number, 4).first()
         stages.extract_stage(spark, folders, model(), 4, tries=2, backoff=0.0)
-        summary, errors = stages.process_stage(spark, folders, number, force)
+        summary, errors = stages.process_stage(spark, folders, number)
         return parsed, summary.first(), errors
 
     write_document(inbox, "one.pdf", ["first", "second"])
@@ -81,11 +81,19 @@ def test_jobs_take_only_what_is_new(spark, tmp_path):
     assert (parsed.succeeded, parsed.failed) == (1, 2)
     assert summary.asDict() == {"total_rows": 4, "distinct_documents": 2, "new_rows": 2}
 
-    # Forced: every document's newest answer replaces its rows.
-    summary, _ = stages.process_stage(spark, folders, 2, force=True)
-    assert summary.first().asDict() == {"total_rows": 4, "distinct_documents": 2, "new_rows": 4}
+    # Replayed: the newest answer of a document replaces its rows, the others stay.
+    again = spark.createDataFrame([("one.pdf",)], "document_name string")
+
+    def other_model(prompt):
+        return [{"tipo_entidade": kind, "identificacao": {"periodo": "2024"}, "ativo_total": "7"} for kind in ("B", "C")]
+
+    stages.extract_stage(spark, folders, other_model, 2, again=again)
+    summary, _ = stages.process_stage(spark, folders, 2, again)
+    assert summary.first().asDict() == {"total_rows": 5, "distinct_documents": 2, "new_rows": 2}
     current = tables.current_rows(tables.read_batches(spark, folders.statements, schemas.STATEMENTS), schemas.STATEMENT_KEY)
-    assert {r.ativo_total for r in current.collect()} == {float(len("first\n\nsecond")), 5.0}
+    assert {(r.document_name, r.tipo_entidade, r.ativo_total) for r in current.collect()} == {
+        ("one.pdf", "A", float(len("first\n\nsecond"))), ("one.pdf", "B", 7.0), ("one.pdf", "C", 7.0),
+        ("six.pdf", "A", 5.0), ("six.pdf", "B", 5.0)}
 
 
 def test_retries():
