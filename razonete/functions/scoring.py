@@ -9,6 +9,17 @@ from razonete.functions.text import strip
 from razonete.sources.dictionary import REQUIRED_KEYS
 
 
+# Wording of the rationales.
+FIELD_RATIONALE = ("Extraído: ", " | Correto: ", " | Delta: ")
+NO_CORRECTION = "Sem correção registrada"
+STRUCTURE_OK = "Estrutura OK"
+MISSING_KEYS = "Campos ausentes: "
+BALANCE_RATIONALE = ("Ativo: ", " | Passivo: ", " | Delta: ", "%")
+ZERO_ASSETS = "Ativo Total é zero"
+NO_OBJECT = "Output não é um objeto"
+NO_NUMBER = "Valor não numérico"
+
+
 def _score(name: Column, value: Column, rationale: Column) -> Column:
     return F.struct(name.alias("name"), value.cast("boolean").alias("value"), rationale.alias("rationale"))
 
@@ -32,13 +43,14 @@ def score_field(extracted: Column, expected: Column, corrected: Column | None =
     shown, target = F.coalesce(extracted, F.lit("None")), F.coalesce(expected, F.lit("None"))
     same = F.lower(strip(shown)) == F.lower(strip(target))
     present = F.lit(True) if corrected is None else corrected
+    before, between, delta = FIELD_RATIONALE
     return _score(
         F.when(present & ~numeric, "text_match").otherwise("numeric_accuracy"),
         F.when(present, F.when(numeric, close).otherwise(same)),
-        F.when(~present, "Sem correção registrada")
-         .when(numeric, F.concat(F.lit("Extraído: "), _plain(found), F.lit(" | Correto: "), _plain(wanted),
-                                 F.lit(" | Delta: "), _plain(F.abs(found - wanted))))
-         .otherwise(F.concat(F.lit("Extraído: '"), shown, F.lit("' | Correto: '"), target, F.lit("'"))))
+        F.when(~present, NO_CORRECTION)
+         .when(numeric, F.concat(F.lit(before), _plain(found), F.lit(between), _plain(wanted),
+                                 F.lit(delta), _plain(F.abs(found - wanted))))
+         .otherwise(F.concat(F.lit(f"{before}'"), shown, F.lit(f"'{between}'"), target, F.lit("'"))))
 
 
 def missing_keys(text: Column) -> Column:
@@ -49,11 +61,11 @@ def missing_keys(text: Column) -> Column:
 def score_structure(text: Column) -> Column:
     """True when a JSON object text carries every required top-level key."""
     missing = missing_keys(text)
-    listed = F.concat(F.lit("Campos ausentes: "), F.array_join(missing, ", "))
+    listed = F.concat(F.lit(MISSING_KEYS), F.array_join(missing, ", "))
     return _score(
         F.lit("json_structure_valid"),
         F.coalesce(F.size(missing) == 0, F.lit(False)) & missing.isNotNull(),
-        F.when(missing.isNull(), "Output não é um objeto").when(F.size(missing) == 0, "Estrutura OK").otherwise(listed))
+        F.when(missing.isNull(), NO_OBJECT).when(F.size(missing) == 0, STRUCTURE_OK).otherwise(listed))
 
 
 def score_balance(value: Column, tol_pct: float = 1.0) -> Column:
@@ -66,11 +78,12 @@ def score_balance(value: Column, tol_pct: float = 1.0) -> Column:
 
     assets, liabilities = amount("ativo_total"), amount("passivo_total")
     delta = F.try_divide(F.abs(assets - liabilities), F.abs(assets)) * 100
+    a, p, d, end = BALANCE_RATIONALE
     known = assets.isNotNull() & liabilities.isNotNull() & (assets != 0)
     return _score(
         F.lit("balance_sheet_closes"),
         F.when(known, delta <= tol_pct),
-        F.when(assets == 0, "Ativo Total é zero")
-         .when(~F.coalesce(known, F.lit(False)), "Valor não numérico")
-         .otherwise(F.concat(F.lit("Ativo: "), F.format_number(assets, 2), F.lit(" | Passivo: "),
-                             F.format_number(liabilities, 2), F.lit(" | Delta: "), F.format_number(delta, 2), F.lit("%"))))
+        F.when(assets == 0, ZERO_ASSETS)
+         .when(~F.coalesce(known, F.lit(False)), NO_NUMBER)
+         .otherwise(F.concat(F.lit(a), F.format_number(assets, 2), F.lit(p), F.format_number(liabilities, 2),
+                             F.lit(d), F.format_number(delta, 2), F.lit(end))))

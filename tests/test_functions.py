@@ -86,7 +86,7 @@ def test_whole_text_must_be_one_json_value(spark, text):
 
 def test_text_helpers(spark):
     assert values(spark, texts.basename(F.col("x")), ["/a/b.pdf", "b.pdf", "/a/", ""]) == ["b.pdf", "b.pdf", "", ""]
-    assert values(spark, texts.strip_scheme(F.col("x")), ["file:/a/b", "file:///a/b", "dbfs:/a", "/a:b", "s3a://bucket/a"]) == [
+    assert values(spark, texts.strip_scheme(F.col("x")), ["file:/a/b", "file:///a/b", "hdfs:/a", "/a:b", "s3a://bucket/a"]) == [
         "/a/b", "/a/b", "/a", "/a:b", "//bucket/a"]
     assert values(spark, texts.document_key(F.col("x")), ["a", "a.pdf"]) == ["a.pdf", "a.pdf"]
     assert values(spark, texts.is_blank(F.col("x")), [None, "", " \n\t", "x"]) == [True, True, True, False]

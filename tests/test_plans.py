@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from razonete.operators import export, metrics, normalize as norm, review, upsert as merging
+from razonete.operators import export, ingest, metrics, normalize as norm, review, upsert as merging
 from razonete.plans.catalogue import QUERIES
 from razonete.sources import derived
 
@@ -99,8 +99,9 @@ def test_hot_document_counts(hot):
     assert review.default_record(statements).count() == statements.select("document_name").distinct().count()
 
 
-def test_hot_document_is_split_in_the_overlay_join(spark, hot):
-    statements, log = hot
+@pytest.fixture
+def small_partitions(spark):
+    """Shuffle joins only, and partitions split from a few kilobytes on."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
@@ -108,14 +109,27 @@ def test_hot_document_is_split_in_the_overlay_join(spark, hot):
     }
     for key, value in settings.items():
         spark.conf.set(key, value)
-    try:
-        wide = export.export_wide(statements, merging.latest_corrections(log), ordered=False).select(
-            "document_name", "periodo", "ativo_total", "corrections")
-        rows = wide.collect()
-        plan = wide._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for key in settings:
-            spark.conf.unset(key)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def run(df):
+    rows = df.collect()
+    return rows, df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_document_is_split_in_the_overlay_join(hot, small_partitions):
+    statements, log = hot
+    rows, plan = run(export.export_wide(statements, merging.latest_corrections(log), ordered=False).select(
+        "document_name", "periodo", "ativo_total", "corrections"))
     assert "SortMergeJoin(skew=true)" in plan
     assert len(rows) == 30_000
     assert all(r.ativo_total == float(int(r.periodo)) and r.corrections == 7 for r in rows)
+
+
+def test_hot_name_is_split_when_selecting_what_is_new(hot, small_partitions):
+    statements, log = hot
+    rows, plan = run(ingest.pending(statements, log.where("document_name <> 'hot.pdf'"), "document_name"))
+    assert "SortMergeJoin(skew=true)" in plan
+    assert len(rows) == 10_000 and {r.document_name for r in rows} == {"hot.pdf"}

@@ -44,7 +44,7 @@ def test_query_equals_sql(spark, folder, duck, name):
     order = [names.index(c) for c in columns]
     expected = collections.Counter(tuple(plain(row[i]) for i in order) for row in relation.fetchall())
     assert found == expected
-    assert found or name in {"blank_text_split"}
+    assert found or name == "incremental_by_name"  # the smallest tables hold a text for every customer
 
 
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
