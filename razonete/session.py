@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -47,20 +45,11 @@ def build_session(master: str | None = None, app: str = "razonete",
     return configure(builder.getOrCreate())
 
 
-@functools.cache
-def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="razonete-")
-
-
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder name below the shared checkpoint folder of the cluster.
+    """A new folder name in storage that the driver and all executors share.
 
-    The folder comes from `spark.checkpoint.dir`. Only a local session without
-    that setting gets a temporary folder of its own.
+    It lies below `spark.checkpoint.dir`, or where that is unset below the
+    warehouse, for every kind of session.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = _local_base()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/razonete/{name}-{uuid.uuid4().hex}"
