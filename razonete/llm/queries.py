@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from razonete.llm import bpe
+from razonete.llm import bpe, secrets
 from razonete.llm.common import add_columns, documents
 
 QUERIES = {}
@@ -32,3 +32,19 @@ def op1_bpe(spark, folder):
     decoded = add_columns(bpe.decode(encoded), "ids", "ids_sha256 string", _ids_digest)
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256",
                           F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op2_secrets(spark, folder):
+    found = secrets.find(documents(spark, folder, "doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
