@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from razonete.llm import bpe, secrets
+from razonete.llm import bpe, decontaminate, secrets
 from razonete.llm.common import add_columns, documents
 
 QUERIES = {}
@@ -48,3 +48,37 @@ def op2_secrets(spark, folder):
     return found.select("doc_id", count("assign"), count("access"), count("hex"),
                         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
                         joined(F.col("spans")).alias("spans"))
+
+
+@query
+def op3_decontaminate(spark, folder):
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    counted = decontaminate.count_words(documents(spark, folder, "doc_id", "text"))
+    found = decontaminate.count_hits(decontaminate.find(counted, items).drop("text"))
+    ids = F.array_sort(F.array_distinct("hits.item"))
+    return found.select("doc_id", "n_words", "n_hit", F.size(ids).cast("long").alias("n_items"),
+                        F.sha2(F.array_join(ids, ",").cast("binary"), 256).alias("items_sha256"),
+                        decontaminate.is_contaminated("n_hit", "n_words").alias("contaminated"))
+
+
+ORACLE["op3_decontaminate"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+sized AS (SELECT item, w, least(13, len(w)) AS k FROM i WHERE len(w) > 0),
+win AS (SELECT DISTINCT item, k, array_to_string(list_slice(w, p, p + k - 1), ' ') AS t
+        FROM (SELECT item, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM sized)),
+sizes AS (SELECT DISTINCT k FROM win),
+grams AS (SELECT doc_id, k, p, array_to_string(list_slice(w, p, p + k - 1), ' ') AS t
+       FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, sizes)),
+hit AS (SELECT doc_id, p, k, item FROM grams JOIN win USING (k, t)),
+covered AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM hit)
+            GROUP BY doc_id),
+listed AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+       FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= coalesce(len(w), 0) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
