@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from razonete.llm import bpe, decontaminate, secrets
+from razonete.llm import bpe, decontaminate, secrets, simhash
 from razonete.llm.common import add_columns, documents
 
 QUERIES = {}
@@ -82,3 +82,9 @@ SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coalesce(n_h
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= coalesce(len(w), 0) AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
+
+
+@query
+def op8_simhash(spark, folder):
+    found = simhash.classes(documents(spark, folder, "doc_id", "text"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
