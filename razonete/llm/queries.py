@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from razonete.llm import bpe, decontaminate, secrets, simhash
+from razonete.llm import bpe, decontaminate, repeats, secrets, simhash
 from razonete.llm.common import add_columns, documents
 
 QUERIES = {}
@@ -88,3 +88,24 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
 def op8_simhash(spark, folder):
     found = simhash.classes(documents(spark, folder, "doc_id", "text"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op5_repeats(spark, folder):
+    kept = repeats.remove(documents(spark, folder, "doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE["op5_repeats"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, p, hash(list_slice(w, p, p + 49)) AS h
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM d)),
+least AS (SELECT h, min(doc_id) AS first FROM win GROUP BY h HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS p FROM win JOIN least USING (h) WHERE doc_id > first),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
