@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from razonete.llm import bpe, decontaminate, repeats, secrets, simhash
+from razonete.llm import bpe, decontaminate, repeats, ring, secrets, simhash
 from razonete.llm.common import add_columns, documents
 
 QUERIES = {}
@@ -109,3 +109,10 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT)
        sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op10_shards(spark, folder):
+    placed = ring.shard_documents(documents(spark, folder, "doc_id", "text"), 16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
