@@ -142,12 +142,21 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+class Hashes:
+    """64-bit polynomial hashes of ranges of `values`; equal ranges have equal hashes."""
+
+    def __init__(self, values: np.ndarray) -> None:
+        power, self.inverse = powers(len(values))
+        self.sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * power[:len(values)], out=self.sums[1:])
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The hash of values[start[i]:end[i]] for each i."""
+        return mix((self.sums[end] - self.sums[start]) * self.inverse[start] + (end - start).astype(np.uint64))
+
+
 def range_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit polynomial hash of values[start[i]:end[i]] for each i; equal ranges have equal hashes."""
-    power, inverse = powers(len(values))
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * power[:len(values)], out=sums[1:])
-    return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
+    return Hashes(values).of(start, end)
 
 
 def word_hashes(words: Words) -> np.ndarray:

@@ -8,8 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from razonete.llm import bpe, decontaminate, repeats, ring, secrets, simhash
-from razonete.llm.common import add_columns, documents
+from razonete.llm import bpe, decontaminate, repeats, ring, secrets, simhash, toxicity
+from razonete.llm.common import add_columns, documents, id_remainder
 
 QUERIES = {}
 ORACLE = {}
@@ -116,3 +116,13 @@ def op10_shards(spark, folder):
     placed = ring.shard_documents(documents(spark, folder, "doc_id", "text"), 16)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op9_toxicity(spark, folder):
+    docs = documents(spark, folder, "doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.fit(docs, labels.where(id_remainder("doc_id", 3) != 1))
+    return toxicity.score(docs, model).select(
+        "doc_id", (id_remainder("doc_id", 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted"))
