@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from razonete.llm import bpe, decontaminate, repeats, ring, secrets, simhash, toxicity
+from razonete.llm import bpe, decontaminate, minhash, repeats, ring, secrets, simhash, toxicity
 from razonete.llm.common import add_columns, documents, id_remainder
 
 QUERIES = {}
@@ -126,3 +126,10 @@ def op9_toxicity(spark, folder):
     return toxicity.score(docs, model).select(
         "doc_id", (id_remainder("doc_id", 3) == 1).alias("held_out"), "score",
         (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted"))
+
+
+@query
+def op7_minhash(spark, folder):
+    compared = minhash.compare_in_order(documents(spark, folder, "doc_id", "text"))
+    return compared.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+                           "fingerprint", "edited_fingerprint", "near_edited", "near_next")
