@@ -163,6 +163,24 @@ def word_hashes(words: Words) -> np.ndarray:
     return range_hashes(BYTE_VALUES[words.data], words.start, words.end)
 
 
+def spell(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each word the number of its spelling; all spellings with a space around each, and their bounds."""
+    _, example, number = np.unique(word_hashes(words), return_index=True, return_inverse=True)
+    size = words.end[example] - words.start[example]
+    bounds = np.concatenate([[0], np.cumsum(size + 2)])
+    spelled = np.full(bounds[-1], 32, np.uint8)
+    inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    spelled[np.repeat(bounds[:-1] + 1, size) + inside] = words.data[np.repeat(words.start[example], size) + inside]
+    return number, spelled, bounds
+
+
+def char_begins(spelled: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes of all characters of spelled words and the end of the last one, and the word of each."""
+    begins = np.append(np.flatnonzero((spelled & 0xC0) != 0x80), len(spelled))
+    chars = np.diff(np.searchsorted(begins, bounds))
+    return begins, np.append(np.repeat(np.arange(len(chars)), chars), len(chars))
+
+
 def windows(words: Words, length: int) -> np.ndarray:
     """First words of all runs of `length` words within one text."""
     n = len(words.start) - length + 1

@@ -35,7 +35,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from razonete.llm.common import ALNUM, AS_IS, BYTE_VALUES, Hashes, add_columns, find_words, saved, word_hashes
+from razonete.llm.common import (
+    ALNUM, AS_IS, BYTE_VALUES, Hashes, add_columns, char_begins, find_words, saved, spell)
 
 ORDERS = (3, 4, 5, 6)
 BUCKET_BITS = 20
@@ -51,22 +52,15 @@ TOXIC = 0.7
 def distinct_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Texts and numbers of their different words, and the words themselves: bytes with a space around each, and bounds."""
     words = find_words(pc.utf8_lower(pc.fill_null(column, "")), ALNUM, AS_IS)
-    _, example, number = np.unique(word_hashes(words), return_index=True, return_inverse=True)
-    pairs = np.unique(words.texts() * max(1, len(example)) + number)
-    size = words.end[example] - words.start[example]
-    bounds = np.concatenate([[0], np.cumsum(size + 2)])
-    spelled = np.full(bounds[-1], 32, np.uint8)
-    inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    spelled[np.repeat(bounds[:-1] + 1, size) + inside] = words.data[np.repeat(words.start[example], size) + inside]
-    return pairs // max(1, len(example)), pairs % max(1, len(example)), spelled, bounds
+    number, spelled, bounds = spell(words)
+    n = max(1, len(bounds) - 1)
+    pairs = np.unique(words.texts() * n + number)
+    return pairs // n, pairs % n, spelled, bounds
 
 
 def word_features(spelled: np.ndarray, bounds: np.ndarray, orders: tuple[int, ...] = ORDERS) -> tuple[np.ndarray, np.ndarray]:
     """Words and buckets of all n-grams of characters."""
-    begins = np.flatnonzero((spelled & 0xC0) != 0x80)  # first bytes of characters
-    begins = np.append(begins, len(spelled))
-    chars = np.diff(np.searchsorted(begins, bounds))
-    word = np.append(np.repeat(np.arange(len(chars)), chars), len(chars))
+    begins, word = char_begins(spelled, bounds)
     hashes = Hashes(BYTE_VALUES[spelled])
     words, buckets = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for n in orders:
