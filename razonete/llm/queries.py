@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from razonete.llm import bpe, decontaminate, minhash, repeats, ring, secrets, simhash, toxicity
+from razonete.llm import bpe, decontaminate, langid, lm, minhash, repeats, ring, secrets, simhash, toxicity
 from razonete.llm.common import add_columns, documents, id_remainder
 
 QUERIES = {}
@@ -133,3 +133,19 @@ def op7_minhash(spark, folder):
     compared = minhash.compare_in_order(documents(spark, folder, "doc_id", "text"))
     return compared.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                            "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+@query
+def op6_langid(spark, folder):
+    known = documents(spark, folder, "doc_id", "text", "lang").where(id_remainder("doc_id", 4) != 2)
+    found = langid.predict(documents(spark, folder, "doc_id", "text"), langid.fit(known))
+    return found.select("doc_id", (id_remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "bits", "rejected")
+
+
+@query
+def op4_lm(spark, folder):
+    docs = documents(spark, folder, "doc_id", "text")
+    model = lm.fit(docs.where(id_remainder("doc_id", 10) != 0))
+    return lm.score(docs, model).select(
+        "doc_id", (id_remainder("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
