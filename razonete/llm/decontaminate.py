@@ -91,7 +91,7 @@ def build_index(rows: list[tuple[str, str | None]], window: int = WINDOW, shingl
     keys = np.rec.fromarrays([size[of], range_hashes(hashes, first, first + size[of])], names="size,hash")
     shingles, entry = np.unique(keys, return_inverse=True)
     order = np.argsort(entry, kind="stable")
-    return Index(shingles.size if len(shingles) == 0 else shingles["size"], shingles["hash"], length, list(numbers),
+    return Index(shingles["size"], shingles["hash"], length, list(numbers),
                  [sorted(i) for i in items], entry[order], of[order], offset[order])
 
 

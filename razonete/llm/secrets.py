@@ -37,10 +37,10 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[^-]|-(?!----))+)-----END \1-----")
 # "ey" begins the base64 of an opening brace and a quote or space.
 JWT = re.compile(r"(?<![A-Za-z0-9_-])(ey[A-Za-z0-9_-]+)\.(ey[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-# Long enough for the smallest private key, of an Edwards curve in PKCS #8.
+# Long enough for the smallest private keys, of 256-bit curves.
 # Lines of a wrapped value are as long, its last one may be shorter.
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])([A-Za-z0-9+/_-]{48,}={0,2}(?:\r?\n[A-Za-z0-9+/_-]{48,}={0,2})*)(\r?\n[A-Za-z0-9+/_-]+={0,2})?")
-HEX_ANY = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){48,}(?![0-9A-Fa-f])")
+HEX_ANY = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){36,}(?![0-9A-Fa-f])")
 
 SEQUENCE, INTEGER, OCTETS, OBJECT_ID = 0x30, 0x02, 0x04, 0x06
 
