@@ -98,7 +98,7 @@ def in_order(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rank = F.coalesce(F.col(doc_id).cast("double"), F.lit(float("-inf")))
     ids = docs.select(rank.alias("rank")).where("rank > double('-infinity')")
-    bounds = np.unique(ids.approxQuantile("rank", [i / n for i in range(1, n)], 0.2 / n))
+    bounds = np.unique(ids.approxQuantile("rank", [i / n for i in range(1, n)], 0.2 / n)) if n > 1 else np.zeros(0)
 
     @F.arrow_udf("int")
     def part_of(ranks: pa.Array) -> pa.Array:

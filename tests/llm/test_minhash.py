@@ -1,0 +1,137 @@
+"""Document fingerprints: estimates against exact similarity, order of documents, and verified pairs."""
+
+import hashlib
+import random
+
+import numpy as np
+import pyarrow as pa
+
+from razonete.llm import minhash
+from razonete.llm.queries import QUERIES
+
+
+def shingle_set(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def similarity(a, b):
+    a, b = shingle_set(a), shingle_set(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def texts_drawn(n):
+    draw = random.Random(n)
+    words = [f"w{i}" for i in range(200)]
+    texts = []
+    for _ in range(n):
+        base = draw.choice(texts).split() if texts and draw.random() < 0.5 else [draw.choice(words) for _ in range(draw.randrange(1, 120))]
+        for _ in range(draw.randrange(0, 4)):
+            base[draw.randrange(len(base))] = draw.choice(words)
+        texts.append(" ".join(base))
+    return texts
+
+
+def test_signatures_estimate_similarity():
+    texts = [t for t in texts_drawn(120)]
+    of = minhash.signatures(pa.array(texts))
+    errors = [minhash.likeness(of[i:i + 1], of[j:j + 1])[0] - similarity(texts[i], texts[j])
+              for i in range(0, 120, 3) for j in range(120)]
+    assert abs(np.mean(errors)) < 0.01 and np.abs(errors).max() < 0.25
+
+
+def test_blocks_do_not_matter(monkeypatch):
+    texts = pa.array(texts_drawn(40) + ["", None, "one"])
+    whole = minhash.signatures(texts)
+    monkeypatch.setattr(minhash, "BLOCK", 7)
+    assert (minhash.signatures(texts) == whole).all()
+
+
+def test_texts_without_words_and_short_texts():
+    of = minhash.signatures(pa.array([None, "", " \n", "a b", "A  b", "a b c"]))
+    assert (of[0] == of[1]).all() and (of[1] == of[2]).all() and (of[3] == of[4]).all()
+    assert minhash.likeness(of[:1], of[3:4])[0] == 0 and minhash.likeness(of[3:4], of[5:6])[0] == 0
+    assert minhash.signatures(pa.array([], pa.string())).shape == (0, minhash.SIZE)
+
+
+def compared(spark, rows, partitions="4"):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        docs = spark.createDataFrame(rows, "doc_id long, text string, part int")
+        return minhash.compare_in_order(docs).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_the_next_document_ends_the_edited_text(spark):
+    texts = texts_drawn(90)
+    texts[3], texts[20], texts[89], texts[50] = None, "", "é" * 3, "x" * 20_000
+    ids = random.Random(1).sample(range(10**15), 90)
+    order = sorted(zip(ids, texts))
+    for partitions in ("1", "4", "97"):
+        rows = compared(spark, [(i, t, 1) for i, t in zip(ids, texts)], partitions)
+        assert len(rows) == 90
+        found = {r["doc_id"]: r for r in rows}
+        for (doc, text), (_, following) in zip(order, order[1:] + order[:1]):
+            text, following, row = text or "", following or "", found[doc]
+            n = len(text) // 4
+            assert row["n_chars"] == len(text)
+            assert row["edited"] == text[:len(text) - n] + following[:n]
+            of = minhash.signatures(pa.array([text, row["edited"], following]))
+            assert (row["fingerprint"], row["edited_fingerprint"]) == tuple(minhash.to_text(of[:2]))
+            assert row["near_edited"] == (of[0] == of[1]).mean() and row["near_next"] == (of[0] == of[2]).mean()
+
+
+def test_null_and_repeated_ids(spark):
+    rows = compared(spark, [(None, "n n n n", 1), (1, "b b b b", 1), (1, "a a a a", 2), (2, "c c c c", 1)])
+    assert sorted((str(r["doc_id"]), r["edited"]) for r in rows) == [
+        ("1", "a a a b"), ("1", "b b b c"), ("2", "c c c n"), ("None", "n n n a")]
+
+
+def test_one_document_and_none(spark):
+    rows = compared(spark, [(7, "abcdefgh", 1)])
+    assert [(r["edited"], r["near_next"]) for r in rows] == [("abcdefab", 1.0)]
+    assert compared(spark, []) == []
+
+
+def test_near_duplicates_are_verified(spark):
+    texts = texts_drawn(150) + ["", None, "a b", "a  b"]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, key string")
+    pairs, members = minhash.near_duplicates(docs)
+    key = dict(members.collect())
+    assert key == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in enumerate(texts)}
+    of_key = {k: texts[i] for i, k in key.items()}
+    found = {(r["a"], r["b"]): r["similarity"] for r in pairs.collect()}
+    keys = sorted(of_key)
+    wanted = {(a, b): similarity(of_key[a], of_key[b]) for i, a in enumerate(keys) for b in keys[i + 1:]}
+    assert found and all(abs(s - wanted[p]) < 1e-12 and s >= 0.8 for p, s in found.items())
+
+    def classes(links):
+        group = {k: {k} for k in keys}
+        for a, b in links:
+            joined = group[a] | group[b]
+            for k in joined:
+                group[k] = joined
+        return {frozenset(g) for g in group.values()}
+
+    assert classes(found) == classes(p for p, s in wanted.items() if s >= 0.8)
+
+
+def test_fingerprints_keep_columns(spark):
+    docs = spark.createDataFrame([(1, "a", "x"), (1, "a", "x")], "doc_id long, text string, part string")
+    assert len({tuple(r) for r in minhash.fingerprints(docs).collect()}) == 1
+    assert minhash.fingerprints(docs.limit(0)).count() == 0
+
+
+def test_query(spark, folder):
+    rows = QUERIES["op7_minhash"](spark, folder).collect()
+    texts = sorted(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect())
+    found = {r["doc_id"]: r for r in rows}
+    errors = []
+    for (doc, text), (_, following) in zip(texts, texts[1:] + texts[:1]):
+        n = len(text) // 4
+        edited = text[:len(text) - n] + following[:n]
+        assert found[doc]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        errors += [found[doc]["near_edited"] - similarity(text, edited), found[doc]["near_next"] - similarity(text, following)]
+    assert np.abs(errors).max() < 0.2 and abs(np.mean(errors)) < 0.01
