@@ -18,9 +18,9 @@ Level by level, Spark counts, and tasks write the trie's segments:
 - contexts: the ids of nodes with successors, and their quantised back-off.
 
 A lookup takes the context's pointers and searches the successor of the word's
-relative key; the index found is the node, the context of the next order. Two
-n-grams of order three are counted only under nodes of order two that are kept,
-as rarer ones cannot be kept either. Logarithms are kept in steps of 1/2048.
+relative key; the index found is the node, the context of the next order. An
+n-gram is counted only if its words, and for order three its pairs, are kept, as
+it cannot be more frequent than they are. Logarithms are in steps of 1/2048.
 
 Texts are read once for each order and once for scoring; nothing of a level goes
 through the driver but one line for each segment.
@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from razonete.llm.common import LOWER, NOT_SPACE, add_columns, find_words, saved, signed, word_hashes
-from razonete.llm.trie import EliasFano, Level, write_arrays
+from razonete.llm.trie import EliasFano, Level, unique_keys, write_arrays
 from razonete.session import work_dir
 
 ORDER = 3
@@ -51,7 +51,7 @@ LEAST = 2
 STEPS = 2048
 END = 0  # the hash of the end
 SEGMENT_ROWS = 1 << 21
-TASK_ROWS = 1 << 20
+TASK_ROWS = 1 << 21
 
 
 @dataclass
@@ -106,12 +106,16 @@ class GramSegment:
                 **{f"key_{k}": v for k, v in keys.items()}, "log": log, "count": count}
 
     def find(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Index of each word among the successors of its context, or -1."""
+        """Index of each word among the successors of its context, or -1; in the order of contexts."""
         rank = context - self.context
-        out = np.full(len(rank), -1, np.int64)
-        near = np.flatnonzero(rank < self.contexts)
-        near = near[self.pointers.get(rank[near]) < self.pointers.get(rank[near] + 1)]
+        begin = np.flatnonzero(np.diff(rank, prepend=-1))
+        of = rank[begin]
+        known = np.flatnonzero(of < self.contexts)
+        filled = np.zeros(len(begin), bool)
+        filled[known] = self.pointers.get(of[known]) < self.pointers.get(of[known] + 1)
+        near = np.flatnonzero(np.repeat(filled, np.diff(begin, append=len(rank))))
         index, same = self.keys.successor(rank[near].astype(np.uint64) * np.uint64(self.words) + word[near].astype(np.uint64))
+        out = np.full(len(rank), -1, np.int64)
         out[near[same]] = index[same]
         return out
 
@@ -154,16 +158,17 @@ class Model:
                 levels[kind, order] = Level(self.context_segments[order - 2], ContextSegment)
         return levels[kind, order]
 
-    def find_words(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids (-1 if unknown) and counts of words."""
-        known, back = np.unique(hashes, return_inverse=True)
+    def find_words(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids (-1 if unknown) and counts of words, and log of what each leaves as a context of order two."""
+        first, back = unique_keys(hashes)
+        known = hashes[first]
         ids, counts = np.full(len(known), -1, np.int64), np.zeros(len(known), np.int64)
         for segment, before, part in self.level("word").parts(known, np.zeros(len(known), np.int64)):
             at = np.minimum(np.searchsorted(segment.hash, known[part]), len(segment.hash) - 1)
             same = segment.hash[at] == known[part]
             ids[part] = np.where(same, at + before, -1)
             counts[part] = np.where(same, segment.count[at], 0)
-        return ids[back], counts[back]
+        return ids[back], counts[back], self.left_of(2, ids)[back]
 
     def counts_of(self, order: int, nodes: np.ndarray) -> np.ndarray:
         """Counts of nodes of an order, in order of their ids."""
@@ -179,28 +184,32 @@ class Model:
             out[part] = segment.word(at)
         return out
 
-    def find_grams(self, order: int, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Nodes (-1 if not kept) and log probabilities of words after contexts, nodes of the order below."""
-        nodes, logs = np.full(len(context), -1, np.int64), np.zeros(len(context))
+    def find_grams(self, order: int, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Nodes (-1 if not kept) of words after contexts, which are nodes of the order below, with their log
+        probabilities and log of what each leaves as a context of the next order."""
+        nodes, logs, left = np.full(len(context), -1, np.int64), np.zeros(len(context)), np.zeros(len(context))
         asked = np.flatnonzero((context >= 0) & (word >= 0))
-        pair = context[asked] * self.words + word[asked]
-        _, example, back = np.unique(pair, return_index=True, return_inverse=True)
-        major, minor = context[asked[example]], word[asked[example]]
+        first, back = unique_keys(context[asked] * self.words + word[asked])
+        major, minor = context[asked[first]], word[asked[first]]
         found, codes = np.full(len(major), -1, np.int64), np.zeros(len(major), np.uint16)
         for segment, before, part in self.level("gram", order).parts(major, minor):
             at = segment.find(major[part], minor[part])
             found[part] = np.where(at >= 0, at + before, -1)
             codes[part] = np.where(at >= 0, segment.log[np.maximum(at, 0)], 0)
-        nodes[asked], logs[asked] = found[back], from_codes(codes[back])
-        return nodes, logs
+        nodes[asked], logs[asked], left[asked] = found[back], from_codes(codes[back]), self.left_of(order + 1, found)[back]
+        return nodes, logs, left
+
+    def left_of(self, order: int, contexts: np.ndarray) -> np.ndarray:
+        """Log of what contexts leave to the order below: 0 for those without successors of this order.
 
-    def back_off(self, order: int, context: np.ndarray) -> np.ndarray:
-        """Log of what contexts leave to the order below: 0 for those without successors of this order."""
-        known, back = np.unique(context, return_inverse=True)
-        logs = np.zeros(len(known))
-        for segment, _, part in self.level("context", order).parts(known, np.zeros(len(known), np.int64)):
-            logs[part] = segment.logs(known[part])
-        return logs[back]
+        Contexts are in order, unknown ones (-1) anywhere between.
+        """
+        logs = np.zeros(len(contexts))
+        if order - 2 < len(self.context_segments):
+            at = np.flatnonzero(contexts >= 0)
+            for segment, _, part in self.level("context", order).parts(contexts[at], np.zeros(len(at), np.int64)):
+                logs[at[part]] = segment.logs(contexts[at[part]])
+        return logs
 
     def single(self, counts: np.ndarray) -> np.ndarray:
         """Log probabilities of single tokens, from their counts."""
@@ -210,27 +219,25 @@ class Model:
 
     def log_probabilities(self, of: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each token: its count, and log10 probabilities by itself and after the tokens before it."""
-        ids, counts = self.find_words(of.hash)
+        ids, counts, left = self.find_words(of.hash)
         alone = self.single(counts)
         log, context = alone, np.where(of.back(1), np.roll(ids, 1), -1)
         for order in range(2, len(self.gram_segments) + 2):
-            nodes, direct = self.find_grams(order, context, ids)
-            log = np.where(nodes >= 0, direct, self.back_off(order, context) + log)
+            back = np.where(of.back(order - 1), np.roll(left, 1), 0.0)
+            nodes, direct, left = self.find_grams(order, context, ids)
+            log = np.where(nodes >= 0, direct, back + log)
             context = np.where(of.back(order), np.roll(nodes, 1), -1)
         return counts, alone, log
 
 
-def summed(batches: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """Counts (a, b, n) of equal pairs, added up within a task as far as `TASK_ROWS` allow."""
+def summed(batches: Iterator[tuple[np.ndarray, np.ndarray]], words: int) -> Iterator[pa.RecordBatch]:
+    """Counts (a, b, n) of equal pairs, added up within a task as far as `TASK_ROWS` allow; b is below `words`."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
     def flush() -> Iterator[pa.RecordBatch]:
         a, b = (np.concatenate(c) for c in zip(*held))
-        order = np.lexsort((b, a))
-        a, b = a[order], b[order]
-        first = np.flatnonzero(np.append(True, (np.diff(a) != 0) | (np.diff(b) != 0))) if len(a) else np.zeros(0, np.int64)
-        columns = [a[first], b[first], np.diff(first, append=len(a))]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "n"])
+        pair, n = np.unique(a * words + b, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (pair // words, pair % words, n)], ["a", "b", "n"])
         held.clear()
 
     for pair in batches:
@@ -241,11 +248,11 @@ def summed(batches: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.Reco
         yield from flush()
 
 
-def count_pairs(docs: DataFrame, text: str, pairs: Callable[[Tokens], tuple[np.ndarray, np.ndarray]], least: int,
-                name: str) -> DataFrame:
+def count_pairs(docs: DataFrame, text: str, pairs: Callable[[Tokens], tuple[np.ndarray, np.ndarray]], words: int,
+                least: int, name: str) -> DataFrame:
     """A saved table (a, b, n) of the pairs that texts give at least so often."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return summed((pairs(tokens(batch.column(0))) for batch in batches))
+        return summed((pairs(tokens(batch.column(0))) for batch in batches), words)
 
     counted = docs.select(text).mapInArrow(run, "a bigint, b bigint, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
     return saved(counted.where(F.col("n") >= least), name)
@@ -280,7 +287,7 @@ def fit(docs: DataFrame, text: str = "text", order: int = ORDER, least: int = LE
     if order not in (1, 2, 3):
         raise ValueError("orders up to three are kept")
     folder = work_dir(docs.sparkSession, "trie")
-    counted = count_pairs(docs, text, lambda of: (of.hash, np.zeros(len(of.hash), np.int64)), 1, "words")
+    counted = count_pairs(docs, text, lambda of: (of.hash, np.zeros(len(of.hash), np.int64)), 1, 1, "words")
     total, words = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     model = Model(total, words, write_level(
         counted.select("a", "n"), ["a"], folder, "words", lambda c: {"hash": c["a"], "count": c["n"]}))
@@ -295,17 +302,19 @@ def add_order(model: Model, docs: DataFrame, text: str, order: int, least: int,
     below = spark.sparkContext.broadcast(model)
 
     def pairs(of: Tokens) -> tuple[np.ndarray, np.ndarray]:
+        # An n-gram is as rare as its rarest part, so parts that are not kept need not be counted with others.
         model = below.value
-        ids, _ = model.find_words(of.hash)
-        context = np.where(of.back(1), np.roll(ids, 1), -1)
-        kept = context >= 0
+        ids, counts, _ = model.find_words(of.hash)
+        kept = counts >= least
+        context = np.where(of.back(1) & np.roll(kept, 1), np.roll(ids, 1), -1)
         if order == 3:
-            nodes, _ = model.find_grams(2, context, ids)
+            nodes, _, _ = model.find_grams(2, context, ids)
+            kept = nodes >= 0
             context = np.where(of.back(2), np.roll(nodes, 1), -1)
-            kept = (context >= 0) & (nodes >= 0)
+        kept &= context >= 0
         return context[kept], ids[kept]
 
-    counted = count_pairs(docs, text, pairs, least, f"order{order}")
+    counted = count_pairs(docs, text, pairs, model.words, least, f"order{order}")
 
     def with_left(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
         share = c["kept"] / below.value.counts_of(order - 1, c["a"])
@@ -325,9 +334,10 @@ def add_order(model: Model, docs: DataFrame, text: str, order: int, least: int,
         log = model.single(model.counts_of(1, known)[back])
         if order == 3:
             middle = model.last_words(context)
-            nodes, kept = model.find_grams(2, middle, word)
-            log = np.where(nodes >= 0, kept, model.back_off(2, middle) + log)
-        log = np.log10(direct + 10 ** (model.back_off(order, context) + log))
+            nodes, kept, _ = model.find_grams(2, middle, word)
+            known, back = np.unique(middle, return_inverse=True)
+            log = np.where(nodes >= 0, kept, model.left_of(2, known)[back] + log)
+        log = np.log10(direct + 10 ** (model.left_of(order, context) + log))
         return GramSegment.arrays(context, word, model.words, to_codes(log), c["n"])
 
     model.gram_segments.append(write_level(counted, ["a", "b"], folder, f"grams{order}", with_logs))

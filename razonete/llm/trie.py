@@ -53,18 +53,22 @@ def pack(bits: np.ndarray) -> np.ndarray:
     return np.pad(data, (0, -len(data) % 8 + 16)).view("<u8")
 
 
+ONES, TOPS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+# Place of the set bit number r (from 0) in each byte.
+IN_BYTE = np.array([[*(i for i in range(8) if b >> i & 1), *[0] * 8][:8] for b in range(256)], np.uint8)
+
+
 def select(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Position of the set bit number `rank` (from 1) in each word."""
-    place = np.zeros(len(words), np.uint64)
+    """Position of the set bit number `rank` (from 1, at most as many as there are) in each word."""
     rank = rank.astype(np.uint64)
-    for width in (32, 16, 8, 4, 2, 1):
-        below = np.bitwise_count(words & np.uint64((1 << width) - 1)).astype(np.uint64)
-        go = rank > below
-        rank = rank - below * go
-        shift = go * np.uint64(width)
-        words = words >> shift
-        place += shift
-    return place.astype(np.int64)
+    count = words - (words >> np.uint64(1) & np.uint64(0x5555555555555555))
+    count = (count & np.uint64(0x3333333333333333)) + (count >> np.uint64(2) & np.uint64(0x3333333333333333))
+    upto = ((count + (count >> np.uint64(4))) & np.uint64(0x0F0F0F0F0F0F0F0F)) * ONES  # set bits up to each byte's end
+    before = np.uint64(8) * (np.uint64(8) - np.bitwise_count(((upto | TOPS) - rank * ONES) & TOPS))
+    before = np.minimum(before, np.uint64(56))
+    left = rank - ((upto << np.uint64(8)) >> before & np.uint64(255))
+    byte = words >> before & np.uint64(255)
+    return before.astype(np.int64) + IN_BYTE[byte, (left - np.uint64(1)) & np.uint64(7)]
 
 
 class EliasFano:
@@ -123,21 +127,58 @@ class EliasFano:
         last = int(self.get(np.array([self.n - 1]))[0]) >> self.width
         upper = (x >> np.uint64(self.width)).astype(np.int64)
         inside = upper <= last
-        upper = np.minimum(upper, last)
         lower = x & self.mask
-        a, b = self._before(upper), self._before(upper + 1)
-        a, b = np.where(inside, a, self.n), np.where(inside, b, self.n)
+        at = np.where(inside, self._before(np.minimum(upper, last)), self.n)
+        same = np.zeros(len(x), bool)
+        # Most upper parts have few numbers: look at the next ones in turn.
+        left = np.flatnonzero(inside)
+        for _ in range(2):
+            left = left[self._has(at[left] + upper[left])]
+            found = self.lower(at[left])
+            same[left] = found == lower[left]
+            left = left[found < lower[left]]
+            at[left] += 1
+        if len(left):
+            self._halve(at, left, upper, lower, same)
+        return at, same
+
+    def _has(self, bit: np.ndarray) -> np.ndarray:
+        """Whether bits of the upper part are set."""
+        return (self.high[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+
+    def _halve(self, at: np.ndarray, left: np.ndarray, upper: np.ndarray, lower: np.ndarray, same: np.ndarray) -> None:
+        """Go on in halves for the queries `left`, whose upper parts have many numbers."""
+        a, b = at[left], self._before(upper[left] + 1)
         end = b.copy()
         open_ = np.flatnonzero(a < b)
         while len(open_):
             mid = (a[open_] + b[open_]) >> 1
-            less = self.lower(mid) < lower[open_]
+            less = self.lower(mid) < lower[left[open_]]
             a[open_[less]] = mid[less] + 1
             b[open_[~less]] = mid[~less]
             open_ = open_[a[open_] < b[open_]]
-        same = a < end
-        same[same] = self.lower(a[same]) == lower[same]
-        return a, same
+        at[left] = a
+        inside = a < end
+        same[left[inside]] = self.lower(a[inside]) == lower[left[inside]]
+
+
+def unique_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each different key is first in order, and the number of each key; as numpy.unique gives them.
+
+    Non-negative keys that leave room are sorted together with their places, which is faster than an indirect sort.
+    """
+    bits = max(1, int(len(keys)).bit_length())
+    if len(keys) and 0 <= int(keys.min()) and int(keys.max()) < 1 << 63 - bits:
+        both = np.sort(keys << bits | np.arange(len(keys)))
+        order, ordered = both & ((1 << bits) - 1), both >> bits
+    else:
+        order = np.argsort(keys, kind="stable")
+        ordered = keys[order]
+    first = np.ones(len(keys), bool)
+    first[1:] = ordered[1:] != ordered[:-1]
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(first) - 1
+    return order[first], number
 
 
 def bounds_of(first: list[tuple], queries: list[np.ndarray]) -> np.ndarray:
