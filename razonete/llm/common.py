@@ -50,17 +50,31 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def add_columns(df: DataFrame, source: str, fields: str, function: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
+def larger(batches: Iterator[pa.RecordBatch], rows: int, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about `rows`, or of `size` bytes where that is less."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows or sum(b.nbytes for b in held) >= size:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
+def add_columns(df: DataFrame, source: str, fields: str, function: Callable[[pa.Array], list[pa.Array]],
+                rows: int = 1) -> DataFrame:
     """Append the columns `fields` (DDL), made from column `source` batch by batch in Python workers.
 
     `function` gets an Arrow array and returns an array for each field. All other
     columns pass through unseen. `fields` must not clash; see `free_name`.
+    Batches are put together to `rows` rows where a function works better on more.
     """
     added = T.StructType.fromDDL(fields)
     at = df.columns.index(source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in larger(batches, rows):
             columns = [*batch.columns, *function(batch.column(at))]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *added.names])
 

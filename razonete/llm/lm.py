@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from razonete.llm.common import LOWER, NOT_SPACE, add_columns, find_words, saved, signed, word_hashes
+from razonete.llm.common import LOWER, NOT_SPACE, add_columns, find_words, larger, saved, signed, word_hashes
 from razonete.llm.trie import EliasFano, Level, unique_keys, write_arrays
 from razonete.session import work_dir
 
@@ -52,6 +52,7 @@ STEPS = 2048
 END = 0  # the hash of the end
 SEGMENT_ROWS = 1 << 21
 TASK_ROWS = 1 << 21
+BATCH_ROWS = 1024  # lookups of many tokens at once find more of them equal or near
 
 
 @dataclass
@@ -252,7 +253,7 @@ def count_pairs(docs: DataFrame, text: str, pairs: Callable[[Tokens], tuple[np.n
                 least: int, name: str) -> DataFrame:
     """A saved table (a, b, n) of the pairs that texts give at least so often."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return summed((pairs(tokens(batch.column(0))) for batch in batches), words)
+        return summed((pairs(tokens(batch.column(0))) for batch in larger(batches, BATCH_ROWS)), words)
 
     counted = docs.select(text).mapInArrow(run, "a bigint, b bigint, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
     return saved(counted.where(F.col("n") >= least), name)
@@ -353,4 +354,4 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         sums = [np.add.reduceat(v, of.first[:-1]) if len(column) else v for v in ((counts > 0).astype(np.int64), alone, log)]
         return [pa.array(np.diff(of.first)), *map(pa.array, sums)]
 
-    return add_columns(docs, text, "n_tokens bigint, n_known bigint, base_score double, score double", run)
+    return add_columns(docs, text, "n_tokens bigint, n_known bigint, base_score double, score double", run, BATCH_ROWS)
