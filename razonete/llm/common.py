@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -134,19 +133,18 @@ BASE = 0x9E3779B97F4A7C15
 BYTE_VALUES = np.random.Generator(np.random.PCG64(7)).integers(0, 2**64, 256, np.uint64)
 
 
-@functools.lru_cache(maxsize=4)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    def of(base: int) -> np.ndarray:
-        out = np.full(size, base, np.uint64)
-        out[0] = 1
-        return np.multiply.accumulate(out)
-
-    return of(BASE), of(pow(BASE, -1, 2**64))
+_known_powers = [np.ones(1, np.uint64)] * 2
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base modulo 2^64, and of its inverse, for exponents up to n at least."""
-    return _powers(1 << max(12, int(n).bit_length()))
+    """Powers of the base modulo 2^64, and of its inverse, for exponents up to n at least. The longest ones are kept."""
+    if len(_known_powers[0]) <= n:
+        size = max(1 << 12, n + n // 4 + 1)
+        for i, base in enumerate((BASE, pow(BASE, -1, 2**64))):
+            out = np.full(size, base, np.uint64)
+            out[0] = 1
+            _known_powers[i] = np.multiply.accumulate(out)
+    return _known_powers[0], _known_powers[1]
 
 
 def mix(h: np.ndarray) -> np.ndarray:

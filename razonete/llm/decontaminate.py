@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from razonete.llm.common import (
     ALNUM, LOWER, Words, add_columns, find_words, free_name, range_hashes, saved, windows, word_hashes)
@@ -167,8 +167,9 @@ def shingle_counts(docs: DataFrame, text: str, index: Index) -> np.ndarray:
 
 
 def find(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-         hits: str = "hits", window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Add the spans of words (start, end exclusive) that each document shares with windows of each item."""
+         hits: str = "hits", n_words: str = "n_words", window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """Add the spans of words (start, end exclusive) that each document shares with windows of each item, and how many
+    words it has."""
     items = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"),
                          F.coalesce(item_text, F.lit("")).alias("text"))
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
@@ -177,41 +178,39 @@ def find(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "
         rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
         index = build_index([tuple(r) for r in rows], window)
         index = keep_prefixes(index, shingle_counts(docs, text, index))
-        found = free_name(docs, "_found")
-        docs = _add_hits(docs, text, found, index)
-        if block:
-            docs = docs.withColumn(hits, F.concat(hits, found)).drop(found)
+        if not block:
+            docs = _add_hits(docs, text, hits, n_words, index)
         else:
-            docs = docs.withColumnRenamed(found, hits)
+            found, counted = free_name(docs, "_found"), free_name(docs, "_counted")
+            docs = _add_hits(docs, text, found, counted, index)
+            docs = docs.withColumn(hits, F.concat(hits, found)).drop(found, counted)
         if blocks > 1:
             docs = saved(docs, "hits")
     return docs
 
 
-def _add_hits(docs: DataFrame, text: str, name: str, index: Index) -> DataFrame:
+def _add_hits(docs: DataFrame, text: str, hits: str, n_words: str, index: Index) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(column: pa.Array) -> list[pa.Array]:
-        return [pa.array(hits_of(find_words(column, ALNUM, LOWER), sent.value), HITS_ARROW)]
+        words = find_words(column, ALNUM, LOWER)
+        return [pa.array(hits_of(words, sent.value), HITS_ARROW), pa.array(words.counts())]
 
-    return add_columns(docs, text, f"`{name}` {HITS}", run)
+    return add_columns(docs, text, f"`{hits}` {HITS}, `{n_words}` bigint", run)
 
 
-def count_hits(docs: DataFrame, hits: str = "hits", n_hit: str = "n_hit") -> DataFrame:
-    """Add how many words are within any of the spans."""
-    def run(column: pa.Array) -> list[pa.Array]:
-        covered = (merged([(h["start"], h["end"]) for h in row or []]) for row in column.to_pylist())
-        return [pa.array([sum(b - a for a, b in spans) for spans in covered], pa.int64())]
-
-    return add_columns(docs, hits, f"`{n_hit}` bigint", run)
+def covered(hits: str) -> Column:
+    """How many words are within any of the spans."""
+    spans = F.array_sort(F.transform(hits, lambda h: F.struct(h["start"].alias("start"), h["end"].alias("end"))))
+    nothing = F.struct(F.lit(0).cast("bigint").alias("upto"), F.lit(0).cast("bigint").alias("n"))
 
+    def add(sum_: Column, span: Column) -> Column:
+        more = F.greatest(span["end"] - F.greatest(span["start"], sum_["upto"]), F.lit(0).cast("bigint"))
+        return F.struct(F.greatest(sum_["upto"], span["end"]).alias("upto"), (sum_["n"] + more).alias("n"))
 
-def count_words(docs: DataFrame, text: str = "text", n_words: str = "n_words") -> DataFrame:
-    """Add how many words each document has."""
-    return add_columns(docs, text, f"`{n_words}` bigint",
-                       lambda column: [pa.array(find_words(column, ALNUM, LOWER).counts())])
+    return F.aggregate(spans, nothing, add, lambda sum_: sum_["n"])
 
 
-def is_contaminated(n_hit: str, n_words: str):
+def is_contaminated(n_hit: Column, n_words: Column) -> Column:
     """A twentieth of the words or more, and at least one, is from the benchmark."""
-    return (F.col(n_hit) > 0) & (20 * F.col(n_hit) >= F.col(n_words))
+    return (n_hit > 0) & (20 * n_hit >= n_words)

@@ -51,8 +51,8 @@ LEAST = 2
 STEPS = 2048
 END = 0  # the hash of the end
 SEGMENT_ROWS = 1 << 21
-TASK_ROWS = 1 << 21
-BATCH_ROWS = 1024  # lookups of many tokens at once find more of them equal or near
+TASK_ROWS = 1 << 20
+BATCH_ROWS = 768  # lookups of many tokens at once find more of them equal or near
 
 
 @dataclass

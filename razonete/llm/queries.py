@@ -53,12 +53,11 @@ def op2_secrets(spark, folder):
 @query
 def op3_decontaminate(spark, folder):
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
-    counted = decontaminate.count_words(documents(spark, folder, "doc_id", "text"))
-    found = decontaminate.count_hits(decontaminate.find(counted, items).drop("text"))
+    found = decontaminate.find(documents(spark, folder, "doc_id", "text"), items).withColumn("n_hit", decontaminate.covered("hits"))
     ids = F.array_sort(F.array_distinct("hits.item"))
     return found.select("doc_id", "n_words", "n_hit", F.size(ids).cast("long").alias("n_items"),
                         F.sha2(F.array_join(ids, ",").cast("binary"), 256).alias("items_sha256"),
-                        decontaminate.is_contaminated("n_hit", "n_words").alias("contaminated"))
+                        decontaminate.is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
 
 ORACLE["op3_decontaminate"] = r"""

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from razonete.llm import decontaminate as dec
 from razonete.llm.common import ALNUM, LOWER, find_words
@@ -14,7 +15,7 @@ WORDS = [f"w{i}" for i in range(12)]
 
 
 def found(docs, items, **options):
-    rows = dec.count_hits(dec.find(docs, items, **options)).collect()
+    rows = dec.find(docs, items, **options).withColumn("n_hit", dec.covered("hits")).collect()
     return sorted((r["doc_id"], tuple((h["item"], h["start"], h["end"]) for h in r["hits"]), r["n_hit"]) for r in rows)
 
 
@@ -85,7 +86,7 @@ def test_one_in_twenty_words_is_the_limit(spark):
     item = " ".join(f"q{i}" for i in range(13))
     docs = spark.createDataFrame([(n, item + " z" * (n - 13)) for n in (260, 261)], "doc_id long, text string")
     items = spark.createDataFrame([(1, item)], "item_id long, text string")
-    rows = dec.count_words(dec.count_hits(dec.find(docs, items))).withColumn("c", dec.is_contaminated("n_hit", "n_words"))
+    rows = dec.find(docs, items).withColumn("c", dec.is_contaminated(dec.covered("hits"), F.col("n_words")))
     assert {r["doc_id"]: r["c"] for r in rows.collect()} == {260: True, 261: False}
 
 
