@@ -163,9 +163,10 @@ def text_at(value: Column, path: str | Column) -> Column:
     return F.when(is_truthy(found), path_get(value, path)).otherwise(F.lit(""))
 
 
-def parse_failure(text: Column, kept: int = 500) -> Column:
-    """The one-record answer that stands for an unreadable model text."""
-    return F.to_json(F.array(F.struct(F.lit("parse_failed").alias("error"), F.substring(text, 1, kept).alias("raw"))))
+def parse_failure(text: Column, kept: int | None = None) -> Column:
+    """The one-record answer that stands for an unreadable model text, which it keeps whole or up to `kept` characters."""
+    raw = F.substring(text, 1, kept) if kept else text
+    return F.to_json(F.array(F.struct(F.lit("parse_failed").alias("error"), raw.alias("raw"))))
 
 
 def message_text(messages: Column, *fallbacks: Column) -> Column:

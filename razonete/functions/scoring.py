@@ -10,11 +10,12 @@ from razonete.sources.dictionary import REQUIRED_KEYS
 
 
 # Wording of the rationales.
-FIELD_RATIONALE = ("Extraído: ", " | Correto: ", " | Delta: ")
+FIELD_RATIONALE = "Extraído: %s | Correto: %s | Delta: %s"
+TEXT_RATIONALE = "Extraído: '%s' | Correto: '%s'"
 NO_CORRECTION = "Sem correção registrada"
 STRUCTURE_OK = "Estrutura OK"
-MISSING_KEYS = "Campos ausentes: "
-BALANCE_RATIONALE = ("Ativo: ", " | Passivo: ", " | Delta: ", "%")
+MISSING_KEYS = "Campos ausentes: %s"
+BALANCE_RATIONALE = "Ativo: %s | Passivo: %s | Delta: %s%%"
 ZERO_ASSETS = "Ativo Total é zero"
 NO_OBJECT = "Output não é um objeto"
 NO_NUMBER = "Valor não numérico"
@@ -43,14 +44,12 @@ def score_field(extracted: Column, expected: Column, corrected: Column | None =
     shown, target = F.coalesce(extracted, F.lit("None")), F.coalesce(expected, F.lit("None"))
     same = F.lower(strip(shown)) == F.lower(strip(target))
     present = F.lit(True) if corrected is None else corrected
-    before, between, delta = FIELD_RATIONALE
     return _score(
         F.when(present & ~numeric, "text_match").otherwise("numeric_accuracy"),
         F.when(present, F.when(numeric, close).otherwise(same)),
         F.when(~present, NO_CORRECTION)
-         .when(numeric, F.concat(F.lit(before), _plain(found), F.lit(between), _plain(wanted),
-                                 F.lit(delta), _plain(F.abs(found - wanted))))
-         .otherwise(F.concat(F.lit(f"{before}'"), shown, F.lit(f"'{between}'"), target, F.lit("'"))))
+         .when(numeric, F.format_string(FIELD_RATIONALE, _plain(found), _plain(wanted), _plain(F.abs(found - wanted))))
+         .otherwise(F.format_string(TEXT_RATIONALE, shown, target)))
 
 
 def missing_keys(text: Column) -> Column:
@@ -61,7 +60,7 @@ def missing_keys(text: Column) -> Column:
 def score_structure(text: Column) -> Column:
     """True when a JSON object text carries every required top-level key."""
     missing = missing_keys(text)
-    listed = F.concat(F.lit(MISSING_KEYS), F.array_join(missing, ", "))
+    listed = F.format_string(MISSING_KEYS, F.array_join(missing, ", "))
     return _score(
         F.lit("json_structure_valid"),
         F.coalesce(F.size(missing) == 0, F.lit(False)) & missing.isNotNull(),
@@ -78,12 +77,11 @@ def score_balance(value: Column, tol_pct: float = 1.0) -> Column:
 
     assets, liabilities = amount("ativo_total"), amount("passivo_total")
     delta = F.try_divide(F.abs(assets - liabilities), F.abs(assets)) * 100
-    a, p, d, end = BALANCE_RATIONALE
     known = assets.isNotNull() & liabilities.isNotNull() & (assets != 0)
     return _score(
-        F.lit("balance_sheet_closes"),
+        F.lit("balanco_equilibrado"),
         F.when(known, delta <= tol_pct),
         F.when(assets == 0, ZERO_ASSETS)
          .when(~F.coalesce(known, F.lit(False)), NO_NUMBER)
-         .otherwise(F.concat(F.lit(a), F.format_number(assets, 2), F.lit(p), F.format_number(liabilities, 2),
-                             F.lit(d), F.format_number(delta, 2), F.lit(end))))
+         .otherwise(F.format_string(BALANCE_RATIONALE, F.format_number(assets, 2), F.format_number(liabilities, 2),
+                                    F.format_number(delta, 2))))

@@ -59,12 +59,12 @@ def label_before(line: Column, tail: Column) -> Column:
 
 
 def tail_amount(tail: Column) -> Column:
-    """DECIMAL(20,2) of a closing amount, NULL for ''.
+    """DECIMAL(26,6) of a closing amount, NULL for ''; a declared scale applies before cents are rounded.
 
     Brackets are decoration; only a minus sign makes the amount negative.
     """
     number = F.replace(F.regexp_replace(tail, r"[.()R$\s]", ""), F.lit(","), F.lit("."))
-    return number.try_cast("decimal(20,2)")
+    return number.try_cast("decimal(26,6)")
 
 
 # Unit scales a statement may declare for its amounts.

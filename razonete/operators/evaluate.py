@@ -9,7 +9,6 @@ from razonete.functions.scoring import score_balance, score_field, score_structu
 from razonete.functions.text import preview
 from razonete.operators.joins import join_unique
 from razonete.operators.review import default_record
-from razonete.sources.dictionary import PATHS
 
 MIN_CORRECTED_DOCUMENTS = 5
 
@@ -80,22 +79,18 @@ def score_corrections(statements: DataFrame, corrections: DataFrame) -> DataFram
 
 
 def tuning_set(documents: DataFrame, corrections: DataFrame, max_chars: int | None = None) -> DataFrame:
-    """inputs and the expected response of every corrected document that has a text.
+    """inputs and the expected response of every corrected document that has a text: one example each, with all notes.
 
-    One text lists a document's notes on dictionary fields, at most 81 of them
-    since `corrections` holds a field once. A field the dictionary does not know
-    gets a row of its own (`part` is its name), so that no text grows with the
-    data and no note is left out.
+    `corrections` holds a field once per document, so a document's notes are
+    bounded by its fields. Both sides of the join hold a document once.
     """
-    part = F.when(F.col("campo").isin(PATHS), F.lit("")).otherwise(F.col("campo"))
     note = F.format_string(NOTE, "campo", F.coalesce("valor_correto", F.lit("")),
                            F.coalesce("valor_extraido", F.lit("")), F.coalesce("comentario", F.lit("")))
-    notes = (corrections.select("document_name", "campo", part.alias("part"), note.alias("note"))
-             .groupBy("document_name", "part")
-             .agg(F.expr("listagg(note, '\\n') WITHIN GROUP (ORDER BY campo)").alias("notes")))
+    notes = (corrections.select("document_name", "campo", note.alias("note"))
+             .groupBy("document_name").agg(F.expr("listagg(note, '\\n') WITHIN GROUP (ORDER BY campo)").alias("notes")))
     texts = documents.select("document_name", _text(max_chars).alias("text"))
     return notes.join(texts, "document_name").select(
-        F.struct("text", "document_name").alias("inputs"), "part",
+        F.struct("text", "document_name").alias("inputs"),
         F.struct(F.concat(F.lit(EXPECTED_HEAD), "notes", F.lit(EXPECTED_TAIL)).alias("expected_response"))
          .alias("expectations"))
 

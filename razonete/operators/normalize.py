@@ -10,18 +10,25 @@ from razonete.functions.jsonops import (
 from razonete.functions.text import basename
 from razonete.schemas import STATEMENT_KEY
 
-REASONS = ["bad_json", "call_error", "null_result", "no_records", "parse_failed", "bad_record"]
+REASONS = ["no_answer", "bad_json", "call_error", "null_result", "no_records", "parse_failed", "bad_record"]
 
 
 def answers(extracted: DataFrame, keep_text: bool = False) -> DataFrame:
-    """(path, extracted) -> document_name, path, answer VARIANT, reason. Parses each text once."""
-    named = (extracted.where(F.col("extracted").isNotNull())
-                      .select(basename(F.col("path")).alias("document_name"), "path",
-                              strip_fences(F.col("extracted")).alias("text")))
+    """(path, extracted) -> document_name, path, answer VARIANT, reason. Parses each text once.
+
+    An `answer_id` goes along. No answer at all, as of a failed call, has its own reason.
+    """
+    named = extracted.select(basename(F.col("path")).alias("document_name"), "path", *_answer_id(extracted),
+                             strip_fences(F.col("extracted")).alias("text"))
     parsed = unwrap_envelope(parse_column(named, "text", "_value"), "_value", "answer", "reason").drop("_value")
+    parsed = parsed.withColumn("reason", F.when(F.col("text").isNull(), "no_answer").otherwise(F.col("reason")))
     return parsed if keep_text else parsed.drop("text")
 
 
+def _answer_id(df: DataFrame) -> list[str]:
+    return [c for c in ("answer_id",) if c in df.columns]
+
+
 def records(extracted: DataFrame) -> DataFrame:
     """One row per record of each answer, tagged: reason NULL means a statement.
 
@@ -29,7 +36,7 @@ def records(extracted: DataFrame) -> DataFrame:
     in the partition its answer was read in.
     """
     exploded = (answers(extracted)
-                .select("document_name", "path", F.col("reason").alias("_failed"),
+                .select("document_name", "path", *_answer_id(extracted), F.col("reason").alias("_failed"),
                         F.posexplode_outer(as_records(F.col("answer"))).alias("pos", "record")))
     tagged = computed_once(exploded, "extracted_json", F.to_json("record"))
     reason = (F.when(F.col("_failed").isNotNull(), F.col("_failed"))
@@ -54,12 +61,12 @@ def statement_columns(record: Column) -> list[Column]:
 def statements_of(tagged: DataFrame) -> DataFrame:
     """The statement rows of `records`, still with path and pos for deduplication."""
     return (tagged.where(F.col("reason").isNull())
-                  .select("document_name", *statement_columns(F.col("record")), "path", "pos"))
+                  .select("document_name", *statement_columns(F.col("record")), *_answer_id(tagged), "path", "pos"))
 
 
 def rejects_of(tagged: DataFrame) -> DataFrame:
     return (tagged.where(F.col("reason").isNotNull())
-                  .select("document_name", "path", F.coalesce("pos", F.lit(0)).alias("pos"), "reason"))
+                  .select("document_name", "path", *_answer_id(tagged), F.coalesce("pos", F.lit(0)).alias("pos"), "reason"))
 
 
 def normalize(extracted: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -13,7 +13,7 @@ class HardErrors(RuntimeError):
 
 
 def run_summary(results: DataFrame, batch_id: int) -> DataFrame:
-    """Rows, distinct documents and rows of the given batch, in one pass."""
+    """Rows, distinct documents and rows of the given batch, in one pass over `document_name` and `batch_id`."""
     return results.agg(
         F.count("*").alias("total_rows"),
         F.count_distinct("document_name").alias("distinct_documents"),

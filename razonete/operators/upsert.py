@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from razonete.schemas import CORRECTION_KEY, STATEMENT_KEY
+from razonete.schemas import CORRECTION_KEY, CORRECTIONS, STATEMENT_KEY
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str] = STATEMENT_KEY, force: bool = True) -> DataFrame:
@@ -31,19 +31,27 @@ def latest(log: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def latest_corrections(log: DataFrame) -> DataFrame:
     """Current corrections: newest by (criado_em, seq) per document and field.
 
-    A log with an `op` column may hold deletions, which remove the key until
-    it is written again.
+    A missing `seq` counts as 0. An entry whose `op` is 'delete' removes the key
+    until it is written again; any other `op`, and none, writes it.
     """
-    current = latest(log, CORRECTION_KEY, ["criado_em", "seq"])
+    if "seq" in log.columns:
+        log = log.withColumn("seq", F.coalesce("seq", F.lit(0)))
+    order = [c for c in ("criado_em", "seq") if c in log.columns]
+    current = latest(log, CORRECTION_KEY, order)
     if "op" in log.columns:
-        current = current.where(F.col("op") != "delete").drop("op")
+        current = current.where(~F.col("op").eqNullSafe("delete")).drop("op")
     return current
 
 
-def correction_entry(rows: DataFrame, op: str = "upsert") -> DataFrame:
-    """Rows to append to the correction log, with a write time where none is given."""
-    stamp = F.coalesce("criado_em", F.current_timestamp()) if "criado_em" in rows.columns else F.current_timestamp()
-    return rows.withColumn("criado_em", stamp).withColumn("op", F.lit(op))
+def correction_entry(rows: DataFrame, op: str | None = "upsert") -> DataFrame:
+    """Rows to append to the correction log: a write time and number where none is given, all columns of the table."""
+    def given(name: str, kind: str, otherwise: Column) -> Column:
+        return (F.coalesce(F.col(name), otherwise) if name in rows.columns else otherwise).cast(kind).alias(name)
+
+    kinds = dict(column.split() for column in CORRECTIONS.split(", "))
+    defaults = {"criado_em": F.current_timestamp(), "seq": F.lit(0)}
+    columns = [given(name, kind, defaults.get(name, F.lit(None))) for name, kind in kinds.items() if name != "op"]
+    return rows.select(*columns, F.lit(op).cast("string").alias("op"))
 
 
 def corrections_of(current: DataFrame, document_name: str) -> DataFrame:

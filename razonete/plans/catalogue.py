@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from razonete.functions import jsonops, scoring, text as texts
 from razonete.operators import (
     batch_score as calls, elements, evaluate, export, ingest, line_items as items, metrics, normalize as norm,
-    review, runs, upsert as merging)
+    review, runs, statement_text, upsert as merging)
+from razonete.schemas import CORRECTIONS, STATEMENT_KEY, STATEMENTS
 from razonete.session import configure, work_dir
 from razonete.sources import derived, dictionary, files, tables
 from razonete.streaming import jobs
@@ -131,6 +132,21 @@ def document_detail(spark, folder):
                          jsonops.number_at(record, "ativo_total").alias("ativo_total"))
 
 
+@query
+def document_by_name(spark, folder):
+    """One document's current records out of sorted batches, found by its name without the suffix."""
+    root = work_dir(spark, "statements")
+    stored = norm.dedupe_batch(_statements(spark, folder)).withColumns(
+        {"answer_id": F.lit(None).cast("string"), "processed_at": F.current_timestamp()})
+    tables.commit_batch(stored, root, 0, ["document_name"])
+    batches = tables.read_batches(spark, root, STATEMENTS)
+    name = batches.agg(F.min("document_name")).first()[0].removesuffix(".pdf")
+    key = texts.document_key(F.lit(name))
+    current = tables.current_rows(batches.where(F.col("document_name") == key), STATEMENT_KEY)
+    return review.document_detail(current).select(
+        "document_name", "tipo_entidade", "periodo", jsonops.number_at(F.try_parse_json("extracted_json"), "ativo_total").alias("ativo_total"))
+
+
 @query
 def default_record(spark, folder):
     return review.default_record(_statements(spark, folder).select(
@@ -182,6 +198,43 @@ def corrections_after_delete(spark, folder):
     return merging.latest_corrections(log).select("document_name", "campo", "valor_correto", "seq")
 
 
+def _stored_log(spark, folder):
+    """The correction log as review writes it: entries appended to the declared table, some without an `op`."""
+    path = work_dir(spark, "log")
+    log = derived.correction_log(spark, folder).withColumn("criado_em", F.col("criado_em").cast("timestamp"))
+    free = F.col("comentario") == "free"
+    for kind, op in ((F.col("comentario").isNull(), None), (free, "delete"), (~free, "upsert")):
+        tables.append(merging.correction_entry(log.where(kind), op), path)
+    return spark.read.schema(CORRECTIONS).parquet(path)
+
+
+@query
+def correction_workflow(spark, folder):
+    """Entries to the log, the log to current corrections, listed by document."""
+    current = merging.latest_corrections(_stored_log(spark, folder))
+    return current.select("document_name", "campo", "valor_extraido", "valor_correto", "comentario", "seq")
+
+
+@query
+def corrections_by_name(spark, folder):
+    log = _stored_log(spark, folder)
+    name = log.agg(F.min("document_name")).first()[0]
+    return merging.corrections_of(merging.latest_corrections(log.where(F.col("document_name") == name)), name)
+
+
+@query
+def compact_roundtrip(spark, folder):
+    """The newer entries are committed first; the newest entry of each key is the current one all the same."""
+    root, keys, order = work_dir(spark, "compact"), ["document_name", "campo"], ("criado_em", "seq")
+    log = derived.correction_log(spark, folder).select(*keys, "valor_correto", "criado_em", "seq")
+    schema = "document_name string, campo string, valor_correto string, criado_em timestamp_ntz, seq bigint"
+    late = F.year("criado_em") >= 1995
+    for number, part in enumerate((late, ~late)):
+        tables.commit_batch(merging.latest(log.where(part), keys, list(order)), f"{root}/store", number, ["document_name"])
+    tables.compact(spark, f"{root}/store", f"{root}/compacted", schema, keys, 1, order)
+    return tables.read_batches(spark, f"{root}/compacted", schema).select(*keys, "valor_correto", "seq", "batch_id")
+
+
 @query
 def correction_overlay(spark, folder):
     field = [f for f in dictionary.FIELDS if f.path in ("ativo_total", "dre.lucro_liquido")]
@@ -387,6 +440,30 @@ def score_structure(spark, folder):
     ).select("document_name", "tipo_entidade", "periodo", "s.value", "s.rationale")
 
 
+@query
+def score_structure_whole(spark, folder):
+    """Orders as objects with all required keys, without one of them, and as lists."""
+    keys = dictionary.REQUIRED_KEYS
+    kind = F.col("o_orderkey") % 3
+
+    def object_of(names):
+        return F.to_json(F.struct(*[F.col("o_totalprice").alias(k) for k in names]))
+
+    text = F.when(kind == 0, object_of(keys)).when(kind == 1, object_of(keys[1:])).otherwise(F.to_json(F.array("o_totalprice")))
+    return derived.table(spark, folder, "orders").select("o_orderkey", scoring.score_structure(text).alias("s")).select(
+        "o_orderkey", "s.value", "s.rationale")
+
+
+@query
+def score_field_close(spark, folder):
+    """Line totals against the part's price times the quantity, within the usual tolerance."""
+    lines = derived.table(spark, folder, "lineitem").join(
+        derived.table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    price = (F.col("p_retailprice").cast(derived.MONEY) * F.col("l_quantity").cast("decimal(10,0)")).cast("decimal(18,2)").cast("string")
+    score = scoring.score_field(F.col("l_extendedprice").cast(derived.MONEY).cast("string"), price)
+    return lines.select("l_orderkey", "l_linenumber", score.alias("s")).select("l_orderkey", "l_linenumber", "s.name", "s.value")
+
+
 @query
 def score_balance(spark, folder):
     score = scoring.score_balance(F.try_parse_json("extracted_json"))
@@ -419,7 +496,7 @@ def evaluation_metrics(spark, folder):
 @query
 def tuning_set(spark, folder):
     return evaluate.tuning_set(derived.texts(spark, folder), _corrections(spark, folder)).select(
-        "inputs.document_name", "inputs.text", "part", "expectations.expected_response")
+        "inputs.document_name", "inputs.text", "expectations.expected_response")
 
 
 @query
@@ -439,7 +516,8 @@ def join_elements(spark, folder):
 def page_elements(spark, folder):
     pages = derived.table(spark, folder, "pages").select("page_id", elements.page_elements(F.col("html")).alias("parts"))
     return pages.select("page_id", F.size("parts").cast("bigint").alias("n_elements"),
-                        elements.join_parts(F.col("parts")).alias("raw_parsed"))
+                        elements.join_parts(F.col("parts")).alias("raw_parsed"),
+                        F.regexp_replace(F.array_join("parts", ""), r"\s", "").alias("letters"))
 
 
 @query
@@ -449,14 +527,16 @@ def prompt_rows(spark, folder):
 
 @query
 def batch_score(spark, folder):
-    """A stub that fails for some texts and else answers with their first letters."""
+    """A stub that fails or is too slow for some texts and else answers with their first letters."""
     def stub(text: str) -> str:
         if len(text) % 7 == 0:
             raise ValueError("no answer")
+        if len(text) % 7 == 1:
+            raise TimeoutError("slow")
         return text[:5]
 
     documents = derived.table(spark, folder, "documents").select("doc_id", "text")
-    scored = calls.batch_score(documents, stub, "text")
+    scored = calls.batch_score(documents, stub, "text", tries=3, backoff=0.0)
     return scored.select("doc_id", "response.result", F.col("response.errorMessage").alias("error_message"),
                          F.col("response.attempts").alias("attempts"))
 
@@ -469,8 +549,13 @@ def preview_text(spark, folder):
 
 @query
 def last_message(spark, folder):
-    return derived.table(spark, folder, "conversations").groupBy("conv_id").agg(
-        F.coalesce(F.max_by("text", "turn"), F.lit("")).alias("text"))
+    """Every third conversation is given without its messages, as one text or under another name."""
+    turns = derived.table(spark, folder, "conversations").groupBy("conv_id").agg(
+        F.max_by(F.struct("role", F.col("text").alias("content")), "turn").alias("last"), F.min_by("text", "turn").alias("first"))
+    kind = F.col("conv_id") % 6
+    messages = F.when(kind % 3 != 0, F.array("last"))
+    return turns.select("conv_id", jsonops.message_text(
+        messages, F.when(kind == 0, F.col("first")), F.when(kind == 3, F.concat(F.lit("> "), "first"))).alias("text"))
 
 
 @query
@@ -478,6 +563,26 @@ def line_items(spark, folder):
     return items.line_items(derived.statement_lines(spark, folder)).withColumn("value", F.col("value").cast("double"))
 
 
+@query
+def line_items_scaled(spark, folder):
+    """The same lines, those of even orders printed in thousands with five decimals."""
+    return items.line_items(derived.scaled_lines(spark, folder)).withColumn("value", F.col("value").cast("double"))
+
+
+@query
+def statement_text_records(spark, folder):
+    """Whole texts with two entity types and two years side by side, to records, to statements read field by field."""
+    lines = statement_text.statement_lines(derived.statement_texts(spark, folder))
+    built = items.assemble_records(items.line_item_cells(lines.where("periodo IS NOT NULL")))
+    tagged = norm.records(built.select(F.concat(F.lit("/in/"), "document_name").alias("path"), "extracted"))
+    record = F.col("record")
+    return tagged.where("reason IS NULL").select(
+        "document_name", jsonops.text_at(record, "tipo_entidade").alias("tipo_entidade"),
+        jsonops.text_at(record, "identificacao.periodo").alias("periodo"),
+        jsonops.safe_double(record, "ativo_circulante.disponibilidades").alias("disponibilidades"),
+        jsonops.safe_double(record, "ativo_circulante.estoques").alias("estoques"))
+
+
 @query
 def line_item_provenance(spark, folder):
     return items.line_item_provenance(derived.statement_lines(spark, folder))
@@ -513,18 +618,38 @@ def hash_buckets(spark, folder):
 
 # --- files and streams -------------------------------------------------------
 
+def _text_files(spark, folder):
+    """The documents as text files, a folder for each language."""
+    path = work_dir(spark, "texts")
+    derived.table(spark, folder, "documents").select("lang", "text").write.partitionBy("lang").text(path)
+    return path
+
+
+def _by_folder(found):
+    content = F.decode("content", "UTF-8")
+    return found.groupBy(F.regexp_extract("path", "/lang=([^/]*)/", 1).alias("lang")).agg(
+        F.sum("length").alias("n_bytes"), F.sum(F.octet_length("content")).alias("n_read"),
+        F.sum(F.regexp_count(content, F.lit("\n"))).alias("n_lines"))
+
+
 @query
 def scan_files(spark, folder):
-    found = files.scan_files(spark, folder, "*.parquet")
-    return found.select(texts.basename(F.col("path")).alias("name"), "length")
+    return _by_folder(files.scan_files(spark, _text_files(spark, folder), "*.txt"))
+
+
+@query
+def read_contents(spark, folder):
+    """The same files listed first, and opened where the rows are."""
+    listed = files.list_files(spark, _text_files(spark, folder), "*.txt")
+    return _by_folder(files.read_contents(listed).withColumn("length", F.element_at(F.split("version", "#"), -2).cast("bigint")))
 
 
 @query
 def stream_ingest(spark, folder):
-    path = work_dir(spark, "ingest")
-    jobs.stream_ingest(spark, folder, f"{path}/files", f"{path}/checkpoint", "*.parquet",
-                       ("path", "length")).awaitTermination()
-    return spark.read.parquet(f"{path}/files").select(texts.basename(F.col("path")).alias("name"), "length")
+    path, source = work_dir(spark, "ingest"), _text_files(spark, folder)
+    jobs.stream_ingest(spark, source, f"{path}/files", f"{path}/checkpoint", "*.txt",
+                       ("path", "length", "content")).awaitTermination()
+    return _by_folder(spark.read.parquet(f"{path}/files"))
 
 
 def _order_stream(spark, folder):

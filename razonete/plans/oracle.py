@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from razonete.operators.elements import CHARACTER_REFERENCES, ELEMENT_TAGS, PROMPT
+from razonete.operators.elements import CHARACTER_REFERENCES, PROMPT
 from razonete.operators.evaluate import EXPECTED_HEAD, EXPECTED_TAIL
 from razonete.operators.normalize import FLAT_NUMBERS, FLAT_TEXTS
 from razonete.sources.dictionary import FIELDS, NO_COMMENT, REQUIRED_KEYS, SECTION_TITLES
@@ -105,8 +105,8 @@ named AS (
 
 REJECTS = """
 rejected AS (
-  SELECT k, CASE k % 12 WHEN 1 THEN 'call_error' WHEN 4 THEN 'bad_json' WHEN 5 THEN 'parse_failed' ELSE 'bad_record' END reason
-  FROM (SELECT DISTINCT k FROM fx) WHERE k % 12 IN (1, 4, 5, 7))
+  SELECT k, CASE k % 12 WHEN 0 THEN 'no_answer' WHEN 1 THEN 'call_error' WHEN 4 THEN 'bad_json' WHEN 5 THEN 'parse_failed' ELSE 'bad_record' END reason
+  FROM (SELECT DISTINCT k FROM fx) WHERE k % 12 IN (0, 1, 4, 5, 7))
 """
 
 EVALUATED = """
@@ -192,19 +192,21 @@ def _dictionary() -> str:
 
 
 def _page_elements() -> str:
-    any_tag = "|".join(rf"<{tag}(?:\s[^>]*)?>.*?</{tag}>" for tag in ELEMENT_TAGS)
-    plain = "regexp_replace(e, '<[^>]*>', '', 'g')"
+    """Elements end at the tags that the pages have and that are no inline ones; all text, by taking every tag out."""
+    decoded = "{}"
     for reference, character in CHARACTER_REFERENCES.items():
-        plain = f"replace({plain}, {quote(reference)}, {quote(character)})"
+        decoded = f"replace({decoded}, {quote(reference)}, {quote(character)})"
     return f"""
-      WITH parts AS (
-        SELECT page_id, list_transform(
-          regexp_extract_all(regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->', '', 'g'),
-                             '(?is){any_tag}', 0),
-          lambda e: trim({plain}, {BLANKS})) AS parts
-        FROM pages)
-      SELECT page_id, len(parts) AS n_elements,
-        array_to_string(list_filter(parts, lambda p: p <> ''), chr(10) || chr(10)) AS raw_parsed
+      WITH shown AS (
+        SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script.*?</script>', '', 'g'),
+          '(?is)<style.*?</style>', '', 'g'), '(?s)<!--.*?-->', '', 'g') AS h FROM pages),
+      parts AS (
+        SELECT page_id, h, list_filter(list_transform(string_split(regexp_replace(regexp_replace(h,
+          '(?i)</?(!doctype|p|li|head|title|nav|ul|div|article|h1|footer|html|body|br|meta)( [^>]*)?>', chr(30), 'g'), '<[^>]*>', '', 'g'),
+          chr(30)), lambda t: trim({decoded.format("t")}, {BLANKS})), lambda t: t <> '') AS parts
+        FROM shown)
+      SELECT page_id, len(parts) AS n_elements, array_to_string(parts, chr(10) || chr(10)) AS raw_parsed,
+        regexp_replace({decoded.format("regexp_replace(h, '<[^>]*>', '', 'g')")}, '[ \\t\\n\\r\\f\\v]', '', 'g') AS letters
       FROM parts"""
 
 
@@ -239,9 +241,9 @@ ORACLE: dict[str, str] = {
       SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN chr(10) || text || chr(10) WHEN 1 THEN regexp_replace(text, '^json', '')
         ELSE trim(text, """ + BLANKS + """) END AS body FROM documents""",
     "unwrap_envelope": with_(FX, select="""
-      SELECT 'c' || k || '.pdf' AS document_name, CASE k % 12 WHEN 1 THEN 'call_error' WHEN 4 THEN 'bad_json' END AS reason,
-        CASE WHEN k % 12 IN (1, 4) THEN NULL WHEN k % 12 IN (5, 6, 7) THEN 1 ELSE count(*) END AS n_records
-      FROM fx WHERE k % 12 <> 0 GROUP BY k"""),
+      SELECT 'c' || k || '.pdf' AS document_name, CASE k % 12 WHEN 0 THEN 'no_answer' WHEN 1 THEN 'call_error' WHEN 4 THEN 'bad_json' END AS reason,
+        CASE WHEN k % 12 IN (0, 1, 4) THEN NULL WHEN k % 12 IN (5, 6, 7) THEN 1 ELSE count(*) END AS n_records
+      FROM fx GROUP BY k"""),
     "path_get": """
       SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, json_extract_string(props, '$.k.deeper') AS deeper
       FROM events""",
@@ -265,6 +267,9 @@ ORACLE: dict[str, str] = {
         'R$' || chr(160) || replace(format('{:,.0f}', max(ativo)), ',', '.') AS assets
       FROM stm GROUP BY document_name, razao_social"""),
     "document_detail": with_(STM, select=" SELECT document_name, tipo_entidade, periodo, ativo AS ativo_total FROM stm"),
+    "document_by_name": with_(STM, select="""
+      SELECT document_name, tipo_entidade, periodo, ativo AS ativo_total FROM stm
+      WHERE document_name = (SELECT min(document_name) FROM stm)"""),
     "default_record": with_(STM, FIRST, select="""
       SELECT document_name, tipo_entidade, periodo, razao_social, ativo AS ativo_total FROM first_stm"""),
     "record_labels": with_(STM, select="""
@@ -283,6 +288,13 @@ ORACLE: dict[str, str] = {
       SELECT document_name, campo, valor_correto, comentario, strftime(criado_em, '%Y-%m-%d %H:%M:%S') AS criado_em, seq FROM corr"""),
     "corrections_after_delete": with_(LOG, select="""
       SELECT document_name, campo, valor_correto, seq FROM corr WHERE comentario IS DISTINCT FROM 'free'"""),
+    "correction_workflow": with_(LOG, select="""
+      SELECT document_name, campo, valor_extraido, valor_correto, comentario, seq FROM corr WHERE comentario IS DISTINCT FROM 'free'"""),
+    "corrections_by_name": with_(LOG, select="""
+      SELECT campo, valor_extraido, valor_correto, comentario, strftime(criado_em, '%Y-%m-%d %H:%M:%S') AS criado_em FROM corr
+      WHERE comentario IS DISTINCT FROM 'free' AND document_name = (SELECT min(document_name) FROM log)"""),
+    "compact_roundtrip": with_(LOG, select="""
+      SELECT document_name, campo, valor_correto, seq, CAST(1 AS BIGINT) AS batch_id FROM corr"""),
     "correction_overlay": _long({"ativo_total", "dre.lucro_liquido"}, with_ord=False),
 
     "metrics_totals": with_(STM, LOG, select="""
@@ -359,6 +371,14 @@ ORACLE: dict[str, str] = {
       SELECT document_name, tipo_entidade, periodo, false AS value, 'Campos ausentes: """ + ", ".join(
         k for k in REQUIRED_KEYS if k not in ("razao_social", "identificacao", "ativo_total", "passivo_total", "dre")) + """' AS rationale
       FROM stm"""),
+    "score_structure_whole": f"""
+      SELECT o_orderkey, o_orderkey % 3 = 0 AS value, CASE o_orderkey % 3 WHEN 0 THEN 'Estrutura OK'
+        WHEN 1 THEN 'Campos ausentes: {REQUIRED_KEYS[0]}' ELSE 'Output não é um objeto' END AS rationale FROM orders""",
+    "score_field_close": """
+      SELECT l_orderkey, l_linenumber, 'numeric_accuracy' AS name, abs(x - y) / abs(y) <= 0.01 AS value
+      FROM (SELECT l_orderkey, l_linenumber, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) x,
+          CAST(CAST(p_retailprice AS DECIMAL(18,2)) * CAST(l_quantity AS DECIMAL(10,0)) AS DOUBLE) y
+        FROM lineitem JOIN part ON l_partkey = p_partkey)""",
     "score_balance": with_(STM, select="""
       SELECT document_name, tipo_entidade, periodo, delta <= 1.0 AS value,
         format('Ativo: {:,.2f} | Passivo: {:,.2f} | Delta: {:,.2f}%', ativo, passivo, delta) AS rationale
@@ -372,15 +392,14 @@ ORACLE: dict[str, str] = {
     "evaluation_metrics": with_(STM, LOG, FIRST, EVALUATED, select=f"""
       SELECT metric, avg(CAST(value AS DOUBLE)) AS mean, count(value) AS n_scored, count(*) AS n FROM (
         SELECT 'json_structure_valid' metric, false AS value FROM evaluated
-        UNION ALL SELECT 'balance_sheet_closes', abs(ativo - passivo) / abs(ativo) * 100 <= 1.0 FROM evaluated
+        UNION ALL SELECT 'balanco_equilibrado', abs(ativo - passivo) / abs(ativo) * 100 <= 1.0 FROM evaluated
         UNION ALL SELECT CASE WHEN campo IS NULL THEN 'numeric_accuracy' ELSE {_ALL_METRIC} END,
           CASE WHEN campo IS NOT NULL THEN {_ALL_VALUE} END FROM evaluated) GROUP BY metric"""),
     "tuning_set": with_(STM, LOG, FIRST, EVALUATED, select=f"""
-      SELECT document_name, text, part, {quote(EXPECTED_HEAD)} || notes || {quote(EXPECTED_TAIL)} AS expected_response
-      FROM (SELECT document_name, CASE WHEN campo = 'observacao' THEN campo ELSE '' END part,
-          string_agg('- Campo ''' || campo || ''': deve ser ''' || valor_correto || ''' (era ''' || valor_extraido || '''). '
+      SELECT document_name, text, {quote(EXPECTED_HEAD)} || notes || {quote(EXPECTED_TAIL)} AS expected_response
+      FROM (SELECT document_name, string_agg('- Campo ''' || campo || ''': deve ser ''' || valor_correto || ''' (era ''' || valor_extraido || '''). '
             || coalesce(comentario, ''), chr(10) ORDER BY campo) notes
-        FROM corr GROUP BY 1, 2) JOIN texts USING (document_name)"""),
+        FROM corr GROUP BY 1) JOIN texts USING (document_name)"""),
     "tuning_readiness": with_(LOG, select="""
       SELECT n AS corrected_docs, n >= 5 AS ready, CAST(greatest(5 - n, 0) AS BIGINT) AS missing_docs
       FROM (SELECT count(DISTINCT document_name) n FROM corr
@@ -392,14 +411,25 @@ ORACLE: dict[str, str] = {
     "page_elements": _page_elements(),
     "prompt_rows": f"SELECT doc_id, {quote(PROMPT)} || text AS prompt FROM documents",
     "batch_score": """
-      SELECT doc_id, CASE WHEN length(text) % 7 <> 0 THEN substr(text, 1, 5) END AS result,
-        CASE WHEN length(text) % 7 = 0 THEN 'ValueError: no answer' END AS error_message, CAST(1 AS INTEGER) AS attempts
+      SELECT doc_id, CASE WHEN length(text) % 7 > 1 THEN substr(text, 1, 5) END AS result,
+        CASE length(text) % 7 WHEN 0 THEN 'ValueError: no answer' WHEN 1 THEN 'TimeoutError: slow (3 tries)' END AS error_message,
+        CAST(CASE length(text) % 7 WHEN 1 THEN 3 ELSE 1 END AS INTEGER) AS attempts
       FROM documents""",
     "preview_text": "SELECT doc_id, substr(text, 1, 150) AS preview, length(text) AS n_chars FROM documents",
-    "last_message": "SELECT conv_id, arg_max(text, turn) AS text FROM conversations GROUP BY conv_id",
+    "last_message": """
+      SELECT conv_id, CASE conv_id % 6 WHEN 0 THEN arg_min(text, turn) WHEN 3 THEN '> ' || arg_min(text, turn)
+        ELSE arg_max(text, turn) END AS text FROM conversations GROUP BY conv_id""",
     "line_items": with_(LINES, select="""
       SELECT document_name, tipo_entidade, periodo, path, CAST(sum(value) AS DOUBLE) AS value, count(*) AS n_lines
       FROM matched GROUP BY 1, 2, 3, 4"""),
+    "line_items_scaled": with_(LINES, select="""
+      SELECT document_name, tipo_entidade, periodo, path, CAST(sum(value) AS DOUBLE) AS value, count(*) AS n_lines
+      FROM matched GROUP BY 1, 2, 3, 4"""),
+    "statement_text_records": with_(LINES, select="""
+      SELECT document_name, CASE tipo_entidade WHEN 'F' THEN 'CONSOLIDADO' ELSE 'CONTROLADORA' END AS tipo_entidade, periodo,
+        CAST(coalesce(sum(value) FILTER (WHERE path = 'ativo_circulante.disponibilidades'), 0) AS DOUBLE) AS disponibilidades,
+        CAST(coalesce(sum(value) FILTER (WHERE path = 'ativo_circulante.estoques'), 0) AS DOUBLE) AS estoques
+      FROM matched WHERE tipo_entidade IN ('F', 'O') AND periodo IN ('1994-12-31', '1995-12-31') GROUP BY 1, 2, 3"""),
     "line_item_provenance": with_(LINES, select="""
       SELECT document_name, tipo_entidade, periodo, path,
         CASE WHEN sum(n) = 1 THEN string_agg(part, ' + ' ORDER BY label) || ': leitura direta'
@@ -423,6 +453,10 @@ ORACLE: dict[str, str] = {
 
     "hash_buckets": _CRC_BUCKETS,
 
+    **{name: """
+      SELECT lang, sum(strlen(text) + 1) AS n_bytes, sum(strlen(text) + 1) AS n_read,
+        sum(length(text) - length(replace(text, chr(10), '')) + 1) AS n_lines FROM documents GROUP BY lang"""
+       for name in ("scan_files", "read_contents", "stream_ingest")},
     "stream_counts": with_(LOG, select=" SELECT campo, count(*) AS total FROM log GROUP BY 1"),
     "stream_upsert": with_(LOG, select=" SELECT document_name, campo, valor_correto FROM corr"),
     "stream_normalize": with_(STM, select="""

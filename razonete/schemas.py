@@ -8,22 +8,24 @@ RAW_FILES = "path string, content binary"
 
 PARSER_OUTPUT = "struct<document: struct<elements: array<struct<content: string>>>, error_status: string>"
 
-PARSED_TEXT = "path string, raw_parsed string, ingested_at timestamp"
-PARSE_ERRORS = "path string, error_status string, reason string, seen_at timestamp"
+# `version` names a file as it was read: its path, length and modification time.
+PARSED_TEXT = "path string, version string, raw_parsed string, ingested_at timestamp"
+PARSE_ERRORS = "path string, version string, error_status string, reason string, seen_at timestamp"
 
-EXTRACTED = "path string, raw_parsed string, extracted string, error_message string, extracted_at timestamp"
+EXTRACTED = ("path string, version string, raw_parsed string, extracted string, error_message string, "
+             "extracted_at timestamp, answer_id string")
 
 CALL_RESPONSE = "result string, errorMessage string, attempts int"
 
 STATEMENTS = ("document_name string, tipo_entidade string, periodo string, extracted_json string, "
-              "razao_social string, cnpj string, ativo_total double, lucro_liquido double, processed_at timestamp")
+              "razao_social string, cnpj string, ativo_total double, lucro_liquido double, answer_id string, processed_at timestamp")
 STATEMENT_KEY = ["document_name", "tipo_entidade", "periodo"]
 
 CORRECTIONS = ("document_name string, campo string, valor_extraido string, valor_correto string, "
-               "comentario string, criado_em timestamp")
+               "comentario string, criado_em timestamp, seq bigint, op string")
 CORRECTION_KEY = ["document_name", "campo"]
 
-REJECTS = "document_name string, pos int, reason string"
+REJECTS = "document_name string, path string, answer_id string, pos int, reason string"
 
 STATUS_LOG = "document_name string, status string, step string, detail string, records bigint, at timestamp"
 

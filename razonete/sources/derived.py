@@ -54,7 +54,7 @@ def extracted_content(spark: SparkSession, folder: str) -> DataFrame:
     """(path, extracted): answers a model could give, every kind of fault among them.
 
     The kind is k % 12: 0 no answer, 1 failed call, 2 envelope, 3 fenced, 4 no
-    JSON, 5 parse failure, 6 one object, 7 bare number, else an array. The list
+    JSON, 5 parse failure, 6 one object, 7 bare number, 9 predictions, else an array. The list
     per document holds its entity types and years, at most 3 per year.
     """
     liabilities = (F.col("ativo") * (1 + (F.col("k") % 5).cast("decimal(3,0)") / 200)).cast("decimal(20,2)")
@@ -77,6 +77,7 @@ def extracted_content(spark: SparkSession, folder: str) -> DataFrame:
                .when(kind == 5, '[{"error":"parse_failed","raw":"x"}]')
                .when(kind == 6, F.to_json(F.get("records", F.lit(0))))
                .when(kind == 7, "5")
+               .when(kind == 9, F.to_json(F.struct(F.array(array).alias("predictions"))))
                .otherwise(array))
     return computed_once(documents, "extracted", answer).select("path", "extracted")
 
@@ -110,14 +111,51 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
         numbered("c", "doc_id").alias("document_name"), F.col("text").alias("document_text"))
 
 
-def statement_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """One pt-BR statement line per line item."""
+def _labelled_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items with the label a statement gives them, and their order."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     label = F.concat(
         F.when(F.col("l_returnflag") == "A", "Disponibilidades")
          .when(F.col("l_returnflag") == "N", "Caixa e Equivalentes").otherwise("Estoques"),
         F.when(F.col("l_linestatus") == "F", "").otherwise(" Líquidos"))
-    amount = format_amount(F.col("l_extendedprice"))
     return (table(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .select(numbered("c", "o_custkey").alias("document_name"), F.col("o_orderstatus").alias("tipo_entidade"),
-                    year_end("o_orderdate").alias("periodo"), F.concat(label, F.lit(": "), amount).alias("line")))
+            .select("o_orderkey", numbered("c", "o_custkey").alias("document_name"), F.col("o_orderstatus").alias("tipo_entidade"),
+                    year_end("o_orderdate").alias("periodo"), label.alias("label"), "l_extendedprice"))
+
+
+def statement_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """One pt-BR statement line per line item."""
+    line = F.concat("label", F.lit(": "), format_amount(F.col("l_extendedprice")))
+    return _labelled_lines(spark, folder).select("document_name", "tipo_entidade", "periodo", line.alias("line"))
+
+
+def scaled_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The same lines, even orders in thousands with five decimals."""
+    even = F.col("o_orderkey") % 2 == 0
+    amount = F.when(even, format_amount(F.col("l_extendedprice") / 1000, 5)).otherwise(format_amount(F.col("l_extendedprice")))
+    return _labelled_lines(spark, folder).select(
+        "document_name", "tipo_entidade", "periodo", F.concat("label", F.lit(" "), amount).alias("line"),
+        F.when(even, "Em milhares").alias("escala_valores"))
+
+
+TEXT_YEARS = (1995, 1994)
+
+
+def statement_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """(document_name, raw_parsed): a text for each customer, two entity types with two years each side by side.
+
+    Amounts are in thousands; a dash stands for none, and every label has the
+    number of a note behind it.
+    """
+    cells = [(status, year) for status in ("F", "O") for year in TEXT_YEARS]
+    price = F.col("l_extendedprice").cast(MONEY)
+    sums = [F.sum(F.when((F.col("tipo_entidade") == status) & F.col("periodo").startswith(str(year)), price)).alias(f"c{i}")
+            for i, (status, year) in enumerate(cells)]
+    amounts = [F.coalesce(format_amount(F.col(f"c{i}") / 1000, 5), F.lit("-")) for i in range(len(cells))]
+    line = F.concat_ws("   ", F.concat("label", F.lit(" 12")), *amounts)
+    by_label = _labelled_lines(spark, folder).groupBy("document_name", "label").agg(*sums).select("document_name", line.alias("line"))
+    head = "\n".join(["Demonstrações financeiras em milhares de reais", "", "   Consolidado      Controladora",
+                      "   " + "   ".join(f"31/12/{year}" for _, year in cells), ""])
+    # At most six labels per document.
+    return by_label.groupBy("document_name").agg(F.concat(
+        F.lit(head), F.array_join(F.sort_array(F.collect_list("line")), "\n")).alias("raw_parsed"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -41,18 +43,36 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 
-# A batch folder is a parquet table partitioned by batch_id. Each batch is
-# written once under its own number, and writing it again replaces it, so a
-# retried job or stream epoch leaves no duplicates. Nothing already written is
-# rewritten when a batch arrives: the cost of an upsert is the batch, not the
+# A batch folder holds batches under their numbers, each attempt to write one in
+# a folder of its own, and a list of what was committed. A batch counts from its
+# line in that list on, whole or not at all; writing a number again replaces it,
+# so a retried job or stream epoch leaves no duplicates. Nothing already written
+# is rewritten when a batch arrives: the cost of an upsert is the batch, not the
 # table. Readers take the newest row per key. One writer at a time.
 
-def commit_batch(df: DataFrame, root: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+COMMITS = "batch_id bigint, attempt string, committed_at timestamp"
+
+
+def commit_batch(df: DataFrame, root: str, batch_id: int, sort_by: list[str] | None = None) -> None:
+    """Write a batch and then list it. Sorted by a key, its files can be told apart by their least and greatest key."""
+    spark, attempt = df.sparkSession, uuid.uuid4().hex
+    if sort_by:
+        df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
+    df.write.parquet(f"{root}/data/batch_id={batch_id}/attempt={attempt}")
+    line = spark.createDataFrame([(batch_id, attempt)], "batch_id bigint, attempt string")
+    line.coalesce(1).withColumn("committed_at", F.current_timestamp()).write.mode("append").parquet(f"{root}/commits")
 
 
-def read_batches(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    return files_or_empty(spark, root, f"{schema}, batch_id bigint")
+def read_batches(spark: SparkSession, root: str, schema: str, batch_id: int | None = None) -> DataFrame:
+    """The rows of all committed batches, or of one, with their batch_id."""
+    commits = latest(files_or_empty(spark, f"{root}/commits", COMMITS), ["batch_id"], ["committed_at", "attempt"])
+    if batch_id is not None:
+        commits = commits.where(F.col("batch_id") == batch_id)
+    folders = [f"{root}/data/batch_id={c['batch_id']}/attempt={c['attempt']}" for c in commits.collect()]  # one per batch
+    if not folders:
+        return empty(spark, f"{schema}, batch_id bigint")
+    reader = spark.read.schema(f"{schema}, batch_id bigint").option("basePath", f"{root}/data")
+    return reader.parquet(*folders).drop("attempt")
 
 
 def current_rows(batches: DataFrame, keys: list[str], order: tuple[str, ...] = ()) -> DataFrame:
@@ -60,7 +80,8 @@ def current_rows(batches: DataFrame, keys: list[str], order: tuple[str, ...] = (
     return latest(batches, keys, [*order, "batch_id"])
 
 
-def compact(spark: SparkSession, root: str, new_root: str, schema: str, keys: list[str], batch_id: int) -> None:
-    """Write the current rows up to `batch_id` as one batch of a new folder."""
+def compact(spark: SparkSession, root: str, new_root: str, schema: str, keys: list[str], batch_id: int,
+            order: tuple[str, ...] = ()) -> None:
+    """Write the current rows up to `batch_id` as one batch of a new folder, `order` as readers give it."""
     batches = read_batches(spark, root, schema).where(F.col("batch_id") <= batch_id)
-    commit_batch(current_rows(batches, keys).drop("batch_id"), new_root, batch_id)
+    commit_batch(current_rows(batches, keys, order).drop("batch_id"), new_root, batch_id, keys[:1])

@@ -35,7 +35,7 @@ def stream_upsert(source: DataFrame, store: str, checkpoint: str, keys: list[str
     after a failure replaces its own folder.
     """
     def commit(batch: DataFrame, batch_id: int) -> None:
-        commit_batch(latest(batch, keys, list(order)) if order else batch, store, batch_id)
+        commit_batch(latest(batch, keys, list(order)) if order else batch, store, batch_id, keys[:1])
 
     return (source.writeStream.foreachBatch(commit)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -48,11 +48,10 @@ def stream_normalize(extracted: DataFrame, store: str, reject_store: str, checkp
     there, so no answer is parsed twice.
     """
     def commit(batch: DataFrame, batch_id: int) -> None:
-        tagged_path = f"{reject_store}_tagged"
-        commit_batch(records(batch).drop("record"), tagged_path, batch_id)
-        tagged = batch.sparkSession.read.parquet(f"{tagged_path}/batch_id={batch_id}")
+        records(batch).drop("record").write.mode("overwrite").parquet(f"{reject_store}_tagged")
+        tagged = batch.sparkSession.read.parquet(f"{reject_store}_tagged")
         tagged = tagged.withColumn("record", F.try_parse_json("extracted_json"))
-        commit_batch(dedupe_batch(statements_of(tagged)), store, batch_id)
+        commit_batch(dedupe_batch(statements_of(tagged)), store, batch_id, ["document_name"])
         commit_batch(rejects_of(tagged), reject_store, batch_id)
 
     return (extracted.writeStream.foreachBatch(commit)

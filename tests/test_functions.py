@@ -116,22 +116,37 @@ def test_money_formats(spark):
     assert values(spark, texts.format_cell(F.col("x"), F.lit("text")), ["12.5"]) == ["12.5"]
 
 
-def reference_score(found, wanted):
-    """The scoring rule in plain Python."""
-    try:
-        x, y = float(str(found).replace(",", ".")), float(str(wanted).replace(",", "."))
-        return "numeric_accuracy", x == 0 if y == 0 else abs(x - y) / abs(y) <= 0.01
-    except ValueError:
-        return "text_match", str(found).strip().lower() == str(wanted).strip().lower()
-
-
-def test_score_field_follows_the_rule(spark):
-    sides = ["100", "101", "101.01", "100,5", "0", "0.0", "abc", " ABC ", None, "none", "", "-100", "1e2", "inf", "12f"]
-    pairs = [(a, b) for a in sides for b in sides]
-    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "n int, a string, b string")
-    score = scoring.score_field(F.col("a"), F.col("b"))
-    for row in df.select("a", "b", score.alias("s")).collect():
-        assert (row.s.name, row.s.value) == reference_score(row.a, row.b), row
+# (found, wanted, metric, value)
+FIELD_SCORES = [
+    ("100", "100", "numeric_accuracy", True), ("101", "100", "numeric_accuracy", True),
+    ("101.01", "100", "numeric_accuracy", False), ("99", "100", "numeric_accuracy", True),
+    ("98.9", "100", "numeric_accuracy", False), ("100,5", "100.5", "numeric_accuracy", True),
+    ("100,5", "100", "numeric_accuracy", True), ("-100", "100", "numeric_accuracy", False),
+    ("-100", "-100,9", "numeric_accuracy", True), ("1e2", "100", "numeric_accuracy", True),
+    ("0", "0.0", "numeric_accuracy", True), ("0.001", "0", "numeric_accuracy", False),
+    ("0", "100", "numeric_accuracy", False), ("inf", "100", "numeric_accuracy", False),
+    ("abc", " ABC ", "text_match", True), ("abc", "abd", "text_match", False), ("abc", "100", "text_match", False),
+    ("100", "abc", "text_match", False), ("12f", "12", "text_match", False), ("12f", "12F", "text_match", True),
+    ("", "", "text_match", True), ("", "0", "text_match", False), (None, None, "text_match", True),
+    (None, "none", "text_match", True), ("None", None, "text_match", True), (None, "0", "text_match", False),
+    ("1.234,5", "1234.5", "text_match", False),
+]
+
+
+def test_score_field_cases(spark):
+    df = spark.createDataFrame(FIELD_SCORES, "a string, b string, metric string, value boolean")
+    for row in df.withColumn("s", scoring.score_field(F.col("a"), F.col("b"))).collect():
+        assert (row.s.name, row.s.value) == (row.metric, row.value), row
+
+
+def test_wordings_of_rationales(spark):
+    found = [("1234.5", "1000"), ("a", "b"), (None, "x")]
+    df = spark.createDataFrame(found, "a string, b string")
+    assert [r[0] for r in df.select(scoring.score_field(F.col("a"), F.col("b"))["rationale"]).collect()] == [
+        "Extraído: 1234.50 | Correto: 1000.00 | Delta: 234.50", "Extraído: 'a' | Correto: 'b'", "Extraído: 'None' | Correto: 'x'"]
+    balance = values(spark, scoring.score_balance(F.try_parse_json("x")), ['{"ativo_total":1000,"passivo_total":990}'])[0]
+    assert (balance.name, balance.rationale) == (
+        "balanco_equilibrado", "Ativo: 1,000.00 | Passivo: 990.00 | Delta: 1.00%")
 
 
 def test_score_field_without_correction(spark):
@@ -168,11 +183,20 @@ def test_crc_bucket_is_crc32(spark):
 
 
 def test_page_elements(spark):
-    html = ('<title>A &amp; B</title><script>var t="<p>no</p>";</script><!-- <p>no</p> -->'
-            '<p class="x">one <b>two</b>\nthree</p><ul><li> </li><li>four</li></ul><pre>no</pre>')
-    df = spark.createDataFrame([(html,)], "html string").select(elements.page_elements(F.col("html")).alias("parts"))
-    assert df.first().parts == ["A & B", "one two\nthree", "", "four"]
-    assert df.select(elements.join_parts(F.col("parts"))).first()[0] == "A & B\n\none two\nthree\n\nfour"
+    pages = {
+        '<title>A &amp; B</title><script>var t="<p>no</p>";</script><!-- <p>no</p> --><p class="x">one <b>two</b>\nthree</p>'
+        '<ul><li> </li><li>four<ul><li>five</li></ul>after</li></ul><pre>kept</pre>':
+            ["A & B", "one two\nthree", "four", "five", "after", "kept"],
+        "<table><tr><td>Caixa<td>1.000,00</tr></table><h4>x</h4><blockquote>y": ["Caixa", "1.000,00", "x", "y"],
+        "<p>open<p>next <abbr title='<'>n</abbr> 1 < 2 <br/>last<": ["open", "next n 1 < 2", "last<"],
+        "a<script>never closed": ["a"],
+        "<STYLE>x</STYLE >b<!-- open": ["b"],
+        "no tags &copy;": ["no tags ©"],
+        "": [],
+    }
+    df = spark.createDataFrame([(p,) for p in pages], "html string").select("html", elements.page_elements(F.col("html")).alias("parts"))
+    assert {r.html: r.parts for r in df.collect()} == pages
+    assert values(spark, elements.page_elements(F.col("x")), [None]) == [None]
 
 
 def test_message_text(spark):

@@ -1,6 +1,7 @@
 """Answers of every kind to statements and rejects, against the rules in plain Python."""
 
 import json
+import math
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -85,7 +86,7 @@ def test_tag_parse_failures(spark):
     df = spark.createDataFrame([("/a.pdf", "x" * 600), ("/b.pdf", ARRAY)], "path string, extracted string")
     found = norm.tag_parse_failures(df).collect()
     assert [r.document_name for r in found] == ["a.pdf"]
-    assert json.loads(found[0].extracted) == [{"error": "parse_failed", "raw": "x" * 500}]
+    assert json.loads(found[0].extracted) == [{"error": "parse_failed", "raw": "x" * 600}]
 
 
 def test_flatten_statement_tells_booleans_from_texts(spark):
@@ -97,45 +98,48 @@ def test_flatten_statement_tells_booleans_from_texts(spark):
     assert (b.ativo_total, b.passivo_total, b.moeda, b.lucro_bruto) == (1000.5, None, None, -3.0)
 
 
-# --- random answers ----------------------------------------------------------
+# Answers, and the statements wanted of each: entity type, period, company, total assets, net profit.
+LITERAL = [
+    ('{"tipo_entidade":"A","identificacao":{"periodo":"2020"},"razao_social":"x","ativo_total":1,"dre":{"lucro_liquido":"2.5"}}',
+     [("A", "2020", "x", 1.0, 2.5)]),
+    ('[{"ativo_total":"1,5"},{"ativo_total":null},{"ativo_total":true}]',
+     [("", "", "", 0.0, 0.0), ("", "", "", 0.0, 0.0), ("", "", "", 1.0, 0.0)]),
+    ('[{"identificacao":"none","dre":7},5,null,"text",[1]]', [("", "", "", 0.0, 0.0)]),
+    ('{"tipo_entidade":null,"razao_social":"","ativo_total":"-1e3","dre":{"lucro_liquido":" 7 "}}', [("", "", "", -1000.0, 7.0)]),
+    ('{"tipo_entidade":false,"identificacao":{"periodo":0},"ativo_total":[]}', [("", "", "", 0.0, 0.0)]),
+    ("[]", []), ("5", []), ('"text"', []), ("null", []), ('{"error":"parse_failed"}', []),
+]
 
-leaf = st.one_of(st.none(), st.booleans(), st.integers(-10**6, 10**6), st.text("ab1. ", max_size=4),
-                 st.floats(-1e6, 1e6).map(lambda x: round(x, 2)))
-record = st.fixed_dictionaries({}, optional={
-    "tipo_entidade": st.one_of(st.none(), st.text("AB", max_size=3)), "razao_social": st.text("xy", max_size=3),
-    "identificacao": st.one_of(leaf, st.fixed_dictionaries({"periodo": st.text("0123-", max_size=10)})),
-    "ativo_total": leaf, "dre": st.one_of(leaf, st.fixed_dictionaries({"lucro_liquido": leaf})), "error": st.text("pq", max_size=2)})
-answer = st.one_of(record, st.lists(st.one_of(record, leaf), max_size=3), leaf)
 
+def test_statements_of_literal_answers(spark):
+    df = spark.createDataFrame([(f"/{i}.pdf", answer) for i, (answer, _) in enumerate(LITERAL)], "path string, extracted string")
+    found = {}
+    for r in sorted(norm.statements_of(norm.records(df)).collect(), key=lambda r: r.pos):
+        found.setdefault(r.document_name, []).append((r.tipo_entidade, r.periodo, r.razao_social, r.ativo_total, r.lucro_liquido))
+    assert [found.get(f"{i}.pdf", []) for i in range(len(LITERAL))] == [rows for _, rows in LITERAL]
 
-def expected_rows(value):
-    """Statements by the rules in plain Python."""
-    def get(d, path):
-        for key in path.split("."):
-            if not isinstance(d, dict):
-                return None
-            d = d.get(key)
-        return d
 
-    def number(v):
-        try:
-            return float(v) if v else 0.0
-        except (TypeError, ValueError):
-            return 0.0
+# --- random answers ----------------------------------------------------------
 
-    records = value if isinstance(value, list) else [value]
-    return [(get(r, "tipo_entidade") or "", get(r, "identificacao.periodo") or "", get(r, "razao_social") or "",
-             number(get(r, "ativo_total")), number(get(r, "dre.lucro_liquido"))) for r in records if isinstance(r, dict)]
+text = st.text("ab1. ", min_size=1, max_size=4)
+amount = st.one_of(st.none(), st.booleans(), text, st.integers(-10**6, 10**6), st.lists(st.integers(), max_size=1))
+record = st.fixed_dictionaries({"razao_social": text, "tipo_entidade": text, "ativo_total": amount, "dre": st.fixed_dictionaries(
+    {"lucro_liquido": amount})})
+leaf = st.one_of(st.none(), st.booleans(), st.integers(), text)
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(answer, min_size=20, max_size=40))
+@given(st.lists(st.lists(st.one_of(record, leaf), max_size=4), min_size=20, max_size=40))
 def test_random_answers(spark, answers):
+    """A statement for each object and none for anything else; texts as they were, amounts always numbers."""
     df = spark.createDataFrame([(f"/{i}.pdf", json.dumps(a)) for i, a in enumerate(answers)], "path string, extracted string")
-    found = norm.statements_of(norm.records(df)).collect()
-    by_document = {}
-    for r in sorted(found, key=lambda r: r.pos):
-        by_document.setdefault(r.document_name, []).append(
-            (r.tipo_entidade, r.periodo, r.razao_social, r.ativo_total, r.lucro_liquido))
-    for i, a in enumerate(answers):
-        assert by_document.get(f"{i}.pdf", []) == expected_rows(a), a
+    tagged = norm.records(df)
+    found, rejects = norm.statements_of(tagged).collect(), norm.rejects_of(tagged).collect()
+    objects = {(f"{i}.pdf", pos): r for i, a in enumerate(answers) for pos, r in enumerate(a) if isinstance(r, dict)}
+    assert {(r.document_name, r.pos) for r in found} == set(objects) and len(found) == len(objects)
+    assert len(rejects) == sum(len(a) - sum(isinstance(r, dict) for r in a) or not a for a in answers)
+    for row in found:
+        given = objects[row.document_name, row.pos]
+        assert (row.razao_social, row.tipo_entidade) == (given["razao_social"], given["tipo_entidade"])
+        for value, source in ((row.ativo_total, given["ativo_total"]), (row.lucro_liquido, given["dre"]["lucro_liquido"])):
+            assert value == source if isinstance(source, int) else math.isfinite(value)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from razonete.operators import export, ingest, metrics, normalize as norm, review, upsert as merging
 from razonete.plans.catalogue import QUERIES
 from razonete.sources import derived
+from razonete.sources.files import list_files
 
 STREAMS = {"stream_ingest", "stream_counts", "stream_upsert", "stream_normalize"}
 
@@ -53,7 +54,7 @@ def test_scans_read_only_what_is_used(spark, folder):
     assert "ReadSchema: struct<o_custkey:bigint,o_orderstatus:string,o_orderdate:timestamp_ntz>" in combos
     log = derived.correction_log(spark, folder).where("seq = 7")
     assert "PushedFilters: [IsNotNull(o_orderkey), EqualTo(o_orderkey,7)]" in plan_of(log)
-    listing = QUERIES["scan_files"](spark, folder)
+    listing = list_files(spark, folder, "*.parquet")
     assert "content" not in listing._jdf.queryExecution().executedPlan().toString()
 
 

@@ -119,7 +119,7 @@ def test_evaluation(spark, statements, corrections):
     assert records["e"].expectations is None and records["g"].outputs == "{}"
     scores = evaluate.evaluation_scores(evaluate.evaluation_set(documents, statements, corrections, 4000))
     by_metric = {r.metric: (r["mean"], r.n_scored, r.n) for r in evaluate.evaluation_metrics(scores).collect()}
-    assert by_metric == {"json_structure_valid": (0.0, 3, 3), "balance_sheet_closes": (None, 0, 3), "numeric_accuracy": (0.0, 1, 3)}
+    assert by_metric == {"json_structure_valid": (0.0, 3, 3), "balanco_equilibrado": (None, 0, 3), "numeric_accuracy": (0.0, 1, 3)}
     every = {(r.document_name, r.campo): (r.metric, r.value) for r in evaluate.score_corrections(statements, corrections).collect()}
     assert every["d", "dre.lucro_liquido"] == ("text_match", False) and every["f", "cnpj"] == ("text_match", False)
     assert len(every) == 5
@@ -127,11 +127,11 @@ def test_evaluation(spark, statements, corrections):
 
 def test_tuning(spark, corrections):
     documents = spark.createDataFrame([("d", "text")], "document_name string, document_text string")
-    found = {r.part: r.expectations.expected_response for r in evaluate.tuning_set(documents, corrections).collect()}
-    assert set(found) == {"", "observacao"}
-    notes = found[""].splitlines()[1:-1]
+    example, = evaluate.tuning_set(documents, corrections).collect()
+    assert (example.inputs.document_name, example.inputs.text) == ("d", "text")
+    notes = example.expectations.expected_response.splitlines()[1:-1]
     assert notes == ["- Campo 'ativo_total': deve ser '11.5' (era '10'). tag", "- Campo 'cnpj': deve ser '123' (era ''). ",
-                     "- Campo 'dre.lucro_liquido': deve ser 'n/d' (era '3.5'). "]
+                     "- Campo 'dre.lucro_liquido': deve ser 'n/d' (era '3.5'). ", "- Campo 'observacao': deve ser 'free' (era ''). "]
     ready = evaluate.tuning_readiness(documents, corrections).first()
     assert (ready.corrected_docs, ready.ready, ready.missing_docs) == (1, False, 4)
 

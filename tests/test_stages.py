@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from razonete import schemas
 from razonete.operators.batch_score import batch_score, retrying
+from razonete.operators.ingest import pending
 from razonete.operators.normalize import dedupe_batch
 from razonete.operators.runs import HardErrors, fail_on_hard_errors
 from razonete.plans import stages
@@ -53,7 +54,7 @@ def test_jobs_take_only_what_is_new(spark, tmp_path):
     inbox, folders = tmp_path / "in", stages.Folders(str(tmp_path / "tables"))
 
     def run(number):
-        parsed = stages.parse_stage(spark, str(inbox), folders, parser, number, 4).first()
+        parsed = stages.parse_stage(spark, str(inbox), folders, parser, 4).first()
         stages.extract_stage(spark, folders, model(), 4, tries=2, backoff=0.0)
         summary, errors = stages.process_stage(spark, folders, number)
         return parsed, summary.first(), errors
@@ -96,6 +97,53 @@ def test_jobs_take_only_what_is_new(spark, tmp_path):
         ("six.pdf", "A", 5.0), ("six.pdf", "B", 5.0)}
 
 
+def test_a_replaced_file_is_parsed_and_asked_about_again(spark, tmp_path):
+    inbox, folders = tmp_path / "in", stages.Folders(str(tmp_path / "tables"))
+
+    def run(number):
+        stages.parse_stage(spark, str(inbox), folders, parser, 4)
+        stages.extract_stage(spark, folders, model(), 4, tries=1, backoff=0.0)
+        stages.process_stage(spark, folders, number)
+        current = tables.current_rows(tables.read_batches(spark, folders.statements, schemas.STATEMENTS), schemas.STATEMENT_KEY)
+        return {(r.document_name, r.tipo_entidade, r.ativo_total, r.batch_id) for r in current.collect()}
+
+    write_document(inbox, "a.pdf", ["one"])
+    write_document(inbox, "b.pdf", ["garbage"])
+    assert run(0) == {("a.pdf", "A", 3.0, 0), ("a.pdf", "B", 3.0, 0)}
+    write_document(inbox, "a.pdf", ["longer text"])
+    assert run(1) == {("a.pdf", "A", 11.0, 1), ("a.pdf", "B", 11.0, 1)}
+    # A rejected answer is asked for again, and each answer is rejected once.
+    rejects = tables.read_batches(spark, folders.rejects, schemas.REJECTS)
+    assert sorted((r.document_name, r.reason, r.batch_id) for r in rejects.collect()) == [
+        ("b.pdf", "bad_json", 0), ("b.pdf", "bad_json", 1)]
+    write_document(inbox / "other", "a.pdf", ["same name"])
+    assert run(2) == {("a.pdf", "A", 11.0, 1), ("a.pdf", "B", 11.0, 1)}
+    rejects = tables.read_batches(spark, folders.rejects, schemas.REJECTS, 2)
+    assert {(r.document_name, r.reason) for r in rejects.collect()} == {("a.pdf", "name_collision"), ("b.pdf", "bad_json")}
+
+
+def test_timeouts_alone_fail_the_run(spark, tmp_path):
+    inbox, folders = tmp_path / "in", stages.Folders(str(tmp_path / "tables"))
+    write_document(inbox, "a.pdf", ["timeout"])
+    stages.parse_stage(spark, str(inbox), folders, parser, 2)
+    stages.extract_stage(spark, folders, model(), 2, tries=1, backoff=0.0)
+    _, errors = stages.process_stage(spark, folders, 0)
+    assert [(r.reason, r.n, r.is_hard) for r in errors.collect()] == [("no_answer", 1, True)]
+    with pytest.raises(HardErrors):
+        fail_on_hard_errors(errors)
+
+
+def test_known_files_are_not_opened(spark, tmp_path):
+    write_document(tmp_path, "a.pdf", ["1"])
+    write_document(tmp_path, "b.pdf", ["2"])
+    listed = files.list_files(spark, str(tmp_path))
+    todo = pending(listed, listed.where("path LIKE '%a.pdf'"), "version")
+    found = files.read_contents(todo)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("MapInArrow", 1)[1].split("\n", 1)[1]
+    assert [r.path.split("/")[-1] for r in found.collect()] == ["b.pdf"]
+
+
 def test_retries():
     seen = []
 
@@ -181,4 +229,4 @@ def test_normalize_stream_over_many_batches(spark, folder, tmp_path):
     stored = tables.read_batches(spark, store, "document_name string, tipo_entidade string, periodo string, ativo_total double")
     assert {tuple(r) for r in stored.drop("batch_id").collect()} == {
         tuple(r) for r in statements.select(*schemas.STATEMENT_KEY, "ativo_total").collect()}
-    assert spark.read.parquet(rejects).count() == rejected.count()
+    assert tables.read_batches(spark, rejects, "document_name string, path string, pos int, reason string").count() == rejected.count()

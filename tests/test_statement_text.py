@@ -1,0 +1,61 @@
+"""Statement texts with several columns: headers, columns and lines by literal cases."""
+
+import pytest
+
+from razonete.operators import line_items as items, statement_text
+
+TEXT = """Companhia X
+Demonstrações em milhares de reais
+                  Consolidado               Controladora
+                  31/12/2023  31/12/2022    31/12/2023  31/12/2022
+Estoques  5         1.000,00      900,00        10,125           -
+Caixa e Equivalentes: (3) 1 2 3
+sem valor
+Em R$ mil
+     CONSOLIDADO
+  2021   2020
+Estoques 7 8
+"""
+
+
+def lines_of(spark, *texts):
+    df = spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(texts)], "document_name string, raw_parsed string")
+    return statement_text.statement_lines(df)
+
+
+def test_every_amount_has_its_column(spark):
+    rows = [tuple(r)[1:] for r in lines_of(spark, TEXT).collect()]
+    thousand = "milhares"
+    assert rows == [
+        (None, None, "Companhia X", None),
+        ("CONSOLIDADO", "2023-12-31", "Estoques  5 1.000,00", thousand), ("CONSOLIDADO", "2022-12-31", "Estoques  5 900,00", thousand),
+        ("CONTROLADORA", "2023-12-31", "Estoques  5 10,125", thousand), ("CONTROLADORA", "2022-12-31", "Estoques  5 -", thousand),
+        ("CONSOLIDADO", "2023-12-31", "Caixa e Equivalentes: (3)", thousand), ("CONSOLIDADO", "2022-12-31", "Caixa e Equivalentes: 1", thousand),
+        ("CONTROLADORA", "2023-12-31", "Caixa e Equivalentes: 2", thousand), ("CONTROLADORA", "2022-12-31", "Caixa e Equivalentes: 3", thousand),
+        (None, None, "sem valor", thousand),
+        ("CONSOLIDADO", "2021-12-31", "Estoques 7", "mil"), ("CONSOLIDADO", "2020-12-31", "Estoques 8", "mil"),
+    ]
+
+
+@pytest.mark.parametrize("head, columns", [
+    ("Consolidado Controladora\n2023 2022", [("CONSOLIDADO", "2023"), ("CONSOLIDADO", "2022"), ("CONTROLADORA", "2023"), ("CONTROLADORA", "2022")]),
+    ("Consolidado Controladora\n2023 2023", [("CONSOLIDADO", "2023"), ("CONTROLADORA", "2023")]),
+    ("2023 2022 2021", [("INDIVIDUAL", "2023"), ("INDIVIDUAL", "2022"), ("INDIVIDUAL", "2021")]),
+    ("CONTROLADORA\n31/12/2023", [("CONTROLADORA", "2023")]),
+])
+def test_columns(spark, head, columns):
+    amounts = "  ".join(f"{i},00" for i in range(len(columns)))
+    rows = lines_of(spark, f"{head}\nEstoques  {amounts}").collect()
+    assert [(r.tipo_entidade, r.periodo, r.line) for r in rows] == [
+        (kind, f"{year}-12-31", f"Estoques {i},00") for i, (kind, year) in enumerate(columns)]
+
+
+def test_scaled_values_are_not_rounded_first(spark):
+    text = "Valores em milhões\n2023\nEstoques 2,345\nDisponibilidades -"
+    rows = items.line_items(lines_of(spark, text).where("periodo IS NOT NULL")).collect()
+    assert {r.path: float(r.value) for r in rows} == {"ativo_circulante.estoques": 2_345_000.0}
+
+
+def test_texts_without_headers_or_lines(spark):
+    rows = lines_of(spark, None, "", " \n", "Estoques 1,00").collect()
+    assert [tuple(r) for r in rows] == [("d3", None, None, "Estoques 1,00", None)]
