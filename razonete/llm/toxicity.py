@@ -41,7 +41,7 @@ from razonete.llm.common import (
 ORDERS = (3, 4, 5, 6)
 BUCKET_BITS = 20
 BUCKETS = 1 << BUCKET_BITS
-MAX_ROWS = 8_000
+MAX_ROWS = 6_000
 MAX_FEATURES = 40_000
 MIN_TEXTS = 3
 PENALTY = 0.1
