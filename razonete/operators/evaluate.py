@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from razonete.functions.jsonops import path_get
+from razonete.functions.jsonops import computed_once, path_get
 from razonete.functions.scoring import score_balance, score_field, score_structure
 from razonete.functions.text import preview
 from razonete.operators.joins import join_unique
@@ -49,8 +49,8 @@ def evaluation_set(documents: DataFrame, statements: DataFrame, corrections: Dat
 
 def evaluation_scores(records: DataFrame) -> DataFrame:
     """Long form: document_name, metric, value, rationale of the three scores."""
-    parsed = records.select(F.col("inputs.document_name").alias("document_name"), "outputs", "expectations",
-                            F.try_parse_json("outputs").alias("record"))
+    parsed = computed_once(records.select(F.col("inputs.document_name").alias("document_name"), "outputs", "expectations"),
+                           "record", F.try_parse_json("outputs"))
     extracted = path_get(F.col("record"), F.col("expectations.campo"))
     scores = F.array(
         score_structure(F.col("outputs")),
@@ -68,12 +68,17 @@ def evaluation_metrics(scores: DataFrame) -> DataFrame:
 
 
 def score_corrections(statements: DataFrame, corrections: DataFrame) -> DataFrame:
-    """Every correction scored against its document's first record."""
+    """Every correction scored against its document's first record.
+
+    A document's record is parsed before it meets the corrections, and only the
+    value at each correction's field is read from it.
+    """
     outputs = default_record(statements.select("document_name", "tipo_entidade", "periodo", "extracted_json"))
+    parsed = computed_once(outputs.select("document_name", "extracted_json"), "record", F.try_parse_json("extracted_json"))
     joined = join_unique(corrections.select("document_name", "campo", "valor_correto"),
-                         outputs.select("document_name", "extracted_json"), "document_name", "left")
-    extracted = path_get(F.try_parse_json("extracted_json"), F.col("campo"))
-    return (joined.withColumn("_score", score_field(extracted, F.col("valor_correto")))
+                         parsed.select("document_name", "record"), "document_name", "left")
+    found = computed_once(joined, "_found", path_get(F.col("record"), F.col("campo"))).drop("record")
+    return (found.withColumn("_score", score_field(F.col("_found"), F.col("valor_correto")))
             .select("document_name", "campo", F.col("_score.name").alias("metric"),
                     F.col("_score.value").alias("value"), F.col("_score.rationale").alias("rationale")))
 

@@ -126,10 +126,9 @@ def document_cards(spark, folder):
 
 @query
 def document_detail(spark, folder):
-    detail = review.document_detail(_statements(spark, folder))
-    record = F.try_parse_json("extracted_json")
+    detail = jsonops.computed_once(review.document_detail(_statements(spark, folder)), "record", F.try_parse_json("extracted_json"))
     return detail.select("document_name", "tipo_entidade", "periodo",
-                         jsonops.number_at(record, "ativo_total").alias("ativo_total"))
+                         jsonops.number_at(F.col("record"), "ativo_total").alias("ativo_total"))
 
 
 @query
@@ -466,8 +465,8 @@ def score_field_close(spark, folder):
 
 @query
 def score_balance(spark, folder):
-    score = scoring.score_balance(F.try_parse_json("extracted_json"))
-    return (_statements(spark, folder).select("document_name", "tipo_entidade", "periodo", score.alias("s"))
+    parsed = jsonops.computed_once(_statements(spark, folder), "record", F.try_parse_json("extracted_json"))
+    return (parsed.select("document_name", "tipo_entidade", "periodo", scoring.score_balance(F.col("record")).alias("s"))
             .select("document_name", "tipo_entidade", "periodo", "s.value", "s.rationale"))
 
 

@@ -5,9 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from razonete.operators import export, ingest, metrics, normalize as norm, review, upsert as merging
+from razonete import schemas
+from razonete.operators import export, ingest, metrics, normalize as norm, review, runs, upsert as merging
 from razonete.plans.catalogue import QUERIES
-from razonete.sources import derived
+from razonete.sources import derived, tables
 from razonete.sources.files import list_files
 
 STREAMS = {"stream_ingest", "stream_counts", "stream_upsert", "stream_normalize"}
@@ -33,6 +34,20 @@ def test_each_answer_is_parsed_once_per_stage(spark, folder):
     assert "Exchange" not in plan.split("ObjectHashAggregate")[0]  # nothing is shuffled after reading the answers
 
 
+@pytest.mark.parametrize("name, parses", [("document_detail", 3), ("score_balance", 3), ("score_field_all", 3), ("evaluation_metrics", 3)])
+def test_records_are_parsed_once(spark, folder, name, parses):
+    # The answer, the text inside an envelope, and the record.
+    assert plan_of(QUERIES[name](spark, folder)).count("parseJson(") == parses
+
+
+def test_run_summary_needs_four_columns(spark, tmp_path):
+    root = str(tmp_path / "store")
+    tables.commit_batch(spark.createDataFrame([], schemas.STATEMENTS), root, 0)
+    results = tables.read_batches(spark, root, schemas.STATEMENTS).select(*schemas.STATEMENT_KEY, "batch_id")
+    summary = runs.run_summary(tables.current_rows(results, schemas.STATEMENT_KEY), 0)
+    assert "ReadSchema: struct<document_name:string,tipo_entidade:string,periodo:string>" in plan_of(summary)
+
+
 def test_lists_are_top_k(spark, folder):
     for name in ("metrics_by_field", "metrics_by_document", "metrics_by_document_distinct"):
         assert "TakeOrderedAndProject" in plan_of(QUERIES[name](spark, folder))
