@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from razonete.llm.common import find_words, range_hashes, signed, windows, word_hashes
+from razonete.llm.common import Words, find_words, range_hashes, signed, windows, word_hashes
 
 WINDOW = 50
 PERIOD = 31
@@ -71,9 +71,9 @@ def difference_cover(period: int) -> list[int]:
 COVER = np.isin(np.arange(PERIOD), difference_cover(PERIOD))
 
 
-def groups(hash: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order by hash and doc; where each group of equal hashes begins there, and the group of each row."""
-    order = np.lexsort((doc, hash))
+def groups(hash: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by hash, doc and place; where each group of equal hashes begins there, and the group of each row."""
+    order = np.lexsort((start, doc, hash))
     first = np.ones(len(order), bool)
     first[1:] = np.diff(hash[order]) != 0
     return order, np.flatnonzero(first), np.cumsum(first) - 1
@@ -100,13 +100,14 @@ def in_task(rows: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], every: bo
     Rows found to match become runs, with n > 0. What other tasks need to know
     goes on with n = 0. If `every`, all rows of a hash in two documents match, and
     one row with start -1 goes on for it; else those of all but the smallest id
-    match, and the others go on.
+    match, and of the others the first one goes on: what holds for a window of a
+    document holds for the same words elsewhere in it (see `same_windows`).
     """
     held: list[tuple[np.ndarray, ...]] = []
 
     def flush() -> Iterator[pa.RecordBatch]:
         hash, doc, start = (np.concatenate(c) for c in zip(*held))
-        order, first, group = groups(hash, doc)
+        order, first, group = groups(hash, doc, start)
         hash, doc, start = hash[order], doc[order], start[order]
         later = doc != doc[first][group]
         shared = np.zeros(len(first), bool)
@@ -117,7 +118,9 @@ def in_task(rows: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], every: bo
             on[first[shared]] = True
             told = np.where(found, -1, start)
         else:
-            found, on, told = later, ~later, start
+            again = np.zeros(len(hash), bool)
+            again[1:] = (np.diff(hash) == 0) & (np.diff(doc) == 0) & (np.diff(start // TURN) == 0)
+            found, on, told = later, ~later & ~again, start
         run_doc, run_start, run_n = runs(doc[found], start[found], reach)
         spread = signed(range_hashes(run_start.astype(np.uint64) ^ run_doc.view(np.uint64),
                                      np.arange(len(run_doc)), np.arange(len(run_doc)) + 1))
@@ -148,7 +151,7 @@ def between_tasks(rows: DataFrame, every: bool, reach: int) -> DataFrame:
     def matched(kept: np.ndarray) -> pa.RecordBatch:
         known = kept[3] > 0
         hash, doc, start, _ = kept[:, ~known]
-        _, first, group = groups(hash, doc)
+        _, first, group = groups(hash, doc, np.arange(len(hash)))
         later = doc != doc[first][group]
         if every:
             shared = np.zeros(len(first), bool)
@@ -174,13 +177,13 @@ def anchors(batch: pa.RecordBatch, window: int, period: int, cover: np.ndarray):
     return signed(hashes), doc[text], turn[text] * TURN + np.maximum(place - period + 1, 0)
 
 
-def spread_runs(lists: pa.Array, turn: np.ndarray, first: np.ndarray, extra: int = 0) -> np.ndarray:
-    """Which words of a batch are in the runs listed for their text (and turn), each made longer by `extra`."""
+def spread_runs(lists: pa.Array, turn: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Which words of a batch are in the runs listed for their text (and turn)."""
     row = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
     flat = lists.flatten()
     start, n = flat.field("start").to_numpy(), flat.field("n").to_numpy()
     own = start // TURN == turn[row]
-    row, n = row[own], n[own] + extra
+    row, n = row[own], n[own]
     begin = first[row] + start[own] % TURN
     change = np.zeros(first[-1] + 1, np.int64)
     np.add.at(change, np.minimum(begin, first[row + 1]), 1)
@@ -199,6 +202,18 @@ def candidate_windows(batch: pa.RecordBatch, window: int):
     return signed(hashes), batch.column("doc").to_numpy()[text], turn[text] * TURN + at - words.first[text]
 
 
+def same_windows(words: Words, found: np.ndarray, window: int) -> np.ndarray:
+    """Which words begin a window that is found, or the same words as one found in the same text."""
+    text = words.texts()
+    at = windows(words, window)
+    at = at[np.isin(text[at], text[found])]
+    _, number = np.unique(range_hashes(word_hashes(words), at, at + window), return_inverse=True)
+    key = text[at] * len(words.start) + number
+    out = np.zeros(len(words.start) + 1, np.int64)
+    out[at[np.isin(key, key[found[at]])]] = 1
+    return out
+
+
 def placed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Rows (doc, text, turn), all of an id in one place; turn numbers the rows of an id."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -239,7 +254,10 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = find_words(batch.column("text"))
-            gone = spread_runs(batch.column("runs"), batch.column("turn").to_numpy(), words.first, window - 1)
+            found = spread_runs(batch.column("runs"), batch.column("turn").to_numpy(), words.first)
+            begins = same_windows(words, found, window) if found.any() else np.zeros(len(found) + 1, np.int64)
+            so_far = np.concatenate([np.zeros(window, np.int64), np.cumsum(begins[:-1])])
+            gone = so_far[window:] > so_far[:-window]  # a window begins at the word or one of those before it
             kept = []
             for value, a, b in zip(batch.column("text").to_pylist(), words.first, words.first[1:]):
                 split = (value or "").encode().split()
