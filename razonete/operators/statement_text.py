@@ -91,10 +91,9 @@ def statement_lines(documents: DataFrame, text: str = "raw_parsed") -> DataFrame
     cells = heads.withColumn("_cells", F.regexp_extract_all("line", F.lit(f"({CELLS})"), F.lit(1)))
     n = F.size("_columns")
     fits = F.col("_columns").isNotNull() & (n > 0) & (F.size("_cells") >= n)
-    # Numbers before the last n cells belong to the label, as a note's number does.
+    # A number between the label and the last n cells is that of a note, and left out.
     amounts = F.slice("_cells", F.size("_cells") - n + 1, n)
-    # The line without its last n cells.
-    label = F.regexp_replace("line", F.concat(F.lit(rf"(?:\s+{CELL}){{"), n.cast("string"), F.lit(r"}\s*$")), F.lit(""))
+    label = F.regexp_extract("line", rf"^(.*?)\s+(?:{CELL}\s+)*{CELL}\s*$", 1)
     rows = F.when(fits, F.zip_with(amounts, "_columns", lambda amount, c: F.struct(
         c["tipo_entidade"].alias("tipo_entidade"), c["periodo"].alias("periodo"),
         F.concat(label, F.lit(" "), strip(amount)).alias("line")))).otherwise(F.array(F.struct(

@@ -40,7 +40,7 @@ FAULTS = {
     "text": ('"hello"', 0, ["bad_record"]),
     "empty_array": ("[]", 0, ["no_records"]),
     "empty_text": ("", 0, ["bad_json"]),
-    "nothing": (None, 0, []),
+    "nothing": (None, 0, ["no_answer"]),
 }
 
 

@@ -28,8 +28,8 @@ def test_every_amount_has_its_column(spark):
     thousand = "milhares"
     assert rows == [
         (None, None, "Companhia X", None),
-        ("CONSOLIDADO", "2023-12-31", "Estoques  5 1.000,00", thousand), ("CONSOLIDADO", "2022-12-31", "Estoques  5 900,00", thousand),
-        ("CONTROLADORA", "2023-12-31", "Estoques  5 10,125", thousand), ("CONTROLADORA", "2022-12-31", "Estoques  5 -", thousand),
+        ("CONSOLIDADO", "2023-12-31", "Estoques 1.000,00", thousand), ("CONSOLIDADO", "2022-12-31", "Estoques 900,00", thousand),
+        ("CONTROLADORA", "2023-12-31", "Estoques 10,125", thousand), ("CONTROLADORA", "2022-12-31", "Estoques -", thousand),
         ("CONSOLIDADO", "2023-12-31", "Caixa e Equivalentes: (3)", thousand), ("CONSOLIDADO", "2022-12-31", "Caixa e Equivalentes: 1", thousand),
         ("CONTROLADORA", "2023-12-31", "Caixa e Equivalentes: 2", thousand), ("CONTROLADORA", "2022-12-31", "Caixa e Equivalentes: 3", thousand),
         (None, None, "sem valor", thousand),
