@@ -163,7 +163,7 @@ class EliasFano:
 
 
 def unique_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each different key is first in order, and the number of each key; as numpy.unique gives them.
+    """A place of each different key, by key, and the number of each key among them.
 
     Non-negative keys that leave room are sorted together with their places, which is faster than an indirect sort.
     """
@@ -172,7 +172,7 @@ def unique_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         both = np.sort(keys << bits | np.arange(len(keys)))
         order, ordered = both & ((1 << bits) - 1), both >> bits
     else:
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         ordered = keys[order]
     first = np.ones(len(keys), bool)
     first[1:] = ordered[1:] != ordered[:-1]
