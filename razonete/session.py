@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -29,8 +31,16 @@ STATIC_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
+    """Set the settings above, and let Python workers find this package where the driver has found it.
+
+    A cluster whose nodes lack that folder needs the package installed or given with --py-files.
+    """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    root, environment = str(Path(__file__).resolve().parent.parent), spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
     return spark
 
 

@@ -1,5 +1,7 @@
 """Upserts, logs, batch folders and incremental selection."""
 
+import os
+
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -171,6 +173,11 @@ def test_work_dir_follows_the_session(spark):
     assert first.startswith(f"{base}/") and first != second
 
 
+def test_workers_find_the_package(spark):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    assert root in spark.sparkContext.environment["PYTHONPATH"].split(os.pathsep)
+
+
 def test_as_text(spark):
     df = tables.as_text(spark.sql("SELECT 1 AS a, true AS b, CAST(NULL AS INT) AS c"))
     assert df.first().asDict() == {"a": "1", "b": "true", "c": None}
