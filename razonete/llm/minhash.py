@@ -9,10 +9,14 @@ two signatures estimates the Jaccard similarity of their shingle sets, with a st
 
 Near-duplicates are found among different texts: texts that share a band of
 `ROWS` values are candidates, so a pair of similarity 0.8 is missed with a chance
-of 1 in 20 million. In a group of a band each text is compared with the first
-and with its neighbour in the order of signatures, not with all, and candidates
-are verified on their shingle sets. So a pair within a large group may be linked
-through others instead of directly.
+of 1 in 20 million. In a group of a band each text is compared with the first,
+and what is similar is linked, so that a group of near copies gives a pair for
+each text and not for any two. Then all pairs of a group that are not linked yet
+are compared by signature, and the likely ones on their shingle sets. A group of
+more than `HOT` texts is split by each further band first: a pair of which all
+common bands are hot needs two of them, and is missed with a chance of 1 in
+900,000. So texts are linked by verified pairs only, and unlinked ones are not
+similar but for these chances. Different texts are told apart by 64 bits.
 
 Null and empty texts, and texts without words, share the signature of no
 shingles; they are like each other (1) and unlike all others (0). Equal texts
@@ -22,18 +26,25 @@ gives an empty one.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from razonete.llm.common import LOWER, NOT_SPACE, Hashes, add_columns, find_words, mix, saved, word_hashes
+from razonete.llm.common import LOWER, NOT_SPACE, Hashes, add_columns, find_words, mix, saved, signed, word_hashes
+from razonete.llm.components import components
+from razonete.operators.joins import join_unique
 
 SHINGLE = 5
 SIZE = 128
 ROWS = 4
 SIMILARITY = 0.8
+# Signatures of a pair of similarity 0.8 agree in less than this with a chance of 1 in 10 million.
+LIKELY = 0.6
+# Groups of more texts are split by further bands.
+HOT = 1000
 
 _random = np.random.Generator(np.random.PCG64(11))
 FACTORS = _random.integers(0, 2**63, SIZE, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -133,10 +144,10 @@ def with_next(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[st
 
 
 def compare_in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (doc_id, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next).
+    """Rows (doc_id, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next, node).
 
     `edited` is the text whose last quarter of characters is replaced by the beginning of the next document's text,
-    in the order of ids (nulls first); the first document comes next after the last.
+    in the order of ids (nulls first); the first document comes next after the last. `node` is as by `node_of`.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in with_next(batches):
@@ -146,11 +157,12 @@ def compare_in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
             yield pa.RecordBatch.from_arrays([
                 pa.array(ids, pa.int64()), pa.array([len(t) for t in texts[:-1]], pa.int64()), pa.array(edits, pa.string()),
                 pa.array(to_text(of[:-1])), pa.array(to_text(of_edits)), pa.array(likeness(of[:-1], of_edits)),
-                pa.array(likeness(of[:-1], of[1:]))],
-                ["id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+                pa.array(likeness(of[:-1], of[1:])), pa.array([int.from_bytes(hashlib.sha256(t.encode()).digest()[:8], "big", signed=True)
+                                                               for t in texts[:-1]], pa.int64())],
+                ["id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "node"])
 
     kind = ("id bigint, n_chars bigint, edited string, fingerprint string, edited_fingerprint string, "
-            "near_edited double, near_next double")
+            "near_edited double, near_next double, node bigint")
     rows = in_order(docs.withColumn(doc_id, F.col(doc_id).cast("bigint")), doc_id, text)
     return rows.mapInArrow(run, kind).withColumnRenamed("id", doc_id)
 
@@ -160,57 +172,193 @@ def fingerprints(docs: DataFrame, text: str = "text", fingerprint: str = "finger
     return add_columns(docs, text, f"`{fingerprint}` string", lambda column: [pa.array(to_text(signatures(column)))])
 
 
-def candidates(texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of content keys that share a band, from rows (key, fingerprint).
+def node_of(text: Column) -> Column:
+    """The first 64 bits of the SHA-256 of a text; null counts as empty."""
+    return F.conv(F.substring(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256), 1, 16), 16, -10).cast("bigint")
+
+
+def band_values(signature: np.ndarray) -> np.ndarray:
+    """A number for each text and band: equal where a band has the same values."""
+    packed = np.ascontiguousarray(signature.astype("<u2")).view("<u8")  # ROWS values of 16 bits
+    return mix(packed + np.arange(SIZE // ROWS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def of_bytes(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, SIZE)
 
-    Within a band's group each text is paired with the group's first one and with the one after it in the order of
-    whole signatures: two pairs for a text and band at most, however large a group is.
-    """
-    width = 4 * ROWS
-    bands = F.transform(F.sequence(F.lit(0), F.lit(SIZE // ROWS - 1)),
-                        lambda i: F.struct(i.alias("i"), F.substring("fingerprint", i * width + 1, width).alias("v")))
-    rows = texts.select("key", "fingerprint", F.explode(bands).alias("band")).select("key", "fingerprint", "band.*")
+
+def groups(prints: DataFrame) -> DataFrame:
+    """Rows (band, node, leader) from rows (node, signature): all texts of a band's group but its first, the leader."""
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bands = band_values(of_bytes(batch.column("signature")))
+            nodes = np.repeat(batch.column("node").to_numpy(), bands.shape[1])
+            yield pa.RecordBatch.from_arrays([pa.array(signed(bands.ravel())), pa.array(nodes)], ["band", "node"])
+
+    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        band, leader = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bands, nodes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            first = np.append(bands[0] != band, bands[1:] != bands[:-1])
+            begin = np.maximum.accumulate(np.where(first, np.arange(len(bands)), -1))
+            leaders = np.where(begin < 0, leader, nodes[begin])
+            band, leader = bands[-1], leaders[-1]
+            yield pa.RecordBatch.from_arrays([pa.array(c[~first]) for c in (bands, nodes, leaders)], ["band", "node", "leader"])
+
+    rows = prints.mapInArrow(explode, "band bigint, node bigint").repartition("band").sortWithinPartitions("band", "node")
+    return rows.mapInArrow(lead, "band bigint, node bigint, leader bigint")
+
+
+def alike(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) from rows (band, node, root, signature): all of a band's group that may be similar and are not yet
+    linked, that is, have different roots."""
+    def pairs(nodes: np.ndarray, roots: np.ndarray, signature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(roots, kind="stable")
+        nodes, roots, signature = nodes[order], roots[order], signature[order]
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i, end in enumerate(np.searchsorted(roots, roots, side="right")):
+            near = end + np.flatnonzero((signature[end:] == signature[i]).sum(axis=1) >= LIKELY * SIZE)
+            a.append(np.full(len(near), nodes[i]))
+            b.append(nodes[near])
+        return np.concatenate(a), np.concatenate(b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group = leader = before = None
+        held, group = [], None
+
+        def close() -> pa.RecordBatch:
+            nodes, roots, signature = (np.concatenate(c) for c in zip(*held))
+            a, b = pairs(nodes, roots, signature)
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+        for batch in batches:
+            bands = batch.column("band").to_numpy()
+            values = batch.column("node").to_numpy(), batch.column("root").to_numpy(), of_bytes(batch.column("signature"))
+            begin = np.flatnonzero(np.diff(bands, prepend=bands[:1] - 1))
+            for at, to in zip(begin, np.append(begin[1:], len(bands))):
+                if held and bands[at] != group:
+                    yield close()
+                    held = []
+                group = bands[at]
+                held.append([v[at:to] for v in values])
+        if held:
+            yield close()
+
+    ordered = rows.repartition("band").sortWithinPartitions("band", "node")
+    return ordered.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def unlinked(rows: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (band, node, root, ...) of groups with several roots: of `hot` rows at most, and of more."""
+    sizes = rows.groupBy("band").agg(F.count("*").alias("rows"), F.min("root").alias("least"), F.max("root").alias("most"))
+    sizes = sizes.where("least < most").select("band", "rows")
+    open_rows = saved(join_unique(rows, sizes, "band", "inner"), "unlinked")
+    return open_rows.where(F.col("rows") <= hot).drop("rows"), open_rows.where(F.col("rows") > hot).drop("rows")
+
+
+def split(rows: DataFrame) -> DataFrame:
+    """Rows (band, node, root) of hot groups, from such rows with signatures: once for each further band."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = [], []
-            for i, v, key in zip(*(batch.column(c).to_pylist() for c in ("i", "v", "key"))):
-                if (i, v) == group:
-                    a += [leader, before] if leader != before else [leader]
-                    b += [key] * (1 + (leader != before))
-                else:
-                    group, leader = (i, v), key
-                before = key
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string())], ["a", "b"])
+            bands = band_values(of_bytes(batch.column("signature")))
+            own = batch.column("band").to_numpy().view(np.uint64)
+            text, further = np.nonzero(np.cumsum(bands == own[:, None], axis=1) - (bands == own[:, None]))
+            both = mix(own[text] * np.uint64(0x9E3779B97F4A7C15) + bands[text, further])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(signed(both)), *(batch.column(c).take(pa.array(text)) for c in ("node", "root"))],
+                ["band", "node", "root"])
 
-    ordered = rows.repartition("i", "v").sortWithinPartitions("i", "v", "fingerprint", "key")
-    pairs = ordered.mapInArrow(run, "a string, b string").where("a != b")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return rows.mapInArrow(run, "band bigint, node bigint, root bigint")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                    similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """Near-duplicates among different texts: pairs (a, b, similarity), and membership (doc_id, key) of all documents.
+def near_texts(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY, hot: int = HOT) -> DataFrame:
+    """Verified pairs of different texts (a, b, key_a, key_b, similarity), a and b as by `node_of`, the keys their SHA-256.
 
-    Keys are SHA-256 of the texts, so copies are one key. The similarity is that of the sets of shingles, exactly.
+    Reachable by them is what is reachable by all similar pairs that share a band. First each text is compared with
+    the leaders of its groups; then, in groups not linked by that, each pair that is not linked.
     """
-    member = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
-    member = member.withColumn("key", F.sha2(F.col("text").cast("binary"), 256))
-    texts = saved(fingerprints(member.groupBy("key").agg(F.min("text").alias("text"))), "texts")
-    pairs = candidates(texts.select("key", "fingerprint"))
-    both = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
+    rows = docs.select(node_of(F.col(text)).alias("node"), F.coalesce(text, F.lit("")).alias("text"))
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            signature = pa.array([row.tobytes() for row in signatures(batch.column("text")).astype("<u2")], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), signature], ["node", "signature"])
+
+    prints = rows.mapInArrow(sign, "node bigint, signature binary").groupBy("node").agg(F.first("signature").alias("signature"))
+    prints = saved(prints, "prints")
+    grouped = saved(groups(prints), "groups")
+
+    def both(pairs: DataFrame, sides: DataFrame, value: str) -> DataFrame:
+        for end in ("a", "b"):
+            side = sides.select(F.col("node").alias(end), F.col(value).alias(f"{value}_{end}"))
+            pairs = join_unique(pairs, side, end, "inner")
+        return pairs
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = likeness(of_bytes(batch.column("signature_a")), of_bytes(batch.column("signature_b"))) >= LIKELY
+            yield batch.select(["a", "b"]).filter(pa.array(near))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             (x, first_x), (y, first_y) = shingles(batch.column("text_a")), shingles(batch.column("text_b"))
             found = [jaccard(x[a:b], y[c:d]) for a, b, c, d in zip(first_x, first_x[1:], first_y, first_y[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], ["a", "b", "similarity"])
+            keys = [pa.array([hashlib.sha256(t.encode()).hexdigest() for t in batch.column(c).to_pylist()], pa.string())
+                    for c in ("text_a", "text_b")]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *keys, pa.array(found, pa.float64())],
+                                             ["a", "b", "key_a", "key_b", "similarity"])
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = saved(pairs, "candidates")
+        wanted = saved(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "wanted")
+        texts = saved(rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
+        compared = both(pairs, texts, "text").select("a", "b", "text_a", "text_b").mapInArrow(
+            verify, "a bigint, b bigint, key_a string, key_b string, similarity double")
+        return saved(compared.where(F.col("similarity") >= similarity), "verified")
+
+    led = grouped.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    led = both(led, prints, "signature").select("a", "b", "signature_a", "signature_b").mapInArrow(likely, "a bigint, b bigint")
+    found = verified(led)
+
+    members = grouped.select("band", "node").union(grouped.select("band", F.col("leader").alias("node")).distinct())
+    rooted = join_unique(members, components(found), "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    def signed_rows(of: DataFrame) -> DataFrame:
+        return join_unique(of.select("band", "node", "root"), prints, "node", "inner").select("band", "node", "root", "signature")
+
+    small, large = unlinked(rooted, hot)
+    pairs = alike(signed_rows(small))
+    parts, rest = unlinked(split(signed_rows(large)), hot)
+    pairs = pairs.union(alike(signed_rows(parts))).union(alike(signed_rows(rest)))
+    return found.union(verified(pairs.distinct()))
 
-    verified = both.mapInArrow(verify, "a string, b string, similarity double")
-    return verified.where(F.col("similarity") >= similarity), member.select("doc_id", "key")
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                    similarity: float = SIMILARITY, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+    """Near-duplicates among different texts: pairs (a, b, similarity), and membership (doc_id, key) of all documents.
+
+    Keys are SHA-256 of the texts, so copies are one key. The similarity is that of the sets of shingles, exactly.
+    """
+    pairs = near_texts(docs, text, similarity, hot)
+    pairs = pairs.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"), "similarity")
+    key = F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
+    return pairs, docs.select(F.col(doc_id).alias("doc_id"), key.alias("key"))
+
+
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
+            hot: int = HOT) -> DataFrame:
+    """Rows (node, class_id, class_node) for the texts of classes of more than one document: the smallest id reachable
+    over copies and verified pairs (nulls last), and the text that has it, the smallest node if several have.
+    """
+    first = F.min(F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col("node").alias("node")))
+    texts = docs.select(doc_id, node_of(F.col(text)).alias("node")).groupBy("node").agg(first.alias("first"), F.count("*").alias("n"))
+    roots = components(near_texts(docs, text, similarity, hot))
+    texts = texts.join(roots, "node", "left").where("n > 1 or root is not null")
+    texts = saved(texts.withColumn("root", F.coalesce("root", "node")), "members")
+    least = texts.groupBy("root").agg(F.min("first").alias("least"))
+    named = join_unique(texts.select("node", "root"), least, "root", "inner")
+    return saved(named.select("node", F.col("least.id").alias("class_id"), F.col("least.node").alias("class_node")), "classes")
 
 
 def jaccard(x: np.ndarray, y: np.ndarray) -> float:

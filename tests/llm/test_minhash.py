@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from razonete.llm import minhash
 from razonete.llm.queries import QUERIES
@@ -118,6 +119,29 @@ def test_near_duplicates_are_verified(spark):
     assert classes(found) == classes(p for p, s in wanted.items() if s >= 0.8)
 
 
+def crowded_texts():
+    """Two near copies of each of four passages, among many longer texts that hold the passage."""
+    draw = random.Random(8)
+    texts = []
+    for p in range(4):
+        passage = [f"p{p}w{i}" for i in range(80)]
+        texts += [" ".join(passage), " ".join(passage[:40] + ["other"] + passage[41:])]
+        texts += [" ".join([f"x{draw.getrandbits(40)}" for _ in range(14)] + passage + [f"y{draw.getrandbits(40)}" for _ in range(14)])
+                  for _ in range(400)]
+    return texts
+
+
+@pytest.mark.parametrize("hot", [1000, 20])
+def test_near_copies_in_a_crowded_group_are_linked(spark, hot):
+    texts = crowded_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pairs, members = minhash.near_duplicates(docs, hot=hot)
+    of_key = {k: i for i, k in members.collect()}
+    wanted = [(i, i + 1) for i in range(0, len(texts), 402)]
+    assert all(similarity(texts[a], texts[b]) >= 0.8 > similarity(texts[a], texts[a + 2]) for a, b in wanted)
+    assert sorted(tuple(sorted((of_key[r["a"]], of_key[r["b"]]))) for r in pairs.collect()) == wanted
+
+
 def test_fingerprints_keep_columns(spark):
     docs = spark.createDataFrame([(1, "a", "x"), (1, "a", "x")], "doc_id long, text string, part string")
     assert len({tuple(r) for r in minhash.fingerprints(docs).collect()}) == 1
