@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from razonete.llm import bpe, decontaminate, langid, lm, minhash, repeats, ring, secrets, simhash, toxicity
 from razonete.llm.common import add_columns, documents, id_remainder
+from razonete.operators.joins import join_unique
 
 QUERIES = {}
 ORACLE = {}
@@ -129,9 +130,12 @@ def op9_toxicity(spark, folder):
 
 @query
 def op7_minhash(spark, folder):
-    compared = minhash.compare_in_order(documents(spark, folder, "doc_id", "text"))
-    return compared.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-                           "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    docs = documents(spark, folder, "doc_id", "text")
+    compared = minhash.compare_in_order(docs).select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next", "node")
+    named = join_unique(compared, minhash.classes(docs).select("node", "class_id"), "node", "left")
+    return named.withColumn("class_id", F.coalesce("class_id", "doc_id")).drop("node")
 
 
 @query

@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from razonete.llm import minhash
 from razonete.llm.queries import QUERIES
@@ -159,3 +160,25 @@ def test_query(spark, folder):
         assert found[doc]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         errors += [found[doc]["near_edited"] - similarity(text, edited), found[doc]["near_next"] - similarity(text, following)]
     assert np.abs(errors).max() < 0.2 and abs(np.mean(errors)) < 0.01
+
+
+def test_query_names_classes(spark, folder):
+    found = {r["doc_id"]: r["class_id"] for r in QUERIES["op7_minhash"](spark, folder).select("doc_id", "class_id").collect()}
+    texts = sorted(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect())
+    sets, least = [shingle_set(t) for _, t in texts], {d: d for d, _ in texts}
+    for i, (doc, _) in enumerate(texts):
+        for (other, _), x in zip(texts[:i], sets):
+            if 0.8 * max(len(x), len(sets[i])) <= min(len(x), len(sets[i])) and (
+                    len(x & sets[i]) >= 0.8 * len(x | sets[i]) if x | sets[i] else True):
+                a, b = sorted((least[doc], least[other]))
+                least = {d: a if c == b else c for d, c in least.items()}
+    assert found == least and len(set(least.values())) < len(least)
+
+
+def test_classes_with_nulls_and_repeated_ids(spark):
+    text = " ".join(f"w{i}" for i in range(400))
+    rows = [(5, text), (3, text + " tail"), (4, None), (2, ""), (7, " "), (8, "alone"), (8, "other"), (None, text), (None, "single")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", minhash.node_of(F.col("text")))
+    named = docs.join(minhash.classes(docs.drop("node")), "node", "left").collect()
+    assert sorted((str(r["doc_id"]), r["text"] or "", r["class_id"]) for r in named if r["class_id"] is not None) == sorted(
+        [("5", text, 3), ("3", text + " tail", 3), ("4", "", 2), ("2", "", 2), ("7", " ", 2), ("None", text, 3)])
