@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from razonete.llm.common import LOWER, NOT_SPACE, Hashes, add_columns, find_words, mix, saved, signed, word_hashes
+from razonete.llm.common import LOWER, NOT_SPACE, Hashes, add_columns, find_words, free_name, mix, saved, signed, word_hashes
 from razonete.llm.components import components
 from razonete.operators.joins import join_unique
 
@@ -361,6 +361,20 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     return saved(named.select("node", F.col("least.id").alias("class_id"), F.col("least.node").alias("class_node")), "classes")
 
 
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
+             hot: int = HOT) -> DataFrame:
+    """One row of each class of copies and near-duplicates, that of the smallest id (nulls last), all columns as they are.
+
+    Rows are kept or not by id and text, so another text under a dropped row's id stays; of equal ids and texts one stays.
+    """
+    node, least, first = (free_name(docs, name) for name in ("_node", "_class_id", "_class_node"))
+    found = classes(docs, doc_id, text, similarity, hot).toDF(node, least, first)
+    rows = join_unique(docs.withColumn(node, node_of(F.col(text))), found, node, "left")
+    alone = rows.where(F.col(first).isNull())
+    kept = rows.where((F.col(first) == F.col(node)) & F.col(least).eqNullSafe(F.col(doc_id))).dropDuplicates([doc_id, node])
+    return alone.select(docs.columns).union(kept.select(docs.columns))
+
+
 def jaccard(x: np.ndarray, y: np.ndarray) -> float:
     """Similarity of two sets of shingles; of two empty ones it is 1."""
     x, y = np.unique(x), np.unique(y)

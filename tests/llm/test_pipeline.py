@@ -1,5 +1,7 @@
 """The pipeline: each stage's decisions, and the whole against its parts."""
 
+import random
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -41,6 +43,19 @@ def test_near_duplicates_keep_one(spark, folder):
     assert sorted(r["doc_id"] for r in kept) == [0, 1, 3]
 
 
+def test_near_copies_of_one_changed_word_go(spark, folder):
+    draw = random.Random(3)
+    texts = []
+    for n, changed in [(100, 1)] * 20 + [(300, 2)] * 20 + [(1000, 5)] * 5:
+        words = [f"w{draw.randrange(3000)}" for _ in range(n)]
+        copy = list(words)
+        for at in draw.sample(range(n), changed):
+            copy[at] = "other"
+        texts += [" ".join(words), " ".join(copy)]
+    kept = pipeline.drop_near_duplicates(spark, docs_of(spark, texts), folder).collect()
+    assert sorted(r["doc_id"] for r in kept) == list(range(0, 90, 2))
+
+
 def test_contaminated_documents_go_and_clean_ones_stay(spark, folder):
     item = spark.read.parquet(f"{folder}/benchmark.parquet").orderBy("item_id").first()["text"]
     clean = " ".join(f"w{i}" for i in range(4000))
