@@ -20,8 +20,11 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
+import itertools
 import json
 import re
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,7 +43,10 @@ JWT = re.compile(r"(?<![A-Za-z0-9_-])(ey[A-Za-z0-9_-]+)\.(ey[A-Za-z0-9_-]+)\.([A
 # Long enough for the smallest private keys, of 256-bit curves.
 # Lines of a wrapped value are as long, its last one may be shorter.
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])([A-Za-z0-9+/_-]{48,}={0,2}(?:\r?\n[A-Za-z0-9+/_-]{48,}={0,2})*)(\r?\n[A-Za-z0-9+/_-]+={0,2})?")
-HEX_ANY = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){36,}(?![0-9A-Fa-f])")
+HEX_ANY = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{72,}(?![0-9A-Fa-f])")
+LINE = re.compile(r"[A-Za-z0-9+/_=-]+")
+# Line ends written out, as in JSON strings.
+ESCAPED = re.compile(r"\\+r(?:\\+n)?|\\+n")
 
 SEQUENCE, INTEGER, OCTETS, OBJECT_ID = 0x30, 0x02, 0x04, 0x06
 
@@ -131,6 +137,7 @@ def key_kind(data: bytes | None, depth: int = 1) -> str | None:
 
 def pem_kind(body: str, depth: int = 1) -> str | None:
     """What the body of a PEM block holds. Under an encryption header that is whole cipher blocks."""
+    body = ESCAPED.sub("\n", body)
     data = from_base64("".join(line for line in body.splitlines() if ":" not in line))
     if "DEK-Info:" in body:
         return "key" if data and len(data) % 8 == 0 else None
@@ -154,6 +161,80 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
+def key_size(head: bytes) -> int:
+    """The number of bytes of the DER value that begins so, or 0 if none does that could be a key."""
+    if len(head) < 2 or head[0] != SEQUENCE:
+        return 0
+    size, width = head[1], 0
+    if size >= 0x80:
+        width = size - 0x80
+        if not 0 < width <= 4 or len(head) < 2 + width:
+            return 0
+        size = int.from_bytes(head[2:2 + width], "big")
+    return 2 + width + size
+
+
+def ssh_size(read: Callable[[int, int], bytes]) -> int:
+    """The number of bytes of a key file, whose bytes `read` gives by place and number, or 0 if it is none."""
+    magic = b"openssh-key-v1\0"
+    if read(0, len(magic)) != magic:
+        return 0
+    at = len(magic)
+    for field in range(5):
+        at += 4 * (field == 3)
+        if len(size := read(at, 4)) < 4:
+            return 0
+        at += 4 + int.from_bytes(size, "big")
+    return at
+
+
+def parts_of(text: str, start: int, end: int) -> list[tuple[int, int, str]]:
+    """Values within joined lines: each begins with a line, and ends with the one where its stated length does.
+
+    A line after the end of a value may begin the next one.
+    """
+    lines = [(m.start(), m.end()) for m in LINE.finditer(text, start, end)]
+    joined = "".join(text[a:b] for a, b in lines)
+    begins = [0, *itertools.accumulate(b - a for a, b in lines)]
+    ends = {begins[i] + len(text[a:b].rstrip("=")): i for i, (a, b) in enumerate(lines)}
+    pads, decoded = [*(m.start() for m in re.finditer("=+", joined)), len(joined)], {}
+    found, i = [], 0
+    while i < len(lines):
+        at, last, kind = begins[i], i, key_kind(from_base64(text[slice(*lines[i])]))
+
+        def read(place: int, size: int) -> bytes:
+            data = from_base64(joined[at + place // 3 * 4:at + -(-(place + size) // 3) * 4].rstrip("=")) or b""
+            return data[place % 3:place % 3 + size]
+
+        if not kind:
+            size = key_size(read(0, 6)) or ssh_size(read)
+            if not size and read(0, 11) == b"-----BEGIN ":
+                to = bisect.bisect_left(pads, at)
+                region = (pads[to], at % 4)
+                if region not in decoded:
+                    decoded[region] = at, (from_base64(joined[at:pads[to]]) or b"").decode("latin-1")
+                base, value = decoded[region]
+                place = (at - base) // 4 * 3
+                # A line end may follow within the value.
+                if block := PEM.match(value, place):
+                    size = next((n for n in range(block.end() - place, block.end() - place + 3) if at + -(-n * 4 // 3) in ends), 0)
+            last = ends.get(at + -(-size * 4 // 3), -1) if size else -1
+            kind = key_kind(from_base64(text[lines[i][0]:lines[last][1]])) if last > i else None
+        if kind:
+            found.append((lines[i][0], lines[last][1], kind))
+        i = last + 1 if kind else i + 1
+    return found
+
+
+def hex_spans(run: str, start: int) -> list[tuple[int, int, str]]:
+    """The value that a run of hex digits is, or, if it is none, is but for one digit at either end."""
+    even = len(run) // 2 * 2
+    for at in range(1 + len(run) % 2):
+        if (kind := key_kind(bytes.fromhex(run[at:at + even]))):
+            return [(start + at, start + at + even, kind)]
+    return []
+
+
 def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
     """Candidates whose decoded content parses."""
     found = []
@@ -163,11 +244,14 @@ def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
         found += [(m.start(), m.end(), "jwt") for m in JWT.finditer(text)
                   if is_json_object(m[1], "alg") and is_json_object(m[2])]
     blocks = [(a, b) for a, b, _ in found]
-    bare = [(m.start(), end, from_base64(text[m.start():end]))
-            for m in BASE64.finditer(text) for end in sorted({m.end(1), m.end()})]
-    bare += [(m.start(), m.end(), bytes.fromhex(m[0])) for m in HEX_ANY.finditer(text)]
-    for start, end, data in bare:
-        if (kind := key_kind(data)) and not any(a <= start and end <= b for a, b in blocks):
+    bare = []
+    for m in BASE64.finditer(text):
+        whole = [(m.start(), end, kind) for end in sorted({m.end(1), m.end()}) if (kind := key_kind(from_base64(text[m.start():end])))]
+        bare += whole or parts_of(text, m.start(), m.end())
+    for m in HEX_ANY.finditer(text):
+        bare += hex_spans(m[0], m.start())
+    for start, end, kind in bare:
+        if not any(a <= start and end <= b for a, b in blocks):
             found.append((start, end, kind))
     return found
 

@@ -79,6 +79,30 @@ def test_wrapped_base64_followed_by_words():
     assert (5, 5 + len(lines), "key") in secrets.spans_of(f"key:\n{lines}\nnext words")
 
 
+@pytest.mark.parametrize("data, kind", [(RSA, "key"), (EC, "key"), (PKCS8, "key"), (ENCRYPTED, "key"), (SSH, "ssh")])
+def test_adjacent_keys_are_told_apart(data, kind):
+    one = encoded(data)
+    for before in (one, "a" * 60, "0f" * 32, "MC4" + "a" * 57, "MII" + "a" * 57):
+        text = f"{before}\n{one}\n{one}"
+        at = len(before) + 1
+        assert [s for s in secrets.confirmed_spans(text) if s[0] >= at] == [
+            (at, at + len(one), kind), (at + len(one) + 1, len(text), kind)], before
+        assert secrets.confirmed_spans(f"{before}\n{encoded(data, 64)}")[-1][2] == kind
+    nested = [encoded(pem("PRIVATE KEY", data).encode(), 64)] * 2
+    for first in ("a" * 64, *nested):
+        assert secrets.confirmed_spans("\n".join([first, *nested]))[-1][2] == kind
+    wrapped = encoded(data, 64)
+    assert [s[2] for s in secrets.confirmed_spans(f"{wrapped}\n{wrapped}")] == [kind] * 2
+
+
+def test_escaped_line_ends_and_odd_hex():
+    for escape in ("\\n", "\\r\\n", "\\\\n"):
+        block = pem("PRIVATE KEY", RSA).replace("\n", escape)
+        assert secrets.confirmed_spans(f'"key": "{block}"') == [(8, 8 + len(block), "key")]
+    assert secrets.confirmed_spans(RSA.hex() + "0") == [(0, 2 * len(RSA), "key")]
+    assert secrets.confirmed_spans("0" + RSA.hex()) == [(1, 1 + 2 * len(RSA), "key")]
+
+
 @pytest.mark.parametrize("data", [
     RSA[:-1], RSA + b"\0", value(0x30, value(2, b"\1") * 9), value(0x31, RSA[4:]), b"\0" * 64, SSH[:-1], SSH + b"x",
     b"openssh-key-v1\0" + b"\xff" * 40, value(0x30, b"\x02\x85" + b"\1" * 60),
