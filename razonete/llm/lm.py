@@ -5,8 +5,8 @@ the words of each text. Probabilities of single tokens are
 (c + 0.1) / (N + 0.1 (V + 1)). Orders two and three interpolate with the order
 below by absolute discounting: an n-gram keeps its count less `DISCOUNT`, and
 what a context has left goes to the order below. N-grams are counted over all
-training texts; those seen `LEAST` times or more are kept, the others leave
-their share to the order below, so that each context still sums to one.
+training texts and all kept (`fit` can leave those out that are rarer than
+`least`; their share goes to the order below, so that each context still sums to one).
 
 Level by level, Spark counts, and tasks write the trie's segments:
 
@@ -47,7 +47,7 @@ from razonete.session import work_dir
 ORDER = 3
 ADDED = 0.1
 DISCOUNT = 0.75
-LEAST = 2
+LEAST = 1
 STEPS = 2048
 END = 0  # the hash of the end
 SEGMENT_ROWS = 1 << 21

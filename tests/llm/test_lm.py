@@ -127,3 +127,12 @@ def test_query_equals_dictionaries(spark, folder):
         assert row["score"] == pytest.approx(same.score(text, 3), abs=n * 2 / lm.STEPS)
     held = [r for r in rows if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_wording_of_a_single_training_text_counts(spark):
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words), " ".join(words[::-1])]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = lm.score(docs, lm.fit(docs)).collect()
+    # Each pair is seen once, and its two words twice each: a share of 1/8 is its own.
+    assert len(rows) == 2 and all(r["score"] > r["base_score"] + 30 for r in rows)
