@@ -8,9 +8,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from razonete.llm import bpe, decontaminate, langid, lm, minhash, repeats, ring, secrets, simhash, toxicity
+from razonete.llm import (
+    bpe, centroids, decontaminate, langid, lm, minhash, repeats, ring, rules, secrets, simhash, toxicity)
 from razonete.llm.common import add_columns, documents, id_remainder
 from razonete.operators.joins import join_unique
+from razonete.session import configure
 
 QUERIES = {}
 ORACLE = {}
@@ -152,3 +154,75 @@ def op4_lm(spark, folder):
     return lm.score(docs, model).select(
         "doc_id", (id_remainder("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known",
         F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+@query
+def op11_centroids(spark, folder):
+    return centroids.cluster(configure(spark).read.parquet(f"{folder}/embeddings.parquet"))
+
+
+def _rounds() -> str:
+    """SQL for the rounds: tables a0, c1, a1, ..., of nearest centroids and of the centroids they give."""
+    nearest = """a{i} AS (SELECT r, any_value(vec_id) AS vec_id, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT r, any_value(vec_id) AS vec_id, c, CAST(sum((x - y) * (x - y)) AS BIGINT) AS d
+    FROM x JOIN c{i} USING (k) GROUP BY r, c) GROUP BY r)"""
+    means = """m{i} AS (SELECT c, k, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM x JOIN a{i} USING (r) GROUP BY c, k),
+c{j} AS (SELECT c{i}.c, c{i}.k, CASE WHEN n IS NULL THEN y ELSE (s - ((s % n) + n) % n) // n END AS y
+         FROM c{i} LEFT JOIN m{i} ON m{i}.c = c{i}.c AND m{i}.k = c{i}.k)"""
+    rounds = range(centroids.ROUNDS)
+    return ",\n".join([*(f"{nearest.format(i=i)},\n{means.format(i=i, j=i + 1)}" for i in rounds), nearest.format(i=centroids.ROUNDS)])
+
+
+ORACLE["op11_centroids"] = f"""
+WITH v AS (SELECT vec_id, embedding, row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || coalesce(CAST(vec_id AS VARCHAR), ''))) AS r
+           FROM embeddings WHERE len(embedding) = {centroids.DIMENSIONS}
+             AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {centroids.DIMENSIONS}),
+x AS (SELECT r, vec_id, k, CAST(floor({centroids.SCALE} * CAST(e AS DOUBLE)) AS BIGINT) AS x
+      FROM (SELECT r, vec_id, unnest(embedding) AS e, unnest(range({centroids.DIMENSIONS})) AS k FROM v)),
+c0 AS (SELECT r - 1 AS c, k, x AS y FROM x WHERE r <= {centroids.CENTROIDS}),
+{_rounds()},
+digests AS (SELECT c, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY k)) AS centroid_sha256 FROM c{centroids.ROUNDS} GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{centroids.ROUNDS} JOIN digests USING (c)
+"""
+
+
+@query
+def op13_quality(spark, folder):
+    judged = rules.judge(documents(spark, folder, "doc_id", "text"))
+    base = F.arrays_overlap("broken", F.array(*[F.lit(rule.name) for rule in rules.BASE_RULES]))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         base.alias("base_failed"), "kept", "n_lines", "n_marks", "n_stop_words",
+                         F.array_join("broken", ", ").alias("broken"))
+
+
+def _broken_sql(rule: rules.Rule) -> str:
+    value, unit = (rule.measure, "1") if rule.per is None else (f"100 * {rule.measure}", rule.per)
+    parts = [f"{value} < {rule.least} * {unit}"] * (rule.least is not None) + [f"{value} > {rule.most} * {unit}"] * (rule.most is not None)
+    return f"CASE WHEN {' OR '.join(parts)} THEN '{rule.name}' END"
+
+
+ORACLE["op13_quality"] = rf"""
+WITH d AS (SELECT doc_id, t, regexp_extract_all(t, '[^ 	-]+') AS w,
+                  list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^ 	-]')) AS l
+           FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
+runs AS (SELECT doc_id, p, array_to_string(list_slice(w, p, p + {rules.WINDOW - 1}), ' ') AS run
+         FROM (SELECT doc_id, w, unnest(range(1, len(w) - {rules.WINDOW - 2})) AS p FROM d)),
+twice AS (SELECT doc_id, run FROM runs GROUP BY doc_id, run HAVING count(*) > 1),
+repeated AS (SELECT doc_id, count(DISTINCT q) AS n FROM (
+    SELECT doc_id, unnest(range(p, p + {rules.WINDOW})) AS q FROM runs JOIN twice USING (doc_id, run)) GROUP BY doc_id),
+m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+             CAST(length(t) - length(regexp_replace(t, '{rules.SYMBOLS}', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(length(t) - length(regexp_replace(t, '{rules.MARKS}', '', 'g')) AS BIGINT) AS n_marks,
+             CAST(len(list_filter(w, lambda x: list_contains([{', '.join(f"'{word}'" for word in dict.fromkeys(rules.STOP_WORDS))}],
+                                                             lower(rtrim(x, '{rules.CLOSING}'))))) AS BIGINT) AS n_stop_words,
+             CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+             CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+      FROM d LEFT JOIN repeated USING (doc_id)),
+judged AS (SELECT *, concat_ws(', ', {', '.join(map(_broken_sql, rules.RULES))}) AS broken FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, broken = '' AS kept,
+       n_lines, n_marks, n_stop_words, broken
+FROM judged
+"""
