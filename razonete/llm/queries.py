@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from razonete.llm import (
-    bpe, centroids, decontaminate, langid, lm, minhash, repeats, ring, rules, secrets, simhash, toxicity)
+    bpe, centroids, decontaminate, divergence, langid, lm, minhash, repeats, ring, rules, secrets, simhash, toxicity)
 from razonete.llm.common import add_columns, documents, id_remainder
 from razonete.operators.joins import join_unique
 from razonete.session import configure
@@ -204,8 +204,10 @@ def _broken_sql(rule: rules.Rule) -> str:
 
 
 ORACLE["op13_quality"] = rf"""
-WITH d AS (SELECT doc_id, t, regexp_extract_all(t, '[^ 	-]+') AS w,
-                  list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^ 	-]')) AS l
+WITH d AS (SELECT doc_id, t, regexp_extract_all(t, '[^ 	-
+]+') AS w,
+                  list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^ 	-
+]')) AS l
            FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
 runs AS (SELECT doc_id, p, array_to_string(list_slice(w, p, p + {rules.WINDOW - 1}), ' ') AS run
          FROM (SELECT doc_id, w, unnest(range(1, len(w) - {rules.WINDOW - 2})) AS p FROM d)),
@@ -226,3 +228,40 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_lines, n_marks, n_stop_words, broken
 FROM judged
 """
+
+
+@query
+def op12_divergence(spark, folder):
+    return divergence.audit(documents(spark, folder, "lang", "source", "text"))
+
+
+ORACLE["op12_divergence"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+u AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM u GROUP BY lang, term HAVING count(DISTINCT r) >= {divergence.MIN_DOCUMENTS}),
+l AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS c FROM u JOIN kept USING (lang, term) GROUP BY lang, source, term),
+groups AS (SELECT DISTINCT lang, source FROM d),
+sizes AS (SELECT lang, source, sum(c) AS n FROM counts GROUP BY lang, source),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c, k.total,
+             1 + CAST(1000000000 AS HUGEINT) * (coalesce(c, 0) + 2) // (coalesce(sizes.n, 0) + 2 * l.v) AS p,
+             1 + CAST(1000000000 AS HUGEINT) * (k.total + 2) // (l.n + 2 * l.v) AS q
+      FROM groups g JOIN kept k ON k.lang = g.lang JOIN l ON l.lang = g.lang
+           LEFT JOIN sizes ON sizes.lang = g.lang AND sizes.source = g.source
+           LEFT JOIN counts ON counts.lang = g.lang AND counts.source = g.source AND counts.term = k.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+         FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pair AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+         FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+              LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source),
+term AS (SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value FROM p WHERE c > 0 AND p > q),
+ranked AS (SELECT lang, source, 'pair' AS part, item, value,
+                  row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pair
+           UNION ALL
+           SELECT lang, source, 'term' AS part, item, value,
+                  row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM term)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= {divergence.TOP}
+"""

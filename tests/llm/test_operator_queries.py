@@ -14,7 +14,7 @@ from razonete.llm.queries import ORACLE, QUERIES
 
 
 def test_a_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert QUERIES.items() <= entry_points.queries().items()
     assert ORACLE.items() <= entry_points.oracle_sql().items()
 
@@ -42,13 +42,19 @@ def test_all_queries_take_nulls_and_odd_rows(spark, tmp_path):
     documents.write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([(1, 1, 0), (4, 1, 1), (9, 0, None)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([(1, "two three"), (2, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([(1, None, 0), (2, [1.0] * 64, 0), (3, [0.5], None)], "vec_id long, embedding array<float>, label int").write.parquet(
+        f"{folder}/embeddings.parquet")
     for name, run in entry_points.queries().items():
         if name in QUERIES:
-            out = run(spark, folder).collect()
-            assert sorted(r["doc_id"] for r in out) == [1, 2, 3, 4, 5, 6, 7], name
+            out = run(spark, folder)
+            if "doc_id" in out.columns:
+                assert sorted(r["doc_id"] for r in out.collect()) == [1, 2, 3, 4, 5, 6, 7], name
+    assert [r["vec_id"] for r in QUERIES["op11_centroids"](spark, folder).collect()] == [2]
+    # Each language has one source, and no term is in ten documents.
+    assert QUERIES["op12_divergence"](spark, folder).count() == 0
     assert {r["doc_id"] for r in entry_points.queries()["pipeline"](spark, folder).collect()} <= {1, 2, 3, 4, 5, 6, 7}
     empty = str(tmp_path / "empty")
-    for table in ("documents", "labels", "benchmark"):
+    for table in ("documents", "labels", "benchmark", "embeddings"):
         spark.read.parquet(f"{folder}/{table}.parquet").limit(0).write.parquet(f"{empty}/{table}.parquet")
     for name in QUERIES:
         assert QUERIES[name](spark, empty).count() == 0, name
