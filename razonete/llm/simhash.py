@@ -164,11 +164,18 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
-    """The documents whose id is the smallest of their component, all columns as they are.
+    """One row of each component, that of the smallest id (nulls last), all columns as they are.
 
-    Rows that repeat such an id stay rows of their own; rows with a null id stay.
+    It is chosen row by row: of a component's rows with that id, the one whose text has the smallest hash stays, and one
+    of equal ones. Another component's row under the id of a dropped one stays. Rows without words are one component.
     """
-    found = classes(docs, doc_id, text, threshold)
-    name = free_name(docs, "_dropped")
-    dropped = found.where("doc_id != component_id").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(dropped, docs[doc_id] == dropped[name], "left_anti")
+    fingerprint, row = free_name(docs, "_fingerprint"), free_name(docs, "_row")
+    # Written once, so that a row has its number for good.
+    rows = saved(fingerprints(docs, text, fingerprint).withColumn(row, F.monotonically_increasing_id()), "numbered")
+    first = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"),
+                     F.xxhash64(F.coalesce(text, F.lit(""))).alias("text"), F.col(row).alias("row"))
+    nodes = saved(rows.groupBy(fingerprint).agg(F.min(first).alias("first")), "nodes")
+    roots = components(links(nodes, fingerprint, threshold))
+    rooted = nodes.join(roots, nodes[fingerprint] == roots["node"], "left")
+    chosen = rooted.groupBy(F.coalesce("root", fingerprint)).agg(F.min("first").alias("first"))
+    return rows.join(chosen.select(F.col("first.row").alias(row)), row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -182,3 +182,16 @@ def test_classes_with_nulls_and_repeated_ids(spark):
     named = docs.join(minhash.classes(docs.drop("node")), "node", "left").collect()
     assert sorted((str(r["doc_id"]), r["text"] or "", r["class_id"]) for r in named if r["class_id"] is not None) == sorted(
         [("5", text, 3), ("3", text + " tail", 3), ("4", "", 2), ("2", "", 2), ("7", " ", 2), ("None", text, 3)])
+
+
+def test_keep_one_drops_near_copies_of_one_changed_word(spark):
+    draw = random.Random(3)
+    texts = []
+    for n, changed in [(100, 1)] * 20 + [(300, 2)] * 20 + [(1000, 5)] * 5:
+        words = [f"w{draw.randrange(3000)}" for _ in range(n)]
+        copy = list(words)
+        for at in draw.sample(range(n), changed):
+            copy[at] = "other"
+        texts += [" ".join(words), " ".join(copy)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in minhash.keep_one(docs).collect()) == list(range(0, 90, 2))

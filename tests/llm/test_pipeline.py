@@ -1,13 +1,11 @@
 """The pipeline: each stage's decisions, and the whole against its parts."""
 
-import random
-
 import public_tokenizers
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 import corpus_pipeline as pipeline
-from razonete.llm import bpe, secrets
+from razonete.llm import bpe, secrets, simhash
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -43,17 +41,25 @@ def test_near_duplicates_keep_one(spark, folder):
     assert sorted(r["doc_id"] for r in kept) == [0, 1, 3]
 
 
-def test_near_copies_of_one_changed_word_go(spark, folder):
-    draw = random.Random(3)
-    texts = []
-    for n, changed in [(100, 1)] * 20 + [(300, 2)] * 20 + [(1000, 5)] * 5:
-        words = [f"w{draw.randrange(3000)}" for _ in range(n)]
-        copy = list(words)
-        for at in draw.sample(range(n), changed):
-            copy[at] = "other"
-        texts += [" ".join(words), " ".join(copy)]
-    kept = pipeline.drop_near_duplicates(spark, docs_of(spark, texts), folder).collect()
-    assert sorted(r["doc_id"] for r in kept) == list(range(0, 90, 2))
+def test_near_duplicates_equal_all_pairs_of_fingerprints(spark, folder):
+    """One document, that of the smallest id, of each group linked by fingerprints within two bits."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = sorted(docs.select("doc_id", "text").collect())
+    prints = [simhash.majority_bits(simhash.shingle_hashes(r["text"])) for r in rows]
+    kept, reached = [], set()
+    for i, r in enumerate(rows):
+        if i in reached:
+            continue
+        kept.append(r["doc_id"])
+        front = [i]
+        while front:
+            at = front.pop()
+            near = [j for j in range(len(rows)) if j not in reached and (prints[at] ^ prints[j]).bit_count() <= 2]
+            reached.update(near)
+            front += near
+    found = pipeline.drop_near_duplicates(spark, docs, folder)
+    assert sorted(r["doc_id"] for r in found.collect()) == kept
+    assert found.columns == docs.columns
 
 
 def test_contaminated_documents_go_and_clean_ones_stay(spark, folder):
