@@ -6,15 +6,15 @@ A stage sees only what the one before has kept. `run` writes every stage to the
 shared work folder and reads it again, so that a lost executor costs no more than
 the stage it was in.
 
-Null texts pass all filters (they have no shingles, as texts without words do,
-and are near-duplicates of each other) and have no ids.
+Null texts have no words and no tokens. They pass all stages but the second: all
+documents without words have the same fingerprint there, so one of them stays.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from razonete.llm import bpe, decontaminate, minhash, secrets, toxicity
+from razonete.llm import bpe, decontaminate, secrets, simhash, toxicity
 from razonete.llm.common import free_name, saved
 from razonete.session import configure
 
@@ -31,9 +31,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group linked by pairs of similarity 0.8 or more on five words."""
+    """One document of each group linked by fingerprints of three-word shingles that differ in two bits at most."""
     configure(spark)
-    return minhash.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
