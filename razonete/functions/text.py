@@ -61,10 +61,10 @@ def label_before(line: Column, tail: Column) -> Column:
 def tail_amount(tail: Column) -> Column:
     """DECIMAL(26,6) of a closing amount, NULL for ''; a declared scale applies before cents are rounded.
 
-    Brackets are decoration; only a minus sign makes the amount negative.
+    Brackets around it or a minus sign make the amount negative, both together no less.
     """
-    number = F.replace(F.regexp_replace(tail, r"[.()R$\s]", ""), F.lit(","), F.lit("."))
-    return number.try_cast("decimal(26,6)")
+    number = F.replace(F.regexp_replace(tail, r"[-.()R$\s]", ""), F.lit(","), F.lit(".")).try_cast("decimal(26,6)")
+    return F.when(tail.rlike(r"-|\(.*\)"), -number).otherwise(number)
 
 
 # Unit scales a statement may declare for its amounts.

@@ -1,7 +1,8 @@
 """Statement lines to field values: label, amount, scale, sum per field.
 
 Input lines are rows (document_name, tipo_entidade, periodo, line), optionally
-with the `escala_valores` the document declares.
+with the `escala_valores` the document declares and the `section` they stand
+under (`statement_text.read_statements` gives both).
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from razonete.functions.jsonops import computed_once
 from razonete.functions.text import amount_tail, format_amount, label_before, scale_factor, tail_amount
 from razonete.schemas import STATEMENT_KEY
-from razonete.sources.dictionary import FIELDS, synonyms_df
+from razonete.sources.dictionary import ANYWHERE, FIELDS, synonyms_df
 
 ITEM_KEY = [*STATEMENT_KEY, "path"]
 
@@ -28,24 +29,36 @@ def read_lines(lines: DataFrame) -> DataFrame:
     amount = tail_amount(tail)
     if "escala_valores" in lines.columns:
         amount = amount * scale_factor(F.col("escala_valores"))
+    section = F.col("section") if "section" in lines.columns else F.lit(None).cast("string")
     # The label is never NULL, so the join on it adds no filter that would compute it again.
     return computed_once(lines, "_tail", amount_tail(line)).select(
-        *STATEMENT_KEY, F.coalesce(label_before(line, tail), F.lit("")).alias("label"),
+        *STATEMENT_KEY, F.coalesce(label_before(line, tail), F.lit("")).alias("label"), section.alias("section"),
         amount.cast("decimal(28,2)").alias("value"))
 
 
-def match_lines(lines: DataFrame, synonyms: DataFrame | None = None) -> DataFrame:
-    """Lines whose label names a field. The built-in synonyms are a constant table
-    and are broadcast; a caller's own table is left to Spark's size estimate."""
+def _joined(lines: DataFrame, synonyms: DataFrame | None, how: str) -> DataFrame:
+    """Lines with an amount, joined to what their label names under their section.
+
+    The built-in synonyms are a constant table and are broadcast; a caller's own
+    table, (label, path) or (label, section, path), is left to Spark's size estimate.
+    """
+    read = read_lines(lines).where(F.col("value").isNotNull())
     known = F.broadcast(synonyms_df(lines.sparkSession)) if synonyms is None else synonyms
-    return read_lines(lines).where(F.col("value").isNotNull()).join(known, "label")
+    if "section" not in known.columns:
+        return read.join(known, "label", how)
+    known = known.withColumnsRenamed({"label": "_label", "section": "_section"})
+    holds = (F.col("_section") == ANYWHERE) | F.col("_section").eqNullSafe(F.col("section"))
+    return read.join(known, (F.col("label") == F.col("_label")) & holds, how).drop("_label", "_section")
+
+
+def match_lines(lines: DataFrame, synonyms: DataFrame | None = None) -> DataFrame:
+    """Lines whose label names a field."""
+    return _joined(lines, synonyms, "inner").drop("section")
 
 
 def unmatched_labels(lines: DataFrame, synonyms: DataFrame | None = None) -> DataFrame:
     """How often each label with an amount named no field."""
-    known = F.broadcast(synonyms_df(lines.sparkSession)) if synonyms is None else synonyms
-    return (read_lines(lines).where(F.col("value").isNotNull()).join(known, "label", "left_anti")
-            .groupBy("label").agg(F.count("*").alias("n_lines")))
+    return _joined(lines, synonyms, "left_anti").groupBy("label").agg(F.count("*").alias("n_lines"))
 
 
 def line_items(lines: DataFrame, synonyms: DataFrame | None = None) -> DataFrame:

@@ -582,6 +582,18 @@ def statement_text_records(spark, folder):
         jsonops.safe_double(record, "ativo_circulante.estoques").alias("estoques"))
 
 
+@query
+def statement_sheets(spark, folder):
+    """Statements with headers of all shapes and labels that repeat from section to section, to fields."""
+    lines = statement_text.read_statements(derived.statement_sheets(spark, folder)).where("reason IS NULL")
+    return items.line_items(lines).withColumn("value", F.col("value").cast("double"))
+
+
+@query
+def statement_lines_left_out(spark, folder):
+    return statement_text.left_out(derived.statement_sheets(spark, folder))
+
+
 @query
 def line_item_provenance(spark, folder):
     return items.line_item_provenance(derived.statement_lines(spark, folder))

@@ -84,6 +84,17 @@ matched AS (
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
 """
 
+SHEETS = """
+cells AS (
+  SELECT o_custkey k, year(o_orderdate) // 2 block, CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END kind, l_linenumber % 4 item,
+    CASE o_orderstatus WHEN 'F' THEN 'CONSOLIDADO' WHEN 'O' THEN 'CONTROLADORA' ELSE 'INDIVIDUAL' END tipo_entidade,
+    year(o_orderdate) || '-12-31' periodo,
+    CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END * CAST(l_extendedprice AS DECIMAL(18,2)) value
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+blocks AS (
+  SELECT k, block, kind, CASE WHEN kind = 1 THEN 0 ELSE (k + block) % 8 END shape FROM cells GROUP BY ALL)
+"""
+
 PARSED = """
 parsed AS (
   SELECT 'd' || doc_id || '.pdf' path,
@@ -430,6 +441,16 @@ ORACLE: dict[str, str] = {
         CAST(coalesce(sum(value) FILTER (WHERE path = 'ativo_circulante.disponibilidades'), 0) AS DOUBLE) AS disponibilidades,
         CAST(coalesce(sum(value) FILTER (WHERE path = 'ativo_circulante.estoques'), 0) AS DOUBLE) AS estoques
       FROM matched WHERE tipo_entidade IN ('F', 'O') AND periodo IN ('1994-12-31', '1995-12-31') GROUP BY 1, 2, 3"""),
+    "statement_sheets": with_(SHEETS, select="""
+      SELECT 'c' || k || '.pdf' AS document_name, tipo_entidade, periodo,
+        CASE item WHEN 1 THEN 'ativo_circulante.estoques' WHEN 2 THEN 'ativo_nao_circulante.estoques'
+          WHEN 3 THEN 'passivo_circulante.fornecedores' ELSE 'passivo_nao_circulante.fornecedores' END AS path,
+        CAST(sum(value) AS DOUBLE) AS value, CAST(1 AS BIGINT) AS n_lines
+      FROM cells GROUP BY k, tipo_entidade, periodo, item"""),
+    "statement_lines_left_out": with_(SHEETS, select="""
+      SELECT 'no_amounts' AS reason, CAST(sum(6 + CASE shape WHEN 2 THEN 0 ELSE 1 END + k % 2) AS BIGINT) AS n_lines FROM blocks
+      UNION ALL SELECT 'no_columns', count(DISTINCT k) FROM blocks
+      UNION ALL SELECT 'unclear_columns', count(*) FROM blocks WHERE shape = 7"""),
     "line_item_provenance": with_(LINES, select="""
       SELECT document_name, tipo_entidade, periodo, path,
         CASE WHEN sum(n) = 1 THEN string_agg(part, ' + ' ORDER BY label) || ': leitura direta'

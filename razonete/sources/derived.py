@@ -159,3 +159,86 @@ def statement_texts(spark: SparkSession, folder: str) -> DataFrame:
     # At most six labels per document.
     return by_label.groupBy("document_name").agg(F.concat(
         F.lit(head), F.array_join(F.sort_array(F.collect_list("line")), "\n")).alias("raw_parsed"))
+
+
+SHAPES = 8
+LABEL_WIDTH, CELL_WIDTH = 30, 26
+# Items of a sheet: line numbers modulo 4, as label and path; labels repeat from section to section.
+SHEET_ITEMS = {1: ("Estoques", "ativo_circulante.estoques"), 2: ("Estoques", "ativo_nao_circulante.estoques"),
+               3: ("Fornecedores", "passivo_circulante.fornecedores"), 0: ("Fornecedores", "passivo_nao_circulante.fornecedores")}
+
+
+def sheet_amounts(spark: SparkSession, folder: str) -> DataFrame:
+    """k, block, kind, item, c0 to c3: sums of line items, returned ones negative.
+
+    A block has two years of a customer, the later first; kind 0 has two entity types side by side, kind 1 the third.
+    """
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.year("o_orderdate").alias("year"))
+    price = F.col("l_extendedprice").cast(MONEY)
+    rows = table(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("k"), F.floor(F.col("year") / 2).alias("block"), (F.col("o_orderstatus") == "P").cast("int").alias("kind"),
+        (F.col("l_linenumber") % 4).alias("item"), (F.col("year") % 2 == 0).alias("earlier"), (F.col("o_orderstatus") == "O").alias("second"),
+        F.when(F.col("l_returnflag") == "R", -price).otherwise(price).alias("value"))
+    cells = [F.sum(F.when((F.col("second") == second) & (F.col("earlier") == earlier), F.col("value"))).alias(f"c{2 * second + earlier}")
+             for second in (False, True) for earlier in (False, True)]
+    return rows.groupBy("k", "block", "kind", "item").agg(*cells)
+
+
+def statement_sheets(spark: SparkSession, folder: str) -> DataFrame:
+    """(document_name, raw_parsed): the line items of a customer as a statement prints them.
+
+    Blocks of two years stand one below the other, each with its header in one of `SHAPES` shapes in turn: plain
+    dates, a column of notes, a title before the years, entity types and years on one line, long dates, dotted dates,
+    an entity type for each year, and blanks lost. Amounts of even customers are in thousands, negative ones in
+    brackets; missing ones are left blank, a dash where blanks are lost.
+    """
+    shape = F.when(F.col("kind") == 1, 0).otherwise((F.col("k") + F.col("block")) % SHAPES)
+    even, single, lost = F.col("k") % 2 == 0, F.col("kind") == 1, F.col("shape") == SHAPES - 1
+
+    def cell(i: int) -> Column:
+        size = F.abs(F.col(f"c{i}"))
+        text = F.when(even, format_amount(size / 1000, 5)).otherwise(format_amount(size))
+        text = F.when(F.col(f"c{i}") < 0, F.concat(F.lit("("), text, F.lit(")"))).otherwise(text)
+        return F.when(lost, F.coalesce(text, F.lit("-"))).otherwise(F.coalesce(F.lpad(text, CELL_WIDTH, " "), F.lit(" " * CELL_WIDTH)))
+
+    def row(label: Column, cells: list[Column]) -> Column:
+        shown = F.when(single, F.array(*cells[:2])).otherwise(F.array(*cells))
+        return F.when(lost, F.concat(label, F.lit(" "), F.array_join(shown, " "))).otherwise(
+            F.concat(F.rpad(label, LABEL_WIDTH, " "), F.array_join(shown, "")))
+
+    years = [F.col("block") * 2 + 1, F.col("block") * 2] * 2
+    entities = ["Consolidado", "Consolidado", "Controladora", "Controladora"]
+
+    def dates(before: str) -> list[Column]:
+        return [F.concat(F.lit(before), year.cast("string")) for year in years]
+
+    def padded(cells: list[Column]) -> list[Column]:
+        return [F.when(lost, c).otherwise(F.lpad(c, CELL_WIDTH, " ")) for c in cells]
+
+    blank = F.lit("")
+    two = F.when(single, "    Individual").otherwise(" " * (LABEL_WIDTH + CELL_WIDTH) + "Consolidado" + " " * CELL_WIDTH + "Controladora")
+    each = row(blank, padded([F.lit(e) for e in entities]))
+    both = row(blank, padded([F.concat(F.lit(f"{e} "), y.cast("string")) for e, y in zip(entities, years)]))
+    head = F.concat_ws("\n", F.lit("Balanço patrimonial"), F.when(even, "Em milhares de reais").otherwise("Em reais"), (
+        F.when(F.col("shape") == 1, F.concat_ws("\n", two, row(F.lit("                    Notas"), padded(dates("31/12/")))))
+         .when(F.col("shape") == 2, F.concat_ws("\n", two, row(F.lit("Ativo"), padded(dates("")))))
+         .when(F.col("shape") == 3, both)
+         .when(F.col("shape") == 4, F.concat_ws("\n", two, row(blank, padded(dates("31 de dezembro de ")))))
+         .when(F.col("shape") == 5, F.concat_ws("\n", two, row(blank, padded(dates("31.12.")))))
+         .when(F.col("shape") == 6, F.concat_ws("\n", each, row(blank, padded(dates("")))))
+         .otherwise(F.concat_ws("\n", two, row(blank, padded(dates("31/12/")))))))
+
+    label = F.lit(None).cast("string")
+    for item, (name, _) in SHEET_ITEMS.items():
+        label = F.when(F.col("item") == item, name).otherwise(label)
+    noted = F.when(F.col("shape") == 1, F.concat(F.rpad(label, 22, " "), F.lit("12"))).otherwise(label)
+    lines = sheet_amounts(spark, folder).withColumn("shape", shape).select(
+        "k", "block", "kind", "shape", "item", row(noted, [cell(i) for i in range(4)]).alias("line"))
+    of = {item: F.max(F.when(F.col("item") == item, F.col("line"))).alias(f"l{item}") for item in SHEET_ITEMS}
+    blocks = lines.groupBy("k", "block", "kind", "shape").agg(*of.values()).select("k", "block", "kind", F.concat_ws(
+        "\n", head, F.when(F.col("shape") != 2, "Ativo"), F.lit("Circulante"), "l1", F.lit("Não circulante"), "l2",
+        F.lit("Passivo"), F.lit("Circulante"), "l3", F.lit("Não circulante"), "l0", F.when(lost, "Outros 1,00")).alias("text"))
+    # A block for each two years and kind.
+    ordered = F.sort_array(F.collect_list(F.struct("block", "kind", "text")))
+    return blocks.groupBy(numbered("c", "k").alias("document_name")).agg(F.concat(
+        F.lit("Companhia 10\n"), F.array_join(F.transform(ordered, lambda b: b["text"]), "\n\n")).alias("raw_parsed"))

@@ -98,7 +98,7 @@ def test_amounts_and_labels(spark):
              "Nota 12 - 7", "1,00", None]
     tail = texts.amount_tail(F.col("x"))
     amounts = values(spark, texts.tail_amount(tail), lines)
-    assert [None if a is None else float(a) for a in amounts] == [68423.46, 1234, -10.5, -3, None, 2156906.51, -7, 1, None]
+    assert [None if a is None else float(a) for a in amounts] == [68423.46, -1234, -10.5, -3, None, 2156906.51, -7, 1, None]
     assert values(spark, texts.label_before(F.col("x"), tail), lines) == [
         "caixa", "estoques liquidos", "perda", "agio", "sem valor", "total", "nota 12", "", None]
 

@@ -150,7 +150,7 @@ def test_line_items_to_records(spark):
         ("d", "B", "2024", "Lucro Líquido -7", None)],
         "document_name string, tipo_entidade string, periodo string, line string, escala_valores string")
     found = {(r.tipo_entidade, r.path): (float(r.value), r.n_lines) for r in items.line_items(lines).collect()}
-    assert found == {("A", "ativo_circulante.disponibilidades"): (1002500.0, 2), ("A", "ativo_nao_circulante.estoques"): (3000.0, 1),
+    assert found == {("A", "ativo_circulante.disponibilidades"): (1002500.0, 2), ("A", "ativo_nao_circulante.estoques"): (-3000.0, 1),
                      ("A", "passivo_circulante.fornecedores"): (0.0, 1), ("B", "dre.lucro_liquido"): (-7.0, 1)}
     assert [(r.label, r.n_lines) for r in items.unmatched_labels(lines).collect()] == [("outra linha", 1)]
     texts = {r.path: r.fonte for r in items.line_item_provenance(lines).collect()}

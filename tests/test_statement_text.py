@@ -1,6 +1,7 @@
 """Statement texts with several columns: headers, columns and lines by literal cases."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from razonete.operators import line_items as items, statement_text
 
@@ -59,3 +60,113 @@ def test_scaled_values_are_not_rounded_first(spark):
 def test_texts_without_headers_or_lines(spark):
     rows = lines_of(spark, None, "", " \n", "Estoques 1,00").collect()
     assert [tuple(r) for r in rows] == [("d3", None, None, "Estoques 1,00", None)]
+
+
+TWO = [("CONSOLIDADO", "2023-12-31"), ("CONTROLADORA", "2023-12-31")]
+YEARS = [("INDIVIDUAL", "2023-12-31"), ("INDIVIDUAL", "2022-12-31")]
+
+
+@pytest.mark.parametrize("head, columns", [
+    ("Nota 31/12/2023 31/12/2022", YEARS),
+    ("Ativo 2023 2022", YEARS),
+    ("Consolidado 2023 Controladora 2023", TWO),
+    ("31 de dezembro de 2023 31 de dezembro de 2022", YEARS),
+    ("31.12.2023 31.12.2022", YEARS),
+    ("Controladora Controladora\n2023 2022", [("CONTROLADORA", "2023-12-31"), ("CONTROLADORA", "2022-12-31")]),
+    ("Consolidado 31/12/2023 31/12/2022", [("CONSOLIDADO", "2023-12-31"), ("CONSOLIDADO", "2022-12-31")]),
+    ("Balanços patrimoniais    31/12/2023 31/12/2022", YEARS),
+    ("Notas explicativas  2023  2022", YEARS),
+    ("1º de março de 2023   30 de junho de 2022", [("INDIVIDUAL", "2023-03-01"), ("INDIVIDUAL", "2022-06-30")]),
+])
+def test_shapes_of_headers(spark, head, columns):
+    rows = lines_of(spark, f"{head}\nEstoques 5 1.000,00 (7)").where("periodo IS NOT NULL").collect()
+    assert [(r.tipo_entidade, r.periodo, r.line) for r in rows] == [
+        (kind, date, f"Estoques {amount}") for (kind, date), amount in zip(columns, ["1.000,00", "(7)"])]
+
+
+@pytest.mark.parametrize("sentence", [
+    "Exercícios findos em 31 de dezembro de 2023", "Saldos em 31/12/2023   10,00", "A controladora e as controladas de 2021",
+    "Estoques 2023 2022,50"])
+def test_sentences_are_no_headers(spark, sentence):
+    rows = lines_of(spark, f"2020 2019\n{sentence}\nEstoques 1 2").where("line LIKE 'Estoques _'").collect()
+    assert [(r.periodo, r.line) for r in rows] == [("2020-12-31", "Estoques 1"), ("2019-12-31", "Estoques 2")]
+
+
+PLACED = """
+                 Nota    31/12/2023   31/12/2022   31/12/2021
+Estoques            5      1.000,00                    (3,00)
+Caixa                                       7,00
+Clientes           12                                    9,00
+Bancos                         1,00         2,00         3,00
+Fornecedores longo prazo e outros ainda 1,00    2,00
+"""
+
+
+def test_missing_amounts_and_notes_shift_nothing(spark):
+    found = [(r.periodo and r.periodo[:4], r.line, r.reason) for r in statement_text.read_statements(
+        spark.createDataFrame([("d", PLACED)], "document_name string, raw_parsed string")).collect()]
+    assert found == [
+        ("2023", "Estoques 1.000,00", None), ("2021", "Estoques (3,00)", None), ("2022", "Caixa 7,00", None), ("2021", "Clientes 9,00", None),
+        ("2023", "Bancos 1,00", None), ("2022", "Bancos 2,00", None), ("2021", "Bancos 3,00", None),
+        (None, "Fornecedores longo prazo e outros ainda 1,00    2,00", "unclear_columns")]
+
+
+def test_unequal_shares_go_to_the_nearest_entity(spark):
+    text = ("                       Consolidado              Controladora\n"
+            "            31/12/2023 31/12/2022 31/12/2021  31/12/2023 31/12/2022\nEstoques    1 2 3 4 5")
+    rows = lines_of(spark, text).collect()
+    assert [(r.tipo_entidade, r.periodo[:4], r.line[-1]) for r in rows] == [
+        ("CONSOLIDADO", "2023", "1"), ("CONSOLIDADO", "2022", "2"), ("CONSOLIDADO", "2021", "3"),
+        ("CONTROLADORA", "2023", "4"), ("CONTROLADORA", "2022", "5")]
+
+
+SECTIONS = """
+                       2023
+Estoques               1,00
+Ativo
+Circulante           100,00
+Estoques               5,00
+Não circulante
+Estoques               7,00
+Passivo
+Estoques               9,00
+Circulante
+Fornecedores          11,00
+Exigível a longo prazo
+Fornecedores          13,00
+Patrimônio líquido
+Capital social        15,00
+Demonstração do resultado
+Despesas financeiras (17,00)
+"""
+
+
+def test_open_sections_tell_equal_labels_apart(spark):
+    lines = statement_text.read_statements(spark.createDataFrame([("d", SECTIONS)], "document_name string, raw_parsed string"))
+    assert [(r.line, r.section) for r in lines.where("periodo IS NOT NULL").collect()] == [
+        ("Estoques 1,00", None), ("Circulante 100,00", "ativo_circulante"), ("Estoques 5,00", "ativo_circulante"),
+        ("Estoques 7,00", "ativo_nao_circulante"), ("Estoques 9,00", None), ("Fornecedores 11,00", "passivo_circulante"),
+        ("Fornecedores 13,00", "passivo_nao_circulante"), ("Capital social 15,00", "patrimonio_liquido"), ("Despesas financeiras (17,00)", "dre")]
+    found = {r.path: float(r.value) for r in items.line_items(lines.where("reason IS NULL AND line NOT LIKE '%s 1,00' AND line NOT LIKE '% 9,00'")).collect()}
+    assert found == {"ativo_circulante.estoques": 5.0, "ativo_nao_circulante.estoques": 7.0, "passivo_circulante.fornecedores": 11.0,
+                     "passivo_nao_circulante.fornecedores": 13.0, "patrimonio_liquido.capital_social": 15.0, "dre.despesas_financeiras": -17.0}
+
+
+def test_long_lines_many_tokens_and_repeated_names(spark):
+    long = "palavra 1 " * 20_000
+    rows = lines_of(spark, f"2023\n{long}\nCaixa " + "1 " * 200, "2022\nCaixa 3").collect()
+    assert ("2023-12-31", "Caixa 1") in {(r.periodo, r.line) for r in rows} and ("2022-12-31", "Caixa 3") in {(r.periodo, r.line) for r in rows}
+    twice = spark.createDataFrame([("d", "2023\nCaixa 1"), ("d", "Caixa 2"), (None, "2021\nCaixa 4")], "document_name string, raw_parsed string")
+    found = sorted(tuple(r) for r in statement_text.read_statements(twice).select(F.coalesce("document_name", F.lit("-")), "line", F.coalesce("reason", F.lit("-"))).collect())
+    assert found == [("-", "Caixa 4", "-"), ("d", "Caixa 1", "-"), ("d", "Caixa 2", "no_columns")]
+
+
+def test_lines_left_out_by_reason(spark):
+    df = spark.createDataFrame([("d", "Título\nCaixa 1\n2023 2022\nCaixa 5\nTexto\n\nBancos 1 2")], "document_name string, raw_parsed string")
+    assert {tuple(r) for r in statement_text.left_out(df).collect()} == {("no_amounts", 2), ("no_columns", 1), ("unclear_columns", 1)}
+
+
+def test_one_pass_over_the_lines(spark):
+    df = spark.createDataFrame([("d", "2023\nCaixa 1")], "document_name string, raw_parsed string")
+    plan = statement_text.read_statements(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("+- Window") == 1 and "Python" not in plan
