@@ -53,6 +53,9 @@ SECTION_TITLES = {
 }
 WHOLE_SIDES = ("patrimonio_liquido", "dre")
 
+# Further titles that may stand before the dates of a header.
+HEADER_TITLES = ("conta", "contas", "descricao")
+
 NOTE_WORDS = r"\b(?:notas?|explicativas?)\b"
 # A title that ends so goes on with the date: no header, but a sentence.
 OPEN_END = r"(?:^|\s)(?:em|de|do|da|a|ate|no|na|e|para)$"
@@ -124,7 +127,7 @@ def split_lines(documents: DataFrame, text: str) -> DataFrame:
         return F.filter("_spans", lambda span: span["kind"].isin(*kinds))
 
     no_cells, dates, entities = F.size(of("cell")) == 0, of("date", "year"), of("entity")
-    plain = (F.col("_title") == "") | F.col("_title").isin(*SECTION_TITLES)
+    plain = (F.col("_title") == "") | F.col("_title").isin(*SECTION_TITLES, *HEADER_TITLES)
     before = F.forall(F.slice("_gaps", 2, F.greatest(F.size("_gaps") - 1, F.lit(0))), lambda gap: ~gap.rlike(r"\w"))
     titled = (F.size(of("year")) == 0) & before & ~F.col("_title").rlike(OPEN_END)
 

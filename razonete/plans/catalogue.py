@@ -589,6 +589,15 @@ def statement_sheets(spark, folder):
     return items.line_items(lines).withColumn("value", F.col("value").cast("double"))
 
 
+@query
+def page_statements(spark, folder):
+    """The same amounts printed as tables of web pages, from the page to its fields."""
+    pages = elements.page_lines(derived.statement_pages(spark, folder))
+    texts_ = pages.select("document_name", F.array_join("lines", "\n").alias("raw_parsed"))
+    lines = statement_text.read_statements(texts_).where("reason IS NULL")
+    return items.line_items(lines).select("document_name", "tipo_entidade", "periodo", "path", F.col("value").cast("double"))
+
+
 @query
 def statement_lines_left_out(spark, folder):
     return statement_text.left_out(derived.statement_sheets(spark, folder))

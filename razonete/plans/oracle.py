@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from razonete.operators.elements import CHARACTER_REFERENCES, PROMPT
+from razonete.operators.elements import PROMPT
 from razonete.operators.evaluate import EXPECTED_HEAD, EXPECTED_TAIL
 from razonete.operators.normalize import FLAT_NUMBERS, FLAT_TEXTS
 from razonete.sources.dictionary import FIELDS, NO_COMMENT, REQUIRED_KEYS, SECTION_TITLES
@@ -202,10 +202,14 @@ def _dictionary() -> str:
       FROM (VALUES {rows}) f(ord, section, path, kind, is_total, label) LEFT JOIN corr ON campo = path GROUP BY ALL""")
 
 
+# The character references of the pages.
+PAGE_REFERENCES = {"&quot;": '"', "&copy;": "©", "&middot;": "·", "&amp;": "&"}
+
+
 def _page_elements() -> str:
     """Elements end at the tags that the pages have and that are no inline ones; all text, by taking every tag out."""
     decoded = "{}"
-    for reference, character in CHARACTER_REFERENCES.items():
+    for reference, character in PAGE_REFERENCES.items():
         decoded = f"replace({decoded}, {quote(reference)}, {quote(character)})"
     return f"""
       WITH shown AS (
@@ -447,6 +451,12 @@ ORACLE: dict[str, str] = {
           WHEN 3 THEN 'passivo_circulante.fornecedores' ELSE 'passivo_nao_circulante.fornecedores' END AS path,
         CAST(sum(value) AS DOUBLE) AS value, CAST(1 AS BIGINT) AS n_lines
       FROM cells GROUP BY k, tipo_entidade, periodo, item"""),
+    "page_statements": with_(SHEETS, select="""
+      SELECT 'c' || k || '.pdf' AS document_name, tipo_entidade, periodo,
+        CASE item WHEN 1 THEN 'ativo_circulante.estoques' WHEN 2 THEN 'ativo_nao_circulante.estoques'
+          WHEN 3 THEN 'passivo_circulante.fornecedores' ELSE 'passivo_nao_circulante.fornecedores' END AS path,
+        CAST(sum(value) AS DOUBLE) AS value
+      FROM cells GROUP BY k, tipo_entidade, periodo, item"""),
     "statement_lines_left_out": with_(SHEETS, select="""
       SELECT 'no_amounts' AS reason, CAST(sum(6 + CASE shape WHEN 2 THEN 0 ELSE 1 END + k % 2) AS BIGINT) AS n_lines FROM blocks
       UNION ALL SELECT 'no_columns', count(DISTINCT k) FROM blocks

@@ -242,3 +242,41 @@ def statement_sheets(spark: SparkSession, folder: str) -> DataFrame:
     ordered = F.sort_array(F.collect_list(F.struct("block", "kind", "text")))
     return blocks.groupBy(numbered("c", "k").alias("document_name")).agg(F.concat(
         F.lit("Companhia 10\n"), F.array_join(F.transform(ordered, lambda b: b["text"]), "\n\n")).alias("raw_parsed"))
+
+
+def statement_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """(document_name, html): the same amounts as a page for each customer, a table for each block.
+
+    Headings reach over columns and rows; section titles over the whole row; odd customers write accents and dashes
+    as named, the others as numeric character references.
+    """
+    odd, single = F.col("k") % 2 == 1, F.col("kind") == 1
+
+    def cell(i: int) -> Column:
+        size = format_amount(F.abs(F.col(f"c{i}")))
+        text = F.when(F.col(f"c{i}") < 0, F.concat(F.lit("("), size, F.lit(")"))).otherwise(size)
+        return F.concat(F.lit("<td align=right>"), F.coalesce(text, F.when(odd, "&nbsp;").otherwise("&#8212;")), F.lit("</td>"))
+
+    def title(text: Column | str) -> Column:
+        text = F.lit(text) if isinstance(text, str) else text
+        return F.concat(F.lit("<tr><td colspan='5'><b>"), text, F.lit("</b></td></tr>"))
+
+    def years(n: int) -> Column:
+        return F.concat(*[F.concat(F.lit("<th>"), (F.col("block") * 2 + (i + 1) % 2).cast("string"), F.lit("</th>")) for i in range(n)])
+
+    head = F.when(single, F.concat(F.lit("<tr><th rowspan=2>Conta</th><th colspan=2>Individual</th></tr><tr>"), years(2), F.lit("</tr>"))).otherwise(
+        F.concat(F.lit("<tr><th rowspan=\"2\">Conta</th><th colspan=2>Consolidado</th><th colspan=2>Controladora</th></tr>\n<tr>"), years(4), F.lit("</tr>")))
+    not_current = F.when(odd, "N&atilde;o circulante").otherwise("N&#xE3;o circulante")
+    label = F.lit(None).cast("string")
+    for item, (name, _) in SHEET_ITEMS.items():
+        label = F.when(F.col("item") == item, name).otherwise(label)
+    cells = F.when(single, F.concat(cell(0), cell(1))).otherwise(F.concat(*[cell(i) for i in range(4)]))
+    lines = sheet_amounts(spark, folder).select("k", "block", "kind", "item", F.concat(
+        F.lit("<tr>\n <td>"), label, F.lit("</td>"), cells, F.lit("</tr>")).alias("line"))
+    of = {item: F.max(F.when(F.col("item") == item, F.col("line"))).alias(f"l{item}") for item in SHEET_ITEMS}
+    blocks = lines.groupBy("k", "block", "kind").agg(*of.values()).select("k", "block", "kind", F.concat_ws(
+        "\n", F.lit("<h2>Balan&ccedil;o patrimonial</h2><table border=1>"), head, title("Ativo"), title("Circulante"), "l1", title(not_current), "l2",
+        title("Passivo"), title("Circulante"), "l3", title(not_current), "l0", F.lit("</table>")).alias("html"))
+    ordered = F.sort_array(F.collect_list(F.struct("block", "kind", "html")))  # a block for each two years and kind
+    return blocks.groupBy(numbered("c", "k").alias("document_name")).agg(F.concat(
+        F.lit("<html><body>"), F.array_join(F.transform(ordered, lambda b: b["html"]), "<br>"), F.lit("</body></html>")).alias("html"))

@@ -205,3 +205,31 @@ def test_message_text(spark):
         "n int, messages array<struct<role: string, content: string>>, text string")
     found = df.orderBy("n").select(jsonops.message_text(F.col("messages"), F.col("text"))).collect()
     assert [r[0] for r in found] == ["b", "t", ""]
+
+
+def test_character_references(spark):
+    written = ["Dep&oacute;sitos &#8212; a", "&#x1D11E;&#119070;", "&lt;b&gt; &amp;lt; &amp;amp;", "&nothing; & &;", "&#0;&#xD800;&#1114112;",
+               "&#150;&#x80;", "&NotEqualTilde;&nbsp;", "plain", None]
+    assert values(spark, elements.character_references(F.col("x")), written) == [
+        "Depósitos — a", "\U0001d11e\U0001d11e", "<b> &lt; &amp;", "&nothing; & &;", "\ufffd\ufffd\ufffd", "–€", "\u2242\u0338\u00a0", "plain", None]
+
+
+def test_rows_of_tables_become_lines(spark):
+    page = ("<p>Before</p><table><caption>Title</caption><tr><th rowspan=2>Conta<th colspan='2'>Consolidado</th><th>X</th></tr>"
+            "<tr><th>2023</th><th>2022</th><td>-</td></tr><tr><td>Caixa &amp; bancos<td>1.000,00<td><b>7</b>,00</td></tr>"
+            "<tr><td>Estoques</td><td></td><td>3,00</td></tr><tr><td colspan=4>All</td></tr></table>After"
+            "<table><tr><td>outer<table><tr><td>inner</td><td>1</td></tr></table></td></tr></table>")
+    rows = spark.createDataFrame([(1, page, "k"), (2, None, "l"), (3, "no table", "m")], "id int, html string, _x string")
+    found = {r["id"]: r["lines"] for r in elements.page_lines(rows).collect()}
+    assert found[1] == [
+        "Before", "Title", f"{'Conta':19}{'Consolidado':15}  X", f"{'Conta':16}{'2023':>10}{'2022':>8}{'-':>3}",
+        f"{'Caixa & bancos':16}{'1.000,00':>10}{'7,00':>8}", f"{'Estoques':16}{'':10}{'3,00':>8}", "All", "After", "outer", "inner    1"]
+    assert found[2] is None and found[3] == ["no table"]
+    assert elements.page_lines(rows).columns == ["id", "html", "_x", "lines"]
+
+
+def test_cells_over_rows_keep_their_columns(spark):
+    page = ("<table><tr><td rowspan=3>A</td><td>1</td><td rowspan=2>2</td><td>3</td></tr><tr><td>4</td><td>5</td></tr>"
+            "<tr><td colspan=2>6</td><td>7</td></tr><tr><td rowspan=0>B</td></tr><tr><td>8</td></tr></table>")
+    found = elements.page_lines(spark.createDataFrame([(page,)], "html string")).first()["lines"]
+    assert found == ["A    1  2  3", "A    4     5", "A    6     7", "B", "B    8"]
