@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from razonete.functions import jsonops, scoring, text as texts
 from razonete.operators import (
-    batch_score as calls, elements, evaluate, export, ingest, line_items as items, metrics, normalize as norm,
+    batch_score as calls, elements, evaluate, export, ingest, label_match, line_items as items, metrics, normalize as norm,
     review, runs, statement_text, upsert as merging)
+from razonete.operators.joins import join_unique
 from razonete.schemas import CORRECTIONS, STATEMENT_KEY, STATEMENTS
 from razonete.session import configure, work_dir
 from razonete.sources import derived, dictionary, files, tables
@@ -559,20 +560,20 @@ def last_message(spark, folder):
 
 @query
 def line_items(spark, folder):
-    return items.line_items(derived.statement_lines(spark, folder)).withColumn("value", F.col("value").cast("double"))
+    return items.line_items(derived.statement_lines(spark, folder), derived.line_labels(spark)).withColumn("value", F.col("value").cast("double"))
 
 
 @query
 def line_items_scaled(spark, folder):
     """The same lines, those of even orders printed in thousands with five decimals."""
-    return items.line_items(derived.scaled_lines(spark, folder)).withColumn("value", F.col("value").cast("double"))
+    return items.line_items(derived.scaled_lines(spark, folder), derived.line_labels(spark)).withColumn("value", F.col("value").cast("double"))
 
 
 @query
 def statement_text_records(spark, folder):
     """Whole texts with two entity types and two years side by side, to records, to statements read field by field."""
     lines = statement_text.statement_lines(derived.statement_texts(spark, folder))
-    built = items.assemble_records(items.line_item_cells(lines.where("periodo IS NOT NULL")))
+    built = items.assemble_records(items.line_item_cells(lines.where("periodo IS NOT NULL"), derived.line_labels(spark)))
     tagged = norm.records(built.select(F.concat(F.lit("/in/"), "document_name").alias("path"), "extracted"))
     record = F.col("record")
     return tagged.where("reason IS NULL").select(
@@ -603,15 +604,32 @@ def statement_lines_left_out(spark, folder):
     return statement_text.left_out(derived.statement_sheets(spark, folder))
 
 
+@query
+def similar_labels(spark, folder):
+    """What misspelt, plural and shortened labels are found to name."""
+    labels = derived.varied_labels(spark, folder).select("label", F.lit(None).cast("string").alias("section")).distinct()
+    return label_match.resolve(labels, dictionary.synonyms_df(spark)).select("label", "path", "distance", "reason")
+
+
+@query
+def similar_label_quality(spark, folder):
+    """Lines by variant of their label: all, found, found rightly."""
+    lines = derived.varied_labels(spark, folder).withColumn("section", F.lit(None).cast("string"))
+    found = label_match.resolve(lines, dictionary.synonyms_df(spark)).select("label", F.col("path").alias("found"))
+    right = F.sum(F.when(F.col("found") == F.col("path"), F.col("n")).otherwise(0))
+    return join_unique(lines, found, "label", "left").groupBy("variant").agg(
+        F.sum("n").alias("n_lines"), F.sum(F.when(F.col("found").isNotNull(), F.col("n")).otherwise(0)).alias("n_found"), right.alias("n_right"))
+
+
 @query
 def line_item_provenance(spark, folder):
-    return items.line_item_provenance(derived.statement_lines(spark, folder))
+    return items.line_item_provenance(derived.statement_lines(spark, folder), derived.line_labels(spark))
 
 
 @query
 def assemble_records(spark, folder):
     """Line items and provenance back to JSON, read again field by field."""
-    built = items.assemble_records(items.line_item_cells(derived.statement_lines(spark, folder)))
+    built = items.assemble_records(items.line_item_cells(derived.statement_lines(spark, folder), derived.line_labels(spark)))
     record = F.col("record")
     return built.withColumn("record", F.try_parse_json("extracted")).select(
         "document_name", jsonops.path_get(record, "tipo_entidade").alias("tipo_entidade"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from razonete.operators.elements import PROMPT
 from razonete.operators.evaluate import EXPECTED_HEAD, EXPECTED_TAIL
 from razonete.operators.normalize import FLAT_NUMBERS, FLAT_TEXTS
-from razonete.sources.dictionary import FIELDS, NO_COMMENT, REQUIRED_KEYS, SECTION_TITLES
+from razonete.sources.dictionary import ANYWHERE, FIELDS, NO_COMMENT, REQUIRED_KEYS, SECTION_TITLES, synonym_rows
 
 BLANKS = "' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)"
 
@@ -95,6 +95,48 @@ blocks AS (
   SELECT k, block, kind, CASE WHEN kind = 1 THEN 0 ELSE (k + block) % 8 END shape FROM cells GROUP BY ALL)
 """
 
+_FORM = """array_to_string(list_transform(list_filter(string_split(trim(regexp_replace({0}, '[^\\p{{L}}\\p{{N}}.]+', ' ', 'g')), ' '),
+    lambda w: w NOT IN ('', '.', 'a', 'as', 'ao', 'com', 'da', 'das', 'de', 'do', 'dos', 'e', 'em', 'o', 'os', 'p', 'para', 'por', 'sobre')),
+    lambda w: regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(rtrim(w, '.'),
+      '(oes|aes)$', 'ao'), 'ais$', 'al'), '(eis)$', 'el'), '(r|z)es$', '\\1'), 's$', '')), ' ')"""
+
+
+def _labels() -> str:
+    """Every distinct label against every name."""
+    named = [(label, path) for label, section, path in synonym_rows()
+             if section == ANYWHERE and len(label) >= 12 and "/" not in label and "(" not in label]
+    fields = ", ".join(f"({i}, {quote(label)}, {quote(path)})" for i, (label, path) in enumerate(named))
+    names = ", ".join(f"({quote(label)}, {quote(section or '')}, {quote(path)})" for label, section, path in synonym_rows())
+    return f"""
+field(i, name, path) AS (VALUES {fields}),
+lines AS (
+  SELECT CASE l_partkey % 6 WHEN 0 THEN 'exact' WHEN 1 THEN 'lost letter' WHEN 2 THEN 'other letter' WHEN 3 THEN 'plural'
+      WHEN 4 THEN 'abbreviation' ELSE 'none' END AS variant,
+    CASE l_partkey % 6 WHEN 0 THEN name WHEN 1 THEN left(name, cut) || substr(name, cut + 2) WHEN 2 THEN left(name, cut) || 'y' || substr(name, cut + 2)
+      WHEN 3 THEN name || 's' WHEN 4 THEN concat_ws(' ', left(string_split(name, ' ')[1], 5) || '.', array_to_string(string_split(name, ' ')[2:], ' '))
+      ELSE reverse(name) || ' q' END AS label,
+    CASE WHEN l_partkey % 6 <> 5 THEN path END AS path
+  FROM (SELECT *, CAST(4 + l_suppkey % 5 AS INTEGER) AS cut FROM lineitem) JOIN field ON i = l_orderkey % {len(named)}),
+labels AS (SELECT label, {_FORM.format("label")} AS form FROM (SELECT DISTINCT label FROM lines)),
+known(name, section, path) AS (SELECT {_FORM.format("name")}, section, path FROM (VALUES {names}) v(name, section, path)),
+near AS (SELECT label, section, path, levenshtein(form, name) AS distance FROM labels, known
+  WHERE form <> '' AND levenshtein(form, name) <= least(length(form) // 6, 3)),
+parts AS (SELECT label, list_filter(string_split(trim(regexp_replace(label, '[^\\p{{L}}\\p{{N}}.]+', ' ', 'g')), ' '), lambda w: w NOT IN
+  ('', '.', 'a', 'as', 'ao', 'com', 'da', 'das', 'de', 'do', 'dos', 'e', 'em', 'o', 'os', 'p', 'para', 'por', 'sobre')) AS w FROM labels
+  WHERE contains(label, '.')),
+short AS (SELECT label, section, path, 0 AS distance FROM parts, known
+  WHERE len(w) = len(string_split(name, ' ')) AND starts_with(string_split(name, ' ')[1], rtrim(w[1], '.'))
+    AND {_FORM.format("array_to_string(w[2:], ' ')")} = array_to_string(string_split(name, ' ')[2:], ' ') AND ends_with(w[1], '.')),
+found AS (SELECT * FROM near UNION SELECT * FROM short),
+holding AS (SELECT *, min(distance) OVER (PARTITION BY label) AS least FROM found WHERE section IN ('*', '')),
+resolved AS (
+  SELECT label, CASE WHEN count(DISTINCT h.path) = 1 THEN any_value(h.path) END AS path, any_value(h.least) AS distance,
+    CASE WHEN label NOT IN (SELECT label FROM found) THEN 'unknown' WHEN count(h.path) = 0 THEN 'no_section'
+      WHEN count(DISTINCT h.path) > 1 THEN 'ambiguous' END AS reason
+  FROM labels LEFT JOIN (SELECT * FROM holding WHERE distance = least) h USING (label) GROUP BY label)
+"""
+
+
 PARSED = """
 parsed AS (
   SELECT 'd' || doc_id || '.pdf' path,
@@ -457,6 +499,10 @@ ORACLE: dict[str, str] = {
           WHEN 3 THEN 'passivo_circulante.fornecedores' ELSE 'passivo_nao_circulante.fornecedores' END AS path,
         CAST(sum(value) AS DOUBLE) AS value
       FROM cells GROUP BY k, tipo_entidade, periodo, item"""),
+    "similar_labels": with_(_labels(), select=" SELECT label, path, CAST(distance AS INTEGER) AS distance, reason FROM resolved"),
+    "similar_label_quality": with_(_labels(), select="""
+      SELECT variant, count(*) AS n_lines, count(r.path) AS n_found, count(*) FILTER (WHERE r.path = l.path) AS n_right
+      FROM lines l JOIN resolved r USING (label) GROUP BY variant"""),
     "statement_lines_left_out": with_(SHEETS, select="""
       SELECT 'no_amounts' AS reason, CAST(sum(6 + CASE shape WHEN 2 THEN 0 ELSE 1 END + k % 2) AS BIGINT) AS n_lines FROM blocks
       UNION ALL SELECT 'no_columns', count(DISTINCT k) FROM blocks

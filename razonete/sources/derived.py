@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from razonete.functions.jsonops import computed_once
 from razonete.functions.text import format_amount
+from razonete.sources.dictionary import ANYWHERE, synonym_rows
 
 MONEY = "decimal(18,2)"
 
@@ -111,6 +112,19 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
         numbered("c", "doc_id").alias("document_name"), F.col("text").alias("document_text"))
 
 
+# Labels of the view below, and the fields they count for.
+LINE_LABELS = {
+    "disponibilidades": "ativo_circulante.disponibilidades", "disponibilidades liquidos": "ativo_circulante.disponibilidades",
+    "caixa e equivalentes": "ativo_circulante.disponibilidades", "caixa e equivalentes liquidos": "ativo_circulante.disponibilidades",
+    "estoques": "ativo_circulante.estoques", "estoques liquidos": "ativo_nao_circulante.estoques",
+}
+
+
+def line_labels(spark: SparkSession) -> DataFrame:
+    """(label, path), a table of constants."""
+    return F.broadcast(spark.createDataFrame(sorted(LINE_LABELS.items()), "label string, path string"))
+
+
 def _labelled_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with the label a statement gives them, and their order."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
@@ -280,3 +294,28 @@ def statement_pages(spark: SparkSession, folder: str) -> DataFrame:
     ordered = F.sort_array(F.collect_list(F.struct("block", "kind", "html")))  # a block for each two years and kind
     return blocks.groupBy(numbered("c", "k").alias("document_name")).agg(F.concat(
         F.lit("<html><body>"), F.array_join(F.transform(ordered, lambda b: b["html"]), "<br>"), F.lit("</body></html>")).alias("html"))
+
+
+VARIANTS = ("exact", "lost letter", "other letter", "plural", "abbreviation", "none")
+
+
+def varied_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """(variant, label, path, n): labels of one field each as line items print them, most of them not as the dictionary does.
+
+    The part tells the field and the variant of its label: a letter lost or another, a plural, the first word cut
+    short, or a label that names no field (path NULL).
+    """
+    named = [(i, label, path) for i, (label, section, path) in enumerate(
+        row for row in synonym_rows() if row[1] == ANYWHERE and len(row[0]) >= 12 and "/" not in row[0] and "(" not in row[0])]
+    known = F.broadcast(spark.createDataFrame(named, "i int, name string, path string"))
+    kind, at = F.col("l_partkey") % len(VARIANTS), 4 + F.col("l_suppkey") % 5
+    words = F.split("name", " ")
+    label = (F.when(kind == 1, F.concat(F.left("name", at), F.substring(F.col("name"), at + 2, F.length("name"))))
+              .when(kind == 2, F.concat(F.left("name", at), F.lit("y"), F.substring(F.col("name"), at + 2, F.length("name"))))
+              .when(kind == 3, F.concat("name", F.lit("s")))
+              .when(kind == 4, F.concat_ws(" ", F.concat(F.left(F.get(words, F.lit(0)), F.lit(5)), F.lit(".")), F.array_join(F.slice(words, 2, 20), " ")))
+              .when(kind == 5, F.concat(F.reverse("name"), F.lit(" q"))).otherwise(F.col("name")))
+    items = table(spark, folder, "lineitem").select("l_partkey", "l_suppkey", (F.col("l_orderkey") % len(named)).cast("int").alias("i"))
+    rows = items.join(known, "i").select(F.get(F.array(*[F.lit(v) for v in VARIANTS]), kind.cast("int")).alias("variant"), label.alias("label"),
+                                         F.when(kind != 5, F.col("path")).alias("path"))
+    return rows.groupBy("variant", "label", "path").agg(F.count("*").alias("n"))
