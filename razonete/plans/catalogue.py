@@ -541,6 +541,26 @@ def batch_score(spark, folder):
                          F.col("response.attempts").alias("attempts"))
 
 
+@query
+def calls_in_flight(spark, folder):
+    """A stub that hangs for some texts, and for others stands behind a gateway that gives no answer."""
+    def stub(text: str) -> str:
+        import time
+
+        if len(text) % 97 == 0:
+            time.sleep(20)
+        if len(text) % 97 == 1:
+            error = RuntimeError("bad gateway")
+            error.status = 502
+            raise error
+        return text[:5]
+
+    documents = derived.table(spark, folder, "documents").select("doc_id", "text")
+    scored = calls.batch_score(documents, stub, "text", tries=2, deadline=2.0, in_flight=16)
+    return scored.select("doc_id", "response.result", F.col("response.errorMessage").alias("error_message"),
+                         F.col("response.attempts").alias("attempts"))
+
+
 @query
 def preview_text(spark, folder):
     return derived.table(spark, folder, "documents").select(
@@ -704,6 +724,19 @@ def stream_counts(spark, folder):
     return tables.current_rows(counts, ["campo"]).select("campo", "total")
 
 
+@query
+def stream_current_counts(spark, folder):
+    """The log arrives in three parts, the newest entries first; entries commented 'free' take a correction back."""
+    path = work_dir(spark, "current")
+    log = derived.correction_log(spark, folder).withColumn("op", F.when(F.col("comentario") == "free", "delete").otherwise("upsert"))
+    year = F.year("criado_em")
+    for part in (year >= 1996, year.between(1994, 1995), year < 1994):
+        tables.append(log.where(part).select("document_name", "campo", "criado_em", "seq", "op"), f"{path}/log")
+        source = spark.readStream.schema("document_name string, campo string, criado_em timestamp_ntz, seq bigint, op string").parquet(f"{path}/log")
+        jobs.stream_current_counts(source, f"{path}/counts", f"{path}/checkpoint").awaitTermination()
+    return jobs.current_counts(spark, f"{path}/counts")
+
+
 @query
 def stream_upsert(spark, folder):
     path = work_dir(spark, "upsert")

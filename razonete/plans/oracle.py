@@ -472,6 +472,12 @@ ORACLE: dict[str, str] = {
         CASE length(text) % 7 WHEN 0 THEN 'ValueError: no answer' WHEN 1 THEN 'TimeoutError: slow (3 tries)' END AS error_message,
         CAST(CASE length(text) % 7 WHEN 1 THEN 3 ELSE 1 END AS INTEGER) AS attempts
       FROM documents""",
+    "calls_in_flight": """
+      SELECT doc_id, CASE WHEN length(text) % 97 > 1 THEN substr(text, 1, 5) END AS result,
+        CASE length(text) % 97 WHEN 0 THEN 'TimeoutError: no answer within 2 s (2 tries)' WHEN 1 THEN 'RuntimeError: bad gateway (2 tries)' END
+          AS error_message,
+        CAST(CASE WHEN length(text) % 97 < 2 THEN 2 ELSE 1 END AS INTEGER) AS attempts
+      FROM documents""",
     "preview_text": "SELECT doc_id, substr(text, 1, 150) AS preview, length(text) AS n_chars FROM documents",
     "last_message": """
       SELECT conv_id, CASE conv_id % 6 WHEN 0 THEN arg_min(text, turn) WHEN 3 THEN '> ' || arg_min(text, turn)
@@ -535,6 +541,8 @@ ORACLE: dict[str, str] = {
         sum(length(text) - length(replace(text, chr(10), '')) + 1) AS n_lines FROM documents GROUP BY lang"""
        for name in ("scan_files", "read_contents", "stream_ingest")},
     "stream_counts": with_(LOG, select=" SELECT campo, count(*) AS total FROM log GROUP BY 1"),
+    "stream_current_counts": with_(LOG, select="""
+      SELECT campo, count(*) AS total FROM corr WHERE comentario IS DISTINCT FROM 'free' GROUP BY 1"""),
     "stream_upsert": with_(LOG, select=" SELECT document_name, campo, valor_correto FROM corr"),
     "stream_normalize": with_(STM, select="""
       SELECT document_name, tipo_entidade, periodo, razao_social, ativo AS ativo_total FROM stm"""),

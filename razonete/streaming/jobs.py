@@ -7,14 +7,19 @@ ends, the way a scheduled job does.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from razonete.operators.normalize import dedupe_batch, records, rejects_of, statements_of
 from razonete.operators.upsert import latest
-from razonete.schemas import STATEMENT_KEY
+from razonete.schemas import CORRECTION_KEY, STATEMENT_KEY
 from razonete.sources.files import PDF, file_stream
-from razonete.sources.tables import commit_batch
+from razonete.sources.tables import commit_batch, read_batches
 
 
 def stream_ingest(spark: SparkSession, root: str, table_path: str, checkpoint: str, glob: str = PDF,
@@ -67,3 +72,42 @@ def stream_counts(corrections: DataFrame, store: str, checkpoint: str, key: str
     return (counts.writeStream.outputMode("update")
             .foreachBatch(lambda batch, batch_id: commit_batch(batch, store, batch_id))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def stream_current_counts(log: DataFrame, store: str, checkpoint: str, by: str = "campo") -> StreamingQuery:
+    """Running count of current corrections, as `metrics.metrics_by_field` counts them in a table.
+
+    The state holds, for each document and field, the newest entry's place in the order of `latest_corrections` and
+    whether it stands. An entry that is newer than that gives +1 or -1 where it writes or takes back a correction, and
+    nothing where it rewrites one; a late entry changes nothing. Each epoch commits the sums of these steps for every
+    value of `by`, and a repeated epoch replaces its own (`current_counts` adds them up).
+    """
+    columns = {name.lower() for name in log.columns}
+    at = F.coalesce(F.unix_micros(F.col("criado_em").cast("timestamp")), F.lit(-2**63))
+    seq = F.coalesce(F.col("seq").cast("long"), F.lit(0)) if "seq" in columns else F.lit(0)
+    stands = ~F.col("op").eqNullSafe("delete") if "op" in columns else F.lit(True)
+    entries = log.select(*CORRECTION_KEY, F.col(by).alias("_by"), at.alias("_at"), seq.cast("long").alias("_seq"), stands.alias("_stands"))
+
+    def step(key: tuple, entries: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        at, seq, stood = state.get if state.exists else (-2**63, -2**63, False)
+        stands, value = stood, None
+        for rows in entries:
+            i = np.lexsort((rows["_seq"], rows["_at"]))[-1]
+            newest = int(rows["_at"].iat[i]), int(rows["_seq"].iat[i])
+            if newest >= (at, seq):
+                (at, seq), stands, value = newest, bool(rows["_stands"].iat[i]), rows["_by"].iat[i]
+        state.update((at, seq, stands))
+        if stands != stood:
+            yield pd.DataFrame({by: [value], "total": [int(stands) - int(stood)]})
+
+    steps = entries.groupBy(*CORRECTION_KEY).applyInPandasWithState(
+        step, f"{by} string, total bigint", "at bigint, seq bigint, stands boolean", "append", GroupStateTimeout.NoTimeout)
+    return (steps.writeStream.outputMode("append")
+            .foreachBatch(lambda batch, batch_id: commit_batch(batch.groupBy(by).agg(F.sum("total").alias("total")).where("total <> 0"), store, batch_id))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def current_counts(spark: SparkSession, store: str, by: str = "campo") -> DataFrame:
+    """The counts that `stream_current_counts` has committed so far, those of 0 left out."""
+    steps = read_batches(spark, store, f"{by} string, total bigint")
+    return steps.groupBy(by).agg(F.sum("total").alias("total")).where("total <> 0")

@@ -1,14 +1,17 @@
 """The three jobs and the streams on files of their own, run again and again."""
 
+import datetime
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from razonete import schemas
-from razonete.operators.batch_score import batch_score, retrying
+from razonete.operators.batch_score import batch_score, retrying, side_by_side
 from razonete.operators.ingest import pending
 from razonete.operators.normalize import dedupe_batch
+from razonete.operators.upsert import latest_corrections
 from razonete.operators.runs import HardErrors, fail_on_hard_errors
 from razonete.plans import stages
 from razonete.sources import derived, files, tables
@@ -230,3 +233,77 @@ def test_normalize_stream_over_many_batches(spark, folder, tmp_path):
     assert {tuple(r) for r in stored.drop("batch_id").collect()} == {
         tuple(r) for r in statements.select(*schemas.STATEMENT_KEY, "ativo_total").collect()}
     assert tables.read_batches(spark, rejects, "document_name string, path string, pos int, reason string").count() == rejected.count()
+
+
+def test_calls_that_hang_hold_up_no_others():
+    started = []
+
+    def slow(text):
+        started.append(text)
+        if text == "hang":
+            time.sleep(30)
+        time.sleep(0.1)
+        return text
+
+    begin = time.monotonic()
+    run = side_by_side(retrying(slow, 2, 0.0, (TimeoutError,), deadline=1.0), 8)
+    answers = run(["hang", *map(str, range(40))])
+    assert time.monotonic() - begin < 10
+    assert answers[0] == (None, "TimeoutError: no answer within 1 s (2 tries)", 2)
+    assert answers[1:] == [(str(i), None, 1) for i in range(40)] and started.count("hang") == 2
+    assert run([]) == []
+
+
+def test_gateway_errors_are_tried_again():
+    class Failed(Exception):
+        def __init__(self, code):
+            super().__init__(f"status {code}")
+            self.code = code
+
+    left = [504, 503]
+
+    def gateway(text):
+        if left:
+            raise Failed(left.pop())
+        return text
+
+    assert retrying(gateway, 3, 0.0, ())("x") == ("x", None, 3)
+
+    def refused(text):
+        raise Failed(400)
+
+    assert retrying(refused, 3, 0.0, ())("x") == (None, "Failed: status 400", 1)
+
+
+def test_current_counts_take_back(spark, tmp_path):
+    log, seen = str(tmp_path / "log"), []
+    schema = "document_name string, campo string, criado_em timestamp, seq bigint, op string"
+
+    def day(n):
+        return None if n is None else datetime.datetime(2024, 1, n)
+
+    parts = [
+        [("a", "x", day(5), 1, "upsert"), ("b", "x", day(5), 1, None), ("a", "y", day(1), None, "upsert"), (None, "x", day(1), 1, "upsert")],
+        [("a", "x", day(6), 1, "upsert"), ("b", "x", day(4), 9, "delete"), ("a", "y", day(1), 1, "delete")],  # rewritten, late, taken back
+        [("a", "x", day(7), 1, "delete"), ("a", "y", day(2), 0, "upsert"), ("c", "y", None, 0, "upsert"), ("c", "y", day(1), 0, "delete")],
+        [("c", "y", day(1), 1, "upsert"), ("c", "z", day(1), 1, "delete")],
+    ]
+    for part in parts:
+        spark.createDataFrame(part, schema).write.mode("append").parquet(log)
+        jobs.stream_current_counts(spark.readStream.schema(schema).parquet(log), str(tmp_path / "counts"), str(tmp_path / "cp")).awaitTermination()
+        seen.append({tuple(r) for r in jobs.current_counts(spark, str(tmp_path / "counts")).collect()})
+        current = latest_corrections(spark.read.parquet(log)).groupBy("campo").count()
+        assert seen[-1] == {tuple(r) for r in current.collect()}
+    assert seen == [{("x", 3), ("y", 1)}, {("x", 3)}, {("x", 2), ("y", 1)}, {("x", 2), ("y", 2)}]
+
+
+def test_no_text_is_moved_to_find_what_is_to_do(spark, tmp_path):
+    """The anti-join of a run reads keys alone."""
+    inbox, folders = tmp_path / "in", stages.Folders(str(tmp_path / "tables"))
+    write_document(inbox, "one.pdf", ["first"])
+    stages.parse_stage(spark, str(inbox), folders, parser, 2)
+    stages.extract_stage(spark, folders, model(), 2, tries=1, backoff=0.0)
+    stages.process_stage(spark, folders, 0)
+    assert set(spark.read.parquet(folders.todo).columns) == {"path", "document_name", "answer_id"}
+    stages.process_stage(spark, folders, 1)
+    assert spark.read.parquet(folders.todo).count() == 0
