@@ -690,6 +690,19 @@ def _by_folder(found):
         F.sum(F.regexp_count(content, F.lit("\n"))).alias("n_lines"))
 
 
+@query
+def spread_by_size(spark, folder):
+    """Texts as files of their length, three of them the size of all others together: what the largest of 16 tasks gets."""
+    rows = derived.table(spark, folder, "documents").select(derived.numbered("/in/d", "doc_id").alias("path"), F.octet_length("text").cast("bigint").alias("own"))
+    total = rows.agg(F.sum("own")).first()[0]
+    rows = rows.select("path", F.when(F.col("path").isin("/in/d1.pdf", "/in/d2.pdf", "/in/d3.pdf"), total).otherwise(F.col("own")).alias("length"))
+    tasks = ingest.spread_by_size(rows, 16, "length").groupBy(F.spark_partition_id().alias("task")).agg(
+        F.sum("length").alias("n_bytes"), F.max("length").alias("largest"), F.count("*").alias("n_files"))
+    return tasks.agg(F.sum("n_files").alias("n_files"), F.sum("n_bytes").alias("n_bytes"),
+                     F.count_if((F.col("largest") == total) & (F.col("n_files") == 1)).alias("n_alone"),
+                     F.count_if((F.col("n_files") > 1) & (F.col("n_bytes") >= 2 * (F.lit(4 * total) / 16 + 1))).alias("n_overfull"))
+
+
 @query
 def scan_files(spark, folder):
     return _by_folder(files.scan_files(spark, _text_files(spark, folder), "*.txt"))
@@ -699,7 +712,7 @@ def scan_files(spark, folder):
 def read_contents(spark, folder):
     """The same files listed first, and opened where the rows are."""
     listed = files.list_files(spark, _text_files(spark, folder), "*.txt")
-    return _by_folder(files.read_contents(listed).withColumn("length", F.element_at(F.split("version", "#"), -2).cast("bigint")))
+    return _by_folder(files.with_length(files.read_contents(listed)))
 
 
 @query

@@ -540,6 +540,11 @@ ORACLE: dict[str, str] = {
       SELECT lang, sum(strlen(text) + 1) AS n_bytes, sum(strlen(text) + 1) AS n_read,
         sum(length(text) - length(replace(text, chr(10), '')) + 1) AS n_lines FROM documents GROUP BY lang"""
        for name in ("scan_files", "read_contents", "stream_ingest")},
+    "spread_by_size": """
+      SELECT count(*) AS n_files,
+        CAST(sum(strlen(text)) + 3 * sum(strlen(text)) - coalesce(sum(strlen(text)) FILTER (WHERE doc_id IN (1, 2, 3)), 0) AS BIGINT) AS n_bytes,
+        CAST(3 AS BIGINT) AS n_alone, CAST(0 AS BIGINT) AS n_overfull
+      FROM documents""",
     "stream_counts": with_(LOG, select=" SELECT campo, count(*) AS total FROM log GROUP BY 1"),
     "stream_current_counts": with_(LOG, select="""
       SELECT campo, count(*) AS total FROM corr WHERE comentario IS DISTINCT FROM 'free' GROUP BY 1"""),

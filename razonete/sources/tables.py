@@ -54,11 +54,18 @@ COMMITS = "batch_id bigint, attempt string, committed_at timestamp"
 
 
 def commit_batch(df: DataFrame, root: str, batch_id: int, sort_by: list[str] | None = None) -> None:
-    """Write a batch and then list it. Sorted by a key, its files can be told apart by their least and greatest key."""
+    """Write a batch and then list it.
+
+    Sorted by a key, its files can be told apart by their least and greatest key; where batches overlap, by the Bloom
+    filter of the key that each file gets, so that a look-up reads the files that have the key.
+    """
     spark, attempt = df.sparkSession, uuid.uuid4().hex
     if sort_by:
         df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
-    df.write.parquet(f"{root}/data/batch_id={batch_id}/attempt={attempt}")
+    writer = df.write
+    if sort_by:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{sort_by[0]}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+    writer.parquet(f"{root}/data/batch_id={batch_id}/attempt={attempt}")
     line = spark.createDataFrame([(batch_id, attempt)], "batch_id bigint, attempt string")
     line.coalesce(1).withColumn("committed_at", F.current_timestamp()).write.mode("append").parquet(f"{root}/commits")
 

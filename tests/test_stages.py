@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from razonete import schemas
 from razonete.operators.batch_score import batch_score, retrying, side_by_side
-from razonete.operators.ingest import pending
+from razonete.operators.ingest import pending, spread_by_size
 from razonete.operators.normalize import dedupe_batch
 from razonete.operators.upsert import latest_corrections
 from razonete.operators.runs import HardErrors, fail_on_hard_errors
@@ -307,3 +307,17 @@ def test_no_text_is_moved_to_find_what_is_to_do(spark, tmp_path):
     assert set(spark.read.parquet(folders.todo).columns) == {"path", "document_name", "answer_id"}
     stages.process_stage(spark, folders, 1)
     assert spark.read.parquet(folders.todo).count() == 0
+
+
+def test_tasks_get_about_equal_bytes(spark):
+    sizes = [10**6, 5 * 10**6, None, 0] + [(i * 7919) % 1000 for i in range(3000)]
+    rows = spark.createDataFrame([(f"/{i}", s) for i, s in enumerate(sizes)], "path string, size long")
+    placed = [(r["t"], r["size"] or 0) for r in spread_by_size(rows, 40, "size").withColumn("t", F.spark_partition_id()).collect()]
+    assert sorted(s for _, s in placed) == sorted(s or 0 for s in sizes)
+    loads = {}
+    for task, size in placed:
+        loads.setdefault(task, []).append(size)
+    mean = sum(s for _, s in placed) / 40
+    assert all(len(load) == 1 or sum(load) < 2 * mean + 2 for load in loads.values())
+    assert [10**6] in loads.values() and [5 * 10**6] in loads.values()
+    assert spread_by_size(rows.limit(0), 4, "size").count() == 0

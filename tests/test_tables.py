@@ -181,3 +181,31 @@ def test_workers_find_the_package(spark):
 def test_as_text(spark):
     df = tables.as_text(spark.sql("SELECT 1 AS a, true AS b, CAST(NULL AS INT) AS c"))
     assert df.first().asDict() == {"a": "1", "b": "true", "c": None}
+
+
+def scanned_rows(df):
+    """Rows that the scans of a plan hand on, after it has run."""
+    df.collect()
+    nodes, found = [df._jdf.queryExecution().executedPlan()], 0
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            nodes.append(node.executedPlan())
+        if node.nodeName().startswith("Scan parquet"):
+            found += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_a_look_up_reads_the_files_that_have_the_name(spark, tmp_path):
+    """Twenty batches that overlap from the least name to the greatest; names too many for a dictionary."""
+    schema, rows = "document_name string, n long", 20_000
+    for number in range(20):
+        names = spark.range(rows).select(F.sha2((F.col("id") * 20 + number).cast("string"), 256).alias("document_name"), F.col("id").alias("n"))
+        tables.commit_batch(names.coalesce(1), str(tmp_path), number, ["document_name"])
+    wanted = spark.range(1).select(F.sha2(F.lit("2007"), 256)).first()[0]
+    stored = tables.read_batches(spark, str(tmp_path), schema)
+    found = stored.where(F.col("document_name") == wanted)
+    assert [(r.n, r.batch_id) for r in found.collect()] == [(100, 7)]
+    assert scanned_rows(found.select("n")) <= 2 * rows < scanned_rows(stored.select("n")) / 5
