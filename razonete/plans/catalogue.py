@@ -15,7 +15,8 @@ from razonete.operators import (
     batch_score as calls, elements, evaluate, export, ingest, label_match, line_items as items, metrics, normalize as norm,
     review, runs, statement_text, upsert as merging)
 from razonete.operators.joins import join_unique
-from razonete.schemas import CORRECTIONS, STATEMENT_KEY, STATEMENTS
+from razonete.plans import stages
+from razonete.schemas import CORRECTIONS, EXTRACTED, STATEMENT_KEY, STATEMENTS
 from razonete.session import configure, work_dir
 from razonete.sources import derived, dictionary, files, tables
 from razonete.streaming import jobs
@@ -715,6 +716,39 @@ def read_contents(spark, folder):
     return _by_folder(files.with_length(files.read_contents(listed)))
 
 
+@query
+def known_by_content(spark, folder):
+    """Texts of each language and source as a file, parsed and asked about; then copies of all files, and changed ones of English.
+
+    The stub gives another answer with every call.
+    """
+    def stub(prompt: str) -> str:
+        import uuid
+
+        return uuid.uuid4().hex
+
+    def parser(contents):
+        lines = F.transform(F.split(F.decode("content", "UTF-8"), "\n"), lambda line: F.struct(line.alias("content")))
+        return contents.select("path", F.to_variant_object(F.struct(F.struct(lines.alias("elements")).alias("document"))).alias("result"))
+
+    inbox, folders = work_dir(spark, "inbox"), stages.Folders(work_dir(spark, "stages"))
+    documents = derived.table(spark, folder, "documents").select("doc_id", "lang", "source", "text")
+
+    def write(rows, name):
+        ordered = rows.repartition("lang", "source").sortWithinPartitions("lang", "source", "doc_id").drop("doc_id")
+        ordered.write.partitionBy("lang", "source").text(f"{inbox}/{name}")
+
+    write(documents, "first")
+    for more in ([], [("copied", documents), ("changed", documents.where("lang = 'en'").withColumn("text", F.concat("text", F.lit(" again"))))]):
+        for name, rows in more:
+            write(rows, name)
+        stages.parse_stage(spark, inbox, folders, parser, 8, "*.txt")
+        stages.extract_stage(spark, folders, stub, 8, tries=1, backoff=0.0)
+    stored = spark.read.schema(EXTRACTED).parquet(folders.extracted)
+    return stored.groupBy(F.regexp_extract("path", "/(first|copied|changed)/", 1).alias("files")).agg(
+        F.count("*").alias("n_files"), F.count_distinct("extracted").alias("n_answers"))
+
+
 @query
 def stream_ingest(spark, folder):
     path, source = work_dir(spark, "ingest"), _text_files(spark, folder)

@@ -545,6 +545,11 @@ ORACLE: dict[str, str] = {
         CAST(sum(strlen(text)) + 3 * sum(strlen(text)) - coalesce(sum(strlen(text)) FILTER (WHERE doc_id IN (1, 2, 3)), 0) AS BIGINT) AS n_bytes,
         CAST(3 AS BIGINT) AS n_alone, CAST(0 AS BIGINT) AS n_overfull
       FROM documents""",
+    "known_by_content": """
+      WITH f AS (SELECT lang, source, string_agg(text, chr(10) ORDER BY doc_id) AS t FROM documents GROUP BY ALL),
+      asked AS (SELECT * FROM f WHERE trim(t, """ + BLANKS + """) <> '')
+      SELECT files, count(*) AS n_files, count(DISTINCT t) AS n_answers
+      FROM asked, (VALUES ('first'), ('copied'), ('changed')) v(files) WHERE files <> 'changed' OR lang = 'en' GROUP BY files""",
     "stream_counts": with_(LOG, select=" SELECT campo, count(*) AS total FROM log GROUP BY 1"),
     "stream_current_counts": with_(LOG, select="""
       SELECT campo, count(*) AS total FROM corr WHERE comentario IS DISTINCT FROM 'free' GROUP BY 1"""),

@@ -9,11 +9,12 @@ RAW_FILES = "path string, content binary"
 PARSER_OUTPUT = "struct<document: struct<elements: array<struct<content: string>>>, error_status: string>"
 
 # `version` names a file as it was read: its path, length and modification time.
-PARSED_TEXT = "path string, version string, raw_parsed string, ingested_at timestamp"
+# `digest` is that of the text: files with one text are asked about once, however often they are written or copied.
+PARSED_TEXT = "path string, version string, raw_parsed string, ingested_at timestamp, digest string"
 PARSE_ERRORS = "path string, version string, error_status string, reason string, seen_at timestamp"
 
 EXTRACTED = ("path string, version string, raw_parsed string, extracted string, error_message string, "
-             "extracted_at timestamp, answer_id string")
+             "extracted_at timestamp, answer_id string, digest string")
 
 CALL_RESPONSE = "result string, errorMessage string, attempts int"
 

@@ -2,7 +2,9 @@
 
 import datetime
 import json
+import os
 import time
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -321,3 +323,35 @@ def test_tasks_get_about_equal_bytes(spark):
     assert all(len(load) == 1 or sum(load) < 2 * mean + 2 for load in loads.values())
     assert [10**6] in loads.values() and [5 * 10**6] in loads.values()
     assert spread_by_size(rows.limit(0), 4, "size").count() == 0
+
+
+def test_one_text_is_asked_about_once(spark, tmp_path):
+    inbox, folders = tmp_path / "in", stages.Folders(str(tmp_path / "tables"))
+
+    def fresh(prompt):
+        return None if "silent" in prompt else uuid.uuid4().hex
+
+    def run():
+        stages.parse_stage(spark, str(inbox), folders, parser, 2)
+        stages.extract_stage(spark, folders, fresh, 2, tries=1, backoff=0.0)
+        return [(r.path.split("/")[-1], r.extracted) for r in spark.read.parquet(folders.extracted).collect()]
+
+    for name, text in (("one.pdf", "first"), ("same.pdf", "first"), ("two.pdf", "second"), ("none.pdf", "silent")):
+        write_document(inbox, name, [text])
+    found = run()
+    given = dict(found)
+    assert len(found) == 4 and given["one.pdf"] == given["same.pdf"] != given["two.pdf"] and given["none.pdf"] is None
+
+    os.utime(inbox / "one.pdf", (1, 1))  # touched
+    write_document(inbox / "sub", "copy.pdf", ["second"])
+    write_document(inbox, "two.pdf", ["changed"])
+    found = run()
+    new = [row for row in found if row[0] in ("one.pdf", "copy.pdf", "two.pdf")]
+    assert [v for n, v in new if n == "one.pdf"] == [given["one.pdf"]] * 2
+    assert [v for n, v in new if n == "copy.pdf"] == [given["two.pdf"]]
+    assert len({v for n, v in new if n == "two.pdf"}) == 2
+    assert sum(n == "none.pdf" for n, _ in found) == 2  # without an answer it is asked about again
+
+    again = spark.createDataFrame([("one.pdf",)], "document_name string")
+    stages.extract_stage(spark, folders, fresh, 2, tries=1, backoff=0.0, again=again)
+    assert len({r.extracted for r in spark.read.parquet(folders.extracted).collect() if r.path.endswith("/one.pdf")}) == 2
