@@ -32,6 +32,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from razonete.functions.jsonops import computed_once
 from razonete.functions.text import normal_label, strip
 
 # Entity types as headers write them, without accents.
@@ -245,7 +246,8 @@ def read_statements(documents: DataFrame, text: str = "raw_parsed") -> DataFrame
     lines = lines.withColumn("_placed", placed).withColumn("_amounts", amounts)
     reason = (F.when(F.size("_cells") == 0, "no_amounts").when(F.col("_columns").isNull(), "no_columns")
                .when(F.col("_amounts").isNull(), "unclear_columns"))
-    lines = lines.withColumn("reason", reason)
+    # Computed once, so that a filter by it does not move below the steps above and repeat them.
+    lines = computed_once(lines, "reason", reason)
     found = F.filter(F.zip_with("_amounts", "_columns", lambda amount, c: F.struct(
         c["tipo_entidade"].alias("tipo_entidade"), c["periodo"].alias("periodo"),
         F.when(amount.isNotNull(), F.concat(strip(F.col("_head")), F.lit(" "), strip(amount))).alias("line"))), lambda row: row["line"].isNotNull())
