@@ -67,8 +67,9 @@ SHORT_DATE = r"\d{1,2}[/.]\d{1,2}[/.](?:19|20)\d{2}"
 YEAR = r"(?:19|20)\d{2}"
 # An amount, or a dash that stands for none; a minus sign has no blank behind it.
 CELL = r"(?:-?(?:\(\s?)?(?:R\$\s*)?-?(?:\d{1,3}(?:\.\d{3})+|\d+)(?:,\d+)?\)?|[-–—])"
-TOKEN = (rf"(?i)(?<![\w.,/])(?:{LONG_DATE}|{SHORT_DATE}|{YEAR})(?![\w/]|[.,]\d)"
-         rf"|(?<![\w])(?:{'|'.join(ENTITY_TYPES)})(?!\w)|(?<=^|\s)(?=\S){CELL}(?=\s|$)")
+# What no token begins with is passed over at once: most of a line is blanks and letters.
+TOKEN = (rf"(?i)(?=[\d\-–—(rci])(?:(?<![\w.,/])(?:{LONG_DATE}|{SHORT_DATE}|{YEAR})(?![\w/]|[.,]\d)"
+         rf"|(?<![\w])(?:{'|'.join(ENTITY_TYPES)})(?!\w)|(?<=^|\s)(?=\S){CELL}(?=\s|$))")
 MOST_TOKENS = 64
 
 COLUMN = "STRUCT<tipo_entidade: STRING, periodo: STRING, start: INT, end: INT>"
