@@ -19,6 +19,7 @@ from razonete.plans import stages
 from razonete.schemas import CORRECTIONS, EXTRACTED, STATEMENT_KEY, STATEMENTS
 from razonete.session import configure, work_dir
 from razonete.sources import derived, dictionary, files, tables
+from razonete.sources.bucketed import BucketedStore
 from razonete.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -391,15 +392,59 @@ def run_errors(spark, folder):
 
 # --- tables ------------------------------------------------------------------
 
+def _store(spark, schema, keys):
+    """An empty bucketed store, a bucket for each shuffle partition."""
+    root = work_dir(spark, "bucketed")
+    name = "store_" + root.rpartition("-")[2]
+    return BucketedStore(spark, name, root, schema, keys, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 @query
-def upsert_results(spark, folder):
-    """Closed orders, repriced from their line items; orders not there yet are added."""
+def bucketed_corrections(spark, folder):
+    """The correction log in a bucketed store, its newer half committed first and once more."""
+    keys, order = ["document_name", "campo"], ("criado_em", "seq")
+    log = derived.correction_log(spark, folder).select(*keys, "valor_correto", "criado_em", "seq")
+    store = _store(spark, "document_name string, campo string, valor_correto string, criado_em timestamp_ntz, seq bigint", keys)
+    late = F.year("criado_em") >= 1995
+    for number, part in ((0, late), (1, ~late), (0, late)):
+        store.commit(log.where(part), number)
+    return store.current(order).select(*keys, "valor_correto", "seq")
+
+
+@query
+def bucketed_upsert(spark, folder):
+    """`upsert_results` as two batches of a bucketed store."""
+    target, source = _prices(spark, folder)
+    store = _store(spark, "order_key bigint, price double", ["order_key"])
+    for number, rows in enumerate((target, source)):
+        store.commit(rows, number)
+    return store.current().select("order_key", "price")
+
+
+@query
+def bucketed_missing(spark, folder):
+    """Orders that a bucketed store of closed orders does not have, and how many it has."""
+    orders = derived.table(spark, folder, "orders").select(F.col("o_orderkey").alias("order_key"), F.col("o_orderstatus").alias("status"))
+    store = _store(spark, "order_key bigint, status string", ["order_key"])
+    store.commit(orders.where("status <> 'P'"), 0)
+    found = [rows.withColumn("stored", F.lit(stored)) for rows, stored in ((store.missing(orders), False), (store.known(orders), True))]
+    return found[0].union(found[1]).groupBy("status", "stored").agg(F.count("*").alias("n_orders"))
+
+
+def _prices(spark, folder):
+    """Closed orders, and the orders priced from their line items."""
     price = F.col("l_extendedprice").cast(derived.MONEY)
     target = derived.table(spark, folder, "orders").where("o_orderstatus <> 'P'").select(
         F.col("o_orderkey").alias("order_key"), F.col("o_totalprice").alias("price"))
     source = derived.table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("order_key")).agg(
         F.sum(price).cast("double").alias("price"))
-    return merging.upsert(target, source, ["order_key"])
+    return target, source
+
+
+@query
+def upsert_results(spark, folder):
+    """Closed orders, repriced from their line items; orders not there yet are added."""
+    return merging.upsert(*_prices(spark, folder), ["order_key"])
 
 
 @query

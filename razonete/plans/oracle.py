@@ -414,6 +414,14 @@ ORACLE: dict[str, str] = {
       FROM (SELECT * FROM orders WHERE o_orderstatus <> 'P') o
       FULL JOIN (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) price FROM lineitem GROUP BY 1) l
         ON l_orderkey = o_orderkey""",
+    "bucketed_upsert": """
+      SELECT coalesce(l_orderkey, o_orderkey) AS order_key, coalesce(CAST(l.price AS DOUBLE), o_totalprice) AS price
+      FROM (SELECT * FROM orders WHERE o_orderstatus <> 'P') o
+      FULL JOIN (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) price FROM lineitem GROUP BY 1) l
+        ON l_orderkey = o_orderkey""",
+    "bucketed_missing": """
+      SELECT o_orderstatus AS status, o_orderstatus <> 'P' AS stored, count(*) AS n_orders FROM orders GROUP BY ALL""",
+    "bucketed_corrections": with_(LOG, select="SELECT document_name, campo, valor_correto, seq FROM corr"),
     "append_roundtrip": "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders",
     "overwrite_roundtrip": "SELECT o_orderkey, o_orderpriority FROM orders",
 
