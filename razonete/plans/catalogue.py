@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from razonete.functions import jsonops, scoring, text as texts
 from razonete.operators import (
@@ -16,7 +16,7 @@ from razonete.operators import (
     review, runs, statement_text, upsert as merging)
 from razonete.operators.joins import join_unique
 from razonete.plans import stages
-from razonete.schemas import CORRECTIONS, EXTRACTED, STATEMENT_KEY, STATEMENTS
+from razonete.schemas import CORRECTIONS, EXTRACTED, REJECTS, STATEMENT_KEY, STATEMENTS
 from razonete.session import configure, work_dir
 from razonete.sources import derived, dictionary, files, tables
 from razonete.sources.bucketed import BucketedStore
@@ -794,6 +794,54 @@ def known_by_content(spark, folder):
         F.count("*").alias("n_files"), F.count_distinct("extracted").alias("n_answers"))
 
 
+@query
+def three_stages(spark, folder):
+    """Files to texts, texts to answers, answers to statements and rejects; then once more with changed files beside.
+
+    A file holds the texts of a language and source below a line with both. The stub counts its lines and characters;
+    where the lines can be counted by fives it does not answer in JSON, and is asked again with the second run.
+    """
+    begin = len(elements.PROMPT)
+
+    def stub(prompt: str) -> str:
+        import json
+
+        lines = [line for line in prompt[begin:].split("\n") if line]
+        answer = {"tipo_entidade": "INDIVIDUAL", "identificacao": {"periodo": "2023-12-31"}, "razao_social": lines[0],
+                  "ativo_total": len(lines), "dre": {"lucro_liquido": sum(map(len, lines))}}
+        return json.dumps(answer) if len(lines) % 5 else "five by five"
+
+    def parser(contents):
+        lines = F.transform(F.split(F.decode("content", "UTF-8"), "\n"), lambda line: F.struct(line.alias("content")))
+        return contents.select("path", F.to_variant_object(F.struct(F.struct(lines.alias("elements")).alias("document"))).alias("result"))
+
+    inbox, folders = work_dir(spark, "inbox"), stages.Folders(work_dir(spark, "stages"))
+    documents = derived.table(spark, folder, "documents").select(
+        F.col("doc_id").alias("order"), F.concat_ws("/", F.coalesce("lang", F.lit("")), F.coalesce("source", F.lit(""))).alias("name"), "lang", "text")
+    # One file for each task, or files of one task in several folders would have one name.
+    names = documents.select("name", "lang").distinct().withColumn("id", (F.row_number().over(Window.orderBy("name")) - 1).cast("int"))
+    n_files = names.count()
+    heads = names.select("id", "name", "lang", F.lit(None).cast("bigint").alias("order"), F.lit(0).alias("part"), F.col("name").alias("text"))
+    tails = heads.withColumns({"part": F.lit(2), "text": F.lit("again")})
+    lines = documents.join(names.select("name", "id"), "name").select("id", "name", "lang", "order", F.lit(1).alias("part"), "text").union(heads)
+
+    def write(rows, name):
+        placed = rows.repartitionById(n_files, F.col("id")).sortWithinPartitions("id", "part", "order")
+        placed.select("id", "text").write.partitionBy("id").text(f"{inbox}/{name}")
+
+    for batch_id, (name, rows) in enumerate((("first", lines), ("changed", lines.union(tails).where("lang = 'en'")))):
+        write(rows, name)
+        stages.parse_stage(spark, inbox, folders, parser, 8, "*.txt")
+        stages.extract_stage(spark, folders, stub, 8, tries=1, backoff=0.0)
+        stages.process_stage(spark, folders, batch_id)
+    statements = tables.current_rows(tables.read_batches(spark, folders.statements, STATEMENTS), STATEMENT_KEY)
+    rejects = tables.read_batches(spark, folders.rejects, REJECTS)
+    of_statements = statements.groupBy(F.col("razao_social").alias("name"), "batch_id", F.col("ativo_total").alias("n_lines"),
+                                       F.col("lucro_liquido").alias("n_chars")).agg(F.count("*").alias("n"))
+    of_rejects = rejects.groupBy(F.col("reason").alias("name"), "batch_id").agg(F.count("*").alias("n"))
+    return of_statements.unionByName(of_rejects, allowMissingColumns=True)
+
+
 @query
 def stream_ingest(spark, folder):
     path, source = work_dir(spark, "ingest"), _text_files(spark, folder)

@@ -558,6 +558,15 @@ ORACLE: dict[str, str] = {
       asked AS (SELECT * FROM f WHERE trim(t, """ + BLANKS + """) <> '')
       SELECT files, count(*) AS n_files, count(DISTINCT t) AS n_answers
       FROM asked, (VALUES ('first'), ('copied'), ('changed')) v(files) WHERE files <> 'changed' OR lang = 'en' GROUP BY files""",
+    "three_stages": """
+      WITH f AS (SELECT coalesce(lang, '') || '/' || coalesce(source, '') AS name, lang, coalesce(string_agg(text, chr(10)), '') AS t
+        FROM documents GROUP BY lang, source),
+      runs AS (SELECT name, CAST(1 + len(regexp_extract_all(t, '[^\\n]+')) AS DOUBLE) AS n_lines,
+          CAST(length(name) + length(replace(t, chr(10), '')) AS DOUBLE) AS n_chars, lang, 0 AS batch_id FROM f),
+      asked AS (SELECT * FROM runs UNION ALL SELECT name, n_lines + 1, n_chars + 5, lang, 1 FROM runs WHERE lang = 'en')
+      SELECT name, batch_id, n_lines, n_chars, count(*) AS n FROM asked WHERE n_lines % 5 <> 0 GROUP BY ALL
+      UNION ALL SELECT 'bad_json', r.batch_id, NULL, NULL, count(*) FROM asked, (VALUES (0), (1)) r(batch_id)
+      WHERE n_lines % 5 = 0 AND asked.batch_id <= r.batch_id GROUP BY r.batch_id""",
     "stream_counts": with_(LOG, select=" SELECT campo, count(*) AS total FROM log GROUP BY 1"),
     "stream_current_counts": with_(LOG, select="""
       SELECT campo, count(*) AS total FROM corr WHERE comentario IS DISTINCT FROM 'free' GROUP BY 1"""),
