@@ -355,3 +355,22 @@ def test_one_text_is_asked_about_once(spark, tmp_path):
     again = spark.createDataFrame([("one.pdf",)], "document_name string")
     stages.extract_stage(spark, folders, fresh, 2, tries=1, backoff=0.0, again=again)
     assert len({r.extracted for r in spark.read.parquet(folders.extracted).collect() if r.path.endswith("/one.pdf")}) == 2
+
+
+def test_calls_that_hang_hold_up_no_later_batch(spark):
+    def slow(text):
+        if text.endswith("0"):
+            time.sleep(1)
+        return text
+
+    rows = spark.range(100, 200, 1, 1).select(F.col("id").cast("string").alias("prompt"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        batch_score(rows.limit(5), slow, in_flight=8).collect()
+        begin = time.time()
+        found = batch_score(rows, slow, in_flight=8, deadline=5.0).select("prompt", "response.result", "response.attempts").collect()
+        assert time.time() - begin < 7  # ten calls of a second, one batch after another, took ten
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert [tuple(r) for r in found] == [(str(i), str(i), 1) for i in range(100, 200)]
