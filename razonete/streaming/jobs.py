@@ -7,13 +7,8 @@ ends, the way a scheduled job does.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from razonete.operators.normalize import dedupe_batch, records, rejects_of, statements_of
 from razonete.operators.upsert import latest
@@ -81,29 +76,33 @@ def stream_current_counts(log: DataFrame, store: str, checkpoint: str, by: str =
     whether it stands. An entry that is newer than that gives +1 or -1 where it writes or takes back a correction, and
     nothing where it rewrites one; a late entry changes nothing. Each epoch commits the sums of these steps for every
     value of `by`, and a repeated epoch replaces its own (`current_counts` adds them up).
+
+    The state is a batch folder beside the counts, `{store}_state`: an epoch joins its newest entries to the state of
+    the epochs before it and commits the keys that it changes. So a run reads the state once for each epoch, as one
+    join, and no executor holds it in memory.
     """
     columns = {name.lower() for name in log.columns}
     at = F.coalesce(F.unix_micros(F.col("criado_em").cast("timestamp")), F.lit(-2**63))
     seq = F.coalesce(F.col("seq").cast("long"), F.lit(0)) if "seq" in columns else F.lit(0)
     stands = ~F.col("op").eqNullSafe("delete") if "op" in columns else F.lit(True)
-    entries = log.select(*CORRECTION_KEY, F.col(by).alias("_by"), at.alias("_at"), seq.cast("long").alias("_seq"), stands.alias("_stands"))
-
-    def step(key: tuple, entries: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        at, seq, stood = state.get if state.exists else (-2**63, -2**63, False)
-        stands, value = stood, None
-        for rows in entries:
-            i = np.lexsort((rows["_seq"], rows["_at"]))[-1]
-            newest = int(rows["_at"].iat[i]), int(rows["_seq"].iat[i])
-            if newest >= (at, seq):
-                (at, seq), stands, value = newest, bool(rows["_stands"].iat[i]), rows["_by"].iat[i]
-        state.update((at, seq, stands))
-        if stands != stood:
-            yield pd.DataFrame({by: [value], "total": [int(stands) - int(stood)]})
-
-    steps = entries.groupBy(*CORRECTION_KEY).applyInPandasWithState(
-        step, f"{by} string, total bigint", "at bigint, seq bigint, stands boolean", "append", GroupStateTimeout.NoTimeout)
-    return (steps.writeStream.outputMode("append")
-            .foreachBatch(lambda batch, batch_id: commit_batch(batch.groupBy(by).agg(F.sum("total").alias("total")).where("total <> 0"), store, batch_id))
+    entry = F.struct(at.alias("at"), seq.cast("long").alias("seq"), stands.alias("stands"), F.col(by).cast("string").alias("value"))
+    entries = log.select(*[F.col(k).cast("string").alias(k) for k in CORRECTION_KEY], entry.alias("_entry"))
+    state = "document_name string, campo string, at bigint, seq bigint, stands boolean, value string, step int"
+
+    def commit(batch: DataFrame, batch_id: int) -> None:
+        spark, place = batch.sparkSession, F.struct("_entry.at", "_entry.seq")
+        newest = batch.groupBy(*CORRECTION_KEY).agg(F.max_by("_entry", place).alias("_entry")).alias("new")
+        before = read_batches(spark, f"{store}_state", state).where(F.col("batch_id") < batch_id)
+        before = before.groupBy(*CORRECTION_KEY).agg(F.max_by(F.struct("at", "seq", "stands"), "batch_id").alias("_old")).alias("old")
+        same = [F.col(f"new.{k}").eqNullSafe(F.col(f"old.{k}")) for k in CORRECTION_KEY]
+        both = newest.join(before, same[0] & same[1], "left")
+        changed = both.where(F.col("_old").isNull() | (place >= F.struct("_old.at", "_old.seq")))
+        step = F.col("_entry.stands").cast("int") - F.coalesce(F.col("_old.stands").cast("int"), F.lit(0))
+        commit_batch(changed.select(*[f"new.{k}" for k in CORRECTION_KEY], "_entry.*", step.alias("step")), f"{store}_state", batch_id)
+        steps = read_batches(spark, f"{store}_state", state, batch_id)
+        commit_batch(steps.groupBy(F.col("value").alias(by)).agg(F.sum("step").alias("total")).where("total <> 0"), store, batch_id)
+
+    return (entries.writeStream.foreachBatch(commit)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 

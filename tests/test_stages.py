@@ -374,3 +374,18 @@ def test_calls_that_hang_hold_up_no_later_batch(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     assert [tuple(r) for r in found] == [(str(i), str(i), 1) for i in range(100, 200)]
+
+
+def test_state_of_counts_is_a_table(spark, tmp_path):
+    """A key's state is stored once for each epoch that changes it, and none is held by the stream."""
+    schema = "document_name string, campo string, criado_em timestamp, seq bigint, op string"
+    store, cp = str(tmp_path / "counts"), tmp_path / "cp"
+    day = datetime.datetime(2024, 1, 5)
+    for part in ([("a", "x", day, 2, "upsert"), ("b", None, day, 1, "upsert")], [("a", "x", day, 1, "delete"), ("b", None, day, 1, "delete")]):
+        spark.createDataFrame(part, schema).write.mode("append").parquet(str(tmp_path / "log"))
+        jobs.stream_current_counts(spark.readStream.schema(schema).parquet(str(tmp_path / "log")), store, str(cp)).awaitTermination()
+    kept = tables.read_batches(spark, f"{store}_state", "document_name string, campo string, stands boolean, step int")
+    assert sorted(map(tuple, kept.select("batch_id", "document_name", "stands", "step").collect())) == [
+        (0, "a", True, 1), (0, "b", True, 1), (1, "b", False, -1)]
+    assert not (cp / "state").exists()
+    assert [tuple(r) for r in jobs.current_counts(spark, store).collect()] == [("x", 1)]
