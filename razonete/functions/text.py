@@ -10,7 +10,8 @@ WHITESPACE = " \t\n\r\f\v"
 
 # A pt-BR amount closing a line: optional sign, brackets and currency mark,
 # dots between thousands, a comma before the decimals.
-AMOUNT = r"-?\s*\(?\s*(?:R\$\s*)?-?(?:\d{1,3}(?:\.\d{3})+|\d+)(?:,\d+)?\)?\s*$"
+# What no amount begins with is passed over at once.
+AMOUNT = r"(?=[-\s(R\d])-?\s*\(?\s*(?:R\$\s*)?-?(?:\d{1,3}(?:\.\d{3})+|\d+)(?:,\d+)?\)?\s*$"
 
 
 def strip(text: Column) -> Column:
@@ -72,12 +73,10 @@ SCALES = {"unidades": 1, "mil": 1_000, "milhares": 1_000, "milhoes": 1_000_000,
 
 
 def scale_factor(scale: Column) -> Column:
-    """Multiplier of a declared unit scale; 1 when absent or unknown."""
-    label = normal_label(scale)
-    factor = F.lit(1)
-    for word, value in SCALES.items():
-        factor = F.when(label.endswith(word), F.lit(value)).otherwise(factor)
-    return factor.cast("decimal(10,0)")
+    """Multiplier of a declared unit scale; 1 when absent or unknown. The label is read once, and no word ends with another."""
+    word = F.regexp_extract(normal_label(scale), rf"({'|'.join(SCALES)})\z", 1)
+    factors = F.create_map(*[F.lit(part) for entry in SCALES.items() for part in entry])
+    return F.coalesce(F.try_element_at(factors, word), F.lit(1)).cast("decimal(10,0)")
 
 
 def format_amount(value: Column, digits: int = 2) -> Column:

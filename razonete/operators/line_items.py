@@ -30,10 +30,11 @@ def read_lines(lines: DataFrame) -> DataFrame:
     if "escala_valores" in lines.columns:
         amount = amount * scale_factor(F.col("escala_valores"))
     section = F.col("section") if "section" in lines.columns else F.lit(None).cast("string")
+    # Tail and amount are computed once, or a filter on the amount computes them again, several times over.
+    read = computed_once(lines, "_tail", amount_tail(line)).withColumn("_section", section)
+    read = computed_once(read.select(*STATEMENT_KEY, "line", "_section", "_tail", amount.alias("_amount")), "value", F.col("_amount").cast("decimal(28,2)"))
     # The label is never NULL, so the join on it adds no filter that would compute it again.
-    return computed_once(lines, "_tail", amount_tail(line)).select(
-        *STATEMENT_KEY, F.coalesce(label_before(line, tail), F.lit("")).alias("label"), section.alias("section"),
-        amount.cast("decimal(28,2)").alias("value"))
+    return read.select(*STATEMENT_KEY, F.coalesce(label_before(line, tail), F.lit("")).alias("label"), F.col("_section").alias("section"), "value")
 
 
 def _joined(lines: DataFrame, synonyms: DataFrame | None, how: str) -> DataFrame:

@@ -154,3 +154,9 @@ def test_hot_name_is_split_when_selecting_what_is_new(hot, small_partitions):
     rows, plan = run(ingest.pending(statements, log.where("document_name <> 'hot.pdf'"), "document_name"))
     assert "SortMergeJoin(skew=true)" in plan
     assert len(rows) == 10_000 and {r.document_name for r in rows} == {"hot.pdf"}
+
+
+def test_amounts_are_read_once(spark, folder):
+    """No filter on the amount reads the line or its scale again."""
+    plan = plan_of(QUERIES["line_items_scaled"](spark, folder))
+    assert "escala_valores" in plan and not re.search(r"Condition : .*(regexp|translate)", plan)
