@@ -303,19 +303,22 @@ def varied_labels(spark: SparkSession, folder: str) -> DataFrame:
     """(variant, label, path, n): labels of one field each as line items print them, most of them not as the dictionary does.
 
     The part tells the field and the variant of its label: a letter lost or another, a plural, the first word cut
-    short, or a label that names no field (path NULL).
+    short, or a label that names no field (path NULL). Line items are counted by what tells their label, and labels
+    are written for the counts.
     """
     named = [(i, label, path) for i, (label, section, path) in enumerate(
         row for row in synonym_rows() if row[1] == ANYWHERE and len(row[0]) >= 12 and "/" not in row[0] and "(" not in row[0])]
     known = F.broadcast(spark.createDataFrame(named, "i int, name string, path string"))
-    kind, at = F.col("l_partkey") % len(VARIANTS), 4 + F.col("l_suppkey") % 5
+    kind, at = F.col("kind"), F.col("at")
     words = F.split("name", " ")
     label = (F.when(kind == 1, F.concat(F.left("name", at), F.substring(F.col("name"), at + 2, F.length("name"))))
               .when(kind == 2, F.concat(F.left("name", at), F.lit("y"), F.substring(F.col("name"), at + 2, F.length("name"))))
               .when(kind == 3, F.concat("name", F.lit("s")))
               .when(kind == 4, F.concat_ws(" ", F.concat(F.left(F.get(words, F.lit(0)), F.lit(5)), F.lit(".")), F.array_join(F.slice(words, 2, 20), " ")))
               .when(kind == 5, F.concat(F.reverse("name"), F.lit(" q"))).otherwise(F.col("name")))
-    items = table(spark, folder, "lineitem").select("l_partkey", "l_suppkey", (F.col("l_orderkey") % len(named)).cast("int").alias("i"))
+    items = table(spark, folder, "lineitem").groupBy(
+        (F.col("l_orderkey") % len(named)).cast("int").alias("i"), (F.col("l_partkey") % len(VARIANTS)).alias("kind"),
+        (4 + F.col("l_suppkey") % 5).alias("at")).agg(F.count("*").alias("n_items"))
     rows = items.join(known, "i").select(F.get(F.array(*[F.lit(v) for v in VARIANTS]), kind.cast("int")).alias("variant"), label.alias("label"),
-                                         F.when(kind != 5, F.col("path")).alias("path"))
-    return rows.groupBy("variant", "label", "path").agg(F.count("*").alias("n"))
+                                         F.when(kind != 5, F.col("path")).alias("path"), "n_items")
+    return rows.groupBy("variant", "label", "path").agg(F.sum("n_items").alias("n"))

@@ -160,3 +160,10 @@ def test_amounts_are_read_once(spark, folder):
     """No filter on the amount reads the line or its scale again."""
     plan = plan_of(QUERIES["line_items_scaled"](spark, folder))
     assert "escala_valores" in plan and not re.search(r"Condition : .*(regexp|translate)", plan)
+
+
+def test_varied_labels_are_written_for_counts(spark, folder):
+    """Line items are counted before labels are written, so few labels are."""
+    plan = derived.varied_labels(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 2 and "reverse(" in plan
+    assert "reverse(" not in plan[plan.rindex("Aggregate ["):]
