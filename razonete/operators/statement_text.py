@@ -71,6 +71,7 @@ CELL = r"(?:-?(?:\(\s?)?(?:R\$\s*)?-?(?:\d{1,3}(?:\.\d{3})+|\d+)(?:,\d+)?\)?|[-
 TOKEN = (rf"(?i)(?=[\d\-–—(rci])(?:(?<![\w.,/])(?:{LONG_DATE}|{SHORT_DATE}|{YEAR})(?![\w/]|[.,]\d)"
          rf"|(?<![\w])(?:{'|'.join(ENTITY_TYPES)})(?!\w)|(?<=^|\s)(?=\S){CELL}(?=\s|$))")
 MOST_TOKENS = 64
+MARK = "\x01"
 
 COLUMN = "STRUCT<tipo_entidade: STRING, periodo: STRING, start: INT, end: INT>"
 
@@ -98,6 +99,18 @@ def _tokens(line: Column) -> tuple[Column, Column]:
     return F.regexp_extract_all(line, F.lit(TOKEN), F.lit(0)), F.split(line, TOKEN, -1)
 
 
+def _with_tokens(lines: DataFrame) -> DataFrame:
+    """Add `_tokens` and `_gaps`, found in one search: each token is put between marks, and every second part is one.
+
+    Splitting by a pattern would compile it again for each line, so only lines that have the mark already do.
+    """
+    line, marked = F.col("line"), F.contains("line", F.lit(MARK))
+    tokens, gaps = _tokens(line)
+    lines = lines.withColumn("_parts", F.when(~marked, F.split(F.regexp_replace(line, f"({TOKEN})", f"{MARK}$1{MARK}"), MARK, -1)))
+    every = {first: F.filter("_parts", lambda _, i: i % 2 == first) for first in (0, 1)}
+    return lines.withColumns({"_tokens": F.when(marked, tokens).otherwise(every[1]), "_gaps": F.when(marked, gaps).otherwise(every[0])}).drop("_parts")
+
+
 def _length(texts: Column) -> Column:
     return F.aggregate(texts, F.lit(0), lambda total, text: total + F.length(text))
 
@@ -120,8 +133,7 @@ def split_lines(documents: DataFrame, text: str) -> DataFrame:
     """A row for each line that is not blank, taken apart: what it heads, opens and holds."""
     numbered = documents.where(F.col(text).isNotNull()).select("document_name", F.monotonically_increasing_id().alias("_document"), text)
     lines = numbered.select("document_name", "_document", F.posexplode(F.split(text, "\n")).alias("_pos", "line"))
-    tokens, gaps = _tokens(F.col("line"))
-    lines = lines.where(strip(F.col("line")) != "").withColumns({"_tokens": tokens, "_gaps": gaps})
+    lines = _with_tokens(lines.where(strip(F.col("line")) != ""))
     lines = lines.withColumns({"_spans": _spans(), "_label": normal_label(F.array_join("_gaps", " "))})
     lines = lines.withColumn("_title", strip(F.regexp_replace("_label", NOTE_WORDS, "")))
 

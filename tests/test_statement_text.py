@@ -170,3 +170,12 @@ def test_one_pass_over_the_lines(spark):
     df = spark.createDataFrame([("d", "2023\nCaixa 1")], "document_name string, raw_parsed string")
     plan = statement_text.read_statements(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.count("+- Window") == 1 and "Python" not in plan
+
+
+def test_tokens_are_found_in_one_search(spark):
+    """The same tokens and gaps as by two searches, also where a line has the mark itself."""
+    texts = [*TEXT.split("\n"), "31 de dezembro de 2023 (1.000,00) -", "x\x01 1 2", "\x01", "10", "Controladora 2.021,5 R$ 3"]
+    lines = spark.createDataFrame([(t,) for t in texts], "line string")
+    tokens, gaps = statement_text._tokens(F.col("line"))
+    rows = statement_text._with_tokens(lines).select("_tokens", "_gaps", tokens.alias("t"), gaps.alias("g")).collect()
+    assert len(rows) == len(texts) and all(r["_tokens"] == r["t"] and r["_gaps"] == r["g"] for r in rows)
