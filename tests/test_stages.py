@@ -389,3 +389,37 @@ def test_state_of_counts_is_a_table(spark, tmp_path):
         (0, "a", True, 1), (0, "b", True, 1), (1, "b", False, -1)]
     assert not (cp / "state").exists()
     assert [tuple(r) for r in jobs.current_counts(spark, store).collect()] == [("x", 1)]
+
+
+def lines_of(df):
+    lines = F.transform(F.split(F.col("content").cast("string"), "\n"), lambda line: F.struct(line.alias("content")))
+    return df.select("path", F.struct(F.struct(lines.alias("elements")).alias("document"), F.lit(None).cast("string").alias("error_status")).alias("result"))
+
+
+def test_texts_too_large_for_a_variant_are_parsed(spark, tmp_path):
+    inbox, folders = tmp_path / "in", stages.Folders(str(tmp_path / "tables"))
+    inbox.mkdir()
+    (inbox / "a.txt").write_text("a" * (17 << 20) + "\nb\n", encoding="utf-8")
+    (inbox / "blank.txt").write_text(" \n\t", encoding="utf-8")
+    counts = stages.parse_stage(spark, str(inbox), folders, lines_of, 2, "*.txt").first()
+    assert (counts["succeeded"], counts["failed"]) == (1, 1)
+    text = spark.read.parquet(folders.parsed).first()["raw_parsed"]
+    assert len(text) == (17 << 20) + 5 and text.endswith("a\n\nb\n\n")
+    assert {r["reason"] for r in spark.read.parquet(folders.parse_errors).collect()} == {"empty_text"}
+
+
+def test_large_texts_are_written_in_small_row_groups(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    inbox, folders = tmp_path / "in", stages.Folders(str(tmp_path / "tables"))
+    inbox.mkdir()
+    for i in range(10):
+        (inbox / f"{i}.txt").write_text(os.urandom(2 << 20).hex(), encoding="utf-8")
+    stages.parse_stage(spark, str(inbox), folders, lines_of, 1, "*.txt")
+    for name in (folders.parsed, f"{folders.parse_work}/texts"):
+        parts = [pq.ParquetFile(f"{name}/{f}").metadata for f in os.listdir(name) if f.endswith(".parquet")]
+        groups = [p.row_group(i) for p in parts for i in range(p.num_row_groups)]
+        assert sum(g.num_rows for g in groups) == 10 and max(g.total_byte_size for g in groups) < 32 << 20
+        of_text = [g.column(c) for g in groups for c in range(g.num_columns) if g.column(c).path_in_schema == "raw_parsed"]
+        assert {c.compression for c in of_text} == {"ZSTD"}
+        assert not any(c.statistics and c.statistics.has_min_max for c in of_text)
