@@ -822,8 +822,11 @@ def three_stages(spark, folder):
     inbox, folders = work_dir(spark, "inbox"), stages.Folders(work_dir(spark, "stages"))
     documents = derived.table(spark, folder, "documents").select(
         F.col("doc_id").alias("order"), F.concat_ws("/", F.coalesce("lang", F.lit("")), F.coalesce("source", F.lit(""))).alias("name"), "lang", "text")
-    # One file for each task, or files of one task in several folders would have one name.
-    names = documents.select("name", "lang").distinct().withColumn("id", (F.row_number().over(Window.orderBy("name")) - 1).cast("int"))
+    # One file for each task, or files of one task in several folders would have one name. The names are written: measured
+    # as small, they are sent to the texts, which need not be shuffled to them.
+    numbered = documents.select("name", "lang").distinct().withColumn("id", (F.row_number().over(Window.orderBy("name")) - 1).cast("int"))
+    tables.overwrite(numbered, f"{inbox}-names")
+    names = spark.read.schema(numbered.schema).parquet(f"{inbox}-names")
     n_files = names.count()
     heads = names.select("id", "name", "lang", F.lit(None).cast("bigint").alias("order"), F.lit(0).alias("part"), F.col("name").alias("text"))
     tails = heads.withColumns({"part": F.lit(2), "text": F.lit("again")})
