@@ -22,8 +22,10 @@ relative key; the index found is the node, the context of the next order. An
 n-gram is counted only if its words, and for order three its pairs, are kept, as
 it cannot be more frequent than they are. Logarithms are in steps of 1/2048.
 
-Texts are read once for each order and once for scoring; nothing of a level goes
-through the driver but one line for each segment.
+Texts are read once for each order and once for scoring. Counts of n-grams are
+shuffled once, to the segment they belong to; logarithms and contexts follow from
+the segments. Nothing of a level goes through the driver but one line for each
+segment, with the contexts of more tokens than a segment.
 
 Null and empty texts have the end as their only token. Words are told apart by
 64-bit hashes. Repeated rows count each time, equal texts have equal scores.
@@ -38,10 +40,10 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from razonete.llm.common import LOWER, NOT_SPACE, add_columns, find_words, larger, saved, signed, word_hashes
-from razonete.llm.trie import EliasFano, Level, unique_keys, write_arrays
+from razonete.llm.trie import EliasFano, Level, read_arrays, unique_keys, write_arrays
 from razonete.session import work_dir
 
 ORDER = 3
@@ -54,6 +56,11 @@ SEGMENT_ROWS = 1 << 21
 TASK_ROWS = 1 << 20
 BATCH_ROWS = 768  # lookups of many tokens at once find more of them equal or near
 
+# What a task tells of a segment of n-grams.
+SEGMENT = pa.schema([
+    *((name, pa.int64()) for name in ("part", "major", "minor", "n")), ("place", pa.string()), ("last", pa.int64()),
+    ("first_kept", pa.float64()), ("last_kept", pa.float64()), ("often", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
+
 
 @dataclass
 class Tokens:
@@ -95,16 +102,16 @@ class GramSegment:
         self.context, self.contexts, self.words = map(int, arrays["range"])
         self.pointers = EliasFano.of(arrays, "pointer_")
         self.keys = EliasFano.of(arrays, "key_")
-        self.log, self.count = arrays["log"], arrays["count"]
+        self.log, self.count = arrays.get("log"), arrays["count"]  # logarithms are added when all is counted
 
     @staticmethod
-    def arrays(context: np.ndarray, word: np.ndarray, words: int, log: np.ndarray, count: np.ndarray) -> dict[str, np.ndarray]:
+    def arrays(context: np.ndarray, word: np.ndarray, words: int, count: np.ndarray) -> dict[str, np.ndarray]:
         rank = context - context[0]
         contexts = int(rank[-1]) + 1
         pointers = EliasFano.encode(np.searchsorted(rank, np.arange(contexts + 1)))
         keys = EliasFano.encode(rank.astype(np.uint64) * np.uint64(words) + word.astype(np.uint64))
         return {"range": np.array([context[0], contexts, words], np.int64), **{f"pointer_{k}": v for k, v in pointers.items()},
-                **{f"key_{k}": v for k, v in keys.items()}, "log": log, "count": count}
+                **{f"key_{k}": v for k, v in keys.items()}, "count": count}
 
     def find(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Index of each word among the successors of its context, or -1; in the order of contexts."""
@@ -283,6 +290,10 @@ def write_level(rows: DataFrame, keys: list[str], folder: str, name: str,
     return segments
 
 
+def segments_for(spark: SparkSession, tokens: int) -> int:
+    return max(1, -(-tokens // SEGMENT_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def fit(docs: DataFrame, text: str = "text", order: int = ORDER, least: int = LEAST) -> Model:
     """Count the texts and write their trie below the shared work folder."""
     if order not in (1, 2, 3):
@@ -292,15 +303,43 @@ def fit(docs: DataFrame, text: str = "text", order: int = ORDER, least: int = LE
     total, words = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     model = Model(total, words, write_level(
         counted.select("a", "n"), ["a"], folder, "words", lambda c: {"hash": c["a"], "count": c["n"]}))
+    often = counted.where(F.col("n") > total // segments_for(docs.sparkSession, total)).select("a", "n").orderBy("a").collect()
+    ids = model.find_words(np.array([row["a"] for row in often], np.int64))[0] if often else []
+    hot, nodes = [(int(i), row["n"]) for i, row in zip(ids, often)], words
     for level in range(2, order + 1):
-        add_order(model, docs, text, level, least, folder)
+        hot, nodes = add_order(model, docs, text, level, least, folder, hot, nodes)
     return model
 
 
-def add_order(model: Model, docs: DataFrame, text: str, order: int, least: int, folder: str) -> None:
-    """Count the n-grams of the next order under the nodes there are, and write their level."""
+def part_of(a: np.ndarray, b: np.ndarray, hot: list[tuple[int, int]], nodes: int, words: int, total: int, parts: int) -> np.ndarray:
+    """The part of each pair of a context and a word, in the order of pairs; parts have about equal shares of the tokens.
+
+    A context of more tokens than a part, in `hot` with its count, is spread by words; others share what is left.
+    """
+    ids, counts = np.array([i for i, _ in hot], np.int64), np.array([n for _, n in hot], np.int64)
+    before = np.concatenate([[0], np.cumsum(counts)])
+    at = np.searchsorted(ids, a)
+    own = np.append(np.where(np.isin(ids, a), counts, 0), 0)[at] * (np.append(ids, -1)[at] == a)
+    place = before[at] + (total - before[-1]) * (a / nodes) + own * (b / words)
+    return np.minimum(place * (parts / total), parts - 1).astype(np.int32)
+
+
+def add_order(model: Model, docs: DataFrame, text: str, order: int, least: int, folder: str,
+              hot: list[tuple[int, int]], nodes: int) -> tuple[list[tuple[int, int]], int]:
+    """Count the n-grams of the next order under the nodes there are, and write their level.
+
+    Counts go straight to the part of the level they belong to, where they are added up and written as a segment;
+    logarithms and contexts follow from the segments, as a context of very many tokens may have several. `hot` and
+    `nodes` are the frequent contexts and the number of all; those of the next order are returned.
+    """
     spark = docs.sparkSession
     below = spark.sparkContext.broadcast(model)
+    total, words = model.total, model.words
+    parts = segments_for(spark, total)
+    if not nodes:
+        model.context_segments.append([])
+        model.gram_segments.append([])
+        return [], 0
 
     def pairs(of: Tokens) -> tuple[np.ndarray, np.ndarray]:
         # An n-gram is as rare as its rarest part, so parts that are not kept need not be counted with others.
@@ -315,33 +354,95 @@ def add_order(model: Model, docs: DataFrame, text: str, order: int, least: int,
         kept &= context >= 0
         return context[kept], ids[kept]
 
-    counted = count_pairs(docs, text, pairs, model.words, least, f"order{order}")
-
-    def with_left(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        share = c["kept"] / below.value.counts_of(order - 1, c["a"])
-        ids = {f"id_{k}": v for k, v in EliasFano.encode(c["a"] - c["a"][0]).items()}
-        return {"first": c["a"][:1], **ids, "log": to_codes(np.log10(1 - share))}
-
-    contexts = counted.groupBy("a").agg(F.sum(F.col("n") - F.lit(DISCOUNT)).alias("kept"))
-    context_segments = write_level(contexts, ["a"], folder, f"contexts{order}", with_left)
-    model.context_segments.append(context_segments)
-    sent = spark.sparkContext.broadcast(Model(model.total, model.words, model.word_segments, model.gram_segments,
-                                              model.context_segments))
-
-    def with_logs(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        model, context, word = sent.value, c["a"], c["b"]
-        direct = (c["n"] - DISCOUNT) / model.counts_of(order - 1, context)
-        known, back = np.unique(word, return_inverse=True)
-        log = model.single(model.counts_of(1, known)[back])
-        if order == 3:
-            middle = model.last_words(context)
-            nodes, kept, _ = model.find_grams(2, middle, word)
-            known, back = np.unique(middle, return_inverse=True)
-            log = np.where(nodes >= 0, kept, model.left_of(2, known)[back] + log)
-        log = np.log10(direct + 10 ** (model.left_of(order, context) + log))
-        return GramSegment.arrays(context, word, model.words, to_codes(log), c["n"])
-
-    model.gram_segments.append(write_level(counted, ["a", "b"], folder, f"grams{order}", with_logs))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in summed((pairs(tokens(b.column(0))) for b in larger(batches, BATCH_ROWS)), words):
+            part = part_of(batch.column("a").to_numpy(), batch.column("b").to_numpy(), hot, nodes, words, total, parts)
+            yield pa.RecordBatch.from_arrays([pa.array(part), *batch.columns], ["part", "a", "b", "n"])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [batch for batch in batches if batch.num_rows]
+        if not held:
+            return
+        whole = pa.Table.from_batches(held)
+        del held
+        part = whole["part"][0].as_py()
+        context, word, n = (whole[c].to_numpy() for c in ("a", "b", "n"))
+        del whole
+        first = np.flatnonzero((np.diff(context, prepend=-1) != 0) | (np.diff(word, prepend=-1) != 0))
+        context, word, n = context[first], word[first], np.add.reduceat(n, first)
+        if least > 1:
+            context, word, n = context[n >= least], word[n >= least], n[n >= least]
+        if len(n):
+            often = np.flatnonzero(n > total // parts)
+            arrays = GramSegment.arrays(context, word, words, n.astype(np.min_scalar_type(n.max())))
+            ends = [(int(c), float((n[context == c] - DISCOUNT).sum())) for c in (context[0], context[-1])]
+            yield pa.RecordBatch.from_pylist([{
+                "part": part, "major": int(context[0]), "minor": int(word[0]), "n": len(n),
+                "place": write_arrays(folder, f"grams{order}-{part:06d}", arrays), "last": ends[1][0],
+                "first_kept": ends[0][1], "last_kept": ends[1][1], "often": often.tolist(), "counts": n[often].tolist()}], SEGMENT)
+
+    counted = docs.select(text).mapInArrow(count, "part int, a bigint, b bigint, n bigint")
+    ordered = counted.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "a", "b")
+    written = sorted(ordered.mapInArrow(write, (
+        "part bigint, major bigint, minor bigint, n bigint, place string, last bigint, first_kept double, last_kept double, "
+        "often array<bigint>, counts array<bigint>")).collect(), key=lambda row: row["part"])  # one row for each segment
+
+    # What a context keeps is added up over its segments; the first of them has it among its contexts.
+    kept: dict[int, float] = {}
+    for row in written:
+        kept[row["major"]] = kept.get(row["major"], 0.0) + row["first_kept"]
+        if row["last"] != row["major"]:
+            kept[row["last"]] = kept.get(row["last"], 0.0) + row["last_kept"]
+    owned = [not i or written[i - 1]["last"] != row["major"] for i, row in enumerate(written)]
+
+    def add_logs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = below.value
+        for task in (row for batch in batches for row in batch.to_pylist()):
+            grams = GramSegment(read_arrays(task["place"]))
+            keys = grams.keys.get(np.arange(grams.keys.n))
+            context, word = (v.astype(np.int64) for v in np.divmod(keys, np.uint64(words)))
+            context += grams.context
+            n = grams.count.astype(np.int64)
+            first = np.flatnonzero(np.diff(context, prepend=-1))
+            contexts, sums = context[first], np.add.reduceat(n - DISCOUNT, first)
+            sums[[0, -1]] = task["first_kept"], task["last_kept"]
+            left = to_codes(np.log10(1 - sums / model.counts_of(order - 1, contexts)))
+            direct = (n - DISCOUNT) / model.counts_of(order - 1, context)
+            known, back = np.unique(word, return_inverse=True)
+            log = model.single(model.counts_of(1, known)[back])
+            if order == 3:
+                middle = model.last_words(context)
+                found, direct_log, _ = model.find_grams(2, middle, word)
+                known, back = np.unique(middle, return_inverse=True)
+                log = np.where(found >= 0, direct_log, model.left_of(2, known)[back] + log)
+            of_context = np.repeat(from_codes(left), np.diff(first, append=len(context)))
+            log = to_codes(np.log10(direct + 10 ** (of_context + log)))
+            skip = 0 if task["owned"] else 1
+            ids = EliasFano.encode(contexts[skip:] - contexts[min(skip, len(contexts) - 1)])
+            of_contexts = {"first": contexts[skip:skip + 1], **{f"id_{k}": v for k, v in ids.items()}, "log": left[skip:]}
+            yield pa.RecordBatch.from_pylist([{
+                "part": task["part"], "first": int(contexts[min(skip, len(contexts) - 1)]), "n": len(contexts) - skip,
+                "logs": write_arrays(folder, f"logs{order}-{task['part']:06d}", {"log": log}),
+                "contexts": write_arrays(folder, f"contexts{order}-{task['part']:06d}", of_contexts)}])
+
+    tasks = spark.createDataFrame([
+        (i, row["part"], row["place"], own, kept[row["major"]], kept[row["last"]]) for i, (row, own) in enumerate(zip(written, owned))],
+        "id int, part bigint, place string, owned boolean, first_kept double, last_kept double")
+    added = tasks.repartitionById(max(1, len(written)), F.col("id")).mapInArrow(
+        add_logs, "part bigint, first bigint, n bigint, logs string, contexts string")
+    added = {row["part"]: row for row in added.collect()}  # one row for each segment
+    grams, contexts, often, before, contexts_before = [], [], [], 0, 0
+    for row in written:
+        more = added[row["part"]]
+        grams.append((row["major"], row["minor"], before, row["place"], more["logs"]))
+        often += [(before + i, n) for i, n in zip(row["often"], row["counts"])]
+        before += row["n"]
+        if more["n"]:
+            contexts.append((more["first"], 0, contexts_before, more["contexts"]))
+            contexts_before += more["n"]
+    model.context_segments.append(contexts)
+    model.gram_segments.append(grams)
+    return often, before
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

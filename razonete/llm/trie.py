@@ -195,7 +195,7 @@ class Level:
     """Segments of a level, opened where they are first needed."""
 
     def __init__(self, segments: list[tuple], opened: Callable[[dict[str, np.ndarray]], object]) -> None:
-        """Segments (first major key, first minor key, rows before, place), in order."""
+        """Segments (first major key, first minor key, rows before, place or places), in order."""
         self.segments, self.opened = segments, opened
         self.first = [s[:2] for s in segments]
         self.before = np.array([s[2] for s in segments], np.int64)
@@ -203,7 +203,7 @@ class Level:
 
     def segment(self, i: int):
         if i not in self.open:
-            self.open[i] = self.opened(read_arrays(self.segments[i][3]))
+            self.open[i] = self.opened({k: v for place in self.segments[i][3:] for k, v in read_arrays(place).items()})
         return self.open[i]
 
     def parts(self, major: np.ndarray, minor: np.ndarray):

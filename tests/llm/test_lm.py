@@ -2,6 +2,7 @@
 
 import collections
 import math
+import random
 import zlib
 
 import numpy as np
@@ -136,3 +137,21 @@ def test_wording_of_a_single_training_text_counts(spark):
     rows = lm.score(docs, lm.fit(docs)).collect()
     # Each pair is seen once, and its two words twice each: a share of 1/8 is its own.
     assert len(rows) == 2 and all(r["score"] > r["base_score"] + 30 for r in rows)
+
+
+def test_counts_go_straight_to_the_segments(spark, monkeypatch):
+    """A context of more tokens than a segment has several; counts are not written as tables of their own."""
+    draw = random.Random(5)
+    texts = [" ".join(w for _ in range(60) for w in ("the", f"w{draw.randrange(300)}", "of")) for _ in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    written = []
+    monkeypatch.setattr(lm, "saved", lambda df, name, saved=lm.saved: written.append(name) or saved(df, name))
+    monkeypatch.setattr(lm, "SEGMENT_ROWS", 300)
+    model = lm.fit(docs)
+    assert written == ["words"]
+    for segments in model.gram_segments:
+        firsts = [s[0] for s in segments]
+        assert firsts == sorted(firsts) and len(set(firsts)) < len(firsts)
+    same = Dictionaries(texts)
+    for row in lm.score(docs, model).collect():
+        assert row["score"] == pytest.approx(same.score(row["text"], 3), abs=181 * 2 / lm.STEPS)
