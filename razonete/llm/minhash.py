@@ -9,14 +9,18 @@ two signatures estimates the Jaccard similarity of their shingle sets, with a st
 
 Near-duplicates are found among different texts: texts that share a band of
 `ROWS` values are candidates, so a pair of similarity 0.8 is missed with a chance
-of 1 in 20 million. In a group of a band each text is compared with the first,
-and what is similar is linked, so that a group of near copies gives a pair for
-each text and not for any two. Then all pairs of a group that are not linked yet
-are compared by signature, and the likely ones on their shingle sets. A group of
-more than `HOT` texts is split by each further band first: a pair of which all
-common bands are hot needs two of them, and is missed with a chance of 1 in
-900,000. So texts are linked by verified pairs only, and unlinked ones are not
-similar but for these chances. Different texts are told apart by 64 bits.
+of 1 in 20 million. Signatures and shingle sets of the texts that share any are
+written to files in the shared folder, and a group's task reads those of its
+texts: each text is compared with the first, and the texts that this leaves apart
+with all others, by signature and where that makes it likely by their sets, unless
+they are connected by then. A pair is compared in the group of the first band
+that it shares. So tasks give out a forest of verified links, however large a
+group is, and no texts are shuffled. Where a group leaves apart so many texts that
+more remains to compare than `HOT` texts with as many, it is split by each further
+band: a pair whose first common band is hot needs two then, and is missed with a
+chance of 1 in 900,000. Texts that are not reachable by links are
+not similar but for these chances. Different texts are told apart by 64 bits,
+different shingles of a text or a pair by `BITS`.
 
 Null and empty texts, and texts without words, share the signature of no
 shingles; they are like each other (1) and unlike all others (0). Equal texts
@@ -31,11 +35,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from razonete.llm.common import LOWER, NOT_SPACE, Hashes, add_columns, find_words, free_name, mix, saved, signed, word_hashes
 from razonete.llm.components import components
+from razonete.llm.lm import write_level
+from razonete.llm.trie import EliasFano, Level, read_arrays, write_arrays
 from razonete.operators.joins import join_unique
+from razonete.session import work_dir
 
 SHINGLE = 5
 SIZE = 128
@@ -43,8 +51,21 @@ ROWS = 4
 SIMILARITY = 0.8
 # Signatures of a pair of similarity 0.8 agree in less than this with a chance of 1 in 10 million.
 LIKELY = 0.6
-# Groups of more texts are split by further bands.
+# Groups where more is left to compare than so many texts with as many are split by further bands.
 HOT = 1000
+# In larger groups so many texts are compared with all others first.
+HUBS = 16
+# All pairs of a group of so few texts are looked at together with those of other such groups.
+SMALL = 16
+# Bits of a shingle's hash that are kept to compare sets.
+BITS = 40
+# Shingles of a file, rows of a task, and rows looked up, pairs and texts compared at a time.
+FILE_SIZE = 1 << 22
+TASK_ROWS = 20_000
+LOOKED_UP = 1 << 13
+PAIRS = 1 << 15
+BLOCK_TEXTS = 1000
+LINK = ["a", "b", "similarity", "band", "file", "rank"]
 
 _random = np.random.Generator(np.random.PCG64(11))
 FACTORS = _random.integers(0, 2**63, SIZE, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -180,158 +201,338 @@ def node_of(text: Column) -> Column:
 def band_values(signature: np.ndarray) -> np.ndarray:
     """A number for each text and band: equal where a band has the same values."""
     packed = np.ascontiguousarray(signature.astype("<u2")).view("<u8")  # ROWS values of 16 bits
-    return mix(packed + np.arange(SIZE // ROWS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return mix(packed + np.arange(SIZE // ROWS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(16)
 
 
-def of_bytes(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, SIZE)
+def distinct_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (node, text) of a task, each node once."""
+    seen: set[int] = set()
+    for batch in batches:
+        nodes = batch.column("node").to_pylist()
+        new = [i for i, node in enumerate(nodes) if node not in seen and not seen.add(node)]
+        if new:
+            yield batch.take(pa.array(new))
 
 
-def groups(prints: DataFrame) -> DataFrame:
-    """Rows (band, node, leader) from rows (node, signature): all texts of a band's group but its first, the leader."""
+def groups(rows: DataFrame) -> DataFrame:
+    """Rows (band, node) from rows (node, text): the texts of every band's group that has several."""
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bands = band_values(of_bytes(batch.column("signature")))
+        for batch in distinct_nodes(batches):
+            bands = band_values(signatures(batch.column("text")))
             nodes = np.repeat(batch.column("node").to_numpy(), bands.shape[1])
             yield pa.RecordBatch.from_arrays([pa.array(signed(bands.ravel())), pa.array(nodes)], ["band", "node"])
 
-    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        band, leader = None, 0
+    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands, nodes, shared = np.zeros(0, np.int64), np.zeros(0, np.int64), False  # the last row, and if one before shares its band
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            bands, nodes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            first = np.append(bands[0] != band, bands[1:] != bands[:-1])
-            begin = np.maximum.accumulate(np.where(first, np.arange(len(bands)), -1))
-            leaders = np.where(begin < 0, leader, nodes[begin])
-            band, leader = bands[-1], leaders[-1]
-            yield pa.RecordBatch.from_arrays([pa.array(c[~first]) for c in (bands, nodes, leaders)], ["band", "node", "leader"])
-
-    rows = prints.mapInArrow(explode, "band bigint, node bigint").repartition("band").sortWithinPartitions("band", "node")
-    return rows.mapInArrow(lead, "band bigint, node bigint, leader bigint")
-
-
-def alike(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) from rows (band, node, root, signature): all of a band's group that may be similar and are not yet
-    linked, that is, have different roots."""
-    def pairs(nodes: np.ndarray, roots: np.ndarray, signature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(roots, kind="stable")
-        nodes, roots, signature = nodes[order], roots[order], signature[order]
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i, end in enumerate(np.searchsorted(roots, roots, side="right")):
-            near = end + np.flatnonzero((signature[end:] == signature[i]).sum(axis=1) >= LIKELY * SIZE)
-            a.append(np.full(len(near), nodes[i]))
-            b.append(nodes[near])
-        return np.concatenate(a), np.concatenate(b)
+            bands, nodes = np.append(bands, batch.column(0).to_numpy()), np.append(nodes, batch.column(1).to_numpy())
+            new = np.append(True, (bands[1:] != bands[:-1]) | (nodes[1:] != nodes[:-1]))[:len(bands)]
+            bands, nodes = bands[new], nodes[new]
+            same = bands[1:] == bands[:-1]
+            kept = np.append(shared, same) | np.append(same, False)
+            if len(bands):
+                yield pa.RecordBatch.from_arrays([pa.array(c[:-1][kept[:-1]]) for c in (bands, nodes)], ["band", "node"])
+                bands, nodes, shared = bands[-1:], nodes[-1:], bool(kept[-1])
+        if shared:
+            yield pa.RecordBatch.from_arrays([pa.array(bands), pa.array(nodes)], ["band", "node"])
+
+    exploded = rows.mapInArrow(explode, "band bigint, node bigint").repartition("band").sortWithinPartitions("band", "node")
+    return exploded.mapInArrow(several, "band bigint, node bigint")
+
+
+class NodeSegment:
+    def __init__(self, arrays: dict[str, np.ndarray]) -> None:
+        self.node, self.value = arrays["node"], arrays.get("value")
+
+
+def look_up(level: Level, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which nodes a level has, and their values if it has any."""
+    order = np.argsort(nodes)
+    asked, known, values = nodes[order], np.zeros(len(nodes), bool), np.zeros(len(nodes), np.int64)
+    for segment, _, part in level.parts(asked, np.zeros(len(asked), np.int64)):
+        at = np.minimum(np.searchsorted(segment.node, asked[part]), len(segment.node) - 1)
+        known[order[part]] = segment.node[at] == asked[part]
+        if segment.value is not None:
+            values[order[part]] = segment.value[at]
+    return known, values
+
+
+def shelve(rows: DataFrame, wanted: list[tuple], folder: str) -> DataFrame:
+    """Write signatures and shingles of the texts whose nodes are in the segments `wanted`, from rows (node, text), to
+    files below `folder`; rows (node, file, rank) say where. Tasks write what they read, so no text is shuffled."""
+    sent = rows.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, group = [], None
+        level, part, files, held, size = Level(sent.value, NodeSegment), TaskContext.get().partitionId(), 0, [], 0
+
+        def write() -> pa.RecordBatch:
+            nodes, signature, keys, counts = (np.concatenate(c) for c in zip(*held))
+            first = np.concatenate([[0], np.cumsum(counts)])
+            keys |= np.repeat(np.arange(len(nodes), dtype=np.uint64), counts) << np.uint64(BITS)
+            file = part << 20 | files
+            write_arrays(folder, f"{file:012d}", {"signature": signature.ravel(), "first": first, **EliasFano.encode(keys)})
+            return pa.RecordBatch.from_arrays(
+                [pa.array(nodes), pa.array(np.full(len(nodes), file)), pa.array(np.arange(len(nodes)))], ["node", "file", "rank"])
+
+        for batch in distinct_nodes(batches):
+            known, _ = look_up(level, batch.column("node").to_numpy())
+            if not known.any():
+                continue
+            batch = batch.filter(pa.array(known))
+            hashes, first = shingles(batch.column("text"))
+            text = np.repeat(np.arange(len(first) - 1, dtype=np.uint64), np.diff(first))
+            keys = np.unique(text << np.uint64(BITS) | hashes >> np.uint64(64 - BITS))
+            counts = np.bincount((keys >> np.uint64(BITS)).astype(np.int64), minlength=len(first) - 1)
+            held.append((batch.column("node").to_numpy(), least_values(hashes, first), keys & np.uint64((1 << BITS) - 1), counts))
+            size += len(keys) + batch.num_rows
+            if size >= FILE_SIZE:
+                yield write()
+                files, held, size = files + 1, [], 0
+        if held:
+            yield write()
 
-        def close() -> pa.RecordBatch:
-            nodes, roots, signature = (np.concatenate(c) for c in zip(*held))
-            a, b = pairs(nodes, roots, signature)
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+    return rows.mapInArrow(run, "node bigint, file bigint, rank bigint")
 
-        for batch in batches:
-            bands = batch.column("band").to_numpy()
-            values = batch.column("node").to_numpy(), batch.column("root").to_numpy(), of_bytes(batch.column("signature"))
-            begin = np.flatnonzero(np.diff(bands, prepend=bands[:1] - 1))
-            for at, to in zip(begin, np.append(begin[1:], len(bands))):
-                if held and bands[at] != group:
-                    yield close()
-                    held = []
-                group = bands[at]
-                held.append([v[at:to] for v in values])
-        if held:
-            yield close()
 
-    ordered = rows.repartition("band").sortWithinPartitions("band", "node")
-    return ordered.mapInArrow(run, "a bigint, b bigint").distinct()
+class Shelf:
+    """The files of `shelve`, opened where they are first needed."""
 
+    def __init__(self, folder: str) -> None:
+        self.folder, self.open = folder, {}
 
-def unlinked(rows: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
-    """Rows (band, node, root, ...) of groups with several roots: of `hot` rows at most, and of more."""
-    sizes = rows.groupBy("band").agg(F.count("*").alias("rows"), F.min("root").alias("least"), F.max("root").alias("most"))
-    sizes = sizes.where("least < most").select("band", "rows")
-    open_rows = saved(join_unique(rows, sizes, "band", "inner"), "unlinked")
-    return open_rows.where(F.col("rows") <= hot).drop("rows"), open_rows.where(F.col("rows") > hot).drop("rows")
+    def file(self, number: int) -> tuple[np.ndarray, np.ndarray, EliasFano]:
+        if number not in self.open:
+            arrays = read_arrays(f"{self.folder}/{number:012d}")
+            self.open[number] = arrays["signature"].reshape(-1, SIZE), arrays["first"], EliasFano.of(arrays)
+        return self.open[number]
 
+    def signatures(self, files: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(files), SIZE), np.uint16)
+        for number in np.unique(files):
+            at = np.flatnonzero(files == number)
+            out[at] = self.file(int(number))[0][ranks[at]]
+        return out
 
-def split(rows: DataFrame) -> DataFrame:
-    """Rows (band, node, root) of hot groups, from such rows with signatures: once for each further band."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bands = band_values(of_bytes(batch.column("signature")))
-            own = batch.column("band").to_numpy().view(np.uint64)
-            text, further = np.nonzero(np.cumsum(bands == own[:, None], axis=1) - (bands == own[:, None]))
-            both = mix(own[text] * np.uint64(0x9E3779B97F4A7C15) + bands[text, further])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(both)), *(batch.column(c).take(pa.array(text)) for c in ("node", "root"))],
-                ["band", "node", "root"])
+    def shingles(self, number: int, rank: int) -> np.ndarray:
+        """The set of a text's shingles, as `BITS` bits of their hashes."""
+        _, first, keys = self.file(number)
+        return keys.get(np.arange(first[rank], first[rank + 1])) & np.uint64((1 << BITS) - 1)
 
-    return rows.mapInArrow(run, "band bigint, node bigint, root bigint")
 
+class Sets:
+    """Several sets, compared many at a time."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        self.size = np.array([len(s) for s in sets])
+        self.first = np.cumsum(self.size) - self.size
+        different, self.of = np.unique(np.concatenate(sets), return_inverse=True)
+        self.mark = np.zeros(len(different), bool)
+
+    def similarity(self, one: int, others: np.ndarray) -> np.ndarray:
+        """Jaccard similarity; of two empty sets it is 1."""
+        own = self.of[self.first[one]:self.first[one] + self.size[one]]
+        self.mark[own] = True
+        size = self.size[others]
+        end = np.cumsum(size)
+        found = self.mark[self.of[np.repeat(self.first[others] - (end - size), size) + np.arange(size.sum())]]
+        self.mark[own] = False
+        upto = np.concatenate([[0], np.cumsum(found)])
+        both = upto[end] - upto[end - size]
+        either = self.size[one] + size - both
+        return np.where(either, both / np.maximum(either, 1), 1.0)
+
+
+def two_bands(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    return mix(one * np.uint64(0x9E3779B97F4A7C15) + other)
 
-def near_texts(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY, hot: int = HOT) -> DataFrame:
-    """Verified pairs of different texts (a, b, key_a, key_b, similarity), a and b as by `node_of`, the keys their SHA-256.
 
-    Reachable by them is what is reachable by all similar pairs that share a band. First each text is compared with
-    the leaders of its groups; then, in groups not linked by that, each pair that is not linked.
+def group_of(a: np.ndarray, b: np.ndarray, split: bool) -> np.ndarray:
+    """The one group in which pairs of texts with these bands are compared: that of the first band they share, or where
+    groups are split of the first two. A pair that has none gets any number."""
+    same, row = a == b, np.arange(len(a))
+    at = same.argmax(axis=1)
+    first = np.broadcast_to(a, same.shape)[row, at] if len(row) else np.zeros(0, np.uint64)
+    if not split:
+        return first
+    same[row, at] = False
+    at = same.argmax(axis=1)
+    return np.where(same[row, at], two_bands(first, b[row, at]), ~first)
+
+
+class Linker:
+    """Links similar texts of the groups of a task; `texts` are numbers of the different nodes.
+
+    A pair is passed over if links found before connect its texts, so the links of a task are a forest.
     """
-    rows = docs.select(node_of(F.col(text)).alias("node"), F.coalesce(text, F.lit("")).alias("text"))
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            signature = pa.array([row.tobytes() for row in signatures(batch.column("text")).astype("<u2")], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("node"), signature], ["node", "signature"])
+    def __init__(self, shelf: Shelf, file: np.ndarray, rank: np.ndarray, similarity: float, split: bool) -> None:
+        self.shelf, self.file, self.rank, self.similarity, self.split = shelf, file, rank, similarity, split
+        self.signature = shelf.signatures(file, rank)
+        self.bands = band_values(self.signature)
+        self.above = list(range(len(file)))
+        self.links: list[tuple[int, int, float]] = []
+
+    def root(self, text: int) -> int:
+        while self.above[text] != text:
+            self.above[text] = text = self.above[self.above[text]]
+        return text
+
+    def link(self, a: int, b: int, similarity: float) -> None:
+        self.above[self.root(a)] = self.root(b)
+        self.links.append((a, b, similarity))
+
+    def shingles(self, text: int) -> np.ndarray:
+        return self.shelf.shingles(int(self.file[text]), int(self.rank[text]))
+
+    def likeness(self, a, b) -> np.ndarray:
+        return (self.signature[a] == self.signature[b]).sum(axis=1)
+
+    def pairs(self, a: np.ndarray, b: np.ndarray, group: np.ndarray) -> None:
+        """Compare the pairs of small groups."""
+        at, like = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in range(0, len(a), PAIRS):
+            x, y = a[i:i + PAIRS], b[i:i + PAIRS]
+            own = np.flatnonzero(group_of(self.bands[x], self.bands[y], self.split) == group[i:i + PAIRS])
+            count = self.likeness(x[own], y[own])
+            likely = count >= LIKELY * SIZE
+            at.append(i + own[likely])
+            like.append(count[likely])
+        at = np.concatenate(at)[np.argsort(-np.concatenate(like), kind="stable")]
+        for x, y in zip(a[at].tolist(), b[at].tolist()):
+            if self.root(x) != self.root(y):
+                found = jaccard(self.shingles(x), self.shingles(y))
+                if found >= self.similarity:
+                    self.link(x, y, found)
+
+    def roots(self, texts: np.ndarray) -> np.ndarray:
+        return np.array([self.root(t) for t in texts.tolist()])
+
+    def left(self, texts: np.ndarray) -> int:
+        """How many texts are outside the largest connected part."""
+        return len(texts) - int(np.unique(self.roots(texts), return_counts=True)[1].max())
+
+    def hub(self, texts: np.ndarray, one: int) -> None:
+        """Compare one text of a group with all others."""
+        others = texts[self.roots(texts) != self.root(one)]
+        others = others[self.likeness(one, others) >= LIKELY * SIZE]
+        for i in range(0, len(others), BLOCK_TEXTS):
+            block = others[i:i + BLOCK_TEXTS]
+            sets = Sets([self.shingles(t) for t in (one, *block)])
+            for text, found in zip(block.tolist(), sets.similarity(0, np.arange(1, len(block) + 1)).tolist()):
+                if found >= self.similarity and self.root(text) != self.root(one):
+                    self.link(one, text, found)
+
+    def all(self, texts: np.ndarray, group: int) -> None:
+        """Compare all texts of a group that are not linked, each with all others that may be similar."""
+        roots = self.roots(texts)
+        kinds, counts = np.unique(roots, return_counts=True)
+        outside = np.flatnonzero(roots != kinds[counts.argmax()])  # one text of every pair to be compared is among these
+        if not len(outside):
+            return
+        sets, done = None, np.zeros(len(texts), bool)
+        for one in outside.tolist():
+            done[one] = True
+            others = np.flatnonzero(~done & (roots != roots[one]))
+            others = others[self.likeness(texts[one], texts[others]) >= LIKELY * SIZE]
+            own = self.bands[texts[one]][None]
+            others = others[group_of(np.broadcast_to(own, (len(others), own.shape[1])), self.bands[texts[others]], self.split) == group]
+            if not len(others):
+                continue
+            sets = sets or Sets([self.shingles(t) for t in texts])
+            found = sets.similarity(one, others)
+            near = np.flatnonzero(found >= self.similarity)
+            if len(near):
+                joined, first = np.unique(roots[others[near]], return_index=True)
+                for at in near[first]:
+                    self.link(int(texts[one]), int(texts[others[at]]), float(found[at]))
+                roots[np.isin(roots, joined)] = roots[one]
+
+    def parts(self, texts: np.ndarray, group: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Groups, texts and roots: a group split by each further band, as far as there are several roots in a part."""
+        bands = self.bands[texts]
+        same = bands == np.uint64(group)
+        at, band = np.nonzero(np.cumsum(same, axis=1) - same)
+        part = two_bands(np.uint64(group), bands[at, band])
+        root = self.roots(texts)[at]
+        order = np.lexsort((root, part))
+        at, part, root = at[order], part[order], root[order]
+        first = np.flatnonzero(np.append(True, part[1:] != part[:-1])[:len(part)])
+        size = np.diff(np.append(first, len(part)))
+        kept = np.repeat(root[first] != root[first + size - 1], size)
+        return part[kept], texts[at[kept]], root[kept]
+
+
+def links(rows: DataFrame, folder: str, similarity: float, hot: int | None = None) -> DataFrame:
+    """Rows (a, b, similarity, band, file, rank) from rows (band, node, root, file, rank): links of similar texts, without
+    band, that connect what all similar pairs of each group connect; then, of groups where more is left to compare than
+    `hot` texts with as many, rows of their parts, with the node as a and its root as b. Without `hot` groups are such parts.
+
+    Texts are compared in the task of their group, so a row is made for each link found and not for each pair compared.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [batch for batch in batches if batch.num_rows]
+        if not held:
+            return
+        whole = pa.Table.from_batches(held)
+        band, node, root, file, rank = (whole[c].to_numpy() for c in ("band", "node", "root", "file", "rank"))
+        nodes, example, text = np.unique(node, return_index=True, return_inverse=True)
+        linker = Linker(Shelf(folder), file[example], rank[example], similarity, hot is None)
+        _, least, kind = np.unique(root, return_index=True, return_inverse=True)
+        for one, other in zip(text[least[kind]].tolist(), text.tolist()):  # texts of one root are linked already
+            linker.above[linker.root(other)] = linker.root(one)
+        first = np.flatnonzero(np.append(True, band[1:] != band[:-1]))
+        size = np.diff(np.append(first, len(band)))
+        group = band.view(np.uint64)
+        a, b, of = [], [], []
+        for n in range(2, SMALL + 1):
+            at = first[size == n]
+            for i, j in zip(*np.triu_indices(n, 1)):
+                a.append(text[at + i])
+                b.append(text[at + j])
+                of.append(group[at])
+        linker.pairs(*(np.concatenate(c) for c in (a, b, of)))
+        split = []
+        for at, n in zip(first[size > SMALL].tolist(), size[size > SMALL].tolist()):
+            texts = text[at:at + n]
+            linker.hub(texts, int(texts[0]))
+            # Few are left of a large group of near copies, however few of them the first is like.
+            for one in texts[1:HUBS].tolist() if hot is not None else ():
+                if linker.left(texts) * n > hot * hot:
+                    linker.hub(texts, one)
+            if hot is None or linker.left(texts) * n <= hot * hot:
+                linker.all(texts, int(group[at]))
+            else:
+                split.append(linker.parts(texts, int(group[at])))
+        if linker.links:
+            x, y, found = (np.array(c) for c in zip(*linker.links))
+            ends = nodes[x], nodes[y]
+            none = pa.nulls(len(x), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(*ends)), pa.array(np.maximum(*ends)), pa.array(found, pa.float64()),
+                                              none, none, none], LINK)
+        for part, texts, roots in split:
+            yield pa.RecordBatch.from_arrays([
+                pa.array(nodes[texts]), pa.array(nodes[roots]), pa.nulls(len(part), pa.float64()), pa.array(signed(part)),
+                pa.array(file[example][texts]), pa.array(rank[example][texts])], LINK)
 
-    prints = rows.mapInArrow(sign, "node bigint, signature binary").groupBy("node").agg(F.first("signature").alias("signature"))
-    prints = saved(prints, "prints")
-    grouped = saved(groups(prints), "groups")
+    n = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // TASK_ROWS))
+    ordered = rows.repartition(n, "band").sortWithinPartitions("band", "node")
+    return saved(ordered.mapInArrow(run, "a bigint, b bigint, similarity double, band bigint, file bigint, rank bigint"), "links")
 
-    def both(pairs: DataFrame, sides: DataFrame, value: str) -> DataFrame:
-        for end in ("a", "b"):
-            side = sides.select(F.col("node").alias(end), F.col(value).alias(f"{value}_{end}"))
-            pairs = join_unique(pairs, side, end, "inner")
-        return pairs
 
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near = likeness(of_bytes(batch.column("signature_a")), of_bytes(batch.column("signature_b"))) >= LIKELY
-            yield batch.select(["a", "b"]).filter(pa.array(near))
+def near_texts(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY, hot: int = HOT) -> DataFrame:
+    """Links (a, b, similarity) of different texts, a and b as by `node_of`, a below b.
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            (x, first_x), (y, first_y) = shingles(batch.column("text_a")), shingles(batch.column("text_b"))
-            found = [jaccard(x[a:b], y[c:d]) for a, b, c, d in zip(first_x, first_x[1:], first_y, first_y[1:])]
-            keys = [pa.array([hashlib.sha256(t.encode()).hexdigest() for t in batch.column(c).to_pylist()], pa.string())
-                    for c in ("text_a", "text_b")]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *keys, pa.array(found, pa.float64())],
-                                             ["a", "b", "key_a", "key_b", "similarity"])
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = saved(pairs, "candidates")
-        wanted = saved(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "wanted")
-        texts = saved(rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
-        compared = both(pairs, texts, "text").select("a", "b", "text_a", "text_b").mapInArrow(
-            verify, "a bigint, b bigint, key_a string, key_b string, similarity double")
-        return saved(compared.where(F.col("similarity") >= similarity), "verified")
-
-    led = grouped.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    led = both(led, prints, "signature").select("a", "b", "signature_a", "signature_b").mapInArrow(likely, "a bigint, b bigint")
-    found = verified(led)
-
-    members = grouped.select("band", "node").union(grouped.select("band", F.col("leader").alias("node")).distinct())
-    rooted = join_unique(members, components(found), "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-    def signed_rows(of: DataFrame) -> DataFrame:
-        return join_unique(of.select("band", "node", "root"), prints, "node", "inner").select("band", "node", "root", "signature")
-
-    small, large = unlinked(rooted, hot)
-    pairs = alike(signed_rows(small))
-    parts, rest = unlinked(split(signed_rows(large)), hot)
-    pairs = pairs.union(alike(signed_rows(parts))).union(alike(signed_rows(rest)))
-    return found.union(verified(pairs.distinct()))
+    Reachable by them is what is reachable by all similar pairs that share a band (two where a group is hot).
+    """
+    rows = docs.select(node_of(F.col(text)).alias("node"), F.coalesce(text, F.lit("")).alias("text"))
+    grouped = saved(groups(rows), "groups")
+    folder = work_dir(docs.sparkSession, "shingles")
+    wanted = write_level(grouped.select("node").distinct(), ["node"], folder, "wanted", lambda c: {"node": c["node"]})
+    places = saved(shelve(rows, wanted, folder), "places").groupBy("node").agg(F.min(F.struct("file", "rank")).alias("at"))
+    placed = join_unique(grouped, places, "node", "inner").select("band", "node", F.col("node").alias("root"), "at.file", "at.rank")
+    found = links(saved(placed, "placed"), folder, similarity, hot)
+    parts = found.where("band is not null").select("band", F.col("a").alias("node"), F.col("b").alias("root"), "file", "rank")
+    return found.union(links(parts, folder, similarity)).where("band is null").select("a", "b", "similarity").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -341,8 +542,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Keys are SHA-256 of the texts, so copies are one key. The similarity is that of the sets of shingles, exactly.
     """
     pairs = near_texts(docs, text, similarity, hot)
-    pairs = pairs.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"), "similarity")
     key = F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
+    keys = docs.select(node_of(F.col(text)).alias("node"), key.alias("key")).groupBy("node").agg(F.first("key").alias("key"))
+    for end in ("a", "b"):
+        pairs = join_unique(pairs, keys.select(F.col("node").alias(end), F.col("key").alias(f"key_{end}")), end, "inner")
+    pairs = pairs.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"), "similarity")
     return pairs, docs.select(F.col(doc_id).alias("doc_id"), key.alias("key"))
 
 
@@ -361,6 +565,23 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     return saved(named.select("node", F.col("least.id").alias("class_id"), F.col("least.node").alias("class_node")), "classes")
 
 
+def name_classes(docs: DataFrame, found: DataFrame, node: str = "node", class_id: str = "class_id") -> DataFrame:
+    """Add the class ids (long) of `classes` to rows with nodes, null for those of no class of several documents.
+
+    They are looked up in sorted segments in the shared folder, so that wide rows need not be shuffled for a join.
+    """
+    folder = work_dir(docs.sparkSession, "class_ids")
+    known = found.where("class_id is not null").select("node", F.col("class_id").cast("bigint").alias("class_id"))
+    segments = write_level(known, ["node"], folder, "class_ids", lambda c: {"node": c["node"], "value": c["class_id"]})
+    sent = docs.sparkSession.sparkContext.broadcast(segments)
+
+    def run(column: pa.Array) -> list[pa.Array]:
+        known, ids = look_up(Level(sent.value, NodeSegment), column.to_numpy())
+        return [pa.array(ids, mask=~known)]
+
+    return add_columns(docs, node, f"`{class_id}` bigint", run, LOOKED_UP)
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
              hot: int = HOT) -> DataFrame:
     """One row of each class of copies and near-duplicates, that of the smallest id (nulls last), all columns as they are.

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from razonete.llm import (
     bpe, centroids, decontaminate, divergence, langid, lm, minhash, repeats, ring, rules, secrets, simhash, toxicity)
 from razonete.llm.common import add_columns, documents, id_remainder
-from razonete.operators.joins import join_unique
 from razonete.session import configure
 
 QUERIES = {}
@@ -136,7 +135,7 @@ def op7_minhash(spark, folder):
     compared = minhash.compare_in_order(docs).select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         "fingerprint", "edited_fingerprint", "near_edited", "near_next", "node")
-    named = join_unique(compared, minhash.classes(docs).select("node", "class_id"), "node", "left")
+    named = minhash.name_classes(compared, minhash.classes(docs))
     return named.withColumn("class_id", F.coalesce("class_id", "doc_id")).drop("node")
 
 

@@ -195,3 +195,39 @@ def test_keep_one_drops_near_copies_of_one_changed_word(spark):
         texts += [" ".join(words), " ".join(copy)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert sorted(r["doc_id"] for r in minhash.keep_one(docs).collect()) == list(range(0, 90, 2))
+
+
+def near_copies(n, changed=3):
+    """A passage, and copies that are similar to it but not to each other."""
+    draw, passage = random.Random(n), [f"w{i}" for i in range(200)]
+    texts = [" ".join(passage)]
+    for i in range(n):
+        copy = list(passage)
+        for at in draw.sample(range(5, 195), changed):
+            copy[at] = f"other{i}"
+        texts.append(" ".join(copy))
+    return texts
+
+
+@pytest.mark.parametrize("hot", [1000, 20])
+def test_rows_grow_with_the_texts_of_a_group_and_not_with_its_pairs(spark, monkeypatch, hot):
+    passage, *copies = near_copies(130)
+    apart = [(a, b) for i, a in enumerate(copies) for b in copies[:i] if 0.6 < similarity(a, b) < 0.8]
+    assert len(apart) > 32 * len(copies)
+    rows = {}
+    monkeypatch.setattr(minhash, "saved", lambda df, name, saved=minhash.saved: rows.setdefault((name, len(rows)), saved(df, name)))
+    schema = "doc_id long, text string"
+    pairs, _ = minhash.near_duplicates(spark.createDataFrame(list(enumerate(copies)), schema), hot=hot)
+    assert pairs.count() < len(copies)
+    if hot == 1000:
+        assert max(df.count() for df in rows.values()) <= 32 * len(copies)
+    near = [i for i, t in enumerate([passage, *copies]) if similarity(passage, t) >= 0.8]
+    assert len(near) > 100
+    docs = spark.createDataFrame(list(enumerate([passage, *copies])), schema)
+    named = minhash.name_classes(docs.withColumn("node", minhash.node_of(F.col("text"))), minhash.classes(docs, hot=hot)).collect()
+    assert {r["class_id"] for r in named if r["doc_id"] in near} == {0}
+
+
+def test_wide_rows_are_not_joined_to_name_classes(spark, folder):
+    plan = QUERIES["op7_minhash"](spark, folder)._jdf.queryExecution().toString()
+    assert "fingerprint" in plan and "LeftOuter" not in plan
