@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from razonete.llm.common import LOWER, NOT_SPACE, add_columns, find_words, larger, saved, signed, word_hashes
-from razonete.llm.trie import EliasFano, Level, read_arrays, unique_keys, write_arrays
+from razonete.llm.trie import EliasFano, Level, pack_counts, read_arrays, unique_keys, unpack_counts, write_arrays
 from razonete.session import work_dir
 
 ORDER = 3
@@ -238,29 +238,25 @@ class Model:
         return counts, alone, log
 
 
-def summed(batches: Iterator[tuple[np.ndarray, np.ndarray]], words: int) -> Iterator[pa.RecordBatch]:
-    """Counts (a, b, n) of equal pairs, added up within a task as far as `TASK_ROWS` allow; b is below `words`."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        a, b = (np.concatenate(c) for c in zip(*held))
-        pair, n = np.unique(a * words + b, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (pair // words, pair % words, n)], ["a", "b", "n"])
-        held.clear()
-
-    for pair in batches:
-        held.append(pair)
-        if sum(len(a) for a, _ in held) >= TASK_ROWS:
-            yield from flush()
+def summed(batches: Iterator[tuple[np.ndarray, np.ndarray]], words: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (a, b) as numbers a * words + b, in order, and their counts, added up within a task as far as `TASK_ROWS` allow;
+    b is below `words`."""
+    held: list[np.ndarray] = []
+    for a, b in batches:
+        held.append(a * words + b)
+        if sum(map(len, held)) >= TASK_ROWS:
+            yield np.unique(np.concatenate(held), return_counts=True)
+            held = []
     if held:
-        yield from flush()
+        yield np.unique(np.concatenate(held), return_counts=True)
 
 
 def count_pairs(docs: DataFrame, text: str, pairs: Callable[[Tokens], tuple[np.ndarray, np.ndarray]], words: int,
                 least: int, name: str) -> DataFrame:
     """A saved table (a, b, n) of the pairs that texts give at least so often."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return summed((pairs(tokens(batch.column(0))) for batch in larger(batches, BATCH_ROWS)), words)
+        for pair, n in summed((pairs(tokens(batch.column(0))) for batch in larger(batches, BATCH_ROWS)), words):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (pair // words, pair % words, n)], ["a", "b", "n"])
 
     counted = docs.select(text).mapInArrow(run, "a bigint, b bigint, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
     return saved(counted.where(F.col("n") >= least), name)
@@ -328,7 +324,8 @@ def add_order(model: Model, docs: DataFrame, text: str, order: int, least: int,
               hot: list[tuple[int, int]], nodes: int) -> tuple[list[tuple[int, int]], int]:
     """Count the n-grams of the next order under the nodes there are, and write their level.
 
-    Counts go straight to the part of the level they belong to, where they are added up and written as a segment;
+    Counts go straight to the part of the level they belong to, packed in blocks, one for each part from so many tokens
+    of a task; there they are added up and written as a segment;
     logarithms and contexts follow from the segments, as a context of very many tokens may have several. `hot` and
     `nodes` are the frequent contexts and the number of all; those of the next order are returned.
     """
@@ -355,21 +352,20 @@ def add_order(model: Model, docs: DataFrame, text: str, order: int, least: int,
         return context[kept], ids[kept]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in summed((pairs(tokens(b.column(0))) for b in larger(batches, BATCH_ROWS)), words):
-            part = part_of(batch.column("a").to_numpy(), batch.column("b").to_numpy(), hot, nodes, words, total, parts)
-            yield pa.RecordBatch.from_arrays([pa.array(part), *batch.columns], ["part", "a", "b", "n"])
+        for pair, n in summed((pairs(tokens(b.column(0))) for b in larger(batches, BATCH_ROWS)), words):
+            if len(pair):
+                part = part_of(pair // words, pair % words, hot, nodes, words, total, parts)
+                first = np.flatnonzero(np.diff(part, prepend=-1))
+                yield pa.RecordBatch.from_arrays([pa.array(part[first]), *pack_counts(pair, n, first)], ["part", "pairs", "counts"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [batch for batch in batches if batch.num_rows]
         if not held:
             return
-        whole = pa.Table.from_batches(held)
+        part = held[0].column("part")[0].as_py()
+        pair, n = unpack_counts(*([block for batch in held for block in batch.column(c).to_pylist()] for c in ("pairs", "counts")))
         del held
-        part = whole["part"][0].as_py()
-        context, word, n = (whole[c].to_numpy() for c in ("a", "b", "n"))
-        del whole
-        first = np.flatnonzero((np.diff(context, prepend=-1) != 0) | (np.diff(word, prepend=-1) != 0))
-        context, word, n = context[first], word[first], np.add.reduceat(n, first)
+        context, word = pair // words, pair % words
         if least > 1:
             context, word, n = context[n >= least], word[n >= least], n[n >= least]
         if len(n):
@@ -381,9 +377,9 @@ def add_order(model: Model, docs: DataFrame, text: str, order: int, least: int,
                 "place": write_arrays(folder, f"grams{order}-{part:06d}", arrays), "last": ends[1][0],
                 "first_kept": ends[0][1], "last_kept": ends[1][1], "often": often.tolist(), "counts": n[often].tolist()}], SEGMENT)
 
-    counted = docs.select(text).mapInArrow(count, "part int, a bigint, b bigint, n bigint")
-    ordered = counted.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "a", "b")
-    written = sorted(ordered.mapInArrow(write, (
+    counted = docs.select(text).mapInArrow(count, "part int, pairs binary, counts binary")
+    dealt = counted.repartitionById(parts, F.col("part"))
+    written = sorted(dealt.mapInArrow(write, (
         "part bigint, major bigint, minor bigint, n bigint, place string, last bigint, first_kept double, last_kept double, "
         "often array<bigint>, counts array<bigint>")).collect(), key=lambda row: row["part"])  # one row for each segment
 

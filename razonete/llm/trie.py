@@ -53,6 +53,74 @@ def pack(bits: np.ndarray) -> np.ndarray:
     return np.pad(data, (0, -len(data) % 8 + 16)).view("<u8")
 
 
+MORE = np.uint16(1 << 15)  # marks a unit that is not the last one of its number
+
+
+def pack_numbers(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers in units of 15 bits, low ones first, each as many as it needs; and where each number's units end."""
+    size = np.ones(len(values), np.int64)
+    for shift in (15, 30, 45, 60):
+        longer = values >> np.uint64(shift) > 0
+        if not longer.any():
+            break
+        size += longer
+    end = np.cumsum(size)
+    out, begin = np.zeros(end[-1] if len(end) else 0, np.uint16), end - size
+    for k in range(size.max(initial=0)):
+        at = np.flatnonzero(size > k) if k else slice(None)
+        unit = (values[at] >> np.uint64(15 * k) & np.uint64(0x7FFF)).astype(np.uint16)
+        out[begin[at] + k] = unit | np.where(size[at] > k + 1, MORE, np.uint16(0))
+    return out, end
+
+
+def unpack_numbers(units: np.ndarray) -> np.ndarray:
+    end = np.flatnonzero(units < MORE) + 1
+    begin = np.append(0, end[:-1])[:len(end)]
+    size, values = end - begin, np.zeros(len(end), np.uint64)
+    for k in range(size.max(initial=0)):
+        at = np.flatnonzero(size > k) if k else slice(None)
+        values[at] |= (units[begin[at] + k] & ~MORE).astype(np.uint64) << np.uint64(15 * k)
+    return values
+
+
+def pack_counts(keys: np.ndarray, counts: np.ndarray, first: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Blocks of different keys in order (not negative, below 2^62) with their counts, each from `first[i]` on.
+
+    Keys are differences with a bit that says whether the count is more than one; such counts follow in the second array.
+    """
+    steps = np.diff(keys, prepend=0)
+    steps[first] = keys[first]
+    often = counts > 1
+    units, end = pack_numbers(steps.astype(np.uint64) << np.uint64(1) | often.astype(np.uint64))
+    more, more_end = pack_numbers(counts[often].astype(np.uint64))
+
+    def blocks(units: np.ndarray, end: np.ndarray, numbers: np.ndarray) -> pa.Array:
+        offsets = np.append(0, end)[numbers].astype(np.int32) * np.int32(2)
+        return pa.Array.from_buffers(pa.binary(), len(numbers) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(units.astype("<u2"))])
+
+    bounds = np.append(first, len(keys))
+    return blocks(units, end, bounds), blocks(more, more_end, np.append(0, np.cumsum(often))[bounds])
+
+
+def unpack_counts(keys: list[bytes], counts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All keys of some blocks, in order and each once, and their counts added up."""
+    units = np.frombuffer(b"".join(keys), "<u2")
+    steps = unpack_numbers(units)
+    often = (steps & np.uint64(1)).astype(bool)
+    steps = (steps >> np.uint64(1)).astype(np.int64)
+    begin = np.cumsum([0, *(len(block) // 2 for block in keys)])[:-1]
+    first = np.cumsum(units < MORE)[begin - 1]  # numbers before each block
+    first[begin == 0] = 0
+    sums = np.cumsum(steps)
+    found = sums - np.repeat(sums[first] - steps[first], np.diff(first, append=len(steps)))
+    n = np.ones(len(found), np.int64)
+    n[often] = unpack_numbers(np.frombuffer(b"".join(counts), "<u2")).astype(np.int64)
+    order = np.argsort(found, kind="stable")  # blocks are in order already
+    found, n = found[order], n[order]
+    new = np.flatnonzero(np.append(True, found[1:] != found[:-1])[:len(found)])
+    return found[new], np.add.reduceat(n, new) if len(new) else n
+
+
 ONES, TOPS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
 # Place of the set bit number r (from 0) in each byte.
 IN_BYTE = np.array([[*(i for i in range(8) if b >> i & 1), *[0] * 8][:8] for b in range(256)], np.uint8)

@@ -155,3 +155,31 @@ def test_counts_go_straight_to_the_segments(spark, monkeypatch):
     same = Dictionaries(texts)
     for row in lm.score(docs, model).collect():
         assert row["score"] == pytest.approx(same.score(row["text"], 3), abs=181 * 2 / lm.STEPS)
+
+
+def test_packed_counts():
+    draw = np.random.default_rng(4)
+    values = np.concatenate([draw.integers(0, 1 << bits, 40) for bits in (1, 14, 15, 16, 30, 31, 45, 46, 60, 62)]).astype(np.uint64)
+    assert (trie.unpack_numbers(trie.pack_numbers(values)[0]) == values).all()
+    assert len(trie.unpack_numbers(trie.pack_numbers(values[:0])[0])) == 0
+    wanted, blocks = collections.Counter(), ([], [])
+    for top in (50, 10**6, 2**62):
+        keys = np.unique(draw.integers(0, top, 400))
+        counts = draw.choice([1, 1, 2, 70_000], len(keys))
+        wanted.update(dict(zip(keys.tolist(), counts.tolist())))
+        for held, packed in zip(blocks, trie.pack_counts(keys, counts, np.array([0, 1, 20]))):
+            held += packed.to_pylist()
+    found, n = trie.unpack_counts(*blocks)
+    assert list(zip(found.tolist(), n.tolist())) == sorted(wanted.items())
+
+
+def test_counts_are_shuffled_in_a_few_bytes(spark, folder, monkeypatch):
+    """N-grams of a part are a block of each task, not rows of their own."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    batches, written = [], []
+    monkeypatch.setattr(lm, "pack_counts", lambda *a, packed=lm.pack_counts: written.append(1) or packed(*a))
+    of = lm.tokens(docs.select("text").toArrow()["text"].combine_chunks())
+    a, b = np.unique(of.hash, return_inverse=True)[1][:-1], np.unique(of.hash, return_inverse=True)[1][1:]
+    for pair, n in lm.summed([(a, b)], len(a)):
+        batches += lm.pack_counts(pair, n, np.array([0]))
+    assert written and sum(c.nbytes for c in batches) < 5 * len(a)
