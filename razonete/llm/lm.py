@@ -166,8 +166,8 @@ class Model:
                 levels[kind, order] = Level(self.context_segments[order - 2], ContextSegment)
         return levels[kind, order]
 
-    def find_words(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids (-1 if unknown) and counts of words, and log of what each leaves as a context of order two."""
+    def find_words(self, hashes: np.ndarray, left: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids (-1 if unknown) and counts of words, and log of what each leaves as a context of order two (if not `left`, 0)."""
         first, back = unique_keys(hashes)
         known = hashes[first]
         ids, counts = np.full(len(known), -1, np.int64), np.zeros(len(known), np.int64)
@@ -176,7 +176,7 @@ class Model:
             same = segment.hash[at] == known[part]
             ids[part] = np.where(same, at + before, -1)
             counts[part] = np.where(same, segment.count[at], 0)
-        return ids[back], counts[back], self.left_of(2, ids)[back]
+        return ids[back], counts[back], self.left_of(2, ids)[back] if left else np.zeros(len(hashes))
 
     def counts_of(self, order: int, nodes: np.ndarray) -> np.ndarray:
         """Counts of nodes of an order, in order of their ids."""
@@ -341,7 +341,7 @@ def add_order(model: Model, docs: DataFrame, text: str, order: int, least: int,
     def pairs(of: Tokens) -> tuple[np.ndarray, np.ndarray]:
         # An n-gram is as rare as its rarest part, so parts that are not kept need not be counted with others.
         model = below.value
-        ids, counts, _ = model.find_words(of.hash)
+        ids, counts, _ = model.find_words(of.hash, left=False)
         kept = counts >= least
         context = np.where(of.back(1) & np.roll(kept, 1), np.roll(ids, 1), -1)
         if order == 3:

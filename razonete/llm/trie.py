@@ -233,15 +233,20 @@ class EliasFano:
 def unique_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A place of each different key, by key, and the number of each key among them.
 
-    Non-negative keys that leave room are sorted together with their places, which is faster than an indirect sort.
+    Non-negative keys that leave room are sorted together with their places, which is faster than an indirect sort; so are
+    others, with places instead of their last bits, unless keys differ in those alone and come out of order.
     """
     bits = max(1, int(len(keys)).bit_length())
+    places = (1 << bits) - 1
     if len(keys) and 0 <= int(keys.min()) and int(keys.max()) < 1 << 63 - bits:
         both = np.sort(keys << bits | np.arange(len(keys)))
-        order, ordered = both & ((1 << bits) - 1), both >> bits
+        order, ordered = both & places, both >> bits
     else:
-        order = np.argsort(keys)
+        order = np.sort(keys & ~places | np.arange(len(keys))) & places
         ordered = keys[order]
+        if (ordered[1:] < ordered[:-1]).any():
+            order = np.argsort(keys)
+            ordered = keys[order]
     first = np.ones(len(keys), bool)
     first[1:] = ordered[1:] != ordered[:-1]
     number = np.empty(len(keys), np.int64)

@@ -173,13 +173,20 @@ def test_packed_counts():
     assert list(zip(found.tolist(), n.tolist())) == sorted(wanted.items())
 
 
-def test_counts_are_shuffled_in_a_few_bytes(spark, folder, monkeypatch):
-    """N-grams of a part are a block of each task, not rows of their own."""
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
-    batches, written = [], []
-    monkeypatch.setattr(lm, "pack_counts", lambda *a, packed=lm.pack_counts: written.append(1) or packed(*a))
-    of = lm.tokens(docs.select("text").toArrow()["text"].combine_chunks())
-    a, b = np.unique(of.hash, return_inverse=True)[1][:-1], np.unique(of.hash, return_inverse=True)[1][1:]
-    for pair, n in lm.summed([(a, b)], len(a)):
-        batches += lm.pack_counts(pair, n, np.array([0]))
-    assert written and sum(c.nbytes for c in batches) < 5 * len(a)
+def test_counts_are_shuffled_in_a_few_bytes(spark, folder):
+    """Pairs of words take some four bytes each; as rows of numbers they took nine and more."""
+    texts = spark.read.parquet(f"{folder}/documents.parquet").select("text").toArrow()["text"].combine_chunks()
+    words = np.unique(lm.tokens(texts).hash, return_inverse=True)[1]
+    [(pairs, n)] = lm.summed([(words[:-1], words[1:])], len(words))
+    packed = trie.pack_counts(pairs, n, np.array([0]))
+    assert len(pairs) > 10_000 and sum(c.nbytes for c in packed) < 5 * len(pairs)
+
+
+@pytest.mark.parametrize("keys", [
+    np.random.default_rng(1).integers(-2**63, 2**63, 3000).repeat(3), np.array([8, -8, 9, 8, 2**62, 9, 2**62 + 1, 2**62]),
+    np.arange(500) % 7, np.zeros(0, np.int64)])
+def test_unique_keys(keys):
+    keys = np.random.default_rng(2).permutation(keys.astype(np.int64))
+    place, number = trie.unique_keys(keys)
+    wanted, same = np.unique(keys, return_inverse=True)
+    assert (keys[place] == wanted).all() and (number == same).all()
