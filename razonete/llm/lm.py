@@ -36,6 +36,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -69,9 +70,14 @@ class Tokens:
     hash: np.ndarray
     first: np.ndarray
 
-    def back(self, by: int) -> np.ndarray:
-        """Whether each token has so many before it in its text."""
-        return np.arange(len(self.hash)) - np.repeat(self.first[:-1], np.diff(self.first)) >= by
+    @cached_property
+    def place(self) -> np.ndarray:
+        """How many tokens each has before it in its text."""
+        return np.arange(len(self.hash)) - np.repeat(self.first[:-1], np.diff(self.first))
+
+    def context(self, order: int, nodes: np.ndarray) -> np.ndarray:
+        """The node before each token, which is its context in n-grams of the order; -1 if its text has too few tokens there."""
+        return np.where(self.place >= order - 1, np.roll(nodes, 1), -1)
 
 
 def tokens(column: pa.Array) -> Tokens:
@@ -108,24 +114,21 @@ class GramSegment:
     def arrays(context: np.ndarray, word: np.ndarray, words: int, count: np.ndarray) -> dict[str, np.ndarray]:
         rank = context - context[0]
         contexts = int(rank[-1]) + 1
-        pointers = EliasFano.encode(np.searchsorted(rank, np.arange(contexts + 1)))
+        pointers = EliasFano.encode(np.cumsum(np.bincount(rank + 1)))
         keys = EliasFano.encode(rank.astype(np.uint64) * np.uint64(words) + word.astype(np.uint64))
         return {"range": np.array([context[0], contexts, words], np.int64), **{f"pointer_{k}": v for k, v in pointers.items()},
                 **{f"key_{k}": v for k, v in keys.items()}, "count": count}
 
     def find(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Index of each word among the successors of its context, or -1; in the order of contexts."""
-        rank = context - self.context
-        begin = np.flatnonzero(np.diff(rank, prepend=-1))
-        of = rank[begin]
-        known = np.flatnonzero(of < self.contexts)
-        filled = np.zeros(len(begin), bool)
-        filled[known] = self.pointers.get(of[known]) < self.pointers.get(of[known] + 1)
-        near = np.flatnonzero(np.repeat(filled, np.diff(begin, append=len(rank))))
-        index, same = self.keys.successor(rank[near].astype(np.uint64) * np.uint64(self.words) + word[near].astype(np.uint64))
-        out = np.full(len(rank), -1, np.int64)
-        out[near[same]] = index[same]
-        return out
+        """Index of each word among the successors of its context, or -1."""
+        rank = (context - self.context).astype(np.uint64)
+        index, same = self.keys.successor(rank * np.uint64(self.words) + word.astype(np.uint64))
+        return np.where(same, index, -1)
+
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
+        """Contexts and words of all n-grams."""
+        rank = np.repeat(np.arange(self.contexts), np.diff(self.pointers.all().astype(np.int64)))
+        return rank + self.context, self.keys.all().astype(np.int64) - rank * self.words
 
     def word(self, index: np.ndarray) -> np.ndarray:
         return (self.keys.get(index) % np.uint64(self.words)).astype(np.int64)
@@ -166,9 +169,9 @@ class Model:
                 levels[kind, order] = Level(self.context_segments[order - 2], ContextSegment)
         return levels[kind, order]
 
-    def find_words(self, hashes: np.ndarray, left: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids (-1 if unknown) and counts of words, and log of what each leaves as a context of order two (if not `left`, 0)."""
-        first, back = unique_keys(hashes)
+    def find_words(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids (-1 if unknown) and counts of the different words, by hash, and the number of each word among them."""
+        first, number = unique_keys(hashes)
         known = hashes[first]
         ids, counts = np.full(len(known), -1, np.int64), np.zeros(len(known), np.int64)
         for segment, before, part in self.level("word").parts(known, np.zeros(len(known), np.int64)):
@@ -176,7 +179,7 @@ class Model:
             same = segment.hash[at] == known[part]
             ids[part] = np.where(same, at + before, -1)
             counts[part] = np.where(same, segment.count[at], 0)
-        return ids[back], counts[back], self.left_of(2, ids)[back] if left else np.zeros(len(hashes))
+        return ids, counts, number
 
     def counts_of(self, order: int, nodes: np.ndarray) -> np.ndarray:
         """Counts of nodes of an order, in order of their ids."""
@@ -192,32 +195,39 @@ class Model:
             out[part] = segment.word(at)
         return out
 
-    def find_grams(self, order: int, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def find_grams(self, order: int, context: np.ndarray, word: np.ndarray, key: np.ndarray | None = None,
+                   logs: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Nodes (-1 if not kept) of words after contexts, which are nodes of the order below, with their log
-        probabilities and log of what each leaves as a context of the next order."""
-        nodes, logs, left = np.full(len(context), -1, np.int64), np.zeros(len(context)), np.zeros(len(context))
+        probabilities (0 if not `logs`), and the number of each among the different ones by context and word.
+
+        `key` has smaller numbers, not negative, that tell known contexts and words apart in the same order.
+        """
+        nodes, direct, number = np.full(len(context), -1, np.int64), np.zeros(len(context)), np.full(len(context), -1, np.int64)
         asked = np.flatnonzero((context >= 0) & (word >= 0))
-        first, back = unique_keys(context[asked] * self.words + word[asked])
+        if not len(asked):
+            return nodes, direct, number
+        first, back = unique_keys(context[asked] * self.words + word[asked] if key is None else key[asked])
         major, minor = context[asked[first]], word[asked[first]]
         found, codes = np.full(len(major), -1, np.int64), np.zeros(len(major), np.uint16)
         for segment, before, part in self.level("gram", order).parts(major, minor):
             at = segment.find(major[part], minor[part])
             found[part] = np.where(at >= 0, at + before, -1)
-            codes[part] = np.where(at >= 0, segment.log[np.maximum(at, 0)], 0)
-        nodes[asked], logs[asked], left[asked] = found[back], from_codes(codes[back]), self.left_of(order + 1, found)[back]
-        return nodes, logs, left
+            if logs:
+                codes[part] = np.where(at >= 0, segment.log[np.maximum(at, 0)], 0)
+        nodes[asked], number[asked] = found[back], back
+        if logs:
+            direct[asked] = from_codes(codes)[back]
+        return nodes, direct, number
 
     def left_of(self, order: int, contexts: np.ndarray) -> np.ndarray:
-        """Log of what contexts leave to the order below: 0 for those without successors of this order.
-
-        Contexts are in order, unknown ones (-1) anywhere between.
-        """
-        logs = np.zeros(len(contexts))
+        """Log of what contexts leave to the order below: 0 for those without successors of this order."""
+        first, back = unique_keys(contexts)
+        known = contexts[first]
+        logs = np.zeros(len(known))
         if order - 2 < len(self.context_segments):
-            at = np.flatnonzero(contexts >= 0)
-            for segment, _, part in self.level("context", order).parts(contexts[at], np.zeros(len(at), np.int64)):
-                logs[at[part]] = segment.logs(contexts[at[part]])
-        return logs
+            for segment, _, part in self.level("context", order).parts(known, np.zeros(len(known), np.int64)):
+                logs[part] = segment.logs(known[part])
+        return logs[back]
 
     def single(self, counts: np.ndarray) -> np.ndarray:
         """Log probabilities of single tokens, from their counts."""
@@ -227,14 +237,16 @@ class Model:
 
     def log_probabilities(self, of: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each token: its count, and log10 probabilities by itself and after the tokens before it."""
-        ids, counts, left = self.find_words(of.hash)
-        alone = self.single(counts)
-        log, context = alone, np.where(of.back(1), np.roll(ids, 1), -1)
+        ids, counts, rank = self.find_words(of.hash)
+        alone = self.single(counts)[rank]
+        ids, counts = ids[rank], counts[rank]
+        log, nodes, number = alone, ids, rank
         for order in range(2, len(self.gram_segments) + 2):
-            back = np.where(of.back(order - 1), np.roll(left, 1), 0.0)
-            nodes, direct, left = self.find_grams(order, context, ids)
-            log = np.where(nodes >= 0, direct, back + log)
-            context = np.where(of.back(order), np.roll(nodes, 1), -1)
+            context = of.context(order, nodes)
+            nodes, direct, number = self.find_grams(order, context, ids, np.roll(number, 1) * len(rank) + rank)
+            log = np.where(nodes >= 0, direct, log)
+            missed = np.flatnonzero((nodes < 0) & (context >= 0))  # only these ask what their contexts leave
+            log[missed] += self.left_of(order, context[missed])
         return counts, alone, log
 
 
@@ -300,7 +312,7 @@ def fit(docs: DataFrame, text: str = "text", order: int = ORDER, least: int = LE
     model = Model(total, words, write_level(
         counted.select("a", "n"), ["a"], folder, "words", lambda c: {"hash": c["a"], "count": c["n"]}))
     often = counted.where(F.col("n") > total // segments_for(docs.sparkSession, total)).select("a", "n").orderBy("a").collect()
-    ids = model.find_words(np.array([row["a"] for row in often], np.int64))[0] if often else []
+    ids = model.find_words(np.array([row["a"] for row in often], np.int64))[0]  # by hash, as they are
     hot, nodes = [(int(i), row["n"]) for i, row in zip(ids, often)], words
     for level in range(2, order + 1):
         hot, nodes = add_order(model, docs, text, level, least, folder, hot, nodes)
@@ -315,7 +327,7 @@ def part_of(a: np.ndarray, b: np.ndarray, hot: list[tuple[int, int]], nodes: int
     ids, counts = np.array([i for i, _ in hot], np.int64), np.array([n for _, n in hot], np.int64)
     before = np.concatenate([[0], np.cumsum(counts)])
     at = np.searchsorted(ids, a)
-    own = np.append(np.where(np.isin(ids, a), counts, 0), 0)[at] * (np.append(ids, -1)[at] == a)
+    own = np.append(counts, 0)[at] * (np.append(ids, -1)[at] == a)
     place = before[at] + (total - before[-1]) * (a / nodes) + own * (b / words)
     return np.minimum(place * (parts / total), parts - 1).astype(np.int32)
 
@@ -341,13 +353,13 @@ def add_order(model: Model, docs: DataFrame, text: str, order: int, least: int,
     def pairs(of: Tokens) -> tuple[np.ndarray, np.ndarray]:
         # An n-gram is as rare as its rarest part, so parts that are not kept need not be counted with others.
         model = below.value
-        ids, counts, _ = model.find_words(of.hash, left=False)
-        kept = counts >= least
-        context = np.where(of.back(1) & np.roll(kept, 1), np.roll(ids, 1), -1)
+        ids, counts, rank = model.find_words(of.hash)
+        ids, kept = ids[rank], (counts >= least)[rank]
+        context = of.context(2, np.where(kept, ids, -1))
         if order == 3:
-            nodes, _, _ = model.find_grams(2, context, ids)
+            nodes, _, _ = model.find_grams(2, context, ids, np.roll(rank, 1) * len(rank) + rank, logs=False)
             kept = nodes >= 0
-            context = np.where(of.back(2), np.roll(nodes, 1), -1)
+            context = of.context(3, nodes)
         kept &= context >= 0
         return context[kept], ids[kept]
 
@@ -395,23 +407,24 @@ def add_order(model: Model, docs: DataFrame, text: str, order: int, least: int,
         model = below.value
         for task in (row for batch in batches for row in batch.to_pylist()):
             grams = GramSegment(read_arrays(task["place"]))
-            keys = grams.keys.get(np.arange(grams.keys.n))
-            context, word = (v.astype(np.int64) for v in np.divmod(keys, np.uint64(words)))
-            context += grams.context
+            context, word = grams.all()
             n = grams.count.astype(np.int64)
             first = np.flatnonzero(np.diff(context, prepend=-1))
+            size = np.diff(first, append=len(context))
             contexts, sums = context[first], np.add.reduceat(n - DISCOUNT, first)
             sums[[0, -1]] = task["first_kept"], task["last_kept"]
-            left = to_codes(np.log10(1 - sums / model.counts_of(order - 1, contexts)))
-            direct = (n - DISCOUNT) / model.counts_of(order - 1, context)
-            known, back = np.unique(word, return_inverse=True)
-            log = model.single(model.counts_of(1, known)[back])
+            seen = model.counts_of(order - 1, contexts)
+            left = to_codes(np.log10(1 - sums / seen))
+            direct = (n - DISCOUNT) / np.repeat(seen, size)
+            missed, log = np.arange(len(n)), np.zeros(len(n))
             if order == 3:
-                middle = model.last_words(context)
-                found, direct_log, _ = model.find_grams(2, middle, word)
-                known, back = np.unique(middle, return_inverse=True)
-                log = np.where(found >= 0, direct_log, model.left_of(2, known)[back] + log)
-            of_context = np.repeat(from_codes(left), np.diff(first, append=len(context)))
+                middle = np.repeat(model.last_words(contexts), size)
+                found, log, _ = model.find_grams(2, middle, word)
+                missed = np.flatnonzero(found < 0)
+                log[missed] = model.left_of(2, middle[missed])
+            known, back = np.unique(word[missed], return_inverse=True)
+            log[missed] += model.single(model.counts_of(1, known))[back]
+            of_context = np.repeat(from_codes(left), size)
             log = to_codes(np.log10(direct + 10 ** (of_context + log)))
             skip = 0 if task["owned"] else 1
             ids = EliasFano.encode(contexts[skip:] - contexts[min(skip, len(contexts) - 1)])

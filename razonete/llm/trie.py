@@ -10,12 +10,14 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
 
 HEADER = 4096
+GUESSES = 4  # of the place of a number, before the numbers left are halved
 
 
 def write_arrays(folder: str, name: str, arrays: dict[str, np.ndarray]) -> str:
@@ -145,14 +147,13 @@ class EliasFano:
     `ones` has the set bits before each word of the upper part.
     """
 
-    def __init__(self, n: int, width: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray) -> None:
-        self.n, self.width, self.low, self.high, self.ones = n, width, low, high, ones
-        self.zeros = (64 * np.arange(len(ones)) - ones).astype(np.uint32)
+    def __init__(self, n: int, width: int, distinct: bool, low: np.ndarray, high: np.ndarray, ones: np.ndarray) -> None:
+        self.n, self.width, self.distinct, self.low, self.high, self.ones = n, width, distinct, low, high, ones
         self.mask = np.uint64((1 << width) - 1)
 
     @staticmethod
     def encode(values: np.ndarray) -> dict[str, np.ndarray]:
-        """The arrays of a sorted sequence, `size` (n and lower bits) among them."""
+        """The arrays of a sorted sequence, `size` (n, lower bits, whether all differ) among them."""
         values = values.astype(np.uint64)
         n, most = len(values), int(values[-1]) if len(values) else 0
         width = max(0, (most // n).bit_length() - 1) if n else 0
@@ -162,17 +163,27 @@ class EliasFano:
         upper[(values >> np.uint64(width)).astype(np.int64) + np.arange(n)] = 1
         high = pack(upper)
         ones = np.cumsum(np.bitwise_count(high), dtype=np.uint32)
-        return {"size": np.array([n, width], np.int64), "low": pack(np.concatenate([np.zeros(0, np.uint8), *lower])),
+        return {"size": np.array([n, width, (values[1:] > values[:-1]).all()], np.int64),
+                "low": pack(np.concatenate([np.zeros(0, np.uint8), *lower])),
                 "high": high, "ones": np.concatenate([np.zeros(1, np.uint32), ones[:-1]])}
 
     @classmethod
     def of(cls, arrays: dict[str, np.ndarray], prefix: str = "") -> EliasFano:
-        n, width = map(int, arrays[f"{prefix}size"])
-        return cls(n, width, arrays[f"{prefix}low"], arrays[f"{prefix}high"], arrays[f"{prefix}ones"])
+        n, width, distinct = map(int, arrays[f"{prefix}size"])
+        return cls(n, width, bool(distinct), arrays[f"{prefix}low"], arrays[f"{prefix}high"], arrays[f"{prefix}ones"])
+
+    @cached_property
+    def zeros(self) -> np.ndarray:
+        """The unset bits before each word of the upper part."""
+        return (64 * np.arange(len(self.ones)) - self.ones).astype(np.uint32)
+
+    @cached_property
+    def last(self) -> int:
+        return int(self.get(np.array([self.n - 1]))[0])
 
     def lower(self, i: np.ndarray) -> np.ndarray:
         at = i * self.width
-        word, shift = at >> 6, (at & 63).astype(np.uint64)
+        word, shift = at >> 6, (at & 63).view(np.uint64)
         over = (self.low[word + 1] << np.uint64(1)) << (np.uint64(63) - shift)
         return (self.low[word] >> shift | over) & self.mask
 
@@ -182,59 +193,73 @@ class EliasFano:
         place = 64 * word + select(self.high[word], i - self.ones[word] + 1)
         return (place - i).astype(np.uint64) << np.uint64(self.width) | self.lower(i)
 
+    def all(self) -> np.ndarray:
+        """All numbers."""
+        place = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little"))
+        i = np.arange(self.n)
+        return (place - i).astype(np.uint64) << np.uint64(self.width) | self.lower(i)
+
     def _before(self, upper: np.ndarray) -> np.ndarray:
         """How many numbers have smaller upper bits."""
         word = np.maximum(np.searchsorted(self.zeros, upper.astype(np.uint32)) - 1, 0)
         place = 64 * word + select(~self.high[word], np.maximum(upper - self.zeros[word], 1))
         return np.where(upper > 0, place - upper + 1, 0)
 
+    def _bucket(self, upper: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first number with each upper part, and the one after the last: set bits in a row."""
+        begin = self._before(upper)
+        bit = begin + upper
+        word, shift = bit >> 6, (bit & 63).view(np.uint64)
+        run = self.high[word] >> shift | (self.high[word + 1] << np.uint64(1)) << (np.uint64(63) - shift)
+        size = np.bitwise_count(run & ~(run + np.uint64(1)))
+        end = begin + size
+        long = np.flatnonzero(size == 64)
+        if len(long):
+            end[long] = self._before(upper[long] + 1)
+        return begin, end
+
     def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Index of the first number not below each x (n if there is none), and whether it equals x."""
-        if not self.n:
-            return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
-        last = int(self.get(np.array([self.n - 1]))[0]) >> self.width
-        upper = (x >> np.uint64(self.width)).astype(np.int64)
-        inside = upper <= last
-        lower = x & self.mask
-        at = np.where(inside, self._before(np.minimum(upper, last)), self.n)
-        same = np.zeros(len(x), bool)
-        # Most upper parts have few numbers: look at the next ones in turn.
-        left = np.flatnonzero(inside)
-        for _ in range(2):
-            left = left[self._has(at[left] + upper[left])]
-            found = self.lower(at[left])
-            same[left] = found == lower[left]
-            left = left[found < lower[left]]
-            at[left] += 1
-        if len(left):
-            self._halve(at, left, upper, lower, same)
+        """Index of the first number not below each x (n if there is none), and whether it equals x.
+
+        Numbers with the same upper part are taken to lie evenly: a place is guessed by the lower part, and corrected a few
+        times by what is found there; after that, what is left between the bounds is halved.
+        """
+        at, same = np.full(len(x), self.n, np.int64), np.zeros(len(x), bool)
+        left = np.flatnonzero(x <= np.uint64(self.last)) if self.n else np.zeros(0, np.int64)
+        if len(left) < len(x):
+            x = x[left]
+        begin, end = self._bucket((x >> np.uint64(self.width)).view(np.int64))
+        lower = (x & self.mask).view(np.int64)
+        at[left] = begin
+        some = np.flatnonzero(begin < end)
+        left, begin, end, lower = left[some], begin[some], end[some], lower[some]
+        size = end - begin
+        guess = begin + (size * lower >> self.width)
+        step = 0
+        while len(left):
+            off = lower - self.lower(guess).view(np.int64)
+            less, equal = off > 0, off == 0
+            begin, end = np.where(less, guess + 1, begin), np.where(less, end, guess)
+            if self.distinct:
+                begin = np.where(equal, guess, begin)  # and so is the end: it is found
+            at[left] = begin
+            same[left[equal]] = True
+            some = np.flatnonzero(begin < end)
+            left, begin, end, lower = left[some], begin[some], end[some], lower[some]
+            step += 1
+            if step < GUESSES:
+                size, off, guess = size[some], off[some], guess[some]
+                guess = np.clip(guess + (size * off >> self.width), begin, end - 1)
+            else:
+                guess = begin + end >> 1
         return at, same
 
-    def _has(self, bit: np.ndarray) -> np.ndarray:
-        """Whether bits of the upper part are set."""
-        return (self.high[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
-
-    def _halve(self, at: np.ndarray, left: np.ndarray, upper: np.ndarray, lower: np.ndarray, same: np.ndarray) -> None:
-        """Go on in halves for the queries `left`, whose upper parts have many numbers."""
-        a, b = at[left], self._before(upper[left] + 1)
-        end = b.copy()
-        open_ = np.flatnonzero(a < b)
-        while len(open_):
-            mid = (a[open_] + b[open_]) >> 1
-            less = self.lower(mid) < lower[left[open_]]
-            a[open_[less]] = mid[less] + 1
-            b[open_[~less]] = mid[~less]
-            open_ = open_[a[open_] < b[open_]]
-        at[left] = a
-        inside = a < end
-        same[left[inside]] = self.lower(a[inside]) == lower[left[inside]]
-
 
 def unique_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A place of each different key, by key, and the number of each key among them.
 
     Non-negative keys that leave room are sorted together with their places, which is faster than an indirect sort; so are
-    others, with places instead of their last bits, unless keys differ in those alone and come out of order.
+    keys of all 64 bits, with places instead of their last bits, unless keys differ in those alone and come out of order.
     """
     bits = max(1, int(len(keys)).bit_length())
     places = (1 << bits) - 1

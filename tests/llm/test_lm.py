@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from razonete.llm import lm, trie
@@ -190,3 +191,65 @@ def test_unique_keys(keys):
     place, number = trie.unique_keys(keys)
     wanted, same = np.unique(keys, return_inverse=True)
     assert (keys[place] == wanted).all() and (number == same).all()
+
+
+@pytest.mark.parametrize("distinct", [True, False])
+def test_uneven_buckets(distinct):
+    """Numbers that crowd at the ends of what their upper bits leave, where a guess by the lower bits is far off."""
+    draw = np.random.default_rng(6)
+    parts = [np.arange(3000), 2**30 - 1 - np.arange(500), 2**34 + draw.integers(0, 2**34, 900), 2**40 - 2 ** np.arange(30)]
+    values = np.sort(np.concatenate(parts if distinct else [np.repeat(v, draw.integers(1, 90, len(v))) for v in parts])).astype(np.uint64)
+    values = np.unique(values) if distinct else values
+    sequence = trie.EliasFano.of(trie.EliasFano.encode(values))
+    assert sequence.distinct == distinct and (sequence.all() == values).all()
+    asked = draw.permutation(np.concatenate([values, values + np.uint64(1), values // np.uint64(3), draw.integers(0, 2**41, 500).astype(np.uint64)]))
+    at, same = sequence.successor(asked)
+    assert (at == np.searchsorted(values, asked)).all()
+    assert (same == np.isin(asked, values)).all()
+
+
+def test_numbers_are_found_in_a_few_looks(monkeypatch):
+    """A frequent context has many successors with the same upper bits; halving took some twelve looks at each."""
+    draw = np.random.default_rng(7)
+    values = np.unique(np.concatenate([draw.integers(0, 2**20, 40_000), 2**36 + np.arange(3)])).astype(np.uint64)
+    sequence = trie.EliasFano.of(trie.EliasFano.encode(values))
+    looks = []
+    monkeypatch.setattr(trie.EliasFano, "lower", lambda self, i, lower=trie.EliasFano.lower: looks.append(len(i)) or lower(self, i))
+    at, same = sequence.successor(values)
+    assert same.all() and (at == np.arange(len(values))).all()
+    assert sum(looks) < 7 * len(values)
+
+
+def test_only_what_is_not_found_asks_for_back_offs(spark, monkeypatch):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    model, asked = lm.fit(docs), []
+    monkeypatch.setattr(lm.ContextSegment, "logs", lambda self, ids, logs=lm.ContextSegment.logs: asked.append(len(ids)) or logs(self, ids))
+    known = lm.tokens(pa.array(TEXTS))
+    model.log_probabilities(known)
+    assert sum(asked) == 0  # every n-gram of a training text has its own probability
+    model.log_probabilities(lm.tokens(pa.array(["the cat sat on unknown"])))
+    assert sum(asked) == 2  # what "on" and "sat on" leave
+
+
+@pytest.mark.parametrize("hot", [[], [(2, 300)], [(0, 50), (2, 300), (9, 100)]])
+def test_part_of_pairs(hot):
+    draw = np.random.default_rng(8)
+    nodes, words, total, parts = 10, 40, 1000, 7
+    a, b = (np.sort(draw.integers(0, nodes * words, 500)) // words, draw.integers(0, words, 500))
+    counts = dict(hot)
+    wanted = []
+    for x, y in zip(a.tolist(), b.tolist()):
+        before = sum(n for i, n in hot if i < x)
+        place = before + (total - sum(counts.values())) * (x / nodes) + counts.get(x, 0) * (y / words)
+        wanted.append(min(int(place * (parts / total)), parts - 1))
+    assert lm.part_of(a, b, hot, nodes, words, total, parts).tolist() == wanted
+
+
+def test_all_pairs_of_a_segment():
+    context, word = np.array([5, 5, 8, 8, 8, 9, 20]), np.array([0, 3, 0, 1, 3, 2, 3])
+    segment = lm.GramSegment(lm.GramSegment.arrays(context, word, 4, np.ones(7, np.uint8)))
+    assert [v.tolist() for v in segment.all()] == [context.tolist(), word.tolist()]
+    asked = [(c, w) for c in range(5, 30) for w in range(4)]
+    found = segment.find(*(np.array(v) for v in zip(*asked))).tolist()
+    pairs = list(zip(context.tolist(), word.tolist()))
+    assert found == [pairs.index(x) if x in pairs else -1 for x in asked]
