@@ -17,9 +17,9 @@ Level by level, Spark counts, and tasks write the trie's segments:
   log probabilities and counts;
 - contexts: the ids of nodes with successors, and their quantised back-off.
 
-A lookup takes the context's pointers and searches the successor of the word's
-relative key; the index found is the node, the context of the next order. An
-n-gram is counted only if its words, and for order three its pairs, are kept, as
+A lookup searches the successor of the word's relative key; the index found is
+the node, the context of the next order. All successors of a segment's contexts
+are listed by their pointers. An n-gram is counted only if its words, and for order three its pairs, are kept, as
 it cannot be more frequent than they are. Logarithms are in steps of 1/2048.
 
 Texts are read once for each order and once for scoring. Counts of n-grams are

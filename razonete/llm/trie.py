@@ -18,6 +18,7 @@ import pyarrow.fs
 
 HEADER = 4096
 GUESSES = 4  # of the place of a number, before the numbers left are halved
+READ = 1 << 12  # numbers between the bounds of all queries, that are read instead
 
 
 def write_arrays(folder: str, name: str, arrays: dict[str, np.ndarray]) -> str:
@@ -218,11 +219,18 @@ class EliasFano:
             end[long] = self._before(upper[long] + 1)
         return begin, end
 
+    def _read(self, begin: np.ndarray, width: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """`successor` among so many numbers (one at least) from `begin` on, by their lower bits."""
+        first = np.cumsum(width) - width
+        off = self.lower(np.arange(first[-1] + width[-1]) + np.repeat(begin - first, width)).view(np.int64) - np.repeat(lower, width)
+        return begin + np.add.reduceat(off < 0, first, dtype=np.int64), np.logical_or.reduceat(off == 0, first)
+
     def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of the first number not below each x (n if there is none), and whether it equals x.
 
         Numbers with the same upper part are taken to lie evenly: a place is guessed by the lower part, and corrected a few
-        times by what is found there; after that, what is left between the bounds is halved.
+        times by what is found there; after that, what is left between the bounds is halved. When that is little, all of it
+        is read, as each round has a price of its own.
         """
         at, same = np.full(len(x), self.n, np.int64), np.zeros(len(x), bool)
         left = np.flatnonzero(x <= np.uint64(self.last)) if self.n else np.zeros(0, np.int64)
@@ -237,6 +245,10 @@ class EliasFano:
         guess = begin + (size * lower >> self.width)
         step = 0
         while len(left):
+            width = end - begin
+            if width.sum() <= READ:
+                at[left], same[left] = self._read(begin, width, lower)
+                break
             off = lower - self.lower(guess).view(np.int64)
             less, equal = off > 0, off == 0
             begin, end = np.where(less, guess + 1, begin), np.where(less, end, guess)
@@ -279,14 +291,13 @@ def unique_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[first], number
 
 
-def bounds_of(first: list[tuple], queries: list[np.ndarray]) -> np.ndarray:
-    """Where the queries of each segment begin, given its first key; queries are sorted by (key, minor key)."""
+def bounds_of(first: np.ndarray, queries: list[np.ndarray]) -> np.ndarray:
+    """Where the queries of each segment begin, given its first key (a row); queries are sorted by (key, minor key)."""
     major, minor = queries
-    out = []
-    for key in first:
-        a, b = np.searchsorted(major, key[0], side="left"), np.searchsorted(major, key[0], side="right")
-        out.append(a + np.searchsorted(minor[a:b], key[1]))
-    return np.array([*out, len(major)], np.int64)
+    out, end = (np.searchsorted(major, first[:, 0], side) for side in ("left", "right"))
+    for i in np.flatnonzero(out < end):
+        out[i] += np.searchsorted(minor[out[i]:end[i]], first[i, 1])
+    return np.append(out, len(major))
 
 
 class Level:
@@ -295,7 +306,7 @@ class Level:
     def __init__(self, segments: list[tuple], opened: Callable[[dict[str, np.ndarray]], object]) -> None:
         """Segments (first major key, first minor key, rows before, place or places), in order."""
         self.segments, self.opened = segments, opened
-        self.first = [s[:2] for s in segments]
+        self.first = np.array([s[:2] for s in segments], np.int64).reshape(-1, 2)
         self.before = np.array([s[2] for s in segments], np.int64)
         self.open: dict[int, object] = {}
 

@@ -193,9 +193,11 @@ def test_unique_keys(keys):
     assert (keys[place] == wanted).all() and (number == same).all()
 
 
+@pytest.mark.parametrize("read", [0, 200, trie.READ])
 @pytest.mark.parametrize("distinct", [True, False])
-def test_uneven_buckets(distinct):
+def test_uneven_buckets(distinct, read, monkeypatch):
     """Numbers that crowd at the ends of what their upper bits leave, where a guess by the lower bits is far off."""
+    monkeypatch.setattr(trie, "READ", read)
     draw = np.random.default_rng(6)
     parts = [np.arange(3000), 2**30 - 1 - np.arange(500), 2**34 + draw.integers(0, 2**34, 900), 2**40 - 2 ** np.arange(30)]
     values = np.sort(np.concatenate(parts if distinct else [np.repeat(v, draw.integers(1, 90, len(v))) for v in parts])).astype(np.uint64)
@@ -253,3 +255,20 @@ def test_all_pairs_of_a_segment():
     found = segment.find(*(np.array(v) for v in zip(*asked))).tolist()
     pairs = list(zip(context.tolist(), word.tolist()))
     assert found == [pairs.index(x) if x in pairs else -1 for x in asked]
+
+
+def test_a_few_numbers_are_found_in_one_look(monkeypatch):
+    """With many segments, each has few queries of a batch: rounds of guesses cost more than what lies between the bounds."""
+    values = np.unique(np.random.default_rng(9).integers(0, 2**40, 5000)).astype(np.uint64)
+    sequence = trie.EliasFano.of(trie.EliasFano.encode(values))
+    looks, last = [], sequence.last
+    monkeypatch.setattr(trie.EliasFano, "lower", lambda self, i, lower=trie.EliasFano.lower: looks.append(len(i)) or lower(self, i))
+    at, same = sequence.successor(values[::50])
+    assert same.all() and (at == np.arange(0, len(values), 50)).all() and len(looks) == 1 and last == values[-1]
+
+
+def test_bounds_of_segments():
+    first = np.array([(0, 0), (2, 5), (2, 9), (4, 0)])
+    major, minor = np.array([0, 0, 2, 2, 2, 2, 3, 4, 4]), np.array([1, 7, 4, 5, 8, 9, 0, 0, 3])
+    assert trie.bounds_of(first, [major, minor]).tolist() == [0, 3, 5, 7, 9]
+    assert trie.bounds_of(np.zeros((0, 2), np.int64), [major, minor]).tolist() == [9]
