@@ -111,22 +111,24 @@ def _with_tokens(lines: DataFrame) -> DataFrame:
     return lines.withColumns({"_tokens": F.when(marked, tokens).otherwise(every[1]), "_gaps": F.when(marked, gaps).otherwise(every[0])}).drop("_parts")
 
 
-def _length(texts: Column) -> Column:
-    return F.aggregate(texts, F.lit(0), lambda total, text: total + F.length(text))
-
-
 def _spans() -> Column:
     """The tokens with where they begin and end, and their kinds."""
     tokens, gaps = F.col("_tokens"), F.col("_gaps")
     near = F.size(tokens) <= MOST_TOKENS
-
-    def span(token: Column, i: Column) -> Column:
-        start = F.when(near, _length(F.slice(gaps, 1, i + 1)) + _length(F.slice(tokens, 1, i)))
-        kind = (F.when(token.rlike(rf"^(?i)(?:{'|'.join(ENTITY_TYPES)})$"), "entity")
+    # Where each gap ends is where its token begins.
+    lengths = F.zip_with(gaps, tokens, lambda gap, token: F.struct(F.length(gap).alias("gap"), F.coalesce(F.length(token), F.lit(0)).alias("token")))
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+    starts = F.aggregate(lengths, begin, lambda done, n: F.struct(
+        (done["at"] + n["gap"] + n["token"]).alias("at"), F.concat(done["starts"], F.array(done["at"] + n["gap"])).alias("starts")))["starts"]
+
+    def span(token: Column, start: Column) -> Column:
+        # Most tokens are amounts with a comma, and no other kind has one.
+        kind = (F.when(token.contains(","), "cell").when(token.rlike(rf"^(?i)(?:{'|'.join(ENTITY_TYPES)})$"), "entity")
                  .when(token.rlike(rf"^(?i)(?:{LONG_DATE}|{SHORT_DATE})$"), "date").when(token.rlike(f"^{YEAR}$"), "year").otherwise("cell"))
         return F.struct(token.alias("text"), start.alias("start"), (start + F.length(token)).alias("end"), kind.alias("kind"))
 
-    return F.transform(tokens, span)
+    near_starts = F.when(near, starts).otherwise(F.array().cast("array<int>"))
+    return F.zip_with(tokens, F.slice(near_starts, 1, F.size(tokens)), span)
 
 
 def split_lines(documents: DataFrame, text: str) -> DataFrame:
@@ -156,7 +158,9 @@ def split_lines(documents: DataFrame, text: str) -> DataFrame:
 
     heads_dates = no_cells & (F.size(dates) > 0) & (plain | titled)
     heads_entities = no_cells & (F.size(dates) == 0) & (F.size(entities) > 0) & plain
-    scale = F.regexp_extract(normal_label(F.col("line")), SCALE_LINE, 1)
+    # The words of a scale are in no token, so that most lines need not be searched.
+    scaled = F.contains("_label", F.lit("mil")) | F.contains("_label", F.lit("bilhoes")) | F.contains("_label", F.lit("unidades"))
+    scale = F.when(scaled, F.regexp_extract(normal_label(F.col("line")), SCALE_LINE, 1)).otherwise("")
     side = _choose(F.col("_title"), {t: s for t, (s, _) in SECTION_TITLES.items() if s})
     term = _choose(F.col("_title"), {t: s for t, (_, s) in SECTION_TITLES.items() if s})
     return lines.select(
@@ -206,22 +210,25 @@ def _section(side: Column, term: Column) -> Column:
     return F.when(side["name"].isin(*WHOLE_SIDES), side["name"]).when(inside.isNotNull(), F.concat_ws("_", side["name"], inside))
 
 
-def _cells_by_column() -> Column:
-    """For each column its amount as printed: by place, else by order; NULL where the line has no clear amounts."""
-    columns, cells, label_end = F.col("_columns"), F.col("_cells"), F.col("_label_end")
+def _with_bounds(columns: Column) -> Column:
+    """The columns with the places between which a cell of theirs ends; no right one for the last."""
     n = F.size(columns)
 
-    def bounds(i: Column) -> tuple[Column, Column]:
-        c, before, after = F.get(columns, i), F.get(columns, i - 1), F.get(columns, i + 1)
+    def bounded(c: Column, i: Column) -> Column:
+        before, after = F.get(columns, i - 1), F.get(columns, i + 1)
         left = F.when(i > 0, (before["end"] + c["start"]) / 2).otherwise(
             c["start"] - F.coalesce((after["start"] - c["end"]) / 2, F.length(c["periodo"]) / 2))
-        return left, F.when(i < n - 1, (c["end"] + after["start"]) / 2)
+        return F.struct(*[c[name].alias(name) for name in ("tipo_entidade", "periodo", "start")], left.alias("left"),
+                        F.when(i < n - 1, (c["end"] + after["start"]) / 2).alias("right"))
+
+    return F.transform(columns, bounded)
 
-    def inside(cell: Column, i: Column) -> Column:
-        left, right = bounds(i)
-        return (cell["end"] > left) & (right.isNull() | (cell["end"] <= right))
 
-    placed = F.transform(columns, lambda c, i: F.filter(cells, lambda cell: inside(cell, i)))
+def _cells_by_column() -> tuple[Column, Column]:
+    """For each column its cells by place, and its amount as printed: by place, else by order; NULL where the line has no clear amounts."""
+    columns, cells, label_end = F.col("_columns"), F.col("_cells"), F.col("_label_end")
+    n = F.size(columns)
+    placed = F.transform(columns, lambda c: F.filter(cells, lambda cell: (cell["end"] > c["left"]) & (c["right"].isNull() | (cell["end"] <= c["right"]))))
     first = F.get(columns, F.lit(0))["start"]
     # Every cell is in a column of its own, but for the number of a note to the left of all columns.
     has_place = F.forall(columns, lambda c: c["start"].isNotNull()) & (label_end <= first) & F.forall(cells, lambda c: c["end"].isNotNull())
@@ -232,28 +239,33 @@ def _cells_by_column() -> Column:
     return placed, F.when(has_place & clear, by_place).when(F.size(cells) >= n, by_order)
 
 
+def _with_cells(lines: DataFrame) -> DataFrame:
+    """Add `_cells`, those that close the line after its last text, and `_head`, what stands before them."""
+    texts = F.filter(F.transform("_gaps", lambda gap, i: F.when(strip(gap) != "", i)), lambda i: i.isNotNull())
+    dates = F.filter(F.transform("_spans", lambda s, i: F.when(s["kind"].isin("entity", "date"), i + 1)), lambda i: i.isNotNull())
+    lines = lines.withColumn("_from", F.greatest(F.coalesce(F.array_max(texts), F.lit(0)), F.coalesce(F.array_max(dates), F.lit(0))))
+    head = F.array_join(F.concat(F.flatten(F.transform(F.slice("_gaps", 1, F.col("_from")), lambda gap, i: F.array(gap, F.get("_spans", i)["text"]))),
+                                 F.array(F.coalesce(F.get("_gaps", F.col("_from")), F.lit("")))), "")
+    return lines.withColumns({"_cells": F.slice("_spans", F.col("_from") + 1, F.size("_spans")), "_head": head}).drop("_from", "_gaps", "_spans")
+
+
 def read_statements(documents: DataFrame, text: str = "raw_parsed") -> DataFrame:
     """(document_name, text) -> document_name, tipo_entidade, periodo, line, escala_valores, section, reason.
 
     A row for every amount; `line` is its label and the amount as printed. A line that gives none is one row without
     entity type and period, and with the reason: no_amounts, no_columns (no dates above it), or unclear_columns.
     """
-    lines = split_lines(documents, text)
+    lines = _with_cells(split_lines(documents, text))
     above = Window.partitionBy("_document").orderBy("_pos")
     carried = {name: F.last(name, ignorenulls=True).over(above) for name in ("_dates", "_entities", "_scale", "_side", "_term")}
     is_header = (F.col("_dates").isNotNull() | F.col("_entities").isNotNull() | F.col("_scale").isNotNull())
-    lines = lines.withColumn("_is_header", is_header).withColumns(carried).where(~F.col("_is_header"))
-
-    # The cells that close the line: those after its last text.
-    texts = F.filter(F.transform("_gaps", lambda gap, i: F.when(strip(gap) != "", i)), lambda i: i.isNotNull())
-    dates = F.filter(F.transform("_spans", lambda s, i: F.when(s["kind"].isin("entity", "date"), i + 1)), lambda i: i.isNotNull())
-    lines = lines.withColumn("_from", F.greatest(F.coalesce(F.array_max(texts), F.lit(0)), F.coalesce(F.array_max(dates), F.lit(0))))
-    lines = lines.withColumn("_cells", F.slice("_spans", F.col("_from") + 1, F.size("_spans")))
-    head = F.array_join(F.concat(F.flatten(F.transform(F.slice("_gaps", 1, F.col("_from")), lambda gap, i: F.array(gap, F.get("_spans", i)["text"]))),
-                                 F.array(F.coalesce(F.get("_gaps", F.col("_from")), F.lit("")))), "")
-    lines = lines.select(
-        "document_name", "_document", "_pos", "line", F.col("_scale").alias("escala_valores"), _section(F.col("_side"), F.col("_term")).alias("section"),
-        "_cells", head.alias("_head"), F.when(F.col("_dates").isNotNull(), columns_of(F.col("_entities"), F.col("_dates"))).alias("_columns"))
+    lines = lines.withColumn("_is_header", is_header).withColumns(carried)
+    # Columns change with headers alone, so they are made there and carried on.
+    made = F.when(F.col("_is_header") & F.col("_dates").isNotNull(), columns_of(F.col("_entities"), F.col("_dates")))
+    lines = lines.withColumn("_made", made).drop("_dates", "_entities").withColumn("_made", _with_bounds(F.col("_made")))
+    lines = lines.withColumn("_columns", F.last("_made", ignorenulls=True).over(above)).where(~F.col("_is_header"))
+    lines = lines.select("document_name", "_document", "_pos", "line", F.col("_scale").alias("escala_valores"),
+                         _section(F.col("_side"), F.col("_term")).alias("section"), "_cells", "_head", "_columns")
     lines = lines.withColumn("_label_end", F.length(F.rtrim("_head")))
     placed, amounts = _cells_by_column()
     lines = lines.withColumn("_placed", placed).withColumn("_amounts", amounts)

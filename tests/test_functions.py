@@ -4,6 +4,8 @@ import json
 import math
 import zlib
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -233,3 +235,24 @@ def test_cells_over_rows_keep_their_columns(spark):
             "<tr><td colspan=2>6</td><td>7</td></tr><tr><td rowspan=0>B</td></tr><tr><td>8</td></tr></table>")
     found = elements.page_lines(spark.createDataFrame([(page,)], "html string")).first()["lines"]
     assert found == ["A    1  2  3", "A    4     5", "A    6     7", "B", "B    8"]
+
+
+def test_page_lines_of_long_tables(spark):
+    """A row costs the same however many stand above it: copying those took minutes."""
+    n = 20_000
+    page = "<table><tr><th rowspan=2>Conta<th colspan=2>Individual<tr><th>2023<th>2022" + "".join(
+        f"<tr><td>Item {i}</td><td align=right>{i},00</td><td>&nbsp;</td></tr>" for i in range(n)) + "</table>"
+    begun = time.perf_counter()
+    found = elements.page_lines(spark.createDataFrame([(page,)], "html string")).first()["lines"]
+    assert time.perf_counter() - begun < 25
+    assert found[:4] == [f"{'Conta':15}Individual", f"{'Conta':12}{'2023':>10}{'2022':>7}", f"{'Item 0':12}{'0,00':>10}", f"{'Item 1':12}{'1,00':>10}"]
+    assert len(found) == n + 2
+
+
+def test_page_lines_tell_where_a_table_ends(spark):
+    """A letter that is two in lower case moved the end; odd tags and marks of the reader's own are read cell by cell."""
+    pages = ["<table><tr><td>İİİ<td>1,00</TABLE>after", "<table><tr><td>a\x03b<td title='<b>x'>2 &am<b></b>p;<td>\x041</table>z",
+             "<table><tr><td colspan='2'>a &lt;td&gt;<tr><td>b<td>&am<i></i>p;</table>"]
+    found = elements.page_lines(spark.createDataFrame([(p,) for p in pages], "html string")).collect()
+    assert {r["html"]: r["lines"] for r in found} == {
+        pages[0]: ["İİİ    1,00", "after"], pages[1]: ["a\x03b    x'>2 &  \x041", "z"], pages[2]: ["a <td>", "b        &"]}
