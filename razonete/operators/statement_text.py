@@ -259,13 +259,11 @@ def read_statements(documents: DataFrame, text: str = "raw_parsed") -> DataFrame
     above = Window.partitionBy("_document").orderBy("_pos")
     carried = {name: F.last(name, ignorenulls=True).over(above) for name in ("_dates", "_entities", "_scale", "_side", "_term")}
     is_header = (F.col("_dates").isNotNull() | F.col("_entities").isNotNull() | F.col("_scale").isNotNull())
-    lines = lines.withColumn("_is_header", is_header).withColumns(carried)
-    # Columns change with headers alone, so they are made there and carried on.
-    made = F.when(F.col("_is_header") & F.col("_dates").isNotNull(), columns_of(F.col("_entities"), F.col("_dates")))
-    lines = lines.withColumn("_made", made).drop("_dates", "_entities").withColumn("_made", _with_bounds(F.col("_made")))
-    lines = lines.withColumn("_columns", F.last("_made", ignorenulls=True).over(above)).where(~F.col("_is_header"))
+    lines = lines.withColumn("_is_header", is_header).withColumns(carried).where(~F.col("_is_header"))
+    made = F.when(F.col("_dates").isNotNull(), columns_of(F.col("_entities"), F.col("_dates")))
     lines = lines.select("document_name", "_document", "_pos", "line", F.col("_scale").alias("escala_valores"),
-                         _section(F.col("_side"), F.col("_term")).alias("section"), "_cells", "_head", "_columns")
+                         _section(F.col("_side"), F.col("_term")).alias("section"), "_cells", "_head", made.alias("_columns"))
+    lines = lines.withColumn("_columns", _with_bounds(F.col("_columns")))
     lines = lines.withColumn("_label_end", F.length(F.rtrim("_head")))
     placed, amounts = _cells_by_column()
     lines = lines.withColumn("_placed", placed).withColumn("_amounts", amounts)
